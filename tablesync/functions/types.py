@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.functions.structs import SIMPLE
+from tablesync.functions.structs import SIMPLE, local_rows, struct
 
 ENGINES = ["oracle", "sqlserver", "postgresql", "db2"]
 
@@ -81,9 +81,8 @@ def engine_type_map(spark: SparkSession) -> DataFrame:
             for name, kind in kinds.items():
                 mapped = KIND_NAMES[kind][ENGINES.index(target)]
                 rows.append((source, target, name, KEPT_NAMES.get((source, target, name), mapped)))
-    return spark.createDataFrame(
-        rows, "source_engine string, target_engine string, source_type string, target_type string"
-    )
+    columns = struct(source_engine="string", target_engine="string", source_type="string", target_type="string")
+    return local_rows(spark, rows, columns)
 
 
 # --------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.functions.structs import struct
+from tablesync.functions.structs import local_rows, struct
 from tablesync.functions.text import format_iso, parse_iso
 
 # Fixed values.
@@ -187,17 +188,22 @@ def from_json(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class BookmarkStore:
-    """Bookmarks as an append-only parquet folder; the newest valid row counts."""
+    """Bookmarks as an append-only parquet folder; the newest valid row counts.
+
+    Every write gets a folder of its own, so tables that finish at the same time
+    never share a commit.
+    """
 
     path: str
 
     def rows(self, spark: SparkSession) -> DataFrame:
         try:
-            return spark.read.schema(BOOKMARK_SCHEMA).parquet(self.path)
+            rows = spark.read.schema(BOOKMARK_SCHEMA).parquet(self.path)
+            return rows.select(*BOOKMARK_SCHEMA.names)
         except AnalysisException as error:
             if not (error.getCondition() or "").startswith("PATH_NOT_FOUND"):
                 raise
-            return spark.createDataFrame([], BOOKMARK_SCHEMA)
+            return local_rows(spark, [], BOOKMARK_SCHEMA)
 
     def current(self, spark: SparkSession, job: str) -> DataFrame:
         """Newest row per table of a job. A corrupt row counts as no bookmark: full load."""
@@ -225,13 +231,33 @@ class BookmarkStore:
              b.created or now, now, "1.0", None, b.manual, b.manual_type, b.rows, number + i)
             for i, b in enumerate(bookmarks)
         ]
-        spark.createDataFrame(rows, BOOKMARK_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        self._write(local_rows(spark, rows, BOOKMARK_SCHEMA).coalesce(1))
 
     def append(self, rows: DataFrame) -> None:
         """Append many bookmark rows held in a DataFrame."""
-        rows.select(*[F.col(f.name).cast(f.dataType) for f in BOOKMARK_SCHEMA.fields]).write.mode(
-            "append"
-        ).parquet(self.path)
+        self._write(rows.select(*[F.col(f.name).cast(f.dataType) for f in BOOKMARK_SCHEMA.fields]))
+
+    def _write(self, rows: DataFrame) -> str:
+        folder = f"{self.path}/put={time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        rows.write.mode("errorifexists").parquet(folder)
+        return folder
+
+    def fold(self, spark: SparkSession) -> int:
+        """Keep only the newest row per job and table; returns the number of folders dropped.
+
+        Run it when no load is going on. The newest rows are written before anything goes.
+        """
+        old = [
+            r["folder"]
+            for r in spark.read.schema(BOOKMARK_SCHEMA).parquet(self.path)
+            .select(F.regexp_extract("_metadata.file_path", "^(.*/put=[^/]+)/", 1).alias("folder"))
+            .distinct().collect()  # one row per earlier write
+        ]
+        self._write(latest(self.rows(spark)).coalesce(1))
+        for folder in old:
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        return len(old)
 
     def reset(self, spark: SparkSession, job: str, tables: Sequence[str]) -> None:
         """Make the next run of these tables a full load."""

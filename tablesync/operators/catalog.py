@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tablesync.functions.structs import struct
+from tablesync.functions.structs import local_rows, struct
 
 CATALOG_SCHEMA = struct(
     table_name="string", ordinal="int", column_name="string", type="string", nullable="boolean", is_pk="boolean"
@@ -26,4 +26,4 @@ def catalog(
         for table, schema in schemas.items()
         for i, f in enumerate(schema.fields)
     ]
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return local_rows(spark, rows, CATALOG_SCHEMA)

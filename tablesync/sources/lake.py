@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.functions.structs import struct
+from tablesync.functions.structs import local_rows, struct
 from tablesync.operators.incremental import above
 
 PARTITION_PREFIX = "_p_"
@@ -187,7 +187,7 @@ def commit(
          s.schema, *shared, new.snapshot)
         for s in segments
     ]
-    frame = spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).drop("snapshot")
+    frame = local_rows(spark, rows, MANIFEST_SCHEMA).coalesce(1).drop("snapshot")
     frame.write.mode("errorifexists").parquet(f"{lake.manifest_dir(new.table)}/snapshot={new.snapshot}")
     return replace(new, committed_at=stamp)
 
@@ -284,7 +284,7 @@ def scan_segments(
             shown = _project(files, written, table.schema) if not with_file else files
         frames.append(shown)
     if not frames:
-        return spark.createDataFrame([], table.schema)
+        return local_rows(spark, [], table.schema)
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame, allowMissingColumns=with_file)
@@ -620,7 +620,7 @@ def scan_with_files(spark: SparkSession, lake: Lake, table: TableState, columns:
         frames.append(rows.select(*picked, "_file"))
     if not frames:
         empty = T.StructType([table.schema[c] for c in columns] + [T.StructField("_file", T.StringType())])
-        return spark.createDataFrame([], empty)
+        return local_rows(spark, [], empty)
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame)
@@ -691,15 +691,21 @@ def set_identifiers(spark: SparkSession, lake: Lake, table: str, columns: Sequen
 
 def describe(spark: SparkSession, lake: Lake, tables: Sequence[str]) -> DataFrame:
     """One row per asked table: there or not, location, columns, keys, times."""
-    wanted = spark.createDataFrame([(t,) for t in tables], "table_name string")
+    wanted = local_rows(spark, [(t,) for t in tables], struct(table_name="string"))
     try:
-        rows = spark.read.schema(MANIFEST_SCHEMA).option("basePath", lake.root).parquet(
-            f"{lake.root}/*/manifest"
+        rows = (
+            spark.read.schema(T.StructType(MANIFEST_SCHEMA.fields[:-1]))
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .parquet(f"{lake.root}/*/manifest")
+            .withColumn(
+                "snapshot", F.regexp_extract("_metadata.file_path", r"/snapshot=(\d+)/", 1).cast("bigint")
+            )
         )
     except AnalysisException as error:
         if not _path_missing(error):
             raise
-        rows = spark.createDataFrame([], MANIFEST_SCHEMA)
+        rows = local_rows(spark, [], MANIFEST_SCHEMA)
     per_snapshot = rows.groupBy("table_name", "snapshot").agg(
         F.min("committed_at").alias("committed_at"),
         F.sum("rows").alias("rows"),
@@ -737,9 +743,9 @@ def describe(spark: SparkSession, lake: Lake, tables: Sequence[str]) -> DataFram
 def files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     """Live data files of the newest snapshot: path, bytes, segment, partition folder."""
     current = state(spark, lake, table)
-    segments = spark.createDataFrame([(s.id,) for s in current.segments], "segment string")
-    removed = spark.createDataFrame(
-        [(p,) for s in current.segments for p in s.removed_files], "path string"
+    segments = local_rows(spark, [(s.id,) for s in current.segments], struct(segment="string"))
+    removed = local_rows(
+        spark, [(p,) for s in current.segments for p in s.removed_files], struct(path="string")
     )
     listed = (
         spark.read.format("binaryFile")

@@ -18,6 +18,7 @@ def spark():
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
         spark__checkpoint__dir=tempfile.mkdtemp(prefix="run-tests-"),
     )
