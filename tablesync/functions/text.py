@@ -35,12 +35,11 @@ def pick_bucket(source_path: Column, target_path: Column) -> Column:
 def parse_iso(text: Column) -> Column:
     """ISO text with `Z`, an offset or none (read as UTC) to an instant; bad text gives NULL."""
     t = F.trim(text)
-    zoned = F.when(t.rlike(r"(?i)z$"), F.regexp_replace(t, "(?i)z$", "+00:00"))
-    plain = F.when(
-        t.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"),
-        F.concat(t, F.when(F.length(t) == 10, F.lit("T00:00:00")).otherwise(F.lit("")), F.lit("+00:00")),
-    )
-    return F.try_to_timestamp(F.coalesce(zoned, plain, t))
+    is_iso = t.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?([Zz]|[+-]\d{2}:?\d{2})?)?$")
+    has_zone = t.rlike(r"[T ].*([Zz]|[+-]\d{2}:?\d{2})$")
+    day_only = F.when(F.length(t) == 10, F.concat(t, F.lit("T00:00:00"))).otherwise(t)
+    zoned = F.when(has_zone, F.regexp_replace(t, "[Zz]$", "+00:00")).otherwise(F.concat(day_only, F.lit("+00:00")))
+    return F.try_to_timestamp(F.when(is_iso, zoned))
 
 
 def format_iso(instant: Column) -> Column:
