@@ -91,22 +91,17 @@ def structural_reasons(df: DataFrame) -> Column:
 def consistency_reasons(
     df: DataFrame, expected_table: Column | None = None, now: Column | None = None
 ) -> Column:
-    """Codes for signs of corruption in a row whose form is right."""
+    """Codes for signs of corruption. Expects the times as instants in `_times`, parsed once."""
     limit = (now if now is not None else F.current_timestamp()) + F.expr("interval 1 hour")
+    at = {name: F.col("_times")[name] for name in TIME_FIELDS}
     tests = []
     if expected_table is not None:
         tests.append(_reason(~F.col("table_name").eqNullSafe(expected_table), "other_table"))
     for name in TIME_FIELDS:
-        value = F.col(name)
-        given = value.isNotNull() & (F.length(value) > 0)
-        tests.append(_reason(given & parse_iso(value).isNull(), f"{name}_unreadable"))
-        tests.append(_reason(parse_iso(value) > limit, f"{name}_in_future"))
-    tests.append(
-        _reason(
-            parse_iso(F.col("created_timestamp")) > parse_iso(F.col("updated_timestamp")),
-            "created_after_updated",
-        )
-    )
+        given = F.length(name) > 0
+        tests.append(_reason(given & at[name].isNull(), f"{name}_unreadable"))
+        tests.append(_reason(at[name] > limit, f"{name}_in_future"))
+    tests.append(_reason(at["created_timestamp"] > at["updated_timestamp"], "created_after_updated"))
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     tests.append(_reason(F.greatest(*[F.coalesce(F.length(t), F.lit(0)) for t in texts]) > MAX_TEXT, "text_too_long"))
     dirty = F.lit(False)
@@ -118,8 +113,10 @@ def consistency_reasons(
 
 def check(df: DataFrame, expected_table: Column | None = None, now: Column | None = None) -> DataFrame:
     """Add `reasons` and `is_valid` to bookmark rows."""
+    timed = df.withColumn("_times", F.struct(*[parse_iso(F.col(n)).alias(n) for n in TIME_FIELDS]))
     reasons = F.concat(structural_reasons(df), consistency_reasons(df, expected_table, now))
-    return df.withColumn("reasons", reasons).withColumn("is_valid", F.size("reasons") == 0)
+    checked = timed.withColumn("reasons", reasons).drop("_times")
+    return checked.withColumn("is_valid", F.size("reasons") == 0)
 
 
 # --------------------------------------------------------------------------

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.text import format_iso
+
 
 def mark(df: DataFrame, column: str, value: object) -> Column:
     """A bookmark, stored as text, as a literal of its column's type.
@@ -34,11 +36,19 @@ def between_marks(df: DataFrame, column: str, low: object | None, high: object)
     return above(df, column, low).filter(F.col(column) <= mark(df, column, high))
 
 
+def mark_text(value: Column, kind: T.DataType) -> Column:
+    """A value as bookmark text. An instant carries its offset, so that a later run in
+    another session time zone reads the same instant."""
+    return format_iso(value) if isinstance(kind, T.TimestampType) else value.cast("string")
+
+
+def highest_text(df: DataFrame, column: str) -> Column:
+    return mark_text(F.max(column), df.schema[column].dataType)
+
+
 def watermark(df: DataFrame, column: str) -> DataFrame:
     """New bookmark and row count of a delta, as one row."""
-    return df.agg(
-        F.max(column).cast("string").alias("watermark"), F.count(F.lit(1)).alias("rows")
-    )
+    return df.agg(highest_text(df, column).alias("watermark"), F.count(F.lit(1)).alias("rows"))
 
 
 def position(df: DataFrame, column: str) -> Column:
@@ -107,9 +117,9 @@ class RankBounds:
                     F.min("_place").alias("low"),
                     F.max("_place").alias("high"),
                 )
-                .orderBy("b")
                 .collect()  # at most `buckets` + 2 rows
             )
+            self._known[low, high].sort(key=lambda cell: cell["b"])
         return self._known[low, high]
 
     def bound(self, rank: int) -> tuple[object, int] | None:

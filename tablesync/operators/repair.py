@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.operators.fingerprint import row_hash, table_fingerprint
-from tablesync.operators.incremental import above, between_marks, mark
+from tablesync.operators.incremental import above, between_marks, highest_text, mark
 from tablesync.plans.loads import Job, TableSpec, next_bookmark, source_rows
 from tablesync.session import workspace
 from tablesync.sources import endpoints, lake
@@ -95,7 +95,7 @@ def staged_write(df: DataFrame, target: Lake, table: str, mode: str = "overwrite
 
 def target_state(rows: DataFrame, table: str, column: str) -> DataFrame:
     """Highest value of a target table as one row, to be matched with bookmarks."""
-    return rows.agg(F.max(column).cast("string").alias("target_max")).withColumn("table_name", F.lit(table))
+    return rows.agg(highest_text(rows, column).alias("target_max")).withColumn("table_name", F.lit(table))
 
 
 def consistency(target_states: DataFrame, bookmarks: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def recover(spark: SparkSession, job: Job, spec: TableSpec) -> str:
         return "no_bookmark"
     target = endpoints.scan(spark, job.target, spec.target)
     beyond = above(target.select(spec.column), spec.column, known.value)
-    found = beyond.agg(F.max(spec.column).cast("string").alias("m"), F.count(F.lit(1)).alias("n")).first()
+    found = beyond.agg(highest_text(beyond, spec.column).alias("m"), F.count(F.lit(1)).alias("n")).first()
     if not found["n"]:
         return "consistent"
     if ranges_agree(source_rows(spark, job, spec), target, spec.column, known.value, found["m"]):

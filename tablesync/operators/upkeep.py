@@ -86,7 +86,8 @@ def compact(
     if sort_by:
         rows = sorted_layout(rows, sort_by, files)
     elif not before.partition_spec:
-        rows = rows.repartition(files)
+        # Joining scan tasks needs no shuffle; each writes one file near the target size.
+        rows = rows.coalesce(files)
     segment, _ = lake.write_segment(
         rows, target, table, before.schema, before.partition_spec, before.watermark_column,
         compression, sort_by=sort_by if before.partition_spec else (),

@@ -13,7 +13,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 

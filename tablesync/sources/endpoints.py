@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.operators.incremental import highest_text
 from tablesync.sources import files, jdbc, lake
 from tablesync.sources.files import Files
 from tablesync.sources.jdbc import Jdbc
@@ -63,4 +64,4 @@ def highest(spark: SparkSession, endpoint: Endpoint, table: str, column: str) ->
     if isinstance(endpoint, Jdbc):
         return jdbc.highest(spark, endpoint, table, column)
     rows = scan(spark, endpoint, table)
-    return rows.agg(F.max(column).cast("string").alias("m")).first()["m"]
+    return rows.agg(highest_text(rows, column).alias("m")).first()["m"]

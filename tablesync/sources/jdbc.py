@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.operators.incremental import highest_text, mark_text
+
 # Rows per round trip, and connection settings per engine.
 FETCH = {"fetchsize": "10000"}
 BATCH = {"batchsize": "10000"}
@@ -92,7 +94,8 @@ def value_range(spark: SparkSession, db: Jdbc, table: str, column: str):
 def highest(spark: SparkSession, db: Jdbc, table: str, column: str) -> str | None:
     """MAX of a column as text, computed by the database."""
     frame = read_query(spark, db, f"SELECT MAX({quoted(column)}) AS m FROM {db.name(table)}")
-    return frame.select(F.col(frame.columns[0]).cast("string").alias("m")).first()["m"]
+    found = frame.schema[0]
+    return frame.select(mark_text(F.col(found.name), found.dataType).alias("m")).first()["m"]
 
 
 def schema(spark: SparkSession, db: Jdbc, table: str) -> T.StructType:
@@ -113,7 +116,7 @@ def write(
     seen = Observation()
     measures = [F.count(F.lit(1)).alias("n")]
     if watermark:
-        measures.append(F.max(watermark).cast("string").alias("high"))
+        measures.append(highest_text(df, watermark).alias("high"))
     options = {**db.settings(), **BATCH, "dbtable": db.name(table)}
     if connections:
         options["numPartitions"] = str(connections)

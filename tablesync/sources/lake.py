@@ -12,6 +12,7 @@ table as it was; its orphan segment is removed by table upkeep.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.structs import local_rows, struct
-from tablesync.operators.incremental import above
+from tablesync.operators.incremental import above, mark_text
 
 PARTITION_PREFIX = "_p_"
 
@@ -135,16 +136,18 @@ def state(
 ) -> TableState:
     """The newest snapshot, a numbered one, or the one valid at `as_of`."""
     rows = manifest(spark, lake, table)
-    if snapshot is not None:
-        rows = rows.filter(F.col("snapshot") == snapshot)
     if as_of is not None:
         rows = rows.filter(F.col("committed_at") <= F.lit(as_of))
-    newest = rows.agg(F.max("snapshot").alias("n")).first()["n"]
-    if newest is None:
-        raise TableNotFound(f"{table} has no snapshot for this request")
+        newest = rows.agg(F.max("snapshot").alias("n")).first()["n"]
+    else:
+        # Snapshot numbers are folder names, which the listing has already seen.
+        numbers = {int(re.search(r"/snapshot=(\d+)/", path)[1]) for path in rows.inputFiles()}
+        newest = max(numbers, default=None) if snapshot is None else snapshot
     # One row per segment of a single snapshot: bounded by the number of writes
     # since the last compaction, not by data.
-    found = rows.filter(F.col("snapshot") == newest).collect()
+    found = [] if newest is None else rows.filter(F.col("snapshot") == newest).collect()
+    if not found:
+        raise TableNotFound(f"{table} has no snapshot for this request")
     head = found[0]
     segments = tuple(
         Segment(r.segment, r.rows, r.segment_schema, r.low, r.high, tuple(r.removed_files or ()))
@@ -419,9 +422,10 @@ def write_segment(
     seen = Observation()
     wanted = [F.count(F.lit(1)).alias("n"), *measures]
     if watermark:
+        kind = schema[watermark].dataType
         wanted += [
-            F.min(watermark).cast("string").alias("low"),
-            F.max(watermark).cast("string").alias("high"),
+            mark_text(F.min(watermark), kind).alias("low"),
+            mark_text(F.max(watermark), kind).alias("high"),
         ]
     segment = uuid.uuid4().hex
     writer = rows.observe(seen, *wanted).write.option("compression", compression)
