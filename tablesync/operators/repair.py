@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablesync.operators.fingerprint import row_hash, table_fingerprint
-from tablesync.operators.incremental import above, between_marks, highest_text, mark
+from tablesync.operators.fingerprint import table_fingerprint
+from tablesync.operators.incremental import above, between_marks, highest_text, mark, mark_text
 from tablesync.plans.loads import Job, TableSpec, next_bookmark, source_rows
 from tablesync.session import workspace
 from tablesync.sources import endpoints, lake
@@ -19,13 +20,14 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the highest in `order`, ties settled by row hash.
+    """One row per key: the highest in `order`, ties settled by a hash of the row.
 
     A partial aggregate instead of a window, so repeats of a hot key are dropped
     before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*[F.col(c) for c in order], row_hash(df))
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    rank = F.struct(*[F.col(c) for c in order], F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
     return (
         df.groupBy(*keys)
         .agg(F.max_by(F.struct(*rest), rank).alias("_row"))
@@ -49,10 +51,14 @@ def upsert(
     its key bytes. Then only target files that hold one of its keys are rewritten.
     """
     before = lake.state(spark, target, table)
-    staged, key_bytes = _stage(newest_per_key(lake.align(delta, before.schema), keys, order), keys)
+    staged, seen = _stage(newest_per_key(lake.align(delta, before.schema), keys, order), keys)
     wanted = staged.select(*keys)
-    small = F.broadcast(wanted) if key_bytes <= BROADCAST_BYTES else wanted
-    touched = lake.scan_with_files(spark, target, before, list(keys)).join(small, list(keys), "left_semi")
+    small = F.broadcast(wanted) if (seen["bytes"] or 0) <= BROADCAST_BYTES else wanted
+    rows = lake.scan_with_files(spark, target, before, list(keys))
+    for i, key in enumerate(keys):
+        # The key range of the delta lets file statistics skip what cannot match.
+        rows = rows.filter(F.col(key).between(mark(rows, key, seen[f"low{i}"]), mark(rows, key, seen[f"high{i}"])))
+    touched = rows.join(small, list(keys), "left_semi")
     return lake.rewrite_files(
         spark, target, before, touched,
         lambda rows: rows.join(small, list(keys), "left_anti"),
@@ -60,13 +66,17 @@ def upsert(
     )
 
 
-def _stage(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
-    """Write a delta aside and measure its key bytes in the same pass."""
+def _stage(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict]:
+    """Write a delta aside and measure key bytes and key ranges in the same pass."""
     spark = df.sparkSession
     path, seen = workspace(spark, "delta"), Observation()
     width = sum((F.octet_length(F.col(k).cast("string")) + 16 for k in keys), F.lit(0))
-    df.observe(seen, F.sum(F.coalesce(width, F.lit(64))).alias("bytes")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get.get("bytes") or 0
+    measures = [F.sum(F.coalesce(width, F.lit(64))).alias("bytes")]
+    for i, key in enumerate(keys):
+        kind = df.schema[key].dataType
+        measures += [mark_text(F.min(key), kind).alias(f"low{i}"), mark_text(F.max(key), kind).alias(f"high{i}")]
+    df.observe(seen, *measures).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get
 
 
 def without_rows_beyond(df: DataFrame, column: str, bookmark: object) -> DataFrame:

@@ -6,6 +6,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +101,25 @@ def compact(
     return Commit(table, after.snapshot, segment.rows, segment.low, segment.high, True)
 
 
+def compact_small_files(
+    spark: SparkSession, target: Lake, table: str, target_bytes: int = TARGET_BYTES, smaller_than: float = 0.75
+) -> Commit:
+    """Join only the files well below the target size; large ones stay untouched.
+
+    The usual upkeep of a big table: the work follows the new small files, not the table.
+    """
+    before = lake.state(spark, target, table)
+    small = lake.files(spark, target, table).filter(F.col("bytes") < int(target_bytes * smaller_than))
+    found = small.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first()
+    if found["n"] < 2:
+        return Commit(table, before.snapshot, 0, None, None, False)
+    files = max(1, -(-found["b"] // target_bytes))
+    return lake.rewrite_files(
+        spark, target, before, small.select(F.col("path").alias("_file")),
+        lambda rows: rows if before.partition_spec else rows.coalesce(files), None, "compact_small_files",
+    )
+
+
 def column_statistics(df: DataFrame) -> DataFrame:
     """Rows, NULLs, distinct values (sketch), smallest and largest value of every column, in one pass."""
     plain = [f for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
@@ -170,12 +190,7 @@ def unreferenced_files(spark: SparkSession, target: Lake, table: str) -> DataFra
         .groupBy("segment", "path").agg(F.count(F.lit(1)).alias("times"))
         .join(uses, "segment").filter("times = uses").select("path")
     )
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet").load(target.data_dir(table))
-        .select("path", F.col("length").alias("bytes"))
-        .withColumn("segment", F.regexp_extract("path", r"/seg=([^/]+)/", 1))
-    )
+    listed = lake.all_files(spark, target, table).drop("partition")
     orphans = listed.join(segments, "segment", "left_anti")
     dead = listed.join(removed, "path", "left_semi")
     return orphans.unionByName(dead)
@@ -195,5 +210,5 @@ def remove_unreferenced(spark: SparkSession, target: Lake, table: str) -> int:
     for row in whole.collect():
         _delete(spark, f"{target.data_dir(table)}/seg={row['segment']}")
     for row in single:
-        _delete(spark, row["path"])
+        _delete(spark, unquote(row["path"]))
     return count

@@ -17,6 +17,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -597,7 +598,7 @@ def _touched_rows(spark, lake, before, hit, of_segment) -> DataFrame:
         written = T.StructType.fromJson(json.loads(s.schema))
         rows = (
             spark.read.schema(written)
-            .parquet(*of_segment[s.id])
+            .parquet(*[unquote(p) for p in of_segment[s.id]])
             .select(*[F.col(f"`{f.name}`") for f in written.fields])
         )
         frames.append(_project(rows, written, before.schema).withColumn("_seg", F.lit(s.id)))
@@ -745,20 +746,31 @@ def describe(spark: SparkSession, lake: Lake, tables: Sequence[str]) -> DataFram
 
 
 def files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    """Live data files of the newest snapshot: path, bytes, segment, partition folder."""
+    """Live data files of the newest snapshot: path, bytes, segment, partition folder.
+
+    Paths are URLs as in `_metadata.file_path`.
+    """
     current = state(spark, lake, table)
     segments = local_rows(spark, [(s.id,) for s in current.segments], struct(segment="string"))
     removed = local_rows(
         spark, [(p,) for s in current.segments for p in s.removed_files], struct(path="string")
     )
-    listed = (
+    listed = all_files(spark, lake, table)
+    return listed.join(F.broadcast(segments), "segment").join(removed, "path", "left_anti")
+
+
+def all_files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """Every data file in the table's folder, shown by a snapshot or not. Only the listing is read."""
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(lake.data_dir(table))
-        .select("path", F.col("length").alias("bytes"))
-        .withColumn("segment", F.regexp_extract("path", r"/seg=([^/]+)/", 1))
-        .withColumn("partition", F.regexp_extract("path", r"/seg=[^/]+/(.*?)/?[^/]+$", 1))
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("length").alias("bytes"),
+            F.regexp_extract("path", r"/seg=([^/]+)/", 1).alias("segment"),
+            F.regexp_extract("path", r"/seg=[^/]+/(.*?)/?[^/]+$", 1).alias("partition"),
+        )
     )
-    return listed.join(segments, "segment").join(removed, "path", "left_anti")
 

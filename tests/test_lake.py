@@ -187,3 +187,42 @@ def test_increment_skips_segments_by_statistics(spark, folder):
     assert [r["id"] for r in part.collect()] == [3, 4]
     assert len({f.split("/seg=")[1].split("/")[0] for f in part.inputFiles()}) == 1
     assert lake.read_increment(spark, home, "t", "id", None).count() == 4
+
+
+def test_partition_values_with_special_characters(spark, folder):
+    home = Lake(folder)
+    df = spark.createDataFrame([(1, "a b:c/100%+x"), (2, "plain"), (3, None)], "id bigint, name string")
+    lake.write(df, home, "t", "append", partition_by=["name"])
+    repair.upsert(spark, home, "t", spark.createDataFrame([(1, "a b:c/100%+x"), (4, "é")], "id bigint, name string"), ["id"], ["id"])
+    repair.trim(spark, home, "t", "id", "3")
+    assert rows(lake.read(spark, home, "t").filter("id <= 2")) == [(1, "a b:c/100%+x"), (2, "plain")]
+    assert lake.read(spark, home, "t").count() == 3
+    assert lake.files(spark, home, "t").count() == 3
+    upkeep.expire_snapshots(spark, home, "t", datetime(2100, 1, 1, tzinfo=timezone.utc))
+    upkeep.remove_unreferenced(spark, home, "t")
+    assert lake.all_files(spark, home, "t").count() == 3 and lake.read(spark, home, "t").count() == 3
+
+
+def test_small_files_join_and_large_ones_stay(spark, folder):
+    home = Lake(folder)
+    big = spark.range(200_000).select("id", F.expr("uuid()").alias("name")).coalesce(1)
+    lake.write(big, home, "t", "append")
+    kept = {r["path"] for r in lake.files(spark, home, "t").collect()}
+    for i in range(3):
+        lake.write(frame(spark, -i - 1), home, "t", "append")
+    upkeep.compact_small_files(spark, home, "t", target_bytes=1 << 20)
+    now = {r["path"] for r in lake.files(spark, home, "t").collect()}
+    assert kept <= now and len(now) == 2
+    assert lake.read(spark, home, "t").count() == 200_003
+    assert not upkeep.compact_small_files(spark, home, "t", target_bytes=1 << 20).committed
+
+
+def test_removed_files_are_not_opened(spark, folder):
+    home = Lake(folder)
+    lake.write(frame(spark, *range(20)).repartition(5), home, "t", "append")
+    repair.upsert(spark, home, "t", spark.createDataFrame([(3, "x")], "id bigint, name string"), ["id"], ["name"])
+    df = lake.read(spark, home, "t")
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    live = lake.files(spark, home, "t").count()
+    assert leaf.metrics().get("numFiles").get().value() == live < lake.all_files(spark, home, "t").count()
