@@ -441,10 +441,8 @@ def changed_orders(orders):
 
 def new_orders(orders):
     """The urgent orders once more under keys that follow the last one."""
-    top = orders.agg((F.max("o_orderkey") + 1).alias("top"))
-    return orders.filter("o_orderpriority = '1-URGENT'").crossJoin(F.broadcast(top)).withColumn(
-        "o_orderkey", F.col("o_orderkey") + F.col("top")
-    ).drop("top")
+    top = orders.agg(F.max("o_orderkey").alias("top")).first()["top"] + 1
+    return orders.filter("o_orderpriority = '1-URGENT'").withColumn("o_orderkey", F.col("o_orderkey") + top)
 
 
 @query(

@@ -164,11 +164,9 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def expired_snapshots(spark: SparkSession, target: Lake, table: str, older_than: datetime) -> DataFrame:
     """Snapshots committed before a time, the newest one never among them."""
+    newest = lake.state(spark, target, table).snapshot
     rows = lake.manifest(spark, target, table).groupBy("snapshot").agg(F.min("committed_at").alias("at"))
-    newest = rows.agg(F.max("snapshot").alias("newest"))
-    return rows.join(F.broadcast(newest)).filter(
-        (F.col("at") < F.lit(older_than)) & (F.col("snapshot") < F.col("newest"))
-    ).select("snapshot", "at")
+    return rows.filter((F.col("at") < F.lit(older_than)) & (F.col("snapshot") < newest))
 
 
 def expire_snapshots(spark: SparkSession, target: Lake, table: str, older_than: datetime) -> list[int]:

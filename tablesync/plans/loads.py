@@ -126,12 +126,27 @@ def incremental_load(spark: SparkSession, job: Job, spec: TableSpec, before: Boo
     value = before.value
     if done.rows:
         value = done.high if done.high is not None else before.value
+        if isinstance(job.target, Jdbc):
+            _verify_appended(spark, job, spec, before.value, value, done.rows)
         job.store.put(spark, job.name, [next_bookmark(spec, before, value, done.rows)])
     return TableResult(
         job.name, spec.table, "incremental", "completed", done.rows, value, time.monotonic() - started
     )
 
 
+def _verify_appended(spark, job: Job, spec: TableSpec, low, high, rows: int) -> None:
+    """A database commits task by task, so a repeated task may have added rows twice.
+
+    The bookmark moves only when the target holds exactly the rows that were sent.
+    """
+    target = endpoints.scan(spark, job.target, spec.target).select(spec.column)
+    found = between_marks(target, spec.column, low, high).count()
+    if found != rows:
+        raise RuntimeError(
+            f"{spec.target}: {found} rows above {low} where {rows} were sent; recover the table before the next load"
+        )
+
+
 def hash_load(spark: SparkSession, job: Job, spec: TableSpec, before: Bookmark) -> TableResult:
     """Skip a table whose fingerprint is the stored one, else reload it."""
     started = time.monotonic()

@@ -17,12 +17,37 @@ ENGINE_CONF = {
 }
 
 
-def build_session(app: str = "tablesync", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the engine settings; `conf` overrides them (dots as `__`)."""
+MB = 1024 * 1024
+
+
+def sized_conf(input_bytes: int) -> dict[str, str]:
+    """Partition counts for a given amount of input.
+
+    Shuffles start with partitions of about 256 MB; the adaptive plan joins those that
+    turn out small. Beyond 10 TB a scan task reads 512 MB, which keeps the number of
+    tasks of one scan near 200,000 at 100 TB.
+    """
+    scan = 128 * MB if input_bytes < 10 * MB * MB else 512 * MB
+    partitions = max(200, min(400_000, -(-input_bytes // (256 * MB))))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
+    }
+
+
+def build_session(
+    app: str = "tablesync", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the engine settings, sized for the input if its bytes are given.
+
+    `conf` overrides settings, with dots written as `__`.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**ENGINE_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}
+    sized = sized_conf(input_bytes) if input_bytes else {}
+    settings = {**ENGINE_CONF, **sized, **{k.replace("__", "."): v for k, v in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -83,6 +83,63 @@ def read_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
+# Column catalogs of the engines, all tables of a schema in one query. Names differ per
+# engine, the result does not: table, place, column, type, nullable, key, precision, scale.
+_STANDARD_CATALOG = """
+    SELECT c.table_name AS table_name, c.ordinal_position - 1 AS ordinal, c.column_name AS column_name,
+           c.data_type AS type, c.is_nullable AS nullable, k.column_name AS key_name,
+           c.numeric_precision AS num_precision, c.numeric_scale AS num_scale
+    FROM information_schema.columns c LEFT JOIN (
+      SELECT u.table_schema, u.table_name, u.column_name
+      FROM information_schema.table_constraints t JOIN information_schema.key_column_usage u
+        ON u.constraint_name = t.constraint_name AND u.table_schema = t.table_schema AND u.table_name = t.table_name
+      WHERE t.constraint_type = 'PRIMARY KEY'
+    ) k ON k.table_schema = c.table_schema AND k.table_name = c.table_name AND k.column_name = c.column_name
+    WHERE c.table_schema = '{schema}'
+"""
+CATALOG_SQL = {
+    "postgresql": _STANDARD_CATALOG,
+    "sqlserver": _STANDARD_CATALOG,
+    "oracle": """
+    SELECT c.table_name AS table_name, c.column_id - 1 AS ordinal, c.column_name AS column_name,
+           c.data_type AS type, c.nullable AS nullable, k.column_name AS key_name,
+           c.data_precision AS num_precision, c.data_scale AS num_scale
+    FROM all_tab_columns c LEFT JOIN (
+      SELECT u.owner, u.table_name, u.column_name FROM all_constraints t
+      JOIN all_cons_columns u ON u.owner = t.owner AND u.constraint_name = t.constraint_name
+      WHERE t.constraint_type = 'P'
+    ) k ON k.owner = c.owner AND k.table_name = c.table_name AND k.column_name = c.column_name
+    WHERE c.owner = '{schema}'
+""",
+    "db2": """
+    SELECT tabname AS table_name, colno AS ordinal, colname AS column_name, typename AS type, nulls AS nullable,
+           CASE WHEN keyseq IS NOT NULL THEN colname END AS key_name, length AS num_precision, scale AS num_scale
+    FROM syscat.columns WHERE tabschema = '{schema}'
+""",
+}
+
+
+def column_catalog(spark: SparkSession, db: Jdbc, sql: str | None = None) -> DataFrame:
+    """Columns of every table in the schema, with database type names and declared keys, by one query."""
+    if sql is None:
+        if db.schema is None:
+            raise ValueError("a column catalog needs the schema's name")
+        owner = db.schema.replace("'", "''")
+        sql = CATALOG_SQL[db.engine.lower()].format(schema=owner)
+    rows = read_query(spark, db, sql)
+    found = {c.lower(): F.col(f"`{c}`") for c in rows.columns}
+    return rows.select(
+        F.trim(found["table_name"]).alias("table_name"),
+        found["ordinal"].cast("int").alias("ordinal"),
+        F.trim(found["column_name"]).alias("column_name"),
+        F.upper(F.trim(found["type"])).alias("type"),
+        F.upper(F.trim(found["nullable"])).isin("YES", "Y").alias("nullable"),
+        found["key_name"].isNotNull().alias("is_pk"),
+        found["num_precision"].cast("int").alias("precision"),
+        found["num_scale"].cast("int").alias("scale"),
+    )
+
+
 def value_range(spark: SparkSession, db: Jdbc, table: str, column: str):
     """Smallest and largest value of a column, computed by the database; None if empty."""
     c = quoted(column)

@@ -191,3 +191,44 @@ def test_database_source_and_target(spark, db, folder, job):
     lake.write(frame(spark, 3, 4), job.source, "u", "append")
     assert one(spark, to_db, spec).rows == 1
     assert endpoints.scan(spark, db, "u").count() == 4
+
+
+def test_repeated_rows_in_a_database_stop_the_bookmark(spark, db, job):
+    lake.write(frame(spark, 0, 3), job.source, "t", "append")
+    to_db = Job("k", job.source, db, job.store)
+    one(spark, to_db)
+    lake.write(frame(spark, 3, 5), job.source, "t", "append")
+    jdbc.write(frame(spark, 3, 4), db, "t", "append")
+    result = runner.run(spark, to_db, [SPEC])[0]
+    assert result.status == "failed" and "recover" in result.error
+    assert job.store.get(spark, "k", ["t"])["t"].value == "2"
+
+
+def test_column_catalog_of_a_database(spark, db):
+    from tablesync.operators.detect import detect_from_metadata
+
+    columns = spark.createDataFrame(
+        [("app", "orders", 1, "code", "varchar", "NO", None, None), ("app", "orders", 2, "n", "numeric", "YES", 10, 2),
+         ("app", "visits", 1, "updated_at", "timestamp", "YES", None, None), ("sys", "x", 1, "id", "integer", "NO", 32, 0)],
+        "table_schema string, table_name string, ordinal_position int, column_name string, data_type string, is_nullable string, "
+        "numeric_precision int, numeric_scale int",
+    )
+    keys = spark.createDataFrame([("app", "orders", "pk1", "PRIMARY KEY")], "table_schema string, table_name string, constraint_name string, constraint_type string")
+    usage = spark.createDataFrame([("app", "orders", "pk1", "code")], "table_schema string, table_name string, constraint_name string, column_name string")
+    small = {"column_name": "varchar(50)", "table_name": "varchar(50)", "table_schema": "varchar(50)", "constraint_name": "varchar(50)",
+             "constraint_type": "varchar(50)", "data_type": "varchar(50)", "is_nullable": "varchar(3)"}
+    for name, df in (("columns", columns), ("table_constraints", keys), ("key_column_usage", usage)):
+        types = ", ".join(f"{c} {small[c]}" for c in df.columns if c in small)
+        df.toDF(*[c.upper() for c in df.columns]).write.format("jdbc").options(
+            **db.settings(), dbtable=f"information_schema.{name}", createTableColumnTypes=types
+        ).save()
+    app = Jdbc(db.url, engine="postgresql", driver=db.driver, schema="app")
+    got = jdbc.column_catalog(spark, app)
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("orders", 0, "code", "VARCHAR", False, True, None, None), ("orders", 1, "n", "NUMERIC", True, False, 10, 2),
+        ("visits", 0, "updated_at", "TIMESTAMP", True, False, None, None),
+    ]
+    found = {r[0]: tuple(r)[1:] for r in detect_from_metadata(got).collect()}
+    assert found == {"orders": ("primary_key", "code"), "visits": ("timestamp", "updated_at")}
+    with pytest.raises(ValueError):
+        jdbc.column_catalog(spark, db)
