@@ -34,11 +34,13 @@ def pick_bucket(source_path: Column, target_path: Column) -> Column:
 
 def parse_iso(text: Column) -> Column:
     """ISO text with `Z`, an offset or none (read as UTC) to an instant; bad text gives NULL."""
-    t = F.trim(text)
-    is_iso = t.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?([Zz]|[+-]\d{2}:?\d{2})?)?$")
-    has_zone = t.rlike(r"[T ].*([Zz]|[+-]\d{2}:?\d{2})$")
+    t = F.upper(F.trim(text))
+    is_iso = t.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?$")
+    # Signs this far from the end of a text with a time belong to an offset.
+    offset = F.substring(t, -6, 1).isin("+", "-") | F.substring(t, -5, 1).isin("+", "-")
+    has_zone = t.endswith("Z") | ((F.length(t) > 16) & offset)
     day_only = F.when(F.length(t) == 10, F.concat(t, F.lit("T00:00:00"))).otherwise(t)
-    zoned = F.when(has_zone, F.regexp_replace(t, "[Zz]$", "+00:00")).otherwise(F.concat(day_only, F.lit("+00:00")))
+    zoned = F.when(has_zone, t).otherwise(F.concat(day_only, F.lit("+00:00")))
     return F.try_to_timestamp(F.when(is_iso, zoned))
 
 

@@ -54,15 +54,20 @@ class Bookmark:
 
 
 def _blank(column: str) -> Column:
-    return F.col(column).isNull() | (F.length(F.trim(F.col(column))) == 0)
+    return F.coalesce(F.trim(F.col(column)), F.lit("")) == ""
 
 
 def _reason(test: Column, code: str) -> Column:
     return F.when(test, F.lit(code))
 
 
+def _codes(tests: Sequence[Column]) -> Column:
+    """The codes that apply, as text; built from functions that all take part in code generation."""
+    return F.concat_ws(",", *tests)
+
+
 def structural_reasons(df: DataFrame) -> Column:
-    """Codes of everything wrong with the form of a bookmark row; empty means valid."""
+    """Codes of everything wrong with the form of a bookmark row, as text; empty means valid."""
     strategy = F.col("incremental_strategy")
     known = strategy.isin(STRATEGIES)
     tests = [
@@ -85,15 +90,15 @@ def structural_reasons(df: DataFrame) -> Column:
             tests.append(_reason(F.col(flag).isNotNull() & ~spelled, f"{flag}_not_boolean"))
     for name in TIME_FIELDS:
         tests.append(_reason(F.length(name) < 10, f"{name}_too_short"))
-    return F.filter(F.array(*tests), lambda r: r.isNotNull())
+    return _codes(tests)
 
 
 def consistency_reasons(
     df: DataFrame, expected_table: Column | None = None, now: Column | None = None
 ) -> Column:
-    """Codes for signs of corruption. Expects the times as instants in `_times`, parsed once."""
+    """Codes for signs of corruption. Expects each time as an instant in `_at_<name>`, parsed once."""
     limit = (now if now is not None else F.current_timestamp()) + F.expr("interval 1 hour")
-    at = {name: F.col("_times")[name] for name in TIME_FIELDS}
+    at = {name: F.col(f"_at_{name}") for name in TIME_FIELDS}
     tests = []
     if expected_table is not None:
         tests.append(_reason(~F.col("table_name").eqNullSafe(expected_table), "other_table"))
@@ -103,20 +108,20 @@ def consistency_reasons(
         tests.append(_reason(at[name] > limit, f"{name}_in_future"))
     tests.append(_reason(at["created_timestamp"] > at["updated_timestamp"], "created_after_updated"))
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    tests.append(_reason(F.greatest(*[F.coalesce(F.length(t), F.lit(0)) for t in texts]) > MAX_TEXT, "text_too_long"))
-    dirty = F.lit(False)
-    for t in texts:
-        dirty = dirty | F.coalesce(F.col(t).rlike(CONTROL_CHARACTERS), F.lit(False))
-    tests.append(_reason(dirty, "control_characters"))
-    return F.filter(F.array(*tests), lambda r: r.isNotNull())
+    tests.append(_reason(F.greatest(*[F.length(t) for t in texts]) > MAX_TEXT, "text_too_long"))
+    tests.append(_reason(F.concat_ws("", *texts).rlike(CONTROL_CHARACTERS), "control_characters"))
+    return _codes(tests)
 
 
 def check(df: DataFrame, expected_table: Column | None = None, now: Column | None = None) -> DataFrame:
     """Add `reasons` and `is_valid` to bookmark rows."""
-    timed = df.withColumn("_times", F.struct(*[parse_iso(F.col(n)).alias(n) for n in TIME_FIELDS]))
-    reasons = F.concat(structural_reasons(df), consistency_reasons(df, expected_table, now))
-    checked = timed.withColumn("reasons", reasons).drop("_times")
-    return checked.withColumn("is_valid", F.size("reasons") == 0)
+    # Columns of their own, not a struct: the optimizer would put the parsing back into every use.
+    timed = df.withColumns({f"_at_{n}": parse_iso(F.col(n)) for n in TIME_FIELDS})
+    codes = (structural_reasons(df), consistency_reasons(df, expected_table, now))
+    both = timed.withColumn("_codes", F.concat_ws(",", *[F.nullif(c, F.lit("")) for c in codes]))
+    none = F.col("_codes") == ""
+    reasons = F.when(none, F.array().cast("array<string>")).otherwise(F.split("_codes", ","))
+    return both.withColumn("reasons", reasons).withColumn("is_valid", none).drop("_codes", *[f"_at_{n}" for n in TIME_FIELDS])
 
 
 # --------------------------------------------------------------------------
