@@ -125,14 +125,13 @@ def _detected_sql(t: str) -> str:
 def detect_strategy(spark, sf):
     """All given tables: the detected column, and whether its values are fit for tracking."""
     source = Files(sf)
-    found = detect.detect_strategies(
-        catalog(spark, {t: endpoints.schema_of(spark, source, t) for t in TABLES})
-    )
+    frames = {t: endpoints.scan(spark, source, t) for t in TABLES}
+    found = detect.detect_strategies(catalog(spark, {t: df.schema for t, df in frames.items()}))
     parts = []
     for row in found.collect():  # one row per table
         column = {row["strategy"] + "s": [row["column"]]}
         candidates = {"timestamps": column.get("timestamps", ()), "keys": column.get("primary_keys", ())}
-        shown = profile.profile_columns(table(spark, sf, row["table_name"]), **candidates)
+        shown = profile.profile_columns(frames[row["table_name"]], **candidates)
         parts.append(shown.select(F.lit(row["table_name"]).alias("table_name"), "total", "usable", "is_valid"))
     profiles = parts[0]
     for part in parts[1:]:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from suite.base import TABLES, middle, new_lake, new_store, query, table
 from tablesync.functions.structs import local_rows, struct
-from tablesync.operators import repair, upkeep
+from tablesync.operators import detect, repair, upkeep
+from tablesync.operators.bookmarks import Bookmark
+from tablesync.operators.catalog import catalog
 from tablesync.operators.incremental import above, watermark
 from tablesync.plans import loads, runner
 from tablesync.plans.loads import Job, TableSpec
@@ -231,6 +233,69 @@ def tiered_load(spark, sf):
     return lake.read(spark, target, "orders").withColumn("tier", F.lit(tier))
 
 
+@query(
+    "validated_run",
+    """
+    SELECT 1 AS run, 'orders' AS table_name, 'full' AS mode, 'completed' AS status, count(*) AS rows FROM orders
+    UNION ALL SELECT 1, 'lineitem', 'full', 'completed', count(*) FROM lineitem
+    UNION ALL SELECT 2, 'orders', 'incremental', 'completed', 0
+    UNION ALL SELECT 2, 'lineitem', 'hash', 'skipped', 0
+    """,
+)
+def validated_run(spark, sf):
+    """l_orderkey repeats too often for a key, so lineitem is tracked by its fingerprint instead."""
+    job = Job("checked", Files(sf), new_lake(spark, "checked"), new_store(spark))
+    specs = [TableSpec("orders", "primary_key", "o_orderkey"), TableSpec("lineitem", "primary_key", "l_orderkey")]
+    log = []
+    for run in (1, 2):
+        done = runner.run(spark, job, specs, raise_on_failure=True, validate=True)
+        log += [(run, r.table, r.mode, r.status, r.rows) for r in done]
+    return local_rows(spark, log, struct(run="int", table_name="string", mode="string", status="string", rows="bigint"))
+
+
+@query(
+    "bookmark_life_cycle",
+    """
+    SELECT step, mode, CASE WHEN mode = 'incremental' THEN 0 ELSE n END AS rows
+    FROM (VALUES (1, 'full'), (2, 'incremental'), (3, 'full'), (4, 'incremental'), (5, 'full')) AS s(step, mode),
+         (SELECT count(*) AS n FROM customer)
+    """,
+)
+def bookmark_life_cycle(spark, sf):
+    """First run, nothing new, reset, nothing new, corrupt bookmark."""
+    job = Job("life", Files(sf), new_lake(spark, "life"), new_store(spark))
+    spec, log = TableSpec("customer", "primary_key", "c_custkey"), []
+    for step in range(1, 6):
+        if step == 3:
+            job.store.reset(spark, job.name, ["customer"])
+        if step == 5:
+            job.store.put(spark, job.name, [Bookmark("customer", "no such strategy", "c_custkey", "5", first_run=False)])
+        done = runner.run(spark, job, [spec], raise_on_failure=True)[0]
+        log.append((step, done.mode, done.rows))
+    return local_rows(spark, log, struct(step="int", mode="string", rows="bigint"))
+
+
+@query(
+    "load_with_casts",
+    """
+    SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(38,10))::VARCHAR AS o_totalprice, o_orderstatus
+    FROM orders
+    """,
+)
+def load_with_casts(spark, sf):
+    """A full load whose columns are cast for the engine pair, by the source's type names."""
+    source, target = new_lake(spark, "oracle"), new_lake(spark, "postgresql")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), "o_orderstatus"
+    )
+    lake.write(orders, source, "orders", "create")
+    job = Job("casts", source, target, new_store(spark), "oracle", "postgresql")
+    spec = TableSpec("orders", source_types={"o_totalprice": "NUMBER(12,2)", "o_orderstatus": "VARCHAR2(1)"})
+    runner.run(spark, job, [spec], raise_on_failure=True)
+    got = lake.read(spark, target, "orders")
+    return got.withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
+
+
 # --------------------------------------------------------------------------
 # lake
 
@@ -377,6 +442,60 @@ def compact(spark, sf):
     return stages[0].unionByName(stages[1])
 
 
+@query(
+    "compact_small_files",
+    "SELECT 'big file kept' AS note, count(*) AS rows, CAST(count(DISTINCT event_id) AS BIGINT) AS ids FROM events",
+)
+def compact_small_files(spark, sf):
+    """Small appends are joined; files near the target size are not rewritten."""
+    home, events = new_lake(spark, "small"), table(spark, sf, "events")
+    start = middle(events, "event_id")
+    lake.write(events.filter(F.col("event_id") <= start), home, "events", "create", watermark="event_id")
+    first = {r["path"]: r["bytes"] for r in lake.files(spark, home, "events").collect()}
+    rest = above(events, "event_id", start)
+    parts = rest.select(F.percentile_approx("event_id", [0.3, 0.6], 10000).alias("p")).first()["p"]
+    for low, high in zip([None, *parts], [*parts, None]):
+        part = above(rest, "event_id", low)
+        lake.write(part if high is None else part.filter(F.col("event_id") <= high), home, "events", "append")
+    upkeep.compact_small_files(spark, home, "events", target_bytes=max(first.values()))
+    kept = set(first) <= {r["path"] for r in lake.files(spark, home, "events").collect()}
+    return lake.read(spark, home, "events").agg(
+        F.lit("big file kept" if kept else "big file rewritten").alias("note"),
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("ids"),
+    )
+
+
+@query(
+    "identifier_watermark",
+    """
+    SELECT 'orders' AS table_name, '1' AS identifier_field_ids, 'o_orderkey' AS "column", CAST(max(o_orderkey) AS VARCHAR) AS watermark FROM orders
+    UNION ALL SELECT 'events', '2,1', 'ts', CAST(max(ts) AS VARCHAR) FROM events
+    UNION ALL SELECT 'part', '1', 'p_partkey', CAST(max(p_partkey) AS VARCHAR) FROM part
+    """,
+)
+def identifier_watermark(spark, sf):
+    """Identifier columns kept with the table, resolved to the tracking column and its highest value."""
+    home, marks = new_lake(spark, "ids"), {"orders": ["o_orderkey"], "events": ["ts", "event_id"], "part": ["p_partkey"]}
+    schemas = {}
+    for name, columns in marks.items():
+        rows = table(spark, sf, name)
+        schemas[name] = rows.schema
+        lake.write(rows, home, name, "create")
+        lake.set_identifiers(spark, home, name, columns)
+    tables = lake.describe(spark, home, list(marks)).select(
+        "table_name", F.col("properties")["identifier-field-ids"].alias("identifier_field_ids")
+    )
+    found = detect.identifier_columns(tables, catalog(spark, schemas)).join(tables, "table_name")
+    tops = [
+        watermark(lake.read(spark, home, r["table_name"]), r["column"]).select(F.lit(r["table_name"]).alias("table_name"), "watermark")
+        for r in found.collect()  # one row per table
+    ]
+    result = tops[0]
+    for top in tops[1:]:
+        result = result.unionByName(top)
+    return found.join(result, "table_name").select("table_name", "identifier_field_ids", "column", "watermark")
+
+
 @query("sorted_rewrite", "SELECT * FROM lineitem")
 def sorted_rewrite(spark, sf):
     home, lines = new_lake(spark, "sorted"), table(spark, sf, "lineitem")

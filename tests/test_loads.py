@@ -152,6 +152,20 @@ def test_latest_and_checks(spark, folder):
     assert check(store.rows(spark)).filter("not is_valid").count() == 0
 
 
+def test_validation_before_loads(spark, job):
+    from tablesync.plans.checks import column_is_fit
+
+    lake.write(frame(spark, 0, 10), job.source, "t", "append")
+    assert runner.run(spark, job, [SPEC], validate=True)[0].status == "completed"
+    lake.write(frame(spark, 0, 20).withColumn("name", F.lit(1.5)), job.source, "t", "overwrite")
+    result = runner.run(spark, job, [SPEC], validate=True)[0]
+    assert result.status == "failed" and "SchemaMismatch" in result.error
+    repeats = spark.sql("select id % 96 as near, id % 90 as low, id as k, if(id > 2, id, null) as t from range(100)")
+    assert column_is_fit(repeats, "primary_key", "near") and column_is_fit(repeats, "primary_key", "k")
+    assert not column_is_fit(repeats, "primary_key", "low") and column_is_fit(repeats, "timestamp", "t")
+    assert column_is_fit(repeats.limit(0), "primary_key", "k")
+
+
 # --------------------------------------------------------------------------
 # databases: an embedded one that lives in this process only
 
