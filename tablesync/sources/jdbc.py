@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 
 from tablesync.operators.incremental import highest_text, mark_text
 
-# Rows per round trip, and connection settings per engine.
-FETCH = {"fetchsize": "10000"}
+# Rows per round trip. A database time without a zone stays one: read as an instant, it
+# would move with the session time zone.
+FETCH = {"fetchsize": "10000", "preferTimestampNTZ": "true"}
 BATCH = {"batchsize": "10000"}
+# Connection settings per engine. Fixed values.
 ENGINE_OPTIONS = {
     "oracle": {
         "oracle.jdbc.timezoneAsRegion": "false",
@@ -56,7 +58,7 @@ def quoted(name: str) -> str:
 
 def read_query(spark: SparkSession, db: Jdbc, sql: str) -> DataFrame:
     """A query that the database runs."""
-    return spark.read.format("jdbc").options(**db.settings(), **FETCH, query=sql).load()
+    return spark.read.format("jdbc").options(**{**FETCH, **db.settings(), "query": sql}).load()
 
 
 def read_table(
@@ -72,7 +74,7 @@ def read_table(
     Take a column whose values spread evenly, such as the key: a range cannot split
     one value over several tasks.
     """
-    options = {**db.settings(), **FETCH, "dbtable": db.name(table)}
+    options = {**FETCH, **db.settings(), "dbtable": db.name(table)}
     if partition_column and partitions > 1:
         ends = value_range(spark, db, table, partition_column)
         if ends is not None:
@@ -174,7 +176,7 @@ def write(
     measures = [F.count(F.lit(1)).alias("n")]
     if watermark:
         measures.append(highest_text(df, watermark).alias("high"))
-    options = {**db.settings(), **BATCH, "dbtable": db.name(table)}
+    options = {**BATCH, **db.settings(), "dbtable": db.name(table)}
     if connections:
         options["numPartitions"] = str(connections)
     writer = df.observe(seen, *measures).write.format("jdbc").options(**options)
