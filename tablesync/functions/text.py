@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def key_part(text: Column) -> Column:
@@ -44,10 +45,22 @@ def parse_iso(text: Column) -> Column:
     return F.try_to_timestamp(F.when(is_iso, zoned))
 
 
+def clock_text(value: Column, kind: T.DataType) -> Column:
+    """A date or time as `yyyy-MM-dd[ HH:mm:ss[.f]]`, an instant in UTC.
+
+    It goes by way of a time without zone, because formatting in the session time zone
+    would bend hours that a clock change skips.
+    """
+    if isinstance(kind, T.TimestampType):
+        seconds = (F.unix_micros(value).cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+        none = F.lit(0)
+        value = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(none, none, none, seconds)
+    return value.cast("string")
+
+
 def format_iso(instant: Column) -> Column:
-    """An instant as UTC ISO text with an offset, independent of the session zone."""
-    utc = F.to_utc_timestamp(instant, F.current_timezone())
-    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    """An instant as UTC ISO text with an offset, whatever the session time zone."""
+    return F.concat(F.replace(clock_text(instant, T.TimestampType()), F.lit(" "), F.lit("T")), F.lit("+00:00"))
 
 
 def redact(text: Column) -> Column:

@@ -162,6 +162,23 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def remove_unfinished_commits(spark: SparkSession, target: Lake, table: str) -> list[str]:
+    """Drop manifest folders without a file, as a driver lost during a commit leaves them.
+
+    Until then the next commit of that number fails, because the folder could belong to
+    another writer at work. Run it when there is none.
+    """
+    home = spark._jvm.org.apache.hadoop.fs.Path(target.manifest_dir(table))
+    files = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for folder in files.listStatus(home):
+        inside = [f.getPath().getName() for f in files.listStatus(folder.getPath())]
+        if not any(name.endswith(".parquet") for name in inside):
+            gone.append(folder.getPath().getName())
+            files.delete(folder.getPath(), True)
+    return sorted(gone)
+
+
 def expired_snapshots(spark: SparkSession, target: Lake, table: str, older_than: datetime) -> DataFrame:
     """Snapshots committed before a time, the newest one never among them."""
     newest = lake.state(spark, target, table).snapshot

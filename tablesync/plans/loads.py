@@ -13,7 +13,7 @@ from tablesync.operators.bookmarks import Bookmark, BookmarkStore
 from tablesync.operators.fingerprint import checkpoint_text, lane_sums, row_hash
 from tablesync.operators.incremental import above, between_marks
 from tablesync.operators.schemas import cast_for_target
-from tablesync.sources import endpoints
+from tablesync.sources import endpoints, lake
 from tablesync.sources.endpoints import Endpoint
 from tablesync.sources.jdbc import Jdbc
 from tablesync.sources.lake import Lake
@@ -161,6 +161,9 @@ def load(spark: SparkSession, job: Job, spec: TableSpec, before: Bookmark | None
     """First run, reset or lost bookmark: everything. Otherwise what the strategy says."""
     if before is None or before.first_run or spec.strategy == "full_load":
         return full_load(spark, job, spec, before)
+    if isinstance(job.target, Lake) and not lake.exists(spark, job.target, spec.target):
+        # A bookmark without its table says nothing about what has to be loaded.
+        return full_load(spark, job, spec, before)
     if spec.strategy == "hash":
         return hash_load(spark, job, spec, before)
     if before.column != spec.column or before.value is None:

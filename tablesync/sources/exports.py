@@ -11,11 +11,10 @@ def _iso(df: DataFrame, name: str) -> Column:
     """Dates and times as ISO text, fractions only where there are some; others as they are."""
     kind, c = df.schema[name].dataType, F.col(f"`{name}`")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-        fraction = F.date_format(c, "SSSSSS")
-        return F.when(fraction == "000000", whole).otherwise(F.concat_ws(".", whole, fraction))
+        text = F.translate(c.cast("string"), " ", "T")
+        return F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text)
     if isinstance(kind, T.DateType):
-        return F.date_format(c, "yyyy-MM-dd")
+        return c.cast("string")
     return c
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.structs import local_rows, struct
+from tablesync.functions.text import clock_text
 from tablesync.operators.incremental import above, mark_text
 
 PARTITION_PREFIX = "_p_"
@@ -199,12 +200,13 @@ def commit(
 # --------------------------------------------------------------------------
 # partition layout
 
+# Days, months and hours are cut from the clock text, which no session time zone changes.
 _TRANSFORMS = {
-    "identity": lambda c, n: c,
-    "day": lambda c, n: F.date_format(c, "yyyy-MM-dd"),
-    "month": lambda c, n: F.date_format(c, "yyyy-MM"),
-    "hour": lambda c, n: F.date_format(c, "yyyy-MM-dd-HH"),
-    "bucket": lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int"),
+    "identity": lambda c, kind, n: c,
+    "day": lambda c, kind, n: F.substring(clock_text(c, kind), 1, 10),
+    "month": lambda c, kind, n: F.substring(clock_text(c, kind), 1, 7),
+    "hour": lambda c, kind, n: F.translate(F.substring(clock_text(c, kind), 1, 13), " ", "-"),
+    "bucket": lambda c, kind, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int"),
 }
 
 
@@ -227,9 +229,9 @@ def partition_column(transform: str) -> str:
     return f"{PARTITION_PREFIX}{column}" + ("" if kind == "identity" else f"_{kind}")
 
 
-def partition_value(transform: str, value: Column | None = None) -> Column:
-    kind, column, n = parse_transform(transform)
-    return _TRANSFORMS[kind](F.col(column) if value is None else value, n)
+def partition_value(transform: str, value: Column, kind: T.DataType) -> Column:
+    name, _, n = parse_transform(transform)
+    return _TRANSFORMS[name](value, kind, n)
 
 
 def _partition_type(transform: str, schema: T.StructType) -> T.DataType:
@@ -315,7 +317,7 @@ def read(
             transform, base, _ = parse_transform(spec)
             # Only transforms that keep the order of the column can prune a range.
             if base == column and transform != "bucket":
-                ends = [partition_value(spec, b) for b in bounds]
+                ends = [partition_value(spec, b, kind) for b in bounds]
                 result = result.filter(F.col(partition_column(spec)).between(*ends))
     return result.select(*[F.col(f"`{f.name}`") for f in current.schema.fields])
 
@@ -336,8 +338,12 @@ def read_increment(
 def _comparable(text: str, kind: T.DataType):
     if isinstance(kind, T.IntegralType):
         return int(text)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
         return datetime.fromisoformat(text).replace(tzinfo=None)
+    if isinstance(kind, T.TimestampType):
+        # Text without an offset depends on the session time zone; comparing it fails, and
+        # the segment is read.
+        return datetime.fromisoformat(text)
     raise TypeError(kind)
 
 
@@ -409,7 +415,8 @@ def write_segment(
     partitions = []
     for spec in partition_spec:
         name = partition_column(spec)
-        rows = rows.withColumn(name, partition_value(spec))
+        source = parse_transform(spec)[1]
+        rows = rows.withColumn(name, partition_value(spec, F.col(source), schema[source].dataType))
         partitions.append(name)
     if partitions:
         # Rebalance instead of repartition: the adaptive plan splits a hot partition

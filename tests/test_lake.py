@@ -226,3 +226,32 @@ def test_removed_files_are_not_opened(spark, folder):
     leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
     live = lake.files(spark, home, "t").count()
     assert leaf.metrics().get("numFiles").get().value() == live < lake.all_files(spark, home, "t").count()
+
+
+def test_unfinished_commit_blocks_until_removed(spark, folder):
+    import os
+
+    home = Lake(folder)
+    lake.write(frame(spark, 1), home, "t", "append")
+    os.makedirs(f"{folder}/t/manifest/snapshot=2/_temporary")
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        lake.write(frame(spark, 2), home, "t", "append")
+    assert upkeep.remove_unfinished_commits(spark, home, "t") == ["snapshot=2"]
+    lake.write(frame(spark, 2), home, "t", "append")
+    assert lake.read(spark, home, "t").count() == 2
+
+
+def test_hour_layout_in_another_time_zone(spark, folder):
+    home = Lake(folder)
+    df = spark.sql("select id, timestamp'2024-03-10 00:30:00Z' + make_dt_interval(0, cast(id as int)) as at from range(24)")
+    lake.write(df, home, "t", "append", partition_by=["hours(at)", "days(at)"], watermark="at")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        part = lake.read(spark, home, "t", between=("at", "2024-03-10T02:00:00+00:00", "2024-03-10T05:00:00+00:00"))
+        assert sorted(r["id"] for r in part.collect()) == [2, 3, 4]
+        assert lake.read_increment(spark, home, "t", "at", "2024-03-11 09:00:00").count() == 0
+        assert lake.read_increment(spark, home, "t", "at", "2024-03-11 08:00:00").count() == 1
+        assert lake.read_increment(spark, home, "t", "at", "2024-03-10T23:30:00+00:00").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

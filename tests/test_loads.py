@@ -71,6 +71,14 @@ def test_reset_and_corrupt_bookmarks_load_everything(spark, job):
     assert job.store.get(spark, "j", ["t"])["t"].value == "4"
 
 
+def test_lost_target_is_loaded_in_full(spark, job):
+    lake.write(frame(spark, 0, 4), job.source, "t", "append")
+    one(spark, job)
+    moved = Job(job.name, job.source, Lake(job.target.root + "-new"), job.store)
+    assert one(spark, moved).mode == "full"
+    assert target(spark, moved) == [0, 1, 2, 3]
+
+
 def test_zero_is_a_bookmark(spark, job):
     lake.write(frame(spark, 0, 1), job.source, "t", "append")
     one(spark, job)
