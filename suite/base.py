@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.operators.bookmarks import BookmarkStore
@@ -55,7 +55,7 @@ def middle(df: DataFrame, column: str):
     return (row["a"] + row["z"]) // 2
 
 
-def pick(values: list, index) -> F.Column:
+def pick(values: list, index: Column) -> Column:
     """values[index], with the index starting at 0."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 

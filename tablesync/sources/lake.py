@@ -30,6 +30,9 @@ from tablesync.operators.incremental import above, mark_text
 
 PARTITION_PREFIX = "_p_"
 
+# Most file names a manifest row lists, and most the driver handles one by one.
+LISTED_FILES = 10_000
+
 MANIFEST_SCHEMA = struct(
     table_name="string", committed_at="timestamp", operation="string", segment="string",
     rows="bigint", low="string", high="string", removed_files="strings",
@@ -553,27 +556,40 @@ def rewrite_files(
     keep,
     added: DataFrame | None,
     operation: str,
+    listed_files: int = LISTED_FILES,
     **layout,
 ) -> Commit:
     """Replace only the files listed in `touched` (`_file`), keeping the others as they are.
 
     `keep` maps the rows of the touched files to the rows that stay; `added` rows
-    go into the same new segment. The list of touched files is driver metadata,
-    bounded by the number of files and read as file names only.
+    go into the same new segment. Up to `listed_files` names are handled one by one. When
+    more are touched, or a segment has lost that many, whole segments are rewritten and
+    no list of files reaches the driver.
     """
-    paths = sorted(r["_file"] for r in touched.select("_file").distinct().collect())
+    names = touched.select("_file").distinct()
+    paths = sorted(r["_file"] for r in names.limit(listed_files + 1).collect())
     if not paths and added is None:
         return Commit(before.table, before.snapshot, 0, None, None, False)
-    of_segment = {s.id: [p for p in paths if f"/seg={s.id}/" in p] for s in before.segments}
-    hit = [s for s in before.segments if of_segment[s.id]]
+    if len(paths) > listed_files:
+        folder = F.regexp_extract("_file", r"/seg=([^/]+)/", 1)
+        found = {r["seg"] for r in names.select(folder.alias("seg")).distinct().collect()}  # at most one per segment
+        by_file = []
+        whole = [s for s in before.segments if s.id in found]
+    else:
+        of_segment = {s.id: tuple(p for p in paths if f"/seg={s.id}/" in p) for s in before.segments}
+        hit = [s for s in before.segments if of_segment[s.id]]
+        whole = [s for s in hit if len(s.removed_files) + len(of_segment[s.id]) > listed_files]
+        by_file = [(s, of_segment[s.id]) for s in hit if s not in whole]
     columns = [F.col(f"`{f.name}`") for f in before.schema.fields]
     parts = []
     rewritten: dict[str, int] = {}
-    if hit:
-        rows = _touched_rows(spark, lake, before, hit, of_segment)
-        counts = rows.groupBy("_seg").count().collect()  # one row per segment
+    if by_file:
+        rows = _rows_of_files(spark, before, by_file)
+        counts = rows.groupBy("_seg").count().collect()  # one row per segment, from file footers
         rewritten = {r["_seg"]: r["count"] for r in counts}
         parts.append(keep(rows.select(*columns)))
+    if whole:
+        parts.append(keep(scan_segments(spark, lake, before, whole).select(*columns)))
     if added is not None:
         parts.append(align(added, before.schema))
     merged = parts[0]
@@ -583,11 +599,12 @@ def rewrite_files(
         merged, lake, before.table, before.schema, before.partition_spec,
         before.watermark_column, **layout,
     )
+    lost = {s.id: files for s, files in by_file}
     kept = []
     for s in before.segments:
-        left = s.rows - rewritten.get(s.id, 0)
+        left = 0 if s in whole else s.rows - rewritten.get(s.id, 0)
         if left > 0:
-            kept.append(replace(s, rows=left, removed_files=s.removed_files + tuple(of_segment[s.id])))
+            kept.append(replace(s, rows=left, removed_files=s.removed_files + lost.get(s.id, ())))
     after = replace(
         before,
         snapshot=before.snapshot + 1,
@@ -598,17 +615,17 @@ def rewrite_files(
     return Commit(before.table, after.snapshot, segment.rows, segment.low, segment.high, True)
 
 
-def _touched_rows(spark, lake, before, hit, of_segment) -> DataFrame:
-    """Rows of the touched files, read by path, under the current schema."""
+def _rows_of_files(spark: SparkSession, table: TableState, by_file) -> DataFrame:
+    """Rows of some files, read by path, under the current schema and with their segment."""
     frames = []
-    for s in hit:
+    for s, paths in by_file:
         written = T.StructType.fromJson(json.loads(s.schema))
         rows = (
             spark.read.schema(written)
-            .parquet(*[unquote(p) for p in of_segment[s.id]])
+            .parquet(*[unquote(p) for p in paths])
             .select(*[F.col(f"`{f.name}`") for f in written.fields])
         )
-        frames.append(_project(rows, written, before.schema).withColumn("_seg", F.lit(s.id)))
+        frames.append(_project(rows, written, table.schema).withColumn("_seg", F.lit(s.id)))
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame)

@@ -31,6 +31,10 @@ DIRECT_BELOW = 10_000_000
 STAGING_UP_TO = 100_000_000
 BATCH_ROWS = 1_000_000
 
+# Each batch is a commit that lists the table's segments. A very large delta takes larger
+# batches instead of more of them.
+MOST_BATCHES = 1_000
+
 
 @dataclass(frozen=True)
 class Batch:
@@ -103,7 +107,8 @@ def tiered_load(
     delta = above(source_rows(spark, job, spec).select(spec.column), spec.column, before.value).count()
     tier = pick_tier(delta, direct_below, staging_up_to)
     if tier == "batches":
-        return tier, load_in_batches(spark, job, spec, before, batch_rows)
+        size = max(batch_rows, -(-delta // MOST_BATCHES))
+        return tier, load_in_batches(spark, job, spec, before, size)
     if tier == "staging" and isinstance(job.target, Lake):
         staged = TableSpec(**{**spec.__dict__, "sink_options": {**spec.sink_options, "verify": True}})
         return tier, incremental_load(spark, job, staged, before)

@@ -255,3 +255,22 @@ def test_hour_layout_in_another_time_zone(spark, folder):
         assert lake.read_increment(spark, home, "t", "at", "2024-03-10T23:30:00+00:00").count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_many_touched_files_rewrite_whole_segments(spark, folder):
+    home = Lake(folder)
+    lake.write(frame(spark, *range(40)).repartition(4), home, "t", "append")
+    lake.write(frame(spark, 100, 101), home, "t", "append")
+    kept = lake.state(spark, home, "t").segments[:]
+    before = lake.state(spark, home, "t")
+    touched = lake.scan_with_files(spark, home, before, ["id"]).filter("id < 40")
+    lake.rewrite_files(spark, home, before, touched, lambda r: r.filter("id % 2 = 0"), None, "half", listed_files=2)
+    after = lake.state(spark, home, "t")
+    assert len(after.segments) == 2 and not any(s.removed_files for s in after.segments)
+    assert len({s.id for s in kept} & {s.id for s in after.segments}) == 1
+    assert lake.read(spark, home, "t").count() == 22 == after.rows
+    # A segment that has lost as many files as are listed goes as a whole, too.
+    for i in (0, 2, 4):
+        repair.upsert(spark, home, "t", frame(spark, i), ["id"], ["name"], listed_files=1)
+    assert all(len(s.removed_files) <= 1 for s in lake.state(spark, home, "t").segments)
+    assert lake.read(spark, home, "t").count() == 22 == lake.state(spark, home, "t").rows

@@ -254,3 +254,16 @@ def test_column_catalog_of_a_database(spark, db):
     assert found == {"orders": ("primary_key", "code"), "visits": ("timestamp", "updated_at")}
     with pytest.raises(ValueError):
         jdbc.column_catalog(spark, db)
+
+
+def test_parallel_scan_of_a_detected_table(spark, db, job, data):
+    orders = spark.read.parquet(f"{data}/orders.parquet")
+    jdbc.write(orders, db, "orders", "overwrite")
+    source = Job("p", db, job.target, job.store)
+    specs = runner.detect_specs(spark, source, ["orders"], connections=3)
+    assert specs[0].column == "o_orderdate"
+    assert specs[0].scan_options == {"partition_column": "o_orderkey", "partitions": 3}
+    rows = endpoints.scan(spark, db, "orders", **specs[0].scan_options)
+    assert rows.rdd.getNumPartitions() == 3
+    assert rows.exceptAll(orders).count() == 0 and rows.count() == orders.count()
+    assert runner.run(spark, source, specs, raise_on_failure=True)[0].rows == orders.count()
