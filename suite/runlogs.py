@@ -309,6 +309,32 @@ def alarm_consecutive(spark, sf):
     return runlog.alarms(periods, 3, 2, ["event_type"])
 
 
+@query(
+    "job_alarms",
+    f"""
+    WITH points AS (
+      SELECT ts, CASE event_type WHEN 'error' THEN 'failed_tasks' WHEN 'click' THEN 'heap_usage' ELSE 'elapsed_ms' END AS metric,
+        CASE event_type WHEN 'error' THEN {KEY} % 2 WHEN 'click' THEN CASE WHEN {KEY} < 25 THEN 0.5 ELSE 0.9 END ELSE {KEY} * 50000 END AS value
+      FROM events
+    ), p AS (
+      SELECT time_bucket(INTERVAL '5 minutes', ts) AS period, metric, CASE metric WHEN 'failed_tasks' THEN sum(value) >= 1
+        WHEN 'heap_usage' THEN avg(value) > 0.85 ELSE max(value) > 3600000 END AS breach FROM points GROUP BY 1, 2
+    )
+    SELECT p.period, p.metric, p.breach, p.breach AND (p.metric <> 'heap_usage' OR coalesce(q.breach, false)) AS alarm
+    FROM p LEFT JOIN p q ON q.metric = p.metric AND q.period = p.period - INTERVAL 5 MINUTE
+    """,
+)
+def job_alarms(spark, sf):
+    """The three alarms of a load job; a period without data breaks a row of breaches."""
+    k, kind = F.col("k"), F.col("event_type")
+    points = events_with_key(spark, sf).select(
+        "ts",
+        F.when(kind == "error", "failed_tasks").when(kind == "click", "heap_usage").otherwise("elapsed_ms").alias("metric"),
+        F.when(kind == "error", k % 2).when(kind == "click", F.when(k < 25, 0.5).otherwise(0.9)).otherwise(k * 50_000).cast("double").alias("value"),
+    )
+    return runlog.job_alarms(points).select("period", "metric", "breach", "alarm")
+
+
 @query(
     "trend",
     """

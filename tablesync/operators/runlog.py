@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablesync.functions.text import percent_change
 from tablesync.functions.types import lookup
+from tablesync.operators.incremental import position
 
 # --------------------------------------------------------------------------
 # log lines
@@ -266,23 +267,60 @@ def metric_periods(df: DataFrame, ts: str, width: str, value: Column, by: Sequen
     )
 
 
-def alarms(periods: DataFrame, threshold: float, consecutive: int, by: Sequence[str] = (), at_least: bool = False) -> DataFrame:
+def alarms(
+    periods: DataFrame,
+    threshold: float,
+    consecutive: int,
+    by: Sequence[str] = (),
+    at_least: bool = False,
+    seconds: int | None = None,
+) -> DataFrame:
     """Alarm state per period: the metric breached the threshold in the last N periods.
 
-    Expects one row per group and period, so the window's size is bounded by time.
+    With the length of a period in `seconds`, one that has no data counts as no breach;
+    otherwise the last N rows count. Expects one row per group and period, so the
+    window's size is bounded by time.
     """
     breach = F.col("value") >= threshold if at_least else F.col("value") > threshold
-    order = Window.partitionBy(*(by or [F.lit(1)])).orderBy("period")
-    recent = order.rowsBetween(-(consecutive - 1), 0)
+    group = Window.partitionBy(*(by or [F.lit(1)]))
+    if seconds is None:
+        recent = group.orderBy("period").rowsBetween(-(consecutive - 1), 0)
+        placed = periods
+    else:
+        placed = periods.withColumn("_at", position(periods, "period"))
+        recent = group.orderBy("_at").rangeBetween(-(consecutive - 1) * seconds * 1_000_000, 0)
     return (
-        periods.withColumn("breach", F.coalesce(breach, F.lit(False)))
+        placed.withColumn("breach", F.coalesce(breach, F.lit(False)))
         .withColumn("_held", F.min("breach").over(recent))
         .withColumn("_seen", F.count(F.lit(1)).over(recent))
         .withColumn("alarm", F.col("_held") & (F.col("_seen") == consecutive))
-        .drop("_held", "_seen")
+        .drop("_held", "_seen", "_at")
     )
 
 
+# Alarms of a load job. Statistic, threshold, whether reaching it is enough,
+# and how many periods of five minutes in a row.
+JOB_ALARMS = {
+    "failed_tasks": ("sum", 1, True, 1),
+    "heap_usage": ("avg", 0.85, False, 2),
+    "elapsed_ms": ("max", 3_600_000, False, 1),
+}
+PERIOD_SECONDS = 300
+
+
+def job_alarms(points: DataFrame, ts: str = "ts") -> DataFrame:
+    """Alarm state per metric and period from raw data points (metric, ts, value)."""
+    parts = []
+    for metric, (statistic, threshold, at_least, consecutive) in JOB_ALARMS.items():
+        of_metric = points.filter(F.col("metric") == metric)
+        periods = metric_periods(of_metric, ts, f"{PERIOD_SECONDS} seconds", getattr(F, statistic)("value"), ["metric"])
+        parts.append(alarms(periods, threshold, consecutive, ["metric"], at_least, PERIOD_SECONDS))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 def trend(periods: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Each period against the average of all earlier ones: change in percent and a verdict.
 
