@@ -214,7 +214,10 @@ class BookmarkStore:
 
     def get(self, spark: SparkSession, job: str, tables: Sequence[str]) -> dict[str, Bookmark]:
         """Bookmarks of the asked tables, read in one job."""
-        wanted = self.current(spark, job).filter(F.col("table_name").isin(list(tables)))
+        of_job = self.rows(spark).filter((F.col("job_name") == job) & F.col("table_name").isin(list(tables)))
+        # The verdict is read as a column: as a filter, the optimizer would take the long
+        # expression apart for every row-group test.
+        wanted = check(latest(of_job))
         return {
             r.table_name: Bookmark(
                 r.table_name, r.incremental_strategy, r.incremental_column, r.last_processed_value,
@@ -222,6 +225,7 @@ class BookmarkStore:
                 r.manual_column_data_type, r.processed_rows or 0, r.created_timestamp,
             )
             for r in wanted.collect()  # one row per asked table
+            if r.is_valid
         }
 
     def put(self, spark: SparkSession, job: str, bookmarks: Sequence[Bookmark]) -> None:

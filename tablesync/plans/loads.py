@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tablesync.operators.bookmarks import Bookmark, BookmarkStore
 from tablesync.operators.fingerprint import checkpoint_text, lane_sums, row_hash

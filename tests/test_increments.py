@@ -3,7 +3,6 @@ from datetime import date, datetime
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tablesync.operators.incremental import RankBounds, above, between_marks, highest_text, mark
 from tablesync.operators.profile import profile_columns, sequence_gaps, size_estimate
