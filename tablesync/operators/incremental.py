@@ -90,7 +90,7 @@ class RankBounds:
     rank puts rows into a single task. Histograms are kept for the next rank.
     """
 
-    def __init__(self, df: DataFrame, column: str, low: object | None = None, buckets: int = 1024):
+    def __init__(self, df: DataFrame, column: str, low: object | None = None, buckets: int = 16_384):
         self.column = column
         self.kind = df.schema[column].dataType
         self.buckets = buckets
