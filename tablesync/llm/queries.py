@@ -5,10 +5,27 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import byte_bpe, token_counts
+from tablesync.llm import byte_bpe, token_counts, warc
 from tablesync.llm.base import query, table
 
 
+OP2 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), m AS (SELECT payload_digest, max(page_id) AS largest FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN largest IS NULL OR page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id < largest THEN largest END AS refers_to
+FROM p LEFT JOIN m USING (payload_digest)
+"""
+
+
+@query("op2_warc", OP2)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return warc.read(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
