@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import byte_bpe, token_counts, warc
+from tablesync.llm import byte_bpe, quality_rules, token_counts, warc
 from tablesync.llm.base import query, table
 
 
@@ -37,3 +37,51 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
+
+
+def quality_sql(rules: quality_rules.Rules) -> str:
+    """The quality rules in SQL; the languages of documents all have word lists."""
+    space = r"[\x20\x09-\x0D]"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    quoted = lambda x: x.replace("'", "''")
+    classes = ", ".join(f"length(t) - length(regexp_replace(t, '{quoted(p)}', '', 'g'))" for p in quality_rules.CLASSES.values())
+    common = " ".join(
+        f"WHEN '{code}' THEN [" + ", ".join(f"len(list_filter(lw, lambda x: x = '{w}'))" for w in listed) + "]"
+        for code, listed in rules.common.items())
+    sums = lambda c, n: "[" + ", ".join(f"sum({c}[{i}])" for i in range(1, n + 1)) + "]"
+    widest = max(map(len, rules.common.values())) + 1
+    jsd = """sqrt(greatest(0, list_sum(list_transform(list_zip({a}, {b}), lambda z: 0.5 * (
+      CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END + CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END)))))"""
+    share = lambda c: f"list_transform({c}, lambda x: x::DOUBLE / list_sum({c}))"
+    return f"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '{space}+'), lambda x: x <> '') AS words,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+tok AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM w),
+win AS (SELECT doc_id, pos, [word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o] AS five,
+          lead(word, 4) OVER o AS last FROM tok WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+dup AS (SELECT doc_id, five FROM win WHERE last IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT pos + j) AS n_repeat_words FROM win JOIN dup USING (doc_id, five), range(5) r(j) GROUP BY 1),
+m AS (SELECT doc_id, lang, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        length(t) AS n_chars, [{classes}] AS cls, list_transform(words, lambda x: translate(x, '{upper}', '{lower}')) AS lw
+      FROM w LEFT JOIN rep USING (doc_id)),
+f AS (SELECT * EXCLUDE (cls, lw), list_append(cls, n_chars - list_sum(cls)) AS cls, CASE lang {common} END AS common0,
+        n_words < {rules.least_words} OR 100 * n_repeat_words > {rules.repeat_percent} * n_words AS base_failed FROM m),
+h AS (SELECT * EXCLUDE (common0), list_append(common0, n_words - list_sum(common0)) AS common FROM f),
+ref AS (SELECT lang, {sums("cls", len(quality_rules.CLASSES) + 1)} AS rc, {sums("common", widest)} AS rw
+        FROM h WHERE NOT base_failed AND n_words >= {rules.judged_words} GROUP BY 1),
+v AS (SELECT h.*, CASE WHEN list_sum(cls) > 0 THEN {jsd.format(a=share("cls"), b=share("rc"))} END AS char_distance,
+        CASE WHEN n_words > 0 THEN {jsd.format(a=share("common"), b=share("rw"))} END AS word_distance FROM h LEFT JOIN ref USING (lang))
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND NOT (n_words >= {rules.judged_words}
+    AND (coalesce(char_distance, 0) > {rules.char_distance} OR coalesce(word_distance, 0) > {rules.word_distance})) AS kept
+FROM v"""
+
+
+@query("op6_quality_rules", quality_sql(quality_rules.Rules()))
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.quality(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    return found.drop("char_distance", "word_distance")
