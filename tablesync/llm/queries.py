@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import byte_bpe, quality_rules, token_counts, warc
+from tablesync.llm import byte_bpe, minhash, quality_rules, token_counts, warc
 from tablesync.llm.base import query, table
 
 
@@ -85,3 +85,8 @@ FROM v"""
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.quality(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
     return found.drop("char_distance", "word_distance")
+
+
+@query("op1_minhash")
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.components(table(spark, sf_dir, "documents"), "doc_id", "text")

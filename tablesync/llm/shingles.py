@@ -123,9 +123,11 @@ def shingles(words: np.ndarray, before: np.ndarray, width: int = 5) -> tuple[np.
         at = np.arange(offsets[-1]) - np.repeat(offsets[:-1], sizes) + np.repeat(before[:-1], sizes)
         full = np.repeat(long, sizes)
         out[full] = run[at[full]]
-    for i in np.flatnonzero((counts > 0) & ~long):  # fewer words than a shingle has
+    short = np.flatnonzero((counts > 0) & ~long)  # fewer words than a shingle has
+    for i in short:
         w = words[before[i] : before[i + 1]]
-        out[offsets[i]] = (w * _PLACE[: len(w)]).sum(dtype=np.uint64) + _PLACE[32 + len(w)]
+        out[offsets[i]] = (w * _PLACE[: len(w)]).sum(dtype=np.uint64)
+    out[offsets[short]] += _PLACE[32 + counts[short]]
     return mix(out), offsets
 
 
