@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablesync.llm import byte_bpe, minhash, quality_rules, token_counts, warc
+from tablesync.llm import byte_bpe, decontaminate, minhash, quality_rules, token_counts, warc
 from tablesync.llm.base import query, table
 
 
@@ -90,3 +91,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_minhash")
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.components(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("op10_decontaminate")
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.passages(docs, "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return found.select(
+        "doc_id", (F.size("hits") == 0).alias("kept"), decontaminate.found_items(F.col("hits")).alias("item_ids"),
+        F.array_max(F.transform("hits", lambda h: h["similarity"])).alias("similarity"))
