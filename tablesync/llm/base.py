@@ -55,3 +55,12 @@ def discard(*frames: DataFrame) -> None:
 def own_name(stem: str) -> str:
     """A column name that no input column has."""
     return f"__{stem}_{uuid.uuid4().hex[:8]}"
+
+
+def file_system(path: str):
+    """The file system of a path or URI, and the path in it; for tasks, which have no JVM to ask."""
+    from pyarrow import fs
+
+    if path.startswith("/"):
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import byte_bpe, decontaminate, minhash, quality_rules, token_counts, warc
+from tablesync.llm import byte_bpe, decontaminate, kneser_ney, minhash, quality_rules, token_counts, warc
 from tablesync.llm.base import query, table
 
 
@@ -100,3 +100,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", (F.size("hits") == 0).alias("kept"), decontaminate.found_items(F.col("hits")).alias("item_ids"),
         F.array_max(F.transform("hits", lambda h: h["similarity"])).alias("similarity"))
+
+
+@query("op9_kneser_ney")
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.train_and_score(table(spark, sf_dir, "documents"), "doc_id", "text")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.base import settled
+from tablesync.llm.base import file_system, settled
 from tablesync.session import workspace
 
 LEAST_REVISIT = 1000  # payloads below this many bytes are always written in full
@@ -83,16 +83,6 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def file_system(path: str):
-    """The file system of a path or URI, and the path in it."""
-    from pyarrow import fs
-
-    if path.startswith("/"):
-        return fs.LocalFileSystem(), path
-    system, inner = fs.FileSystem.from_uri(path)
-    return system, inner
-
-
 def write(pages: DataFrame, key: str, url: str, payload: str, level: int = 4, date: str = "2026-01-01T00:00:00Z") -> DataFrame:
     """Write one record per row; the table of archives (path, records, bytes)."""
     folder = workspace(pages.sparkSession, "warc")
