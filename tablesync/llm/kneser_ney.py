@@ -281,7 +281,7 @@ def _sorted_blocks(blocks: DataFrame, slots: int) -> DataFrame:
     return blocks.repartition(slots, "slot").sortWithinPartitions("slot")
 
 
-def train(texts: DataFrame) -> Model:
+def train(texts: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     """The model of all rows of a DataFrame of one string column."""
     spark = texts.sparkSession
     folder = workspace(spark, "kneser-ney")
@@ -303,13 +303,13 @@ def train(texts: DataFrame) -> Model:
         for slot, (keys, counts) in _by_slot(parts):
             mass = np.cumsum(counts)
             # Where a new file of pairs begins, and into how many files the pairs of one word are cut.
-            cut = np.flatnonzero(np.diff((mass - counts) // np.uint64(SHARD_TOKENS), prepend=0))
-            heavy = np.flatnonzero(counts > SHARD_TOKENS)
+            cut = np.flatnonzero(np.diff((mass - counts) // np.uint64(shard_tokens), prepend=0))
+            heavy = np.flatnonzero(counts > shard_tokens)
             begins = np.unique(np.concatenate((cut, heavy, heavy + 1)))
             begins = begins[begins < len(keys)]
             parts_of = np.ones(len(begins), dtype=np.int64)
             big = np.isin(begins, heavy)
-            parts_of[big] = -(-counts[begins[big]] // np.uint64(SHARD_TOKENS))
+            parts_of[big] = -(-counts[begins[big]] // np.uint64(shard_tokens))
             ends = int(counts[keys == END].sum())
             yield pa.RecordBatch.from_pydict({
                 "slot": [slot], "path": [_write(folder, keys, counts)], "n": [len(keys)], "tokens": [int(counts.sum())], "texts": [ends],
@@ -334,7 +334,7 @@ def train(texts: DataFrame) -> Model:
         bounds.add(start << 32)
         for begin, cuts in [*zip(f["begins"], f["parts"])]:
             bounds.update(((start + begin) << 32) + size * k // cuts for k in range(cuts))
-    cuts = -(-n_texts // SHARD_TOKENS)
+    cuts = -(-n_texts // shard_tokens)
     bounds.update((size << 32) + size * k // cuts for k in range(cuts))
     pair_bounds = np.array(sorted(bounds), dtype=np.uint64)
 

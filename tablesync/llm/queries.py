@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import byte_bpe, decontaminate, kneser_ney, minhash, quality_rules, token_counts, warc
+from tablesync.llm import byte_bpe, decontaminate, kneser_ney, minhash, quality_rules, site_style, token_counts, warc
 from tablesync.llm.base import query, table
 
 
@@ -105,3 +105,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_kneser_ney")
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.train_and_score(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("op5_site_style")
+def op5_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.main_texts(table(spark, sf_dir, "pages"), "page_id", "url", "html")
