@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import byte_bpe, decontaminate, kneser_ney, minhash, quality_rules, site_style, token_counts, warc
+from tablesync.llm import byte_bpe, decontaminate, kneser_ney, language, minhash, quality_model, quality_rules, site_style, token_counts, warc
 from tablesync.llm.base import query, table
 
 
@@ -110,3 +110,14 @@ def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_site_style")
 def op5_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_style.main_texts(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
+@query("op7_language")
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source")
+
+
+@query("op8_quality_model")
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_model.quality(docs, labels, "doc_id", "text", "quality", "source", "lang")
