@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablesync.llm import shingles
 from tablesync.llm.base import own_name
@@ -230,8 +231,8 @@ def with_hits(df: DataFrame, text: str, index: Index, hits: str) -> DataFrame:
                 columns.append(pa.array(found, kind))
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = df.schema if adds else df.schema.add(hits, df.sparkSession.range(0).select(F.lit(None).cast(HIT)).schema[0].dataType)
-    return df.mapInArrow(run, schema)
+    empty = df.sparkSession.range(0).select(F.lit(None).cast(HIT).alias(hits))
+    return df.mapInArrow(run, df.schema if adds else StructType([*df.schema, *empty.schema]))
 
 
 def passages(df: DataFrame, text: str, benchmark: DataFrame, item_id: str, item_text: str, p: Decontamination = Decontamination(),

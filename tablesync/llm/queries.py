@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.llm import byte_bpe, decontaminate, kneser_ney, language, minhash, quality_model, quality_rules, site_style, token_counts, warc
-from tablesync.llm.base import query, table
+from tablesync.llm.base import ORACLES, QUERIES, query, table  # noqa: F401
 
 
 OP2 = """
