@@ -33,7 +33,7 @@ from tablesync.llm.base import settled
 @dataclass(frozen=True)
 class Fusion:
     most_languages: int = 64  # modelled, by number of rows that declare them
-    least_rows: int = 20  # that declare a language, for it to be modelled
+    least_rows: int = 5  # that declare a language, for it to be modelled
     buckets: int = 1 << 14
     evidence: float = 40.0  # a text weighs as much as this many independent trigrams, at most
     independent: float = 0.2  # of a text's trigrams

@@ -6,7 +6,8 @@ leaf's content importance falls with the entropy of its text blocks over pages (
 pages says nothing), each block weighed by how often it occurs. A branch's composite importance is `(1 - g**l) * presentation + g**l * content`, for
 l child sequences and the mean content importance of its leaves. Branches that enough pages have and
 whose importance is low are removed from each page; so are branches whose tag, role or class says that
-they are no content. Text blocks directly in an article are its text and stay however often they recur.
+they are no content. In an article a branch is judged only if others there are important, since copies of one article
+say nothing; text blocks directly in an article are its text and stay however often they recur.
 
 Statistics are sums over (host, path, feature), added up per Arrow batch before they are shuffled, so a
 host with a third of all pages is no larger a group than its style tree.
@@ -41,6 +42,7 @@ from tablesync.llm.base import settled
 class StyleTree:
     least_pages: int = 5  # pages of a host that must have a branch before it is judged
     least_importance: float = 0.4
+    article_importance: float = 0.6  # of some branch of an article, for others to be judged: copies of one article say nothing
     decay: float = 0.9  # how fast a variety of child sequences outweighs the content below
     depth: int = 48  # deeper nodes share the path of their ancestor at this depth
 
@@ -276,10 +278,18 @@ def importance(sums: DataFrame, p: StyleTree) -> DataFrame:
     return styles.join(below, own, "left").select(*own, F.col("m").alias("pages"), composite.alias("importance"))
 
 
+def unimportant(judged: DataFrame, p: StyleTree) -> DataFrame:
+    """host and path of the branches to remove: those of low importance, in an article only beside important ones."""
+    rows = judged.withColumn("article", F.regexp_extract("path", r"^(.*?/(?:article|main)[^/]*)/", 1))
+    beside = rows.filter("article <> ''").groupBy("host", "article").agg(F.max("importance").alias("most")).filter(F.col("most") >= p.article_importance)
+    low = rows.filter(F.col("importance") < p.least_importance)
+    return low.join(beside, ["host", "article"], "left").filter("article = '' OR most IS NOT NULL").select("host", "path")
+
+
 def main_texts(pages: DataFrame, key: str, url: str, source: str, p: StyleTree = StyleTree()) -> DataFrame:
     """Per row: key, url, text, n_chars."""
     used = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(source).alias("html"), host_of(F.col(url)).alias("host"))
-    low = importance(tree_sums(used, p), p).filter(F.col("importance") < p.least_importance)
+    low = unimportant(settled(importance(tree_sums(used, p), p), "style-importance"), p)
     rules = settled(low.groupBy("host").agg(F.collect_set("path").alias("low")), "style-rules")
     # Pages without a host would all meet at null; they look for a host that no page has.
     spread = F.coalesce("host", F.concat(F.lit("?"), F.xxhash64("key", "html").cast("string")))
