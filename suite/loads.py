@@ -589,6 +589,30 @@ def upsert(spark, sf):
     return lake.read(spark, home, "orders")
 
 
+NULL_KEYS = "SELECT if(o_orderkey % 7 = 0, NULL, o_orderkey) AS k, if(o_custkey % 3 = 0, NULL, o_custkey) AS c, o_totalprice AS v FROM orders"
+
+
+@query(
+    "upsert_null_keys",
+    f"""
+    WITH t AS ({NULL_KEYS}),
+    d AS (SELECT k, c, max(v) + 1 AS v FROM t WHERE k IS NULL OR k % 2 = 0 GROUP BY 1, 2)
+    SELECT * FROM d
+    UNION ALL SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.k IS NOT DISTINCT FROM t.k AND d.c IS NOT DISTINCT FROM t.c)
+    """,
+)
+def upsert_null_keys(spark, sf):
+    """Keys of two columns, either of which may be NULL, put in twice: NULL is a key like others."""
+    home = new_lake(spark, "nulls")
+    rows = table(spark, sf, "orders").selectExpr(
+        "if(o_orderkey % 7 = 0, NULL, o_orderkey) AS k", "if(o_custkey % 3 = 0, NULL, o_custkey) AS c", "o_totalprice AS v")
+    lake.write(rows, home, "keyed", "create")
+    delta = rows.filter("k IS NULL OR k % 2 = 0").withColumn("v", F.col("v") + 1)
+    for _ in range(2):
+        repair.upsert(spark, home, "keyed", delta, ["k", "c"], ["v"])
+    return lake.read(spark, home, "keyed")
+
+
 @query(
     "newest_per_key",
     """

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.base import query, table
-from tablesync.operators import fingerprint, profile, upkeep
-from tablesync.sources import fixtures
+from tablesync.operators import draw, fingerprint, profile, upkeep
 from tablesync.functions import amounts
 
 
@@ -68,18 +67,19 @@ def table_statistics(spark, sf):
 
 FINGERPRINT = """
     SELECT '{name}' AS "table", count(*) AS rows,
-      CAST(coalesce(sum(CAST(CAST('0x' || substr(md5(concat_ws(chr(31), {columns})), 1, 15) AS BIGINT) AS HUGEINT)), 0) AS VARCHAR) AS hash_sum
+      CAST(coalesce(sum(CAST(CAST('0x' || substr(md5({columns}), 1, 15) AS BIGINT) AS HUGEINT)), 0) AS VARCHAR) AS hash_sum
     FROM {source}
 """
-ORDER_COLUMNS = (
-    "coalesce(CAST(o_orderkey AS VARCHAR), '\\N'), coalesce(CAST(o_custkey AS VARCHAR), '\\N'), coalesce(o_orderstatus, '\\N'),"
-    " coalesce(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), '\\N'),"
-    " coalesce(CAST(o_orderdate AS VARCHAR), '\\N'), coalesce(o_orderpriority, '\\N')"
-)
-DOCUMENT_COLUMNS = (
-    "coalesce(CAST(doc_id AS VARCHAR), '\\N'), coalesce(text, '\\N'), coalesce(lang, '\\N'), coalesce(source, '\\N'),"
-    " coalesce(CAST(n_chars AS VARCHAR), '\\N')"
-)
+
+
+def row_text(*values: str) -> str:
+    """A row's text in SQL: each value after its length, NULL as a hyphen."""
+    shown = [f"CAST({v} AS VARCHAR)" for v in values]
+    return " || ".join(f"coalesce(length({v}) || ':' || {v}, '-')" for v in shown)
+
+
+ORDER_COLUMNS = row_text("o_orderkey", "o_custkey", "o_orderstatus", "CAST(round(o_totalprice * 100) AS BIGINT)", "o_orderdate", "o_orderpriority")
+DOCUMENT_COLUMNS = row_text("doc_id", "text", "lang", "source", "n_chars")
 
 
 @query(
@@ -98,6 +98,22 @@ def table_fingerprint(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+EDGES = {"apart": ["text", "'b:-'"], "moved": ["text || 'b'", "':-'"], "marked": ["'-'", "text"], "missing": ["CAST(NULL AS VARCHAR)", "text"]}
+
+
+@query(
+    "fingerprint_edges",
+    "SELECT doc_id, " + ", ".join(
+        f"CAST('0x' || substr(md5({row_text(*columns)}), 1, 15) AS BIGINT) AS {name}" for name, columns in EDGES.items()) + " FROM documents",
+)
+def fingerprint_edges(spark, sf):
+    """Rows whose values hold the marks of a row's text, or give the same text when run together."""
+    documents = table(spark, sf, "documents")
+    values = {"apart": ["text", "'b:-'"], "moved": ["text || 'b'", "':-'"], "marked": ["'-'", "text"], "missing": ["CAST(NULL AS STRING)", "text"]}
+    rows = documents.select("doc_id", *[F.expr(v).alias(f"{name}_{i}") for name, pair in values.items() for i, v in enumerate(pair)])
+    return rows.select("doc_id", *[fingerprint.row_hash(rows, [f"{name}_0", f"{name}_1"]).alias(name) for name in values])
+
+
 @query(
     "change_split",
     """
@@ -167,7 +183,7 @@ def seq_gaps_many_groups(spark, sf):
     "size_estimate",
     """
     SELECT 'documents' AS "table", count(*) AS rows,
-      CAST(floor(avg(strlen(to_json({'doc_id': doc_id, 'lang': lang, 'source': source, 'n_chars': n_chars})::VARCHAR)) * count(*)) AS BIGINT) AS estimated_bytes
+      CAST(floor(avg(strlen(to_json({'doc_id': doc_id, 'text': text, 'lang': lang, 'source': source, 'n_chars': n_chars})::VARCHAR)) * count(*)) AS BIGINT) AS estimated_bytes
     FROM documents
     UNION ALL
     SELECT 'nation', count(*), CAST(floor(avg(strlen(to_json({'n_nationkey': n_nationkey, 'n_name': n_name, 'n_regionkey': n_regionkey})::VARCHAR)) * count(*)) AS BIGINT)
@@ -176,7 +192,7 @@ def seq_gaps_many_groups(spark, sf):
 )
 def size_estimate(spark, sf):
     """JSON length over every row instead of a sample, so that SQL can follow it."""
-    documents = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    documents = table(spark, sf, "documents")
     parts = [
         profile.size_estimate(df, fraction=1.0).select(F.lit(name).alias("table"), "rows", "estimated_bytes")
         for name, df in (("documents", documents), ("nation", table(spark, sf, "nation")))
@@ -184,10 +200,19 @@ def size_estimate(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-@query("size_estimate_sampled")
+@query(
+    "size_estimate_sampled",
+    f"""
+    WITH d AS (
+      SELECT strlen(to_json({{'doc_id': doc_id, 'text': text, 'lang': lang, 'source': source, 'n_chars': n_chars}})::VARCHAR) AS len,
+        CAST('0x' || substr(md5({DOCUMENT_COLUMNS}), 1, 15) AS BIGINT) % 1000000 < 10000 AS drawn FROM documents
+    ), a AS (SELECT count(*) AS rows, count(*) FILTER (drawn) AS n, avg(len) AS whole, avg(len) FILTER (drawn) AS sample FROM d)
+    SELECT rows, if(n > 0, n, rows) AS sampled, CAST(floor(if(n > 0, sample, whole) * rows) AS BIGINT) AS estimated_bytes FROM a
+    """,
+)
 def size_estimate_sampled(spark, sf):
-    """The usual 1 % sample, over whole documents."""
-    return profile.size_estimate(table(spark, sf, "documents"), fraction=0.01)
+    """The usual 1 % sample, drawn by a hash of the row, over whole documents."""
+    return profile.size_estimate(table(spark, sf, "documents"), fraction=0.01).drop("row_bytes")
 
 
 # --------------------------------------------------------------------------
@@ -218,25 +243,20 @@ def derived_amounts(spark, sf):
 @query(
     "derived_tax",
     """
-    SELECT o_orderkey, abs(CAST(round(o_totalprice * 100) AS BIGINT) * 8 - tax_milli) <= 60 AS is_eight_percent
-    FROM (SELECT o_orderkey, o_totalprice, CAST(round(round(o_totalprice * 0.08, 2) * 10000) AS BIGINT) / 100 * 100 AS tax_milli FROM orders)
+    SELECT o_orderkey, CAST((CAST(round(o_totalprice * 100) AS BIGINT) * 8 + 50) // 100 AS BIGINT) AS tax_cents FROM orders
     """,
 )
 def derived_tax(spark, sf):
-    """8 % tax of every order lies within half a cent of the exact value."""
-    tax = amounts.order_tax(F.col("o_totalprice"), F.lit(0.0), F.lit(0.0))
-    exact = F.round(F.col("o_totalprice") * 100).cast("bigint") * 8
-    got = F.round(tax * 10000).cast("bigint")
-    return table(spark, sf, "orders").select(
-        "o_orderkey", (F.abs(exact - got) <= 60).alias("is_eight_percent")
-    )
+    """8 % tax of every order, in cents."""
+    tax = amounts.order_tax(F.col("o_totalprice"), F.lit(0), F.lit(0))
+    return table(spark, sf, "orders").select("o_orderkey", (tax * 100).cast("bigint").alias("tax_cents"))
 
 
 @query(
     "change_draw",
     """
     WITH ranked AS (
-      SELECT *, row_number() OVER (ORDER BY CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 15) AS BIGINT)) AS n,
+      SELECT *, row_number() OVER (ORDER BY CAST('0x' || substr(md5(length(CAST(c_custkey AS VARCHAR)) || ':' || c_custkey), 1, 15) AS BIGINT)) AS n,
              count(*) OVER () AS total FROM customer
     )
     SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM ranked WHERE n <= greatest(1, CAST(floor(total * 0.1) AS BIGINT))
@@ -245,4 +265,4 @@ def derived_tax(spark, sf):
 def change_draw(spark, sf):
     """Exactly a tenth of the customers for an update batch, drawn by hash without sorting them."""
     customer = table(spark, sf, "customer")
-    return fixtures.drawn_share(customer, "c_custkey", 0.1, fingerprint.row_hash(customer, ["c_custkey"]))
+    return draw.drawn_share(customer, 0.1, fingerprint.row_hash(customer, ["c_custkey"]))

@@ -108,7 +108,7 @@ def job_log(spark, sf):
     k = F.col("k")
     return events_with_key(spark, sf).select(
         F.concat(F.lit("job"), "user_id").alias("job_name"),
-        F.when(F.col("event_type") == "error", "failed").otherwise("completed").alias("status"),
+        F.when(F.col("event_type") == "error", "failed").when(k % 5 == 0, "skipped").otherwise("completed").alias("status"),
         F.when(F.col("event_type") == "view", "full").otherwise("incremental").alias("mode"),
         k.alias("rows"), (k + F.when(F.col("event_type") == "click", 10).otherwise(0)).alias("total_rows"),
         (k * 1_000_000).alias("bytes"), (k % 7).alias("seconds"), "event_id", "ts",
@@ -117,7 +117,7 @@ def job_log(spark, sf):
 
 LOG_SQL = f"""
     log AS (
-      SELECT 'job' || user_id AS job_name, if(event_type = 'error', 'failed', 'completed') AS status,
+      SELECT 'job' || user_id AS job_name, if(event_type = 'error', 'failed', if({KEY} % 5 = 0, 'skipped', 'completed')) AS status,
         if(event_type = 'view', 'full', 'incremental') AS mode, {KEY} AS rows,
         {KEY} + if(event_type = 'click', 10, 0) AS total_rows, {KEY} * 1000000 AS bytes, {KEY} % 7 AS seconds, event_id, ts
       FROM events
@@ -128,8 +128,8 @@ LOG_SQL = f"""
     "job_summary",
     f"""
     WITH {LOG_SQL}, s AS (
-      SELECT job_name, count(*) AS tables, count(*) FILTER (status = 'completed') AS succeeded,
-        count(*) FILTER (status <> 'completed') AS failed,
+      SELECT job_name, count(*) AS tables, count(*) FILTER (status <> 'failed') AS succeeded,
+        count(*) FILTER (status = 'failed') AS failed,
         CAST(coalesce(sum(rows) FILTER (status = 'completed'), 0) AS BIGINT) AS rows,
         CAST(coalesce(sum(bytes) FILTER (status = 'completed'), 0) AS BIGINT) AS bytes, CAST(sum(seconds) AS BIGINT) AS seconds
       FROM log GROUP BY 1
@@ -390,16 +390,22 @@ def baseline_alerts(spark, sf):
     "redact_credentials",
     r"""
     SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(
-      text || ' user=x;Password=p' || doc_id || ';PWD=q; jdbc:db://me:secret@host/' || source,
-      'password=[^;]+', 'password=***', 'gi'), 'pwd=[^;]+', 'pwd=***', 'gi'), '://[^:]+:[^@]+@', '://***:***@', 'g')) AS redacted
+      text || ' user=x;Password=p' || doc_id || ';PWD=''q r''; jdbc:db://me:secret@host/' || source || ' see http://a/b: write to c@d',
+      '\bpassword=("[^"]*"|''[^'']*''|[^\s;&"'']+)', 'password=***', 'gi'), '\bpwd=("[^"]*"|''[^'']*''|[^\s;&"'']+)', 'pwd=***', 'gi'),
+      '://[^\s/:@]+:[^\s/@]+@', '://***:***@', 'g')) AS redacted,
+      TRUE AS hidden, TRUE AS prose_kept
     FROM documents
     """,
 )
 def redact_credentials(spark, sf):
-    """Whole document texts, each followed by a connection text."""
+    """Whole document texts, each followed by a connection text and by prose with an address."""
     documents = table(spark, sf, "documents")
-    tail = F.concat(F.lit(" user=x;Password=p"), "doc_id", F.lit(";PWD=q; jdbc:db://me:secret@host/"), "source")
-    return documents.select("doc_id", F.md5(text.redact(F.concat("text", tail))).alias("redacted"))
+    prose = F.lit(" see http://a/b: write to c@d")
+    tail = F.concat(F.lit(" user=x;Password=p"), "doc_id", F.lit(";PWD='q r'; jdbc:db://me:secret@host/"), "source", prose)
+    found = documents.select("doc_id", text.redact(F.concat("text", tail)).alias("t"))
+    return found.select(
+        "doc_id", F.md5("t").alias("redacted"), (~F.col("t").contains("secret") & ~F.col("t").contains("q r")).alias("hidden"),
+        F.col("t").endswith(prose).alias("prose_kept"))
 
 
 @query(

@@ -10,8 +10,10 @@ TAX_RATE = 0.08
 
 
 def order_tax(total: Column, shipping: Column, discount: Column) -> Column:
-    """8 % of what is left after shipping and discount."""
-    return F.round((total - shipping - discount) * F.lit(TAX_RATE), 2)
+    """8 % of what is left after shipping and discount, in exact cents."""
+    exact = lambda c: c.cast("decimal(18,2)")
+    rate = F.lit(str(TAX_RATE)).cast("decimal(4,2)")
+    return F.round((exact(total) - exact(shipping) - exact(discount)) * rate, 2)
 
 
 def line_total(quantity: Column, unit_price: Column) -> Column:
@@ -34,7 +36,3 @@ def available(on_hand: Column, reserved: Column) -> Column:
 def backorder(quantity: Column, shipped: Column) -> Column:
     return quantity - shipped
 
-
-def product_cost(price: Column, share: Column) -> Column:
-    """60 to 80 % of the price, `share` running from 0 to 1."""
-    return F.round(price * (F.lit(0.6) + share * 0.2), 2)

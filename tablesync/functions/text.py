@@ -64,10 +64,16 @@ def format_iso(instant: Column) -> Column:
 
 
 def redact(text: Column) -> Column:
-    """Hide passwords and URL credentials."""
-    hidden = F.regexp_replace(text, r"(?i)password=[^;]+", "password=***")
-    hidden = F.regexp_replace(hidden, r"(?i)pwd=[^;]+", "pwd=***")
-    return F.regexp_replace(hidden, r"://[^:]+:[^@]+@", "://***:***@")
+    """Hide the values of password settings, and user names and passwords in URLs.
+
+    A value ends at a blank, a semicolon or an ampersand unless it is quoted, and URL credentials lie
+    between `://` and `@` without blanks or slashes, so that the text around them stays.
+    """
+    value = r"""("[^"]*"|'[^']*'|[^\s;&"']+)"""
+    hidden = text
+    for name in ("password", "pwd"):
+        hidden = F.regexp_replace(hidden, rf"(?i)\b{name}={value}", f"{name}=***")
+    return F.regexp_replace(hidden, r"://[^\s/:@]+:[^\s/@]+@", "://***:***@")
 
 
 def ratio(part: Column, whole: Column, factor: float = 1.0) -> Column:

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SEPARATOR = "\x1f"
-NULL_MARK = "\\N"
+from tablesync.functions.text import clock_text
+
+NULL_MARK = "-"  # no part begins like it: a value's part begins with its length
 LANE_BITS = 20
 
 
 def text_of(df: DataFrame, column: str, decimals: int | None = None) -> Column:
-    """One column as text that tells NULL from an empty string."""
+    """One column as text with its length before it, so that parts of a row cannot run into one another."""
     kind = df.schema[column].dataType
     value = F.col(f"`{column}`")
     if decimals is not None and isinstance(kind, (T.DoubleType, T.FloatType)):
@@ -24,15 +25,17 @@ def text_of(df: DataFrame, column: str, decimals: int | None = None) -> Column:
         text = F.to_json(value)
     elif isinstance(kind, T.BinaryType):
         text = F.hex(value)
+    elif isinstance(kind, T.TimestampType):
+        text = clock_text(value, kind)
     else:
         text = value.cast("string")
-    return F.coalesce(text, F.lit(NULL_MARK))
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(NULL_MARK))
 
 
 def row_hash(df: DataFrame, columns: Sequence[str] | None = None, decimals: int | None = None) -> Column:
     """60 bits of the MD5 of a row's text, as a bigint that other engines can recompute."""
     parts = [text_of(df, c, decimals) for c in (columns or df.columns)]
-    digest = F.md5(F.concat_ws(SEPARATOR, *parts))
+    digest = F.md5(F.concat(*parts))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.operators.fingerprint import row_hash
+
 # Fixed value: share of usable values a tracking column needs, in percent.
 MINIMUM_SHARE = 95
 
@@ -55,13 +57,19 @@ def profile_columns(
     )
 
 
-def size_estimate(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFrame:
+def size_estimate(df: DataFrame, fraction: float = 0.01) -> DataFrame:
     """Bytes of a table: average JSON length of a sample × row count, 0 for no rows.
 
-    Rows are measured where they are, in the pass that counts them; none is fetched.
+    Rows are drawn by a hash of the row, so the same rows are drawn however they are laid out, and
+    measured where they are, in the pass that counts them. A table so small that none is drawn is
+    measured whole.
     """
     length = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
-    drawn = F.rand(seed) < fraction if fraction < 1 else F.lit(True)
+    drawn = F.lit(True)
+    if fraction < 1:
+        drawn = row_hash(df) % 1_000_000 < int(fraction * 1_000_000)
+        if df.filter(drawn).isEmpty():
+            return size_estimate(df, 1.0)
     return (
         df.select(F.when(drawn, length).alias("_len"))
         .agg(F.count(F.lit(1)).alias("rows"), F.count("_len").alias("sampled"), F.avg("_len").alias("row_bytes"))

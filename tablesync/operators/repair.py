@@ -4,21 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.fingerprint import table_fingerprint
 from tablesync.operators.incremental import above, between_marks, highest_text, mark, mark_text
 from tablesync.plans.loads import Job, TableSpec, next_bookmark, source_rows
-from tablesync.session import workspace
+from tablesync.session import remove, workspace
 from tablesync.sources import endpoints, lake
 from tablesync.sources.lake import Commit, Lake
 
-# A key set is broadcast only when its measured bytes stay below this.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the highest in `order`, ties settled by a hash of the row.
 
@@ -36,47 +32,61 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     )
 
 
+def by_key(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A semi or anti join on keys in which NULL equals NULL."""
+    other = wanted.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return rows.join(other, same, how)
+
+
 def upsert_rows(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key the delta does not have, plus the delta; columns match by name."""
-    return target.join(delta.select(*keys), list(keys), "left_anti").unionByName(delta)
+    return by_key(target, delta, keys, "left_anti").unionByName(delta)
 
 
 def upsert(
     spark: SparkSession, target: Lake, table: str, delta: DataFrame, keys: Sequence[str],
     order: Sequence[str], **layout,
 ) -> Commit:
-    """Put a delta into a lake table by key; running it again changes nothing.
+    """Put a delta into a lake table by key; running it again changes nothing, NULL keys included.
 
-    The delta is written to the shared folder once, which fixes its rows and measures
-    its key bytes. Then only target files that hold one of its keys are rewritten.
+    The delta is written to the shared folder, which fixes its rows and their key ranges, and
+    deleted again. Only target files that hold one of its keys are rewritten.
     """
     before = lake.state(spark, target, table)
-    staged, seen = _stage(newest_per_key(lake.align(delta, before.schema), keys, order), keys)
-    wanted = staged.select(*keys)
-    small = F.broadcast(wanted) if (seen["bytes"] or 0) <= BROADCAST_BYTES else wanted
-    rows = lake.scan_with_files(spark, target, before, list(keys))
-    for i, key in enumerate(keys):
-        # The key range of the delta lets file statistics skip what cannot match.
-        rows = rows.filter(F.col(key).between(mark(rows, key, seen[f"low{i}"]), mark(rows, key, seen[f"high{i}"])))
-    touched = rows.join(small, list(keys), "left_semi")
-    return lake.rewrite_files(
-        spark, target, before, touched,
-        lambda rows: rows.join(small, list(keys), "left_anti"),
-        staged, "upsert", **layout,
-    )
+    path = workspace(spark, "delta")
+    try:
+        staged, seen = _stage(newest_per_key(lake.align(delta, before.schema), keys, order), keys, path)
+        rows = lake.scan_with_files(spark, target, before, list(keys))
+        for i, key in enumerate(keys):
+            rows = rows.filter(_within(rows, key, seen[f"low{i}"], seen[f"high{i}"], seen[f"nulls{i}"]))
+        return lake.rewrite_files(
+            spark, target, before, by_key(rows, staged, keys, "left_semi"),
+            lambda rows: by_key(rows, staged, keys, "left_anti"), staged, "upsert", **layout,
+        )
+    finally:
+        remove(spark, path)
+
+
+def _within(rows: DataFrame, key: str, low: str | None, high: str | None, nulls: int) -> Column:
+    """The key range of a delta, which lets file statistics skip what cannot match."""
+    inside = F.lit(False) if low is None else F.col(key).between(mark(rows, key, low), mark(rows, key, high))
+    return inside | F.col(key).isNull() if nulls else inside
 
 
-def _stage(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict]:
-    """Write a delta aside and measure key bytes and key ranges in the same pass."""
-    spark = df.sparkSession
-    path, seen = workspace(spark, "delta"), Observation()
-    width = sum((F.octet_length(F.col(k).cast("string")) + 16 for k in keys), F.lit(0))
-    measures = [F.sum(F.coalesce(width, F.lit(64))).alias("bytes")]
+def _stage(df: DataFrame, keys: Sequence[str], path: str) -> tuple[DataFrame, dict]:
+    """Write a delta aside and measure its key ranges in the same pass."""
+    seen, measures = Observation(), []
     for i, key in enumerate(keys):
         kind = df.schema[key].dataType
-        measures += [mark_text(F.min(key), kind).alias(f"low{i}"), mark_text(F.max(key), kind).alias(f"high{i}")]
+        measures += [
+            mark_text(F.min(key), kind).alias(f"low{i}"), mark_text(F.max(key), kind).alias(f"high{i}"),
+            F.count_if(F.col(key).isNull()).alias(f"nulls{i}"),
+        ]
     df.observe(seen, *measures).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
 
 
 def without_rows_beyond(df: DataFrame, column: str, bookmark: object) -> DataFrame:
@@ -104,20 +114,22 @@ def staged_write(df: DataFrame, target: Lake, table: str, mode: str = "overwrite
 
 
 def target_state(rows: DataFrame, table: str, column: str) -> DataFrame:
-    """Highest value of a target table as one row, to be matched with bookmarks."""
-    return rows.agg(highest_text(rows, column).alias("target_max")).withColumn("table_name", F.lit(table))
+    """Highest value of a target table and its type as one row, to be matched with bookmarks."""
+    kind = rows.schema[column].dataType.simpleString()
+    return rows.agg(highest_text(rows, column).alias("target_max")).select(
+        "target_max", F.lit(table).alias("table_name"), F.lit(kind).alias("value_type"))
 
 
 def consistency(target_states: DataFrame, bookmarks: DataFrame) -> DataFrame:
     """Per table: is the target ahead of its bookmark, behind it, or equal.
 
-    Values are text of the column's type; numbers compare as numbers, times as times.
+    Values are text; the target column's type says whether they compare as numbers, as times, or as they are.
     """
     as_number = lambda c: F.expr(f"try_cast({c} as decimal(38,10))")
     as_time = lambda c: F.expr(f"try_cast({c} as timestamp_ntz)")
-    value, top = "last_processed_value", "target_max"
-    numbers = as_number(value).isNotNull() & as_number(top).isNotNull()
-    times = as_time(value).isNotNull() & as_time(top).isNotNull()
+    value, top, kind = "last_processed_value", "target_max", F.col("value_type")
+    numbers = kind.rlike("^(tinyint|smallint|int|bigint|float|double|decimal)")
+    times = kind.rlike("^(date|timestamp)")
     ahead = (
         F.when(numbers, as_number(top) > as_number(value))
         .when(times, as_time(top) > as_time(value))

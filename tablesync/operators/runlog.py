@@ -186,16 +186,16 @@ def _per(part: Column, whole: Column, digits: int | None = 2) -> Column:
 def job_summary(log: DataFrame) -> DataFrame:
     """Per job (job_name, status, rows, bytes, seconds): tables, results, rates.
 
-    Rows and bytes count completed tables only. Seconds are those of the tables; a
+    A table skipped because nothing changed is a success. Rows and bytes count completed tables only. Seconds are those of the tables; a
     caller that has the job's own time divides by that instead.
     """
-    done = F.col("status") == "completed"
+    done, good = F.col("status") == "completed", F.col("status").isin("completed", "skipped")
     return (
         log.groupBy("job_name")
         .agg(
             F.count(F.lit(1)).alias("tables"),
-            F.count_if(done).alias("succeeded"),
-            F.count_if(~done).alias("failed"),
+            F.count_if(good).alias("succeeded"),
+            F.count_if(~good).alias("failed"),
             F.sum(F.when(done, F.col("rows")).otherwise(0)).alias("rows"),
             F.sum(F.when(done, F.col("bytes")).otherwise(0)).alias("bytes"),
             F.sum("seconds").alias("seconds"),

@@ -61,7 +61,8 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.conf.get("spark.master", "local").startswith("local"):
+    # An unknown master may be a cluster, where one machine's folder would be seen by it alone.
+    if spark.conf.get("spark.master", "unknown").startswith("local") and not spark.conf.get("spark.master").startswith("local-cluster"):
         folder = tempfile.mkdtemp(prefix="tablesync-")
         spark.conf.set("spark.tablesync.sharedRoot", folder)
         return folder
@@ -73,3 +74,9 @@ def workspace(spark: SparkSession, purpose: str) -> str:
     known = spark.conf.get("spark.tablesync.sharedRoot", None)
     root = known or shared_root(spark)
     return f"{root}/tablesync/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -124,6 +124,7 @@ def test_size_estimate(spark):
     row = size_estimate(df, fraction=1.0).first()
     assert row["estimated_bytes"] == len('{"id":1,"s":"a"}') + len('{"id":2,"s":null}')
     assert size_estimate(df.limit(0)).first()["estimated_bytes"] == 0
+    assert size_estimate(df.limit(2), fraction=0.000001).first()["sampled"] == 2
 
 
 def test_mark_is_a_literal_of_the_column_type(spark):

@@ -7,7 +7,8 @@ from tablesync.functions import text
 from tablesync.operators import bookmarks, runlog, schemas
 from tablesync.functions import types as names
 from tablesync.operators.catalog import catalog
-from tablesync.sources import exports, fixtures
+from tablesync.operators import draw
+from tablesync.sources import exports
 from tablesync.sources.logs import read_log
 
 NOW = datetime(2024, 6, 1, 12)
@@ -59,8 +60,8 @@ def test_text_helpers(spark):
     assert column(spark, ["s3://my-bucket/x.jar", "s3://Bad/x", "s3://ab/x", "/x", None, "s3://a.b-c"], "string", text.bucket_name) == [
         "my-bucket", None, None, None, None, "a.b-c"
     ]
-    assert column(spark, ["a;Password=x y;b", "PWD=1", "jdbc://u:p@h/d"], "string", text.redact) == [
-        "a;password=***;b", "pwd=***", "jdbc://***:***@h/d"
+    assert column(spark, ["a;Password='x y';b", "PWD=1 c", "jdbc://u:p@h/d", "https://a.example/page for notes: a sentence, write to b@c.example"], "string", text.redact) == [
+        "a;password=***;b", "pwd=*** c", "jdbc://***:***@h/d", "https://a.example/page for notes: a sentence, write to b@c.example"
     ]
     parsed = column(
         spark, ["2024-01-02T03:04:05Z", "2024-01-02T03:04:05+02:00", "2024-01-02 03:04:05.5", "2024-01-02", "x", "2024-1-2", None],
@@ -162,39 +163,14 @@ def test_lake_schema_building(spark):
 
 
 # --------------------------------------------------------------------------
-# fixtures and exports
-
-
-def test_shop_tables(spark):
-    shop = fixtures.shop(spark, "small", now=NOW)
-    rows = {t: df.count() for t, df in shop.items()}
-    assert (rows["customers"], rows["orders"], rows["products"]) == (100, 500, 200)
-    assert 200 <= rows["inventory"] <= 600 and 500 <= rows["order_items"] <= 2500
-    keys = {"customers": ["customer_id"], "orders": ["order_id"], "products": ["product_id"], "inventory": ["inventory_id"],
-            "order_items": ["order_item_id"]}
-    for t, key in keys.items():
-        assert shop[t].select(*key).distinct().count() == rows[t]
-    items = shop["order_items"]
-    assert items.select("order_id", "product_id").distinct().count() == rows["order_items"]
-    assert items.filter("line_total <> round(quantity * unit_price, 2) or backorder_quantity <> quantity - shipped_quantity or backorder_quantity < 0").count() == 0
-    assert shop["orders"].filter("abs(tax_amount - (total_amount - shipping_amount - discount_amount) * 0.08) > 0.006").count() == 0
-    assert shop["inventory"].filter("quantity_available <> greatest(0, quantity_on_hand - quantity_reserved)").count() == 0
-    assert shop["customers"].filter("updated_at < created_at or updated_at > timestamp'2024-06-01 12:00:00'").count() == 0
-    assert shop["products"].filter("product_size is not null and category <> 'Clothing'").count() == 0
-    again = fixtures.customers(spark, 100, now=NOW).repartition(7)
-    assert again.exceptAll(shop["customers"]).count() == 0
-
-
-def test_change_batch(spark):
-    shop = fixtures.shop(spark, "small", now=NOW)
-    batch = fixtures.change_batch(spark, shop, now=NOW)
-    counts = {t: df.count() for t, df in batch["updates"].items()}
-    assert counts == {"customers": 10, "products": 10, "inventory": shop["inventory"].count() // 10}
-    new = batch["inserts"]["orders"]
-    assert 1 <= new.count() <= 5 and new.agg(F.min("order_id")).first()[0] == 501
-    assert set(new.columns) == set(shop["orders"].columns) and batch["deletes"] == {}
-    assert batch["updates"]["customers"].filter("updated_at <> timestamp'2024-06-01 12:00:00'").count() == 0
-    assert batch["updates"]["inventory"].filter("quantity_on_hand < 0 or quantity_available < 0").count() == 0
+# draws and exports
+
+
+def test_drawn_share(spark):
+    df = spark.range(1000).withColumn("draw", F.pmod(F.xxhash64("id"), F.lit(1 << 60)))
+    taken = draw.drawn_share(df, 0.1, F.col("draw"))
+    assert taken.count() == 100 and taken.agg(F.max("draw")).first()[0] == sorted(r["draw"] for r in df.collect())[99]
+    assert draw.drawn_share(df.limit(3), 0.1, F.col("draw")).count() == 1
 
 
 def test_exports(spark, folder):
