@@ -311,9 +311,10 @@ def train(texts: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
             big = np.isin(begins, heavy)
             parts_of[big] = -(-counts[begins[big]] // np.uint64(shard_tokens))
             ends = int(counts[keys == END].sum())
+            cuts = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (begins, parts_of)]  # may be empty
             yield pa.RecordBatch.from_pydict({
                 "slot": [slot], "path": [_write(folder, keys, counts)], "n": [len(keys)], "tokens": [int(counts.sum())], "texts": [ends],
-                "begins": [begins.tolist()], "parts": [parts_of.tolist()]})
+                "begins": cuts[0], "parts": cuts[1]})
 
     blocks = texts.mapInArrow(count_words, BLOCKS)
     files = settled(
