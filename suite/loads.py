@@ -465,6 +465,20 @@ def compact_small_files(spark, sf):
     )
 
 
+@query("compact_many_files", "SELECT *, 'kept' AS large, TRUE AS several FROM events")
+def compact_many_files(spark, sf):
+    """Sixty small files joined in several tasks, beside a large one that stays."""
+    home, events = new_lake(spark, "many"), table(spark, sf, "events")
+    start = middle(events, "event_id")
+    lake.write(events.filter(F.col("event_id") <= start).coalesce(1), home, "events", "create")
+    first = {r["path"]: r["bytes"] for r in lake.files(spark, home, "events").collect()}
+    lake.write(above(events, "event_id", start).repartition(60), home, "events", "append")
+    upkeep.compact_small_files(spark, home, "events", target_bytes=max(first.values()) // 3, smaller_than=1.0)
+    now = {r["path"] for r in lake.files(spark, home, "events").collect()}
+    large = "kept" if set(first) <= now else "rewritten"
+    return lake.read(spark, home, "events").withColumn("large", F.lit(large)).withColumn("several", F.lit(1 < len(now) - 1 < 60))
+
+
 @query(
     "identifier_watermark",
     """

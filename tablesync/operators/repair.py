@@ -53,7 +53,7 @@ def upsert(
     """Put a delta into a lake table by key; running it again changes nothing, NULL keys included.
 
     The delta is written to the shared folder, which fixes its rows and their key ranges, and
-    deleted again. Only target files that hold one of its keys are rewritten.
+    deleted again. Only target parts that hold one of its keys are rewritten.
     """
     before = lake.state(spark, target, table)
     path = workspace(spark, "delta")
@@ -62,7 +62,7 @@ def upsert(
         rows = lake.scan_with_files(spark, target, before, list(keys))
         for i, key in enumerate(keys):
             rows = rows.filter(_within(rows, key, seen[f"low{i}"], seen[f"high{i}"], seen[f"nulls{i}"]))
-        return lake.rewrite_files(
+        return lake.rewrite_parts(
             spark, target, before, by_key(rows, staged, keys, "left_semi"),
             lambda rows: by_key(rows, staged, keys, "left_anti"), staged, "upsert", **layout,
         )
@@ -97,12 +97,12 @@ def without_rows_beyond(df: DataFrame, column: str, bookmark: object) -> DataFra
 def trim(spark: SparkSession, target: Lake, table: str, column: str, bookmark: object) -> Commit:
     """Remove rows beyond the bookmark, as a partly written load leaves them.
 
-    Only files that hold such rows are rewritten; file statistics find them.
+    Only parts that hold such rows are rewritten; file statistics find them.
     """
     before = lake.state(spark, target, table)
     rows = lake.scan_with_files(spark, target, before, [column])
     touched = above(rows, column, bookmark)
-    return lake.rewrite_files(
+    return lake.rewrite_parts(
         spark, target, before, touched,
         lambda kept: without_rows_beyond(kept, column, bookmark), None, "trim",
     )

@@ -104,18 +104,22 @@ def compact(
 def compact_small_files(
     spark: SparkSession, target: Lake, table: str, target_bytes: int = TARGET_BYTES, smaller_than: float = 0.75
 ) -> Commit:
-    """Join only the files well below the target size; large ones stay untouched.
+    """Join only the parts whose files are well below the target size; all others stay untouched.
 
-    The usual upkeep of a big table: the work follows the new small files, not the table.
+    The usual upkeep of a big table: the work follows the new small files, not the table. As many
+    tasks write as the bytes really rewritten ask for.
     """
     before = lake.state(spark, target, table)
-    small = lake.files(spark, target, table).filter(F.col("bytes") < int(target_bytes * smaller_than))
-    found = small.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first()
-    if found["n"] < 2:
+    listed = lake.files(spark, target, table)
+    parts = listed.groupBy("segment", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b"))
+    small = parts.filter(F.col("b") / F.col("n") < target_bytes * smaller_than)
+    found = small.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
+    if (found["n"] or 0) < 2:
         return Commit(table, before.snapshot, 0, None, None, False)
     files = max(1, -(-found["b"] // target_bytes))
-    return lake.rewrite_files(
-        spark, target, before, small.select(F.col("path").alias("_file")),
+    touched = listed.join(small, ["segment", "part"], "left_semi").select(F.col("path").alias("_file"))
+    return lake.rewrite_parts(
+        spark, target, before, touched,
         lambda rows: rows if before.partition_spec else rows.coalesce(files), None, "compact_small_files",
     )
 
@@ -198,21 +202,21 @@ def unreferenced_files(spark: SparkSession, target: Lake, table: str) -> DataFra
     """Files no remaining snapshot shows: of failed writes, and of expired snapshots."""
     shown = lake.manifest(spark, target, table)
     segments = shown.select("segment").distinct()
-    # A file is dead in a kept segment only when every snapshot that has the segment removed it.
+    # A part is dead in a kept segment only when every snapshot that has the segment removed it.
     uses = shown.groupBy("segment").agg(F.count(F.lit(1)).alias("uses"))
     removed = (
-        shown.select("segment", F.explode("removed_files").alias("path"))
-        .groupBy("segment", "path").agg(F.count(F.lit(1)).alias("times"))
-        .join(uses, "segment").filter("times = uses").select("path")
+        shown.select("segment", F.explode("removed_parts").alias("part"))
+        .groupBy("segment", "part").agg(F.count(F.lit(1)).alias("times"))
+        .join(uses, "segment").filter("times = uses").select("segment", "part")
     )
     listed = lake.all_files(spark, target, table).drop("partition")
     orphans = listed.join(segments, "segment", "left_anti")
-    dead = listed.join(removed, "path", "left_semi")
-    return orphans.unionByName(dead)
+    dead = listed.join(removed, ["segment", "part"], "left_semi")
+    return orphans.unionByName(dead.select(*orphans.columns))
 
 
 def remove_unreferenced(spark: SparkSession, target: Lake, table: str) -> int:
-    """Delete unreferenced files: whole segments at once, single files one by one.
+    """Delete unreferenced files: whole segments at once, files of dead parts as they are listed.
 
     Run it when no write to the table is going on: a write's files are not in a
     manifest before its commit.
@@ -221,9 +225,10 @@ def remove_unreferenced(spark: SparkSession, target: Lake, table: str) -> int:
     known = lake.manifest(spark, target, table).select("segment").distinct()
     whole = found.join(known, "segment", "left_anti").select("segment").distinct()
     count = found.count()
-    single = found.join(known, "segment", "left_semi").select("path").collect()
-    for row in whole.collect():
-        _delete(spark, f"{target.data_dir(table)}/seg={row['segment']}")
-    for row in single:
+    segments = [r["segment"] for r in whole.collect()]  # one per unfinished or expired write
+    single = found.join(known, "segment", "left_semi").select("path")
+    for row in single.toLocalIterator():
         _delete(spark, unquote(row["path"]))
+    for segment in segments:
+        _delete(spark, f"{target.data_dir(table)}/seg={segment}")
     return count

@@ -17,7 +17,6 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -30,12 +29,9 @@ from tablesync.operators.incremental import above, mark_text
 
 PARTITION_PREFIX = "_p_"
 
-# Most file names a manifest row lists, and most the driver handles one by one.
-LISTED_FILES = 10_000
-
 MANIFEST_SCHEMA = struct(
     table_name="string", committed_at="timestamp", operation="string", segment="string",
-    rows="bigint", low="string", high="string", removed_files="strings",
+    rows="bigint", low="string", high="string", removed_parts="strings",
     segment_schema="string", schema="string", partition_spec="strings",
     identifier_columns="strings", watermark_column="string", properties="texts", snapshot="bigint",
 )
@@ -71,14 +67,18 @@ class Lake:
 
 @dataclass(frozen=True)
 class Segment:
-    """One write's folder and what later snapshots removed from it."""
+    """One write's folder and what later snapshots removed from it.
+
+    The unit of removal is a part: what one task of the write wrote, by its number. So a manifest
+    row lists at most as many numbers as the write had tasks, never a path.
+    """
 
     id: str
     rows: int
     schema: str
     low: str | None = None
     high: str | None = None
-    removed_files: tuple[str, ...] = ()
+    removed_parts: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -155,7 +155,7 @@ def state(
         raise TableNotFound(f"{table} has no snapshot for this request")
     head = found[0]
     segments = tuple(
-        Segment(r.segment, r.rows, r.segment_schema, r.low, r.high, tuple(r.removed_files or ()))
+        Segment(r.segment, r.rows, r.segment_schema, r.low, r.high, tuple(r.removed_parts or ()))
         for r in sorted(found, key=lambda r: r.segment or "")
         if r.segment
     )
@@ -191,7 +191,7 @@ def commit(
               new.watermark_column, dict(new.properties))
     segments = new.segments or (Segment("", 0, schema_json),)
     rows = [
-        (new.table, stamp, new.operation, s.id, s.rows, s.low, s.high, list(s.removed_files),
+        (new.table, stamp, new.operation, s.id, s.rows, s.low, s.high, list(s.removed_parts),
          s.schema, *shared, new.snapshot)
         for s in segments
     ]
@@ -259,14 +259,34 @@ def _project(files: DataFrame, written: T.StructType, wanted: T.StructType) -> D
     return files.select(*columns, *[c for c in files.columns if c.startswith(PARTITION_PREFIX)])
 
 
+def segment_of(path: Column) -> Column:
+    return F.regexp_extract(path, r"/seg=([^/]+)/", 1)
+
+
+def part_of(path: Column) -> Column:
+    """The number of the task that wrote a file, as text without leading zeros."""
+    return F.regexp_extract(path, r"/part-0*(\d+)-[^/]*$", 1)
+
+
+def _in_parts(path: Column, parts: dict[str, Sequence[str]]) -> Column:
+    found = F.lit(False)
+    for segment, numbers in parts.items():
+        found = found | ((segment_of(path) == segment) & part_of(path).isin(list(numbers)))
+    return found
+
+
 def scan_segments(
     spark: SparkSession,
     lake: Lake,
     table: TableState,
     segments: Sequence[Segment],
     with_file: bool = False,
+    only: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Read some segments of a snapshot, one scan per schema version."""
+    """Read some segments of a snapshot, or `only` some of their parts, one scan per schema version.
+
+    What is left out is left out when the scan lists its files.
+    """
     partitions = [
         T.StructField(partition_column(p), _partition_type(p, table.schema))
         for p in table.partition_spec
@@ -281,9 +301,12 @@ def scan_segments(
             .option("basePath", data_dir)
             .parquet(*[f"{data_dir}/seg={s.id}" for s in group])
         )
-        removed = [p for s in group for p in s.removed_files]
-        if removed:
-            files = files.filter(~F.col("_metadata.file_path").isin(removed))
+        path = F.col("_metadata.file_path")
+        removed = {s.id: s.removed_parts for s in group if s.removed_parts}
+        if only is not None:
+            files = files.filter(_in_parts(path, {s.id: only[s.id] for s in group}))
+        elif removed:
+            files = files.filter(~_in_parts(path, removed))
         extra = [F.col("_metadata.file_path").alias("_file")] if with_file else []
         files = files.select(
             *[F.col(f"`{f.name}`") for f in written.fields + partitions], *extra
@@ -548,7 +571,7 @@ def clone_empty(df: DataFrame, lake: Lake, table: str, **options) -> bool:
     return create_if_missing(df.sparkSession, lake, table, df.schema, **options)
 
 
-def rewrite_files(
+def rewrite_parts(
     spark: SparkSession,
     lake: Lake,
     before: TableState,
@@ -556,55 +579,39 @@ def rewrite_files(
     keep,
     added: DataFrame | None,
     operation: str,
-    listed_files: int = LISTED_FILES,
     **layout,
 ) -> Commit:
-    """Replace only the files listed in `touched` (`_file`), keeping the others as they are.
+    """Replace the parts that hold the files in `touched` (`_file`), keeping all others as they are.
 
-    `keep` maps the rows of the touched files to the rows that stay; `added` rows
-    go into the same new segment. Up to `listed_files` names are handled one by one. When
-    more are touched, or a segment has lost that many, whole segments are rewritten and
-    no list of files reaches the driver.
+    The same rule at every size: a part is what one task wrote, and is rewritten whole. `keep` maps
+    the rows of the touched parts to the rows that stay; `added` rows go into the same new segment.
+    The driver sees part numbers, at most one per task of the writes that are touched.
     """
-    names = touched.select("_file").distinct()
-    paths = sorted(r["_file"] for r in names.limit(listed_files + 1).collect())
-    if not paths and added is None:
+    numbers = touched.select(segment_of(F.col("_file")).alias("seg"), part_of(F.col("_file")).alias("part")).distinct()
+    found = numbers.groupBy("seg").agg(F.sort_array(F.collect_list("part")).alias("parts")).collect()
+    parts = {r["seg"]: tuple(r["parts"]) for r in found}
+    if not parts and added is None:
         return Commit(before.table, before.snapshot, 0, None, None, False)
-    if len(paths) > listed_files:
-        folder = F.regexp_extract("_file", r"/seg=([^/]+)/", 1)
-        found = {r["seg"] for r in names.select(folder.alias("seg")).distinct().collect()}  # at most one per segment
-        by_file = []
-        whole = [s for s in before.segments if s.id in found]
-    else:
-        of_segment = {s.id: tuple(p for p in paths if f"/seg={s.id}/" in p) for s in before.segments}
-        hit = [s for s in before.segments if of_segment[s.id]]
-        whole = [s for s in hit if len(s.removed_files) + len(of_segment[s.id]) > listed_files]
-        by_file = [(s, of_segment[s.id]) for s in hit if s not in whole]
-    columns = [F.col(f"`{f.name}`") for f in before.schema.fields]
-    parts = []
-    rewritten: dict[str, int] = {}
-    if by_file:
-        rows = _rows_of_files(spark, before, by_file)
-        counts = rows.groupBy("_seg").count().collect()  # one row per segment, from file footers
-        rewritten = {r["_seg"]: r["count"] for r in counts}
-        parts.append(keep(rows.select(*columns)))
-    if whole:
-        parts.append(keep(scan_segments(spark, lake, before, whole).select(*columns)))
+    hit = [s for s in before.segments if s.id in parts]
+    rows, rewritten = [], {}
+    if hit:
+        counted = scan_segments(spark, lake, before, hit, with_file=True, only=parts)
+        counts = counted.groupBy(segment_of(F.col("_file")).alias("seg")).count().collect()  # a row per segment, from file footers
+        rewritten = {r["seg"]: r["count"] for r in counts}
+        columns = [F.col(f"`{f.name}`") for f in before.schema.fields]
+        rows.append(keep(scan_segments(spark, lake, before, hit, only=parts).select(*columns)))
     if added is not None:
-        parts.append(align(added, before.schema))
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
+        rows.append(align(added, before.schema))
+    merged = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
     segment, _ = write_segment(
         merged, lake, before.table, before.schema, before.partition_spec,
         before.watermark_column, **layout,
     )
-    lost = {s.id: files for s, files in by_file}
     kept = []
     for s in before.segments:
-        left = 0 if s in whole else s.rows - rewritten.get(s.id, 0)
+        left = s.rows - rewritten.get(s.id, 0)
         if left > 0:
-            kept.append(replace(s, rows=left, removed_files=s.removed_files + lost.get(s.id, ())))
+            kept.append(replace(s, rows=left, removed_parts=s.removed_parts + parts.get(s.id, ())))
     after = replace(
         before,
         snapshot=before.snapshot + 1,
@@ -615,23 +622,6 @@ def rewrite_files(
     return Commit(before.table, after.snapshot, segment.rows, segment.low, segment.high, True)
 
 
-def _rows_of_files(spark: SparkSession, table: TableState, by_file) -> DataFrame:
-    """Rows of some files, read by path, under the current schema and with their segment."""
-    frames = []
-    for s, paths in by_file:
-        written = T.StructType.fromJson(json.loads(s.schema))
-        rows = (
-            spark.read.schema(written)
-            .parquet(*[unquote(p) for p in paths])
-            .select(*[F.col(f"`{f.name}`") for f in written.fields])
-        )
-        frames.append(_project(rows, written, table.schema).withColumn("_seg", F.lit(s.id)))
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
-
-
 def scan_with_files(spark: SparkSession, lake: Lake, table: TableState, columns: Sequence[str]) -> DataFrame:
     """Some columns of a snapshot together with the file each row lies in (`_file`)."""
     frames = []
@@ -770,17 +760,17 @@ def describe(spark: SparkSession, lake: Lake, tables: Sequence[str]) -> DataFram
 
 
 def files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    """Live data files of the newest snapshot: path, bytes, segment, partition folder.
+    """Live data files of the newest snapshot: path, bytes, segment, part, partition folder.
 
     Paths are URLs as in `_metadata.file_path`.
     """
     current = state(spark, lake, table)
     segments = local_rows(spark, [(s.id,) for s in current.segments], struct(segment="string"))
     removed = local_rows(
-        spark, [(p,) for s in current.segments for p in s.removed_files], struct(path="string")
+        spark, [(s.id, p) for s in current.segments for p in s.removed_parts], struct(segment="string", part="string")
     )
     listed = all_files(spark, lake, table)
-    return listed.join(F.broadcast(segments), "segment").join(removed, "path", "left_anti")
+    return listed.join(segments, "segment").join(removed, ["segment", "part"], "left_anti")
 
 
 def all_files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
@@ -793,7 +783,8 @@ def all_files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("length").alias("bytes"),
-            F.regexp_extract("path", r"/seg=([^/]+)/", 1).alias("segment"),
+            segment_of(F.col("path")).alias("segment"),
+            part_of(F.col("path")).alias("part"),
             F.regexp_extract("path", r"/seg=[^/]+/(.*?)/?[^/]+$", 1).alias("partition"),
         )
     )

@@ -107,7 +107,7 @@ def test_upsert_after_evolution_and_partial_segments(spark, folder):
     got = {r[0]: tuple(r[1:]) for r in lake.read(spark, home, "t").collect()}
     assert len(got) == 21 and got[3] == ("three", 3) and got[4] == ("n4", None)
     state = lake.state(spark, home, "t")
-    removed = [p for s in state.segments for p in s.removed_files]
+    removed = [p for s in state.segments for p in s.removed_parts]
     assert state.rows == 21 and len(removed) == 1
     live = {f.split(":")[-1] for f in lake.read(spark, home, "t").inputFiles()}
     assert lake.files(spark, home, "t").count() == len(live) - len(removed)
@@ -257,20 +257,34 @@ def test_hour_layout_in_another_time_zone(spark, folder):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-def test_many_touched_files_rewrite_whole_segments(spark, folder):
+def test_many_small_parts_join_in_several_tasks(spark, folder):
+    """Far more small files than any constant: untouched parts stay, and several tasks write the rest."""
+    home = Lake(folder)
+    big = spark.range(400_000).select("id", F.expr("uuid()").alias("name")).repartition(3)
+    lake.write(big, home, "t", "append")
+    kept = {r["path"] for r in lake.files(spark, home, "t").collect()}
+    small = spark.range(1_000_000, 1_060_000).select("id", F.expr("uuid()").alias("name"))
+    lake.write(small.repartition(150), home, "t", "append")
+    assert lake.files(spark, home, "t").count() == 153
+    upkeep.compact_small_files(spark, home, "t", target_bytes=1 << 19)
+    now = {r["path"] for r in lake.files(spark, home, "t").collect()}
+    assert kept <= now and 3 <= len(now - kept) <= 8
+    state = lake.state(spark, home, "t")
+    assert len(state.segments) == 2 and not any(s.removed_parts for s in state.segments)
+    assert lake.read(spark, home, "t").agg(F.count("*"), F.sum("id")).first()[:] == (460_000, sum(range(400_000)) + sum(range(1_000_000, 1_060_000)))
+
+
+def test_parts_are_rewritten_one_by_one(spark, folder):
     home = Lake(folder)
     lake.write(frame(spark, *range(40)).repartition(4), home, "t", "append")
-    lake.write(frame(spark, 100, 101), home, "t", "append")
-    kept = lake.state(spark, home, "t").segments[:]
-    before = lake.state(spark, home, "t")
-    touched = lake.scan_with_files(spark, home, before, ["id"]).filter("id < 40")
-    lake.rewrite_files(spark, home, before, touched, lambda r: r.filter("id % 2 = 0"), None, "half", listed_files=2)
-    after = lake.state(spark, home, "t")
-    assert len(after.segments) == 2 and not any(s.removed_files for s in after.segments)
-    assert len({s.id for s in kept} & {s.id for s in after.segments}) == 1
-    assert lake.read(spark, home, "t").count() == 22 == after.rows
-    # A segment that has lost as many files as are listed goes as a whole, too.
-    for i in (0, 2, 4):
-        repair.upsert(spark, home, "t", frame(spark, i), ["id"], ["name"], listed_files=1)
-    assert all(len(s.removed_files) <= 1 for s in lake.state(spark, home, "t").segments)
-    assert lake.read(spark, home, "t").count() == 22 == lake.state(spark, home, "t").rows
+    before = lake.files(spark, home, "t")
+    parts = {r["part"]: r["n"] for r in before.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    paths = {r["path"] for r in before.collect()}
+    for i in (0, 0, 7):
+        repair.upsert(spark, home, "t", frame(spark, i), ["id"], ["name"])
+    state = lake.state(spark, home, "t")
+    assert lake.read(spark, home, "t").count() == 40 == state.rows
+    first = next(s for s in state.segments if any(f"/seg={s.id}/" in p for p in paths))
+    assert 1 <= len(first.removed_parts) <= 2
+    still = paths & {r["path"] for r in lake.files(spark, home, "t").collect()}
+    assert len(still) == sum(n for p, n in parts.items() if p not in first.removed_parts)
