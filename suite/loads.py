@@ -233,6 +233,64 @@ def tiered_load(spark, sf):
     return lake.read(spark, target, "orders").withColumn("tier", F.lit(tier))
 
 
+def in_batches(spark, sf, key):
+    """Orders under another key type, the upper half loaded in batches of a fifth of them."""
+    target, source = new_lake(spark, "batched"), new_lake(spark, "keyed")
+    orders = table(spark, sf, "orders").withColumn("k", F.expr(key))
+    lake.write(orders, source, "orders", "create")
+    start = middle(orders, "o_orderkey")
+    low = orders.filter(F.col("o_orderkey") <= start)
+    lake.write(low, target, "orders", "create", watermark="k")
+    spec = TableSpec("orders", "primary_key", "k")
+    before = loads.next_bookmark(spec, None, low.agg(F.max("k").cast("string").alias("m")).first()["m"], 0)
+    batches.load_in_batches(spark, Job("b", source, target, new_store(spark)), spec, before, max(1, orders.count() // 10))
+    several = len(lake.state(spark, target, "orders").segments) > 4
+    return lake.read(spark, target, "orders").withColumn("k", F.col("k").cast("string")).withColumn("several", F.lit(several))
+
+
+@query("batches_decimal_key", "SELECT *, CAST(o_orderkey AS VARCHAR) AS k, TRUE AS several FROM orders")
+def batches_decimal_key(spark, sf):
+    return in_batches(spark, sf, "cast(o_orderkey as decimal(38,0))")
+
+
+@query("batches_text_key", "SELECT *, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS k, TRUE AS several FROM orders")
+def batches_text_key(spark, sf):
+    return in_batches(spark, sf, "lpad(cast(o_orderkey as string), 12, '0')")
+
+
+RESOLVED = {
+    "region": ("primary_key", "r_regionkey"), "nation": ("primary_key", "n_nationkey"), "customer": ("primary_key", "c_custkey"),
+    "supplier": ("primary_key", "s_suppkey"), "part": ("primary_key", "p_partkey"), "orders": ("primary_key", "o_orderkey"),
+    "lineitem": ("timestamp", "l_shipdate"), "events": ("primary_key", "event_id"), "documents": ("primary_key", "doc_id"),
+    "embeddings": ("primary_key", "vec_id"), "pages": ("primary_key", "page_id"), "benchmark": ("primary_key", "item_id"),
+    "labels": ("primary_key", "doc_id"), "conversations": ("primary_key", "conv_id"),
+}
+
+
+@query(
+    "resolved_run",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{s}' AS strategy, '{c}' AS \"column\", {t in ('orders', 'customer')} AS is_manual, 'completed' AS status, count(*) AS rows FROM {t}"
+        for t, (s, c) in RESOLVED.items()),
+)
+def resolved_run(spark, sf):
+    """All tables of a lake: a manual decimal key in JSON, identifier columns, and names and types for the rest."""
+    source = new_lake(spark, "resolved")
+    for name in TABLES:
+        rows = table(spark, sf, name)
+        if name == "orders":
+            rows = rows.withColumn("o_orderkey", F.col("o_orderkey").cast("decimal(38,0)"))
+        lake.write(rows, source, name, "create")
+    lake.set_identifiers(spark, source, "part", ["p_partkey"])
+    lake.set_identifiers(spark, source, "lineitem", ["l_shipdate"])
+    job = Job("resolved", source, new_lake(spark, "copies"), new_store(spark))
+    manual = '{"orders": "o_orderkey", "customer": {"table_name": "customer", "column_name": "C_CUSTKEY"}}'
+    specs = runner.detect_specs(spark, job, TABLES, manual)
+    log = runner.run_log(spark, runner.run(spark, job, specs))
+    found = local_rows(spark, [(s.table, s.strategy, s.column, s.manual) for s in specs], struct(table_name="string", strategy="string", column="string", is_manual="boolean"))
+    return found.join(log.select("table_name", "status", "rows"), "table_name")
+
+
 @query(
     "validated_run",
     """

@@ -136,8 +136,17 @@ def detect_from_metadata(catalog: DataFrame) -> DataFrame:
     )
 
 
-def resolve(catalog: DataFrame, manual: DataFrame, by_name: bool = False) -> DataFrame:
-    """Manual column where it exists in the table, else the detected one.
+def typed_strategy(kind: Column) -> Column:
+    """The strategy of a column of a type such as `bigint` or `decimal(38,0)`: decimals of scale 0 are keys."""
+    decimal = r"(?i)^(?:decimal|numeric|number)\s*\(\s*\d+\s*(?:,\s*(-?\d+)\s*)?\)$"
+    digits = F.regexp_extract(kind, decimal, 1)
+    scale = F.when(digits == "", F.lit(0)).otherwise(digits.cast("int"))
+    is_decimal = kind.rlike(decimal)
+    return strategy_of_type(F.when(is_decimal, "NUMBER").otherwise(kind), F.when(is_decimal, scale))
+
+
+def resolve(catalog: DataFrame, manual: DataFrame, by_name: bool = False, detected: DataFrame | None = None) -> DataFrame:
+    """Manual column where it exists in the table, else the detected one (by default from metadata).
 
     The strategy of a manual column follows its type, or its name with `by_name`.
     """
@@ -145,14 +154,14 @@ def resolve(catalog: DataFrame, manual: DataFrame, by_name: bool = False) -> Dat
         "table_name", F.lower("column_name").alias("_key"), F.col("column_name").alias("_found"),
         F.col("type").alias("_type"),
     )
-    rule = strategy_of_name(F.col("_found")) if by_name else strategy_of_type(F.col("_type"))
+    rule = strategy_of_name(F.col("_found")) if by_name else typed_strategy(F.col("_type"))
     valid = (
         manual.withColumn("_key", F.lower("column_name"))
         .join(columns, ["table_name", "_key"])
         .select("table_name", F.col("_found").alias("_manual"), rule.alias("_strategy"))
     )
     return (
-        detect_from_metadata(catalog)
+        (detect_from_metadata(catalog) if detected is None else detected)
         .join(valid, "table_name", "left")
         .select(
             "table_name",
@@ -191,6 +200,19 @@ def lake_fallback(catalog: DataFrame) -> DataFrame:
     )
 
 
+def detect_lake(catalog: DataFrame, tables: DataFrame) -> DataFrame:
+    """Strategy and column of lake tables: their identifier columns first, then names and types.
+
+    `tables` has (table_name, identifier_field_ids). The strategy follows the type of the column.
+    """
+    named = identifier_columns(tables, catalog).select("table_name", F.col("column").alias("_identifier"))
+    guessed = lake_fallback(catalog).select("table_name", F.col("column").alias("_guess"))
+    picked = guessed.join(named, "table_name", "left").select("table_name", F.coalesce("_identifier", "_guess").alias("column"))
+    kinds = catalog.select("table_name", F.col("column_name").alias("column"), typed_strategy(F.col("type")).alias("_strategy"))
+    return picked.join(kinds, ["table_name", "column"], "left").select(
+        "table_name", F.coalesce("_strategy", F.lit("hash")).alias("strategy"), "column")
+
+
 def first_identifier(text: Column) -> Column:
     """First number in a comma-separated id list; parts that are no number are skipped."""
     parts = F.transform(F.split(text, ","), lambda p: F.trim(p))

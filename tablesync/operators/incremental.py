@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,8 +58,8 @@ def position(df: DataFrame, column: str) -> Column:
     c = F.col(column)
     if isinstance(kind, T.IntegralType):
         return c.cast("bigint")
-    if isinstance(kind, T.DecimalType) and kind.scale == 0 and kind.precision <= 18:
-        return c.cast("bigint")
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (c * F.lit(10**kind.scale)).cast("bigint")
     if isinstance(kind, T.DateType):
         return F.unix_date(c).cast("bigint")
     if isinstance(kind, T.TimestampType):
@@ -70,8 +71,17 @@ def position(df: DataFrame, column: str) -> Column:
     raise TypeError(f"{column}: no whole-number order for {kind.simpleString()}")
 
 
-def from_position(kind: T.DataType, place: int) -> int | date | datetime:
+def has_position(kind: T.DataType) -> bool:
+    """Whether `position` knows the type; others, such as text and wide decimals, have an order of their own."""
+    if isinstance(kind, T.DecimalType):
+        return kind.precision <= 18
+    return isinstance(kind, (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def from_position(kind: T.DataType, place: int) -> int | Decimal | date | datetime:
     """The inverse of `position` for one value."""
+    if isinstance(kind, T.DecimalType):
+        return Decimal(place).scaleb(-kind.scale)
     if isinstance(kind, T.DateType):
         return date(1970, 1, 1) + timedelta(days=place)
     if isinstance(kind, T.TimestampType):

@@ -7,10 +7,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync.operators.bookmarks import Bookmark, BookmarkStore
 from tablesync.operators.fingerprint import checkpoint_text, lane_sums, row_hash
-from tablesync.operators.incremental import above, between_marks
+from tablesync.operators.incremental import above, between_marks, mark
 from tablesync.operators.schemas import cast_for_target
 from tablesync.sources import endpoints, lake
 from tablesync.sources.endpoints import Endpoint
@@ -79,27 +80,33 @@ def next_bookmark(spec: TableSpec, before: Bookmark | None, value: str | None, r
 def full_load(spark: SparkSession, job: Job, spec: TableSpec, before: Bookmark | None = None) -> TableResult:
     """Replace the target with the source. The bookmark is the highest value in the target.
 
-    A lake target reports it from the write itself; a database is asked for it.
+    A lake target reports it from the write itself; a database is asked for it. A database source
+    may change under the read, so its upper end is fixed first; what comes later waits for the next run.
     """
     started = time.monotonic()
     rows = source_rows(spark, job, spec)
+    if isinstance(job.source, Jdbc) and spec.column:
+        rows = up_to(rows, spec.column, endpoints.highest(spark, job.source, spec.table, spec.column))
     options = dict(spec.sink_options)
-    if spec.strategy == "hash" and isinstance(job.target, Lake):
+    if spec.strategy == "hash":
         options["measures"] = lane_sums(row_hash(rows), "_s")
     done = endpoints.sink(rows, job.target, spec.target, "overwrite", spec.column, **options)
     value, checkpoint = done.high, None
     if spec.column and isinstance(job.target, Jdbc):
         value = endpoints.highest(spark, job.target, spec.target, spec.column)
     if spec.strategy == "hash":
-        checkpoint = _observed_checkpoint(done) or checkpoint_text(rows)
+        checkpoint = _observed_checkpoint(done)
     job.store.put(spark, job.name, [next_bookmark(spec, before, value, done.rows, checkpoint)])
     return TableResult(job.name, spec.table, "full", "completed", done.rows, value, time.monotonic() - started)
 
 
-def _observed_checkpoint(done: endpoints.Written) -> str | None:
+def up_to(rows: DataFrame, column: str, high: str | None) -> DataFrame:
+    """Rows at or below a value, and those without one; all rows where there is no value."""
+    return rows if high is None else rows.filter(F.col(column).isNull() | (F.col(column) <= mark(rows, column, high)))
+
+
+def _observed_checkpoint(done: endpoints.Written) -> str:
     """The fingerprint of exactly the rows a write saw, in the form `checkpoint_text` gives."""
-    if "_s0" not in done.observed:
-        return None
     total = sum((done.observed[f"_s{i}"] or 0) << (20 * i) for i in range(3))
     return f"{done.rows}:{total}"
 
@@ -126,14 +133,14 @@ def incremental_load(spark: SparkSession, job: Job, spec: TableSpec, before: Boo
     if done.rows:
         value = done.high if done.high is not None else before.value
         if isinstance(job.target, Jdbc):
-            _verify_appended(spark, job, spec, before.value, value, done.rows)
+            verify_appended(spark, job, spec, before.value, value, done.rows)
         job.store.put(spark, job.name, [next_bookmark(spec, before, value, done.rows)])
     return TableResult(
         job.name, spec.table, "incremental", "completed", done.rows, value, time.monotonic() - started
     )
 
 
-def _verify_appended(spark, job: Job, spec: TableSpec, low, high, rows: int) -> None:
+def verify_appended(spark, job: Job, spec: TableSpec, low, high, rows: int) -> None:
     """A database commits task by task, so a repeated task may have added rows twice.
 
     The bookmark moves only when the target holds exactly the rows that were sent.

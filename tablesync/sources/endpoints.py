@@ -42,6 +42,8 @@ def schema_of(spark: SparkSession, endpoint: Endpoint, table: str) -> T.StructTy
     """The schema of a table, without a Spark job over its rows."""
     if isinstance(endpoint, Lake):
         return lake.state(spark, endpoint, table).schema
+    if isinstance(endpoint, Jdbc):
+        return jdbc.schema(spark, endpoint, table)
     return scan(spark, endpoint, table).schema
 
 
@@ -53,8 +55,8 @@ def sink(
         done = lake.write(df, endpoint, table, mode, watermark=watermark, **options)
         return Written(done.rows, done.high, done.observed)
     if isinstance(endpoint, Jdbc):
-        rows, high = jdbc.write(df, endpoint, table, mode, watermark)
-        return Written(rows, high)
+        observed = jdbc.write(df, endpoint, table, mode, watermark, options.get("connections"), options.get("measures", ()))
+        return Written(observed["n"], observed.get("high"), observed)
     raise TypeError("plain files are a source only")
 
 

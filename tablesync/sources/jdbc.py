@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.incremental import highest_text, mark_text
+from tablesync.sources.lake import TableNotFound
 
 # Rows per round trip. A database time without a zone stays one: read as an instant, it
 # would move with the session time zone.
@@ -158,30 +161,45 @@ def highest(spark: SparkSession, db: Jdbc, table: str, column: str) -> str | Non
 
 
 def schema(spark: SparkSession, db: Jdbc, table: str) -> T.StructType:
-    """Column names and types; no row is read."""
-    return read_table(spark, db, table).schema
+    """Column names and types; no row is read. A table that is not there raises `TableNotFound`."""
+    try:
+        return read_table(spark, db, table).schema
+    except Exception as error:
+        if says_missing(str(error)):
+            raise TableNotFound(table) from error
+        raise
+
+
+# What the engines say of a table that is not there. Codes and words of their messages.
+MISSING = ("ORA-00942", "SQLSTATE=42704", "SQLCODE=-204", "Invalid object name", "Table/View '")
+
+
+def says_missing(message: str) -> bool:
+    """Whether a database's error message means that the table does not exist."""
+    relation = re.search(r'relation "[^"]*" does not exist|does not exist\.', message)
+    return bool(relation) or any(sign in message for sign in MISSING)
 
 
 def write(
     df: DataFrame, db: Jdbc, table: str, mode: str = "append", watermark: str | None = None,
-    connections: int | None = None,
-) -> tuple[int, str | None]:
-    """Append, or refresh while keeping the target's definition. Returns rows and highest watermark.
+    connections: int | None = None, measures: Sequence[Column] = (),
+) -> dict:
+    """Append, or refresh while keeping the target's definition.
 
-    Each task is one transaction; `connections` bounds how many run at a time.
+    Returns the rows (`n`), the highest watermark (`high`) and `measures`, seen in the same pass. Each
+    task is one transaction; `connections` bounds how many run at a time.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unsupported database write mode {mode!r}")
     seen = Observation()
-    measures = [F.count(F.lit(1)).alias("n")]
+    wanted = [F.count(F.lit(1)).alias("n"), *measures]
     if watermark:
-        measures.append(highest_text(df, watermark).alias("high"))
+        wanted.append(highest_text(df, watermark).alias("high"))
     options = {**BATCH, **db.settings(), "dbtable": db.name(table)}
     if connections:
         options["numPartitions"] = str(connections)
-    writer = df.observe(seen, *measures).write.format("jdbc").options(**options)
+    writer = df.observe(seen, *wanted).write.format("jdbc").options(**options)
     if mode == "overwrite":
         writer = writer.option("truncate", "true")
     writer.mode(mode).save()
-    got = seen.get
-    return got.get("n") or 0, got.get("high")
+    return {"n": 0, **seen.get}

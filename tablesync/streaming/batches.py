@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.operators.bookmarks import Bookmark
-from tablesync.operators.incremental import RankBounds, above, between_marks
+from tablesync.operators.incremental import RankBounds, above, between_marks, has_position, mark_text
 from tablesync.plans.loads import (
     Job,
     TableResult,
@@ -22,8 +22,10 @@ from tablesync.plans.loads import (
     load,
     next_bookmark,
     source_rows,
+    verify_appended,
 )
 from tablesync.sources import endpoints
+from tablesync.sources.jdbc import Jdbc
 from tablesync.sources.lake import Lake
 
 # Row counts at which another way of loading is taken, and rows per batch.
@@ -31,10 +33,6 @@ DIRECT_BELOW = 10_000_000
 STAGING_UP_TO = 100_000_000
 BATCH_ROWS = 1_000_000
 
-# Each batch is a commit that lists the table's segments. A very large delta takes larger
-# batches instead of more of them.
-MOST_BATCHES = 1_000
-
 
 @dataclass(frozen=True)
 class Batch:
@@ -47,7 +45,13 @@ class Batch:
 
 
 def plan_batches(df: DataFrame, column: str, size: int, low: object | None = None) -> Iterator[Batch]:
-    """Bounds of consecutive batches of `size` rows, longer where the last value repeats."""
+    """Bounds of consecutive batches of `size` rows, longer where the last value repeats.
+
+    Columns without a whole-number order (text, wide decimals) give batches of about that many rows.
+    """
+    if not has_position(df.schema[column].dataType):
+        yield from _ranged_batches(df, column, size, low)
+        return
     ranks = RankBounds(df, column, low)
     done, number, start = 0, 0, low
     while done < ranks.total:
@@ -57,6 +61,23 @@ def plan_batches(df: DataFrame, column: str, size: int, low: object | None = Non
         start, done = high, reached
 
 
+def _ranged_batches(df: DataFrame, column: str, size: int, low: object | None) -> Iterator[Batch]:
+    """All bounds in one job: the ends of as many sampled ranges as there are batches.
+
+    Only the column is shuffled, equal values stay in one range, and each range gives one row.
+    """
+    rows = above(df, column, low).filter(F.col(column).isNotNull()).select(column)
+    total = rows.count()
+    if not total:
+        return
+    ranges = rows.repartitionByRange(-(-total // size), column).withColumn("range", F.spark_partition_id())
+    ends = ranges.groupBy("range").agg(F.count(F.lit(1)).alias("n"), mark_text(F.max(column), df.schema[column].dataType).alias("high"))
+    start = low
+    for number, r in enumerate(sorted(ends.collect(), key=lambda r: r["range"]), 1):
+        yield Batch(number, start, r["high"], r["n"])
+        start = r["high"]
+
+
 def next_batch(df: DataFrame, column: str, size: int, low: object | None = None) -> DataFrame:
     """The next bounded increment above a bookmark."""
     batch = next(plan_batches(df, column, size, low), None)
@@ -75,6 +96,8 @@ def load_in_batches(
         options = {"skip_empty": True} if isinstance(job.target, Lake) else {}
         done = endpoints.sink(part, job.target, spec.target, "append", spec.column, **options)
         if done.rows:
+            if isinstance(job.target, Jdbc):
+                verify_appended(spark, job, spec, value, done.high, done.rows)
             value = done.high
             total += done.rows
             job.store.put(spark, job.name, [next_bookmark(spec, before, value, done.rows)])
@@ -107,8 +130,7 @@ def tiered_load(
     delta = above(source_rows(spark, job, spec).select(spec.column), spec.column, before.value).count()
     tier = pick_tier(delta, direct_below, staging_up_to)
     if tier == "batches":
-        size = max(batch_rows, -(-delta // MOST_BATCHES))
-        return tier, load_in_batches(spark, job, spec, before, size)
+        return tier, load_in_batches(spark, job, spec, before, batch_rows)
     if tier == "staging" and isinstance(job.target, Lake):
         staged = TableSpec(**{**spec.__dict__, "sink_options": {**spec.sink_options, "verify": True}})
         return tier, incremental_load(spark, job, staged, before)

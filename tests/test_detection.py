@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions import types as names
@@ -138,3 +139,12 @@ def test_spark_schema_of_lake_fields():
     got = names.spark_schema([("id", "long", True), ("t", "time", False), ("d", "decimal(12, 3)", False), ("x", "decimal(a)", False), ("w", "what", False)])
     assert [f.dataType.simpleString() for f in got] == ["bigint", "string", "decimal(12,3)", "decimal(10,0)", "string"]
     assert not got["id"].nullable
+
+
+def test_strategies_of_typed_columns(spark):
+    kinds = {
+        "decimal(38,0)": "primary_key", "decimal(10)": "primary_key", "decimal(12,2)": "hash", "NUMBER(9,0)": "primary_key",
+        "bigint": "primary_key", "date": "timestamp", "string": "hash",
+    }
+    df = spark.createDataFrame([(k,) for k in kinds], "k string").select("k", detect.typed_strategy(F.col("k")).alias("s"))
+    assert {r["k"]: r["s"] for r in df.collect()} == kinds

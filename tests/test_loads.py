@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tablesync.operators import repair
 from tablesync.operators.bookmarks import Bookmark, BookmarkStore, check, latest
 from tablesync.operators.fingerprint import change_split, checkpoint_text, table_fingerprint
-from tablesync.plans import runner
+from tablesync.plans import loads, runner
 from tablesync.plans.loads import Job, TableSpec
 from tablesync.sources import endpoints, jdbc, lake
 from tablesync.sources.files import Files
@@ -125,6 +125,32 @@ def test_recovery(spark, job):
     assert target(spark, job) == list(range(12))
 
 
+def test_batches_of_every_key_type(spark, folder):
+    """Keys without a whole-number order load in the same batches' worth of rows as others."""
+    for kind in ("decimal(38,0)", "decimal(12,2)", "string", "bigint"):
+        value = "lpad(cast(id as string), 6, '0')" if kind == "string" else f"cast(id as {kind})"
+        rows = spark.range(1000).selectExpr(f"{value} AS k", "id AS v").union(spark.createDataFrame([(None, -1)], "k string, v long").selectExpr(f"cast(k as {kind})", "v"))
+        found = list(batches.plan_batches(rows, "k", 250))
+        assert sum(b.rows for b in found) == 1000 and 3 <= len(found) <= 6 and found[0].low is None, kind
+        source, target = Lake(f"{folder}/{kind}/s"), Lake(f"{folder}/{kind}/t")
+        lake.write(rows, source, "t", "create")
+        job, spec = Job("b", source, target, BookmarkStore(f"{folder}/{kind}/b")), TableSpec("t", "primary_key", "k")
+        start = "000099" if kind == "string" else "99"
+        lake.write(rows.filter(F.col("v") <= 99), target, "t", "create", watermark="k")
+        done = batches.load_in_batches(spark, job, spec, loads.next_bookmark(spec, None, start, 0), 300)
+        assert done.rows == 900 and lake.read(spark, target, "t").filter("v >= 0").agg(F.count("*"), F.sum("v")).first()[:] == (1000, 499500), kind
+        assert len(lake.state(spark, target, "t").segments) >= 3
+
+
+def test_upper_end_and_missing_tables_without_a_database(spark):
+    rows = spark.createDataFrame([(1,), (5,), (None,)], "k long")
+    assert sorted(r["k"] or 0 for r in loads.up_to(rows, "k", "3").collect()) == [0, 1]
+    assert loads.up_to(rows, "k", None).count() == 3
+    for text in ("ORA-00942: table or view does not exist", 'ERROR: relation "x" does not exist', "Invalid object name 'x'.", "SQLCODE=-204, SQLSTATE=42704"):
+        assert jdbc.says_missing(text)
+    assert not jdbc.says_missing("Connection refused") and not jdbc.says_missing("FATAL: password authentication failed")
+
+
 def test_missing_table_fails_alone(spark, job, data):
     files = Job("f", Files(data), job.target, job.store)
     specs = runner.detect_specs(spark, files, ["region", "gone", "orders"], manual={"orders": "O_ORDERKEY"})
@@ -185,7 +211,8 @@ def db(folder):
 
 
 def test_database_round_trip_and_pushdown(spark, db):
-    assert jdbc.write(frame(spark, 0, 100), db, "t", "overwrite", watermark="id") == (100, "99")
+    done = jdbc.write(frame(spark, 0, 100), db, "t", "overwrite", watermark="id")
+    assert (done["n"], done["high"]) == (100, "99")
     jdbc.write(frame(spark, 0, 50), db, "t", "overwrite")
     jdbc.write(frame(spark, 50, 60), db, "t", "append")
     assert endpoints.highest(spark, db, "t", "id") == "59"
