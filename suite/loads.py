@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from suite.base import TABLES, middle, new_lake, new_store, query, table
 from tablesync.functions.structs import local_rows, struct
-from tablesync.operators import detect, repair, upkeep
+from tablesync.operators import detect, repair, runlog, upkeep
 from tablesync.operators.bookmarks import Bookmark
 from tablesync.operators.catalog import catalog
 from tablesync.operators.incremental import above, watermark
@@ -188,6 +188,24 @@ def replicate_all_tables(spark, sf):
     return result
 
 
+@query(
+    "run_report",
+    "WITH t AS (" + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in TABLES) + """)
+    SELECT table_name, 'full' AS mode, 'completed' AS status, rows, rows AS total_rows, if(rows > 0, 100.0, 0.0) AS progress_percent, TRUE AS has_bytes,
+      CAST(14 AS BIGINT) AS tables, CAST(14 AS BIGINT) AS succeeded, CAST(0 AS BIGINT) AS failed, CAST((SELECT sum(rows) FROM t) AS BIGINT) AS all_rows
+    FROM t
+    """,
+)
+def run_report(spark, sf):
+    """Rates per table and the summary of the job, from the log of a real run over all tables."""
+    job = Job("report", Files(sf), new_lake(spark, "report"), new_store(spark))
+    log = runner.run_log(spark, runner.run(spark, job, runner.detect_specs(spark, job, TABLES), raise_on_failure=True))
+    summary = runlog.job_summary(log).select("job_name", "tables", "succeeded", "failed", F.col("rows").alias("all_rows"))
+    return runlog.table_rates(log).join(summary, "job_name").select(
+        "table_name", "mode", "status", "rows", "total_rows", "progress_percent", (F.col("bytes") > 0).alias("has_bytes"),
+        "tables", "succeeded", "failed", "all_rows")
+
+
 @query(
     "hash_strategy_skip",
     """

@@ -59,7 +59,8 @@ def upsert(
     path = workspace(spark, "delta")
     try:
         staged, seen = _stage(newest_per_key(lake.align(delta, before.schema), keys, order), keys, path)
-        rows = lake.scan_with_files(spark, target, before, list(keys))
+        ranges = [(k, seen[f"low{i}"], seen[f"high{i}"], bool(seen[f"nulls{i}"])) for i, k in enumerate(keys)]
+        rows = lake.scan_with_files(spark, target, before, list(keys), ranges)
         for i, key in enumerate(keys):
             rows = rows.filter(_within(rows, key, seen[f"low{i}"], seen[f"high{i}"], seen[f"nulls{i}"]))
         return lake.rewrite_parts(
@@ -100,7 +101,7 @@ def trim(spark: SparkSession, target: Lake, table: str, column: str, bookmark: o
     Only parts that hold such rows are rewritten; file statistics find them.
     """
     before = lake.state(spark, target, table)
-    rows = lake.scan_with_files(spark, target, before, [column])
+    rows = lake.scan_with_files(spark, target, before, [column], [(column, bookmark)])
     touched = above(rows, column, bookmark)
     return lake.rewrite_parts(
         spark, target, before, touched,

@@ -62,6 +62,8 @@ class TableResult:
     watermark: str | None = None
     seconds: float = 0.0
     error: str | None = None
+    total_rows: int = 0
+    bytes: int = 0
 
 
 def source_rows(spark: SparkSession, job: Job, spec: TableSpec) -> DataFrame:
@@ -97,7 +99,10 @@ def full_load(spark: SparkSession, job: Job, spec: TableSpec, before: Bookmark |
     if spec.strategy == "hash":
         checkpoint = _observed_checkpoint(done)
     job.store.put(spark, job.name, [next_bookmark(spec, before, value, done.rows, checkpoint)])
-    return TableResult(job.name, spec.table, "full", "completed", done.rows, value, time.monotonic() - started)
+    return TableResult(
+        job.name, spec.table, "full", "completed", done.rows, value, time.monotonic() - started,
+        total_rows=done.rows, bytes=done.observed.get("bytes") or 0,
+    )
 
 
 def up_to(rows: DataFrame, column: str, high: str | None) -> DataFrame:
@@ -136,7 +141,8 @@ def incremental_load(spark: SparkSession, job: Job, spec: TableSpec, before: Boo
             verify_appended(spark, job, spec, before.value, value, done.rows)
         job.store.put(spark, job.name, [next_bookmark(spec, before, value, done.rows)])
     return TableResult(
-        job.name, spec.table, "incremental", "completed", done.rows, value, time.monotonic() - started
+        job.name, spec.table, "incremental", "completed", done.rows, value, time.monotonic() - started,
+        total_rows=done.rows, bytes=(done.observed.get("bytes") or 0) if done.rows else 0,
     )
 
 

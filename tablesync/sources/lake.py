@@ -337,17 +337,31 @@ def read(
     if between is not None:
         column, low, high = between
         kind = current.schema[column].dataType
-        bounds = [F.lit(v).cast(kind) for v in (low, high)]
-        result = result.filter(F.col(column).between(*bounds))
-        for spec in current.partition_spec:
-            transform, base, _ = parse_transform(spec)
-            # Only transforms that keep the order of the column can prune a range.
-            if base == column and transform != "bucket":
-                ends = [partition_value(spec, b, kind) for b in bounds]
-                result = result.filter(F.col(partition_column(spec)).between(*ends))
+        result = result.filter(F.col(column).between(*[F.lit(v).cast(kind) for v in (low, high)]))
+        result = pruned(result, current, column, low, high)
     return result.select(*[F.col(f"`{f.name}`") for f in current.schema.fields])
 
 
+def pruned(rows: DataFrame, table: TableState, column: str, low: object | None, high: object | None = None, nulls: bool = False) -> DataFrame:
+    """Rows without the partition folders that cannot hold low <= column <= high (an open end: None).
+
+    Only transforms that keep the order of the column can prune a range. With `nulls` the folder of
+    rows without a value stays, too.
+    """
+    kind = table.schema[column].dataType
+    for spec in table.partition_spec:
+        transform, base, _ = parse_transform(spec)
+        if base != column or transform == "bucket":
+            continue
+        folder, inside = F.col(partition_column(spec)), F.lit(True)
+        if low is not None:
+            inside = inside & (folder >= partition_value(spec, F.lit(low).cast(kind), kind))
+        if high is not None:
+            inside = inside & (folder <= partition_value(spec, F.lit(high).cast(kind), kind))
+        rows = rows.filter(inside | folder.isNull() if nulls else inside)
+    return rows
+
+
 def read_increment(
     spark: SparkSession, lake: Lake, table: str, column: str, value: object, ordered: bool = False
 ) -> DataFrame:
@@ -357,6 +371,8 @@ def read_increment(
     if value is not None and current.watermark_column == column:
         kept = tuple(s for s in kept if not _all_at_or_below(current, s, value))
     rows = above(scan_segments(spark, lake, current, kept), column, value)
+    if value is not None:
+        rows = pruned(rows, current, column, value)
     rows = rows.select(*[F.col(f"`{f.name}`") for f in current.schema.fields])
     return rows.orderBy(column) if ordered else rows
 
@@ -514,6 +530,7 @@ def write(
     known = {f.name.lower(): f.name for f in schema.fields}
     marker = known.get(marker.lower()) if marker else None
     segment, observed = write_segment(align(df, schema), lake, table, schema, spec, marker, **layout)
+    observed = {**observed, "bytes": folder_bytes(spark, f"{lake.data_dir(table)}/seg={segment.id}")}
     if verify:
         staged = spark.read.parquet(f"{lake.data_dir(table)}/seg={segment.id}").count() if segment.rows else 0
         if staged != segment.rows:
@@ -543,6 +560,12 @@ def write(
     return Commit(table, number, segment.rows, segment.low, segment.high, True, observed)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder, as the file system knows them; no file is read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
+
 def create_if_missing(
     spark: SparkSession,
     lake: Lake,
@@ -622,13 +645,20 @@ def rewrite_parts(
     return Commit(before.table, after.snapshot, segment.rows, segment.low, segment.high, True)
 
 
-def scan_with_files(spark: SparkSession, lake: Lake, table: TableState, columns: Sequence[str]) -> DataFrame:
-    """Some columns of a snapshot together with the file each row lies in (`_file`)."""
+def scan_with_files(
+    spark: SparkSession, lake: Lake, table: TableState, columns: Sequence[str], ranges: Sequence[tuple] = ()
+) -> DataFrame:
+    """Some columns of a snapshot together with the file each row lies in (`_file`).
+
+    Each of `ranges`, the arguments of `pruned` after the table, leaves out folders.
+    """
     frames = []
     for s_json in dict.fromkeys(s.schema for s in table.segments):
         group = [s for s in table.segments if s.schema == s_json]
         view = replace(table, schema=T.StructType.fromJson(json.loads(s_json)))
         rows = scan_segments(spark, lake, view, group, with_file=True)
+        for limits in ranges:
+            rows = pruned(rows, table, *limits)
         by_id = {f.metadata.get("field_id"): f.name for f in view.schema.fields}
         picked = []
         for c in columns:

@@ -288,3 +288,20 @@ def test_parts_are_rewritten_one_by_one(spark, folder):
     assert 1 <= len(first.removed_parts) <= 2
     still = paths & {r["path"] for r in lake.files(spark, home, "t").collect()}
     assert len(still) == sum(n for p, n in parts.items() if p not in first.removed_parts)
+
+
+def test_increments_trims_and_upserts_prune_folders(spark, folder, data):
+    home, events = Lake(folder), spark.read.parquet(f"{data}/events.parquet")
+    lake.write(events, home, "t", "append", partition_by=["days(ts)"])
+    rows = sorted(r["ts"] for r in events.select("ts").collect())
+    middle = rows[len(rows) // 2]
+    part = lake.read_increment(spark, home, "t", "ts", str(middle))
+    assert part.count() == sum(t > middle for t in rows)
+    current = lake.state(spark, home, "t")
+    for df in (part, lake.scan_with_files(spark, home, current, ["ts"], [("ts", str(middle))]), lake.scan_with_files(spark, home, current, ["ts"], [("ts", str(middle), str(rows[-1]), True)])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    repair.trim(spark, home, "t", "ts", str(middle))
+    assert lake.read(spark, home, "t").count() == sum(t <= middle for t in rows)
+    repair.upsert(spark, home, "t", events.filter(F.col("ts") == F.lit(middle)), ["ts"], ["event_id"])
+    assert lake.read(spark, home, "t").filter(F.col("ts") == F.lit(middle)).count() == 1
