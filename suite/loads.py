@@ -354,17 +354,14 @@ def bookmark_life_cycle(spark, sf):
 @query(
     "load_with_casts",
     """
-    SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(38,10))::VARCHAR AS o_totalprice, o_orderstatus
-    FROM orders
+    SELECT * REPLACE (CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(38,10))::VARCHAR AS o_totalprice) FROM orders
     """,
 )
 def load_with_casts(spark, sf):
     """A full load whose columns are cast for the engine pair, by the source's type names."""
     source, target = new_lake(spark, "oracle"), new_lake(spark, "postgresql")
-    orders = table(spark, sf, "orders").select(
-        "o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), "o_orderstatus"
-    )
-    lake.write(orders, source, "orders", "create")
+    orders = table(spark, sf, "orders")
+    lake.write(orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)")), source, "orders", "create")
     job = Job("casts", source, target, new_store(spark), "oracle", "postgresql")
     spec = TableSpec("orders", source_types={"o_totalprice": "NUMBER(12,2)", "o_orderstatus": "VARCHAR2(1)"})
     runner.run(spark, job, [spec], raise_on_failure=True)
@@ -404,8 +401,8 @@ def staged_write(spark, sf):
 @query(
     "time_travel",
     f"""
-    SELECT 'before' AS version, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey <= {MID_ORDER}
-    UNION ALL SELECT 'after', o_orderkey, o_orderstatus FROM orders
+    SELECT 'before' AS version, * FROM orders WHERE o_orderkey <= {MID_ORDER}
+    UNION ALL SELECT 'after', * FROM orders
     """,
 )
 def time_travel(spark, sf):
@@ -414,9 +411,8 @@ def time_travel(spark, sf):
     low = orders.filter(F.col("o_orderkey") <= middle(orders, "o_orderkey"))
     lake.write(low, home, "orders", "create", committed_at=at(1))
     lake.write(orders, home, "orders", "overwrite", committed_at=at(3))
-    columns = ["o_orderkey", "o_orderstatus"]
-    before = lake.read(spark, home, "orders", as_of=at(2)).select(F.lit("before").alias("version"), *columns)
-    return before.unionByName(lake.read(spark, home, "orders").select(F.lit("after").alias("version"), *columns))
+    before = lake.read(spark, home, "orders", as_of=at(2)).withColumn("version", F.lit("before"))
+    return before.unionByName(lake.read(spark, home, "orders").withColumn("version", F.lit("after")))
 
 
 @query(
@@ -443,22 +439,26 @@ def evolve_schema(spark, sf):
     return lake.read(spark, home, "orders")
 
 
+DESCRIBED = {
+    "region": (2, "r_regionkey"), "nation": (3, "n_nationkey"), "customer": (5, "c_custkey"), "supplier": (4, "s_suppkey"), "part": (6, "p_partkey"),
+    "orders": (6, "o_orderkey"), "lineitem": (11, "l_orderkey"), "events": (6, "event_id"), "documents": (5, "doc_id"), "embeddings": (3, "vec_id"),
+    "pages": (3, "page_id"), "benchmark": (2, "item_id"), "labels": (3, "doc_id"), "conversations": (4, "conv_id"),
+}
+
+
 @query(
     "describe_tables",
     " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, TRUE AS table_exists, {n} AS columns, '{c}' AS identifier, count(*) AS rows FROM {t}"
-        for t, n, c in (("region", 2, "r_regionkey"), ("nation", 3, "n_nationkey"), ("orders", 6, "o_orderkey"),
-                        ("events", 6, "event_id"), ("embeddings", 3, "vec_id"))
+        for t, (n, c) in DESCRIBED.items()
     )
     + " UNION ALL SELECT 'no_such_table', FALSE, NULL, NULL, NULL",
 )
 def describe_tables(spark, sf):
     home = new_lake(spark, "describe")
-    keys = {"region": "r_regionkey", "nation": "n_nationkey", "orders": "o_orderkey", "events": "event_id",
-            "embeddings": "vec_id"}
-    for name, key in keys.items():
+    for name, (_, key) in DESCRIBED.items():
         lake.write(table(spark, sf, name), home, name, "create", identifier_columns=[key])
-    return lake.describe(spark, home, [*keys, "no_such_table"]).select(
+    return lake.describe(spark, home, [*DESCRIBED, "no_such_table"]).select(
         "table_name", "table_exists", F.when(F.col("table_exists"), F.size("columns")).alias("columns"),
         F.get("identifier_columns", F.lit(0)).alias("identifier"), "rows",
     )
@@ -481,7 +481,7 @@ def partition_layout(spark, sf):
 
 @query(
     "partition_pruned_read",
-    f"SELECT event_id, ts, value FROM events WHERE ts BETWEEN {MID_TS} AND (SELECT max(ts) FROM events)",
+    f"SELECT * FROM events WHERE ts BETWEEN {MID_TS} AND (SELECT max(ts) FROM events)",
 )
 def partition_pruned_read(spark, sf):
     """A time range on a table laid out by month; the derived folder column prunes."""
@@ -489,7 +489,7 @@ def partition_pruned_read(spark, sf):
     lake.write(events, home, "events", "create", partition_by=["days(ts)", "bucket(4, user_id)"])
     row = events.agg(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
     low = row["a"] + (row["z"] - row["a"]) / 2
-    return lake.read(spark, home, "events", between=("ts", str(low), str(row["z"]))).select("event_id", "ts", "value")
+    return lake.read(spark, home, "events", between=("ts", str(low), str(row["z"])))
 
 
 @query(

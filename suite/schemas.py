@@ -220,13 +220,14 @@ def column_difference(spark, sf):
     "cast_for_target",
     """
     SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(38,10))::VARCHAR AS price, CAST(o_orderdate AS TIMESTAMP) AS day,
-           o_orderstatus FROM orders
+           o_orderstatus, o_custkey, o_orderpriority FROM orders
     """,
 )
 def cast_for_target(spark, sf):
     """Oracle type names decide the casts: NUMBER to decimal, DATE to timestamp."""
     orders = table(spark, sf, "orders").select(
-        "o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("price"), F.to_date("o_orderdate").alias("day"), "o_orderstatus"
+        "o_orderkey", F.col("o_totalprice").cast("decimal(12,2)").alias("price"), F.to_date("o_orderdate").alias("day"), "o_orderstatus",
+        "o_custkey", "o_orderpriority",
     )
     kinds = {"price": "NUMBER(12,2)", "day": "DATE", "o_orderstatus": "VARCHAR2"}
     cast = schemas.cast_for_target(orders, "oracle", "postgresql", kinds)
