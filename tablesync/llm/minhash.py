@@ -6,9 +6,11 @@ signature (bit counts, corrected for the chance that low bits agree by themselve
 reach the similarity are confirmed on full shingle sets.
 
 No bucket is turned into all its pairs. First every set tries a few of its buckets' pivots (a bucket's
-smallest id). Then only sets of a bucket that are not yet in one component are compared, in cells of
-bounded size spread over tasks: once keeping each set's best partner, once keeping every pair left
-that may reach the similarity. Equal sets are one node from the start, however many rows have them.
+smallest id). Then bucket mates not yet in one component are compared by signature, in cells of bounded
+size; components that may be linked become groups. In each group full sets are compared, again in
+cells, the likeliest first. From each cell only as many pairs leave as connect what is connected in it,
+so what is written grows with the sets, not with their pairs. Equal sets are one node from the start,
+however many rows have them.
 
 A pair of exactly the similarity 0.75 shares no bucket with a chance of (1 - 0.75**4)**32 = 5e-6, and is
 let go by its signature (five standard deviations below) with one of 3e-7.
@@ -43,7 +45,7 @@ class MinHash:
     bits: int = 4  # low bits kept of a minimum
     cutoff: float = 0.55  # estimated similarity from which a pair is confirmed or refuted on full sets
     tries: int = 3  # pivots each set is compared with at first
-    cell: int = 1024  # sets of one side of a cell
+    cell: int = 512  # sets of one side of a cell
 
     @property
     def planes(self) -> list[str]:
@@ -118,10 +120,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
             sets = []
             for column in (2, 3):
                 sets.append([v[s:e] for _, _, v, at in shingles.shingle_sets(part.column(column), p.width) for s, e in zip(at[:-1], at[1:])])
-            keep = []
-            for x, y in zip(*sets):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= p.percent * (len(x) + len(y) - both))
+            keep = [_linked(x, y, p) for x, y in zip(*sets)]
             yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     sides = [texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}")) for c in ("a", "b")]
@@ -132,105 +131,176 @@ def confirmed(pairs: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
 def connected(pairs: DataFrame) -> DataFrame:
     """id and label of every node of the pairs (a, b); the label is the smallest id of its component.
 
-    Each step takes the smallest label around a node and then that label's own label, so the number of
-    steps grows with the logarithm of a component's diameter. Hubs are met by partial minima only.
+    In each step a node joins its smallest neighbour, and edges go on between the joined nodes only, so
+    nodes at least halve and edges melt away. Hubs are met by partial minima only.
     """
-    both = settled(pairs.select("a", "b").union(pairs.select("b", "a")).distinct(), "links")
-    labels = settled(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("label")), "labels")
-    while True:
-        around = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        step = labels.join(around, "id").select("id", F.col("label").alias("was"), F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("id").alias("next"), F.col("label").alias("far"))
-        after = settled(step.join(jump, "next", "left").select("id", "was", F.least("next", "far").alias("label")), "labels")
-        moved = not after.filter("was <> label").isEmpty()
-        discard(labels)
-        labels = after.drop("was")
-        if not moved:
-            discard(both)
-            return labels
-
-
-def _groups(parts: Iterator[pa.RecordBatch], keys: int) -> Iterator[np.ndarray]:
-    """Runs of rows with equal first `keys` columns, as int64 matrices, of batches sorted by them."""
-    rest = None
+    edges = settled(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "links")
+    labels = settled(edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().withColumn("label", F.col("id")), "labels")
+    while not edges.isEmpty():
+        # Of each edge the larger node learns of the smaller one; nodes that learn of none stay.
+        up = settled(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("near")), "parents")
+        top = up.select(F.col("node").alias("near"), F.col("near").alias("far"))
+        up = settled(up.join(top, "near", "left").select("node", F.coalesce("far", "near").alias("up")), "parents")
+        of = lambda c: up.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}"))
+        moved = edges.join(of("a"), "a", "left").join(of("b"), "b").select(F.coalesce("up_a", "a").alias("x"), F.col("up_b").alias("y"))
+        after = settled(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        found = labels.join(up.withColumnRenamed("node", "label"), "label", "left").select("id", F.coalesce("up", "label").alias("label"))
+        found = settled(found, "labels")
+        discard(edges, labels, up)
+        edges, labels = after, found
+    return labels
+
+
+def _groups(parts: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of rows with equal first `keys` columns, of batches sorted by them."""
+    rest: list[pa.RecordBatch] = []
+    last = None
     for part in parts:
-        rows = np.column_stack([c.to_numpy() for c in part.columns])
-        if rest is not None:
-            rows = np.concatenate((rest, rows))
-        cuts = np.flatnonzero((rows[1:, :keys] != rows[:-1, :keys]).any(axis=1)) + 1
-        bounds = [0, *cuts.tolist()]
-        for a, z in zip(bounds[:-1], bounds[1:]):
-            yield rows[a:z]
-        rest = rows[bounds[-1] :]
-    if rest is not None and len(rest):
-        yield rest
-
-
-def open_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, p: MinHash, best_only: bool) -> DataFrame:
-    """Pairs (a, b) of bucket mates in different components whose signatures allow the similarity.
-
-    In a bucket only the sets outside its largest component are compared with the others. They are cut
-    into cells of at most `cell` sets by `cell` sets. With `best_only` each of them keeps, in each
-    cell, the partner it most resembles; else all.
+        if not part.num_rows:
+            continue
+        rows = np.column_stack([c.to_numpy() for c in part.columns[:keys]])
+        cuts = [0, *(np.flatnonzero((rows[1:] != rows[:-1]).any(axis=1)) + 1).tolist(), len(rows)]
+        for a, z in zip(cuts[:-1], cuts[1:]):
+            if rest and (rows[a] != last).any():
+                yield pa.Table.from_batches(rest)
+                rest = []
+            rest.append(part.slice(a, z - a))
+            last = rows[a]
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def _forest(pairs: np.ndarray) -> list[tuple[int, int]]:
+    """As many of the pairs as connect what all of them connect."""
+    parent: dict[int, int] = {}
+    kept = []
+    for a, b in pairs.tolist():
+        x, y = _root(parent, a), _root(parent, b)
+        if x != y:
+            parent[y] = x
+            kept.append((a, b))
+    return kept
+
+
+def _root(parent: dict[int, int], x: int) -> int:
+    while (up := parent.get(x, x)) != x:
+        parent[x] = parent.get(up, up)
+        x = up
+    return x
+
+
+def _cells(members: DataFrame, group: str, p: MinHash) -> DataFrame:
+    """Rows (group, id, label) dealt to cells (group, column, line) of bounded size.
+
+    In a cell, rows of side 1, outside the group's largest component, meet rows of side 0. Together the
+    cells of a group bring each row outside together with every other row.
     """
-    known = members.select("bucket", "id").join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
-    known = settled(known, "bucket-labels")
-    counts = known.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = counts.groupBy("bucket").agg(
+    counts = members.groupBy(group, "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counts.groupBy(group).agg(
         F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("outside"), F.max_by("label", "n").alias("main")).filter("outside > 0")
     blocks = lambda n: F.ceil(F.col(n) / p.cell).cast("long")
-    rows = known.join(mixed, "bucket").withColumns({"columns": blocks("all"), "lines": blocks("outside"), "out": F.col("label") != F.col("main")})
-    rows = rows.join(nodes.select("id", "n", *p.planes), "id")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    rows = members.join(mixed, group).withColumns({"columns": blocks("all"), "lines": blocks("outside"), "out": F.col("label") != F.col("main")})
     rows = rows.withColumns({"column": F.pmod(F.xxhash64("id", F.lit(1)), F.col("columns")), "line": F.pmod(F.xxhash64("id", F.lit(2)), F.col("lines"))})
-    kept = ["bucket", "column", "line", "side", "id", "label", "n", *p.planes]
-    every = rows.withColumn("line", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lines") - 1))).withColumn("side", F.lit(0).cast("long"))
-    outside = rows.filter("out").withColumn("column", F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns") - 1))).withColumn("side", F.lit(1).cast("long"))
-    cells = every.select(kept).union(outside.select(kept))
+    kept = [group, "column", "line", "side", "id", "label"]
+    every = rows.withColumn("line", upto("lines")).withColumn("side", F.lit(0).cast("long"))
+    outside = rows.filter("out").withColumn("column", upto("columns")).withColumn("side", F.lit(1).cast("long"))
+    return every.select(kept).union(outside.select(kept))
+
+
+def _likeness(p: MinHash, x: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Estimated similarities of rows (label, n, signature); -1 in one component or where sizes forbid a link."""
     words, chance = len(p.planes) // p.bits, 2.0**-p.bits
+    differ = np.zeros((len(x), len(others)), dtype=np.int64)
+    for w in range(words):
+        differing = np.zeros((len(x), len(others)), dtype=np.int64)
+        for k in range(p.bits):
+            plane = 2 + w + k * words
+            differing |= x[:, plane, None] ^ others[None, :, plane]
+        differ += np.bitwise_count(differing)
+    like = ((1 - differ / p.hashes) - chance) / (1 - chance)
+    least, most = np.minimum(x[:, 1, None], others[:, 1]), np.maximum(x[:, 1, None], others[:, 1])
+    like[(x[:, 0, None] == others[:, 0]) | (100 * least < p.percent * most)] = -1
+    return like
+
+
+def _likely(p: MinHash, cell: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows of side 1, rows of side 0, estimates) of a cell's pairs that may reach the similarity."""
+    side = cell.column("side").to_numpy()
+    rows = np.column_stack([cell.column(c).to_numpy() for c in ("label", "n", *p.planes)])
+    out, others = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+    for i in range(0, len(out), 64):
+        like = _likeness(p, rows[out[i : i + 64]], rows[others])
+        a, b = np.nonzero(like >= p.cutoff)
+        yield out[i : i + 64][a], others[b], like[a, b]
+
+
+def _pairs(parts: Iterator[list[tuple[int, int]]]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[int, int]] = []
+    for found in parts:
+        held += found
+        if len(held) >= 50_000:
+            yield pa.RecordBatch.from_arrays([pa.array([h[i] for h in held], pa.int64()) for i in (0, 1)], ["a", "b"])
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([h[i] for h in held], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
+def likely_components(members: DataFrame, nodes: DataFrame, p: MinHash) -> DataFrame:
+    """Pairs of components (a, b) with bucket mates whose signatures allow the similarity.
+
+    Per cell only as many pairs as connect all such components of the cell.
+    """
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(cell: pa.Table) -> list[tuple[int, int]]:
+            label = cell.column("label").to_numpy()
+            pairs = [np.column_stack((label[x], label[y])) for x, y, _ in _likely(p, cell) if len(x)]
+            return _forest(np.unique(np.concatenate(pairs), axis=0)) if pairs else []
 
-    def compared(cell: np.ndarray) -> np.ndarray | None:
-        out, others = cell[cell[:, 3] == 1], cell[cell[:, 3] == 0]
-        found = []
-        for i in range(0, len(out), 64):
-            x = out[i : i + 64]
-            differ = np.zeros((len(x), len(others)), dtype=np.int64)
-            for w in range(words):
-                differing = np.zeros((len(x), len(others)), dtype=np.int64)
-                for k in range(p.bits):
-                    plane = 7 + w + k * words
-                    differing |= x[:, plane, None] ^ others[None, :, plane]
-                differ += np.bitwise_count(differing)
-            like = ((1 - differ / p.hashes) - chance) / (1 - chance)
-            least, most = np.minimum(x[:, 6, None], others[:, 6]), np.maximum(x[:, 6, None], others[:, 6])
-            like[(x[:, 5, None] == others[:, 5]) | (100 * least < p.percent * most)] = -1
-            if best_only:
-                at = like.argmax(axis=1) if len(others) else np.zeros(0, dtype=int)
-                good = np.flatnonzero(like[np.arange(len(at)), at] >= p.cutoff)
-                found.append(np.column_stack((x[good, 4], others[at[good], 4])))
-            else:
-                a, b = np.nonzero(like >= p.cutoff)
-                found.append(np.column_stack((x[a, 4], others[b, 4])))
-        return np.concatenate(found) if found else None
+        yield from _pairs(found(cell) for cell in _groups(parts, 3))
+
+    cells = _cells(members, "bucket", p).join(nodes.select("id", "n", *p.planes), "id").select("bucket", "column", "line", "side", "label", "n", *p.planes)
+    return cells.repartition("bucket", "column", "line").sortWithinPartitions("bucket", "column", "line").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def links_between(groups: DataFrame, nodes: DataFrame, texts: DataFrame, p: MinHash) -> DataFrame:
+    """Links (a, b) between components of one group, confirmed on full shingle sets.
+
+    Per cell only as many links as connect all that are linked in the cell; the likeliest pairs are
+    tried first, and pairs that are connected by then are not tried.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for cell in _groups(parts, 3):
-            pairs = compared(cell)
-            if pairs is not None and len(pairs):
-                held.append(pairs)
-                size += len(pairs)
-            if size >= 50_000:
-                yield _batch(held)
-                held, size = [], 0
-        if held:
-            yield _batch(held)
-
-    def _batch(held: list[np.ndarray]) -> pa.RecordBatch:
-        pairs = np.unique(np.sort(np.concatenate(held), axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    dealt = cells.repartition("bucket", "column", "line").sortWithinPartitions("bucket", "column", "line")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+        def found(cell: pa.Table) -> list[tuple[int, int]]:
+            likely = list(_likely(p, cell))
+            x, y, like = (np.concatenate([f[i] for f in likely]) for i in range(3)) if likely else ([], [], [])
+            if not len(x):
+                return []
+            ids, label = cell.column("id").to_numpy(), cell.column("label").to_numpy()
+            used = np.unique(np.concatenate((x, y)))
+            text = cell.column("text").combine_chunks().take(pa.array(used))
+            sets = dict(zip(used.tolist(), (v[s:e] for _, _, v, at in shingles.shingle_sets(text, p.width) for s, e in zip(at[:-1], at[1:]))))
+            parent: dict[int, int] = {}
+            kept = []
+            for k in np.lexsort((y, x, -like)).tolist():
+                i, j = int(x[k]), int(y[k])
+                a, b = _root(parent, int(label[i])), _root(parent, int(label[j]))
+                if a != b and _linked(sets[i], sets[j], p):
+                    parent[b] = a
+                    kept.append((int(ids[i]), int(ids[j])))
+            return kept
+
+        yield from _pairs(found(cell) for cell in _groups(parts, 3))
+
+    cells = _cells(groups, "group", p).join(nodes.select("id", "n", *p.planes), "id").join(texts, "id")
+    cells = cells.select("group", "column", "line", "side", "id", "label", "n", *p.planes, "text")
+    return cells.repartition("group", "column", "line").sortWithinPartitions("group", "column", "line").mapInArrow(run, "a bigint, b bigint")
+
+
+def _linked(x: np.ndarray, y: np.ndarray, p: MinHash) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= p.percent * (len(x) + len(y) - both)
 
 
 def components(docs: DataFrame, key: str, text: str, p: MinHash = MinHash()) -> DataFrame:
@@ -245,31 +315,33 @@ def components(docs: DataFrame, key: str, text: str, p: MinHash = MinHash()) ->
     shared = placed.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).filter("pivot < last")
     members = settled(placed.join(shared.select("bucket", "pivot"), "bucket"), "minhash-buckets")
 
-    # Every set against the pivots of its buckets, at most one per band.
-    tried = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    # Every set against the few pivots with which it shares most buckets.
+    tried = members.filter("id <> pivot").groupBy(F.col("pivot").alias("a"), F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    most = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("shared"), "a"))
+    tried = tried.withColumn("rank", most).filter(F.col("rank") <= p.tries).select("a", "b")
     x, y = nodes.select(F.col("id").alias("a"), "n", *p.planes).alias("x"), nodes.select(F.col("id").alias("b"), "n", *p.planes).alias("y")
-    rated = tried.join(y, "b").join(x, "a").filter(_close(p, "x", "y")).select("a", "b", _estimate(p, "x", "y").alias("like"))
-    best = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("like"), "a"))
-    likely = rated.filter(F.col("like") >= p.cutoff).withColumn("rank", best).filter(F.col("rank") <= p.tries).select("a", "b")
+    likely = tried.join(y, "b").join(x, "a").filter(_close(p, "x", "y") & (_estimate(p, "x", "y") >= p.cutoff)).select("a", "b")
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     texts = settled(texts.join(members.select("id").distinct(), "id", "left_semi"), "minhash-texts")
     labels = connected(settled(confirmed(likely, texts, p), "minhash-links"))
 
-    for best_only in (True, False):
-        pairs = open_pairs(members, labels, nodes, p, best_only)
-        links = settled(confirmed(settled(pairs, "minhash-pairs"), texts, p), "minhash-links")
-        # A link joins the components of its ends, so the next labels are those of a graph of components.
-        of = lambda c: labels.select(F.col("id").alias(c), F.col("label").alias(f"label_{c}"))
-        ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        joined = ends.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
-        merged = connected(joined.filter("a <> b")).withColumnRenamed("label", "merged")
-        known = labels.select("id", "label").union(joined.select("a", "a")).union(joined.select("b", "b")).distinct()
-        labels = settled(
-            known.join(merged.withColumnRenamed("id", "label"), "label", "left").groupBy("id").agg(F.min(F.coalesce("merged", "label")).alias("label")),
-            "labels")
+    # What is not in one component yet: components that may be linked form groups, and the links in each
+    # group are found on full sets.
+    label = F.coalesce("label", "id").alias("label")
+    open_members = settled(members.select("bucket", "id").join(labels, "id", "left").select("bucket", "id", label), "minhash-open")
+    likely = settled(likely_components(open_members, nodes, p), "minhash-likely")
+    groups = connected(likely).select(F.col("id").alias("label"), F.col("label").alias("group"))
+    in_groups = settled(open_members.select("id", "label").distinct().join(groups, "label"), "minhash-groups")
+    links = settled(links_between(in_groups, nodes, texts, p), "minhash-links")
+    # A link joins the components of its ends.
+    of = lambda c: in_groups.select(F.col("id").alias(c), F.col("label").alias(f"label_{c}"))
+    joined = links.join(of("a"), "a").join(of("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    merged = connected(joined).select(F.col("id").alias("label"), F.col("label").alias("merged"))
+    ids = open_members.select("id", "label").distinct().join(merged, "label", "left")
+    labels = settled(ids.select("id", F.coalesce("merged", "label").alias("label")), "minhash-labels")
 
     labelled = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("d1", "d2", "n_shingles", F.coalesce("label", "node").alias("component"))
-    discard(texts, members, nodes)
+    discard(texts, members, open_members, in_groups, nodes)
     of_full = full.select("id", "n_shingles", "d1", "d2").join(labelled, ["d1", "d2", "n_shingles"], "left").select("id", "n_shingles", "component")
     alone = rows.filter("n_shingles = 0 OR id IS NULL").select("id", "n_shingles", F.col("id").alias("component"))
     out = of_full.union(alone)
