@@ -133,7 +133,7 @@ def measured(df: DataFrame, text: str, lang: str, rules: Rules, prefix: str = ""
 def references(features: DataFrame, lang: str, rules: Rules, prefix: str = "") -> DataFrame:
     """One row per language that has a word list: its histograms over all judged documents.
 
-    At most as many rows as the rules have languages, so it may be broadcast.
+    At most as many rows as the rules have languages.
     """
     used = features.filter(F.col(lang).isin(list(rules.common)) & ~F.col(prefix + "base_failed") & (F.col(prefix + "n_words") >= rules.judged_words))
     classes = [F.sum(F.col(prefix + "classes")[i].cast("long")).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
@@ -161,22 +161,26 @@ def distance(counts: Column, reference: Column) -> Column:
 
 
 def judged(features: DataFrame, refs: DataFrame, lang: str, rules: Rules, prefix: str = "") -> DataFrame:
-    """The features with char_distance, word_distance and kept."""
+    """The features with char_distance, word_distance and kept.
+
+    The references, at most one row per word list, become constants of the expressions.
+    """
     n = lambda c: F.col(prefix + c)
-    all_refs = refs.agg(
-        F.map_from_entries(F.collect_list(F.struct("ref_lang", "ref_classes"))).alias(prefix + "of_classes"),
-        F.map_from_entries(F.collect_list(F.struct("ref_lang", "ref_common"))).alias(prefix + "of_common"))
-    # One row that holds at most as many histograms as there are word lists.
-    both = features.join(F.broadcast(all_refs))
-    nearest = F.array_min(F.transform(F.map_values(n("of_classes")), lambda r: distance(n("classes"), r)))
-    own = F.try_element_at(n("of_classes"), F.coalesce(F.col(lang), F.lit("")))
-    out = both.withColumns({
+    found = {r["ref_lang"]: r for r in refs.collect()}
+
+    def constant(name: str) -> Column:
+        pairs = [x for code, r in found.items() for x in (F.lit(code), F.array(*[F.lit(c) for c in r[name]]))]
+        return F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,array<bigint>>")
+
+    code = F.coalesce(F.col(lang), F.lit(""))
+    own = F.try_element_at(constant("ref_classes"), code)
+    nearest = F.array_min(F.transform(F.map_values(constant("ref_classes")), lambda r: distance(n("classes"), r)))
+    out = features.withColumns({
         prefix + "char_distance": F.when(own.isNotNull(), distance(n("classes"), own)).otherwise(nearest),
-        prefix + "word_distance": distance(n("common"), F.try_element_at(n("of_common"), F.coalesce(F.col(lang), F.lit("")))),
+        prefix + "word_distance": distance(n("common"), F.try_element_at(constant("ref_common"), code)),
     })
     far = (F.coalesce(n("char_distance"), F.lit(0.0)) > rules.char_distance) | (F.coalesce(n("word_distance"), F.lit(0.0)) > rules.word_distance)
-    kept = ~n("base_failed") & ~((n("n_words") >= rules.judged_words) & far)
-    return out.withColumn(prefix + "kept", kept).drop(prefix + "of_classes", prefix + "of_common")
+    return out.withColumn(prefix + "kept", ~n("base_failed") & ~((n("n_words") >= rules.judged_words) & far))
 
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
