@@ -93,8 +93,8 @@ def text_model(rows: DataFrame, codes: list[str], p: Fusion) -> np.ndarray:
     used = rows.filter(F.col("declared").isin(codes)).select("text", "declared")
     sums = used.mapInArrow(run, "code bigint, bucket bigint, n bigint").groupBy("code", "bucket").agg(F.sum("n").alias("n"))
     counts = np.full((p.buckets, len(codes)), 0.5)
-    for r in sums.collect():
-        counts[r["bucket"], r["code"]] += r["n"]
+    found = sums.toArrow()
+    counts[found["bucket"].to_numpy(), found["code"].to_numpy()] += found["n"].to_numpy()
     return np.log(counts / counts.sum(axis=0)).astype(np.float32)
 
 

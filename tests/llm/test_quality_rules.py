@@ -82,8 +82,12 @@ def test_rows_pass_with_their_columns(spark):
 
 
 def test_no_python_in_the_plan(spark):
-    df = q.keep_good(documents(spark, awkward()), "text", "lang")
-    assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().toString())
+    df = documents(spark, awkward()).select("doc_id", "text", "lang")
+    features = q.measured(df, "text", "lang", q.Rules())
+    refs = q.references(features, "lang", q.Rules())
+    for frame in (features, refs, q.judged(features, refs, "lang", q.Rules())):
+        plan = frame._jdf.queryExecution().toString()
+        assert not re.search("Python|Arrow|Pandas|NestedLoop|Cartesian", plan)
 
 
 def test_query(spark, data, monkeypatch):
