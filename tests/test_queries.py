@@ -3,16 +3,18 @@
 import pytest
 
 import __spark_entry__ as entry
+from suite import QUERIES
 from suite.check import compare
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, data, name):
     outcome, _, _ = compare(spark, data, name)
     assert outcome in ("match", "rows only")
 
 
 def test_registry():
+    assert set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
