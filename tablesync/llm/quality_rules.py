@@ -198,10 +198,14 @@ def quality(df: DataFrame, key: str, text: str, lang: str, rules: Rules = Rules(
 
 
 def keep_good(df: DataFrame, text: str, lang: str, rules: Rules = Rules()) -> DataFrame:
-    """The rows that the rules keep, with the columns they came with."""
+    """The rows that the rules keep, with the columns they came with.
+
+    The rows are written once with their measures, since the references need a pass of their own and
+    the measures cost more than the writing.
+    """
     prefix = own_name("quality") + "_"
-    rows = df.withColumns({prefix + "lang": F.col(lang)})
-    refs = references(measured(rows, text, prefix + "lang", rules, prefix), prefix + "lang", rules, prefix)
-    refs = settled(refs, "quality-references")
-    found = judged(measured(rows, text, prefix + "lang", rules, prefix), refs, prefix + "lang", rules, prefix)
+    rows = df.withColumn(prefix + "lang", F.col(lang))
+    rows = settled(measured(rows, text, prefix + "lang", rules, prefix), "quality-measured")
+    refs = references(rows, prefix + "lang", rules, prefix)
+    found = judged(rows, refs, prefix + "lang", rules, prefix)
     return found.filter(F.col(prefix + "kept")).select(*[F.col(f"`{c}`") for c in df.columns])
