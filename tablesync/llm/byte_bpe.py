@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHED = 400_000  # encoded units, and pieces, a worker keeps in each of two generations
+CACHED = 100_000  # encoded units, and pieces, a worker keeps in each of two generations
 
 #: A space before a non-space always begins a match of the pattern, so texts can be cut there.
 _CUT = re.compile(r" (?=\S)")
