@@ -75,6 +75,8 @@ CLOSES = {
     "tbody": (_set("thead tbody tfoot"), _set("table")), "thead": (_set("thead tbody tfoot"), _set("table")), "tfoot": (_set("thead tbody tfoot"), _set("table")),
 }
 WRAPPERS = _set("div section ul ol dl table figure details center dir header hgroup address")
+#: Elements whose blocks do not end a paragraph around them.
+SCOPES = _set("noscript template svg math object applet button select")
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
 _NAMED = re.compile(r"""\b(class|id|role|style)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""", re.I)
@@ -108,9 +110,10 @@ class Page:
     def __init__(self, source: str, low: frozenset[str] = frozenset(), depth: int = 48, watch=None):
         self.blocks: list[tuple[str, bool, bool]] = []  # text, in an article, removed as unimportant
         self.low, self.depth, self.watch = low, depth, watch
-        # tag, path, dropped, in an article, removed as unimportant, names of the children
-        self.stack = [["#", "", False, False, False, []]]
+        # tag, path, dropped, in an article, removed as unimportant, names of the children, `mark` before it
+        self.stack = [["#", "", False, False, False, [], 0]]
         self.text: list[str] = []
+        self.mark = 0  # where the text of the innermost dropped inline element begins; what is before waits for its end
         at = 0
         for m in iter(lambda: _TOKEN.search(source, at), None):
             if m.start() > at:
@@ -137,7 +140,7 @@ class Page:
         if name not in HEAD and name != "head" and any(f[0] == "head" for f in stack):
             self._pop_to({"head"}, frozenset())
         if name in ENDS_P:
-            self._pop_to({"p"}, WRAPPERS | {"article", "main", "body", "td", "th", "li", "blockquote", "#"} if name != "p" else frozenset())
+            self._pop_to({"p"}, SCOPES | WRAPPERS | {"article", "main", "body", "td", "th", "li", "blockquote", "#"} if name != "p" else SCOPES)
         if name in CLOSES:
             self._pop_to(*CLOSES[name])
         if name == "br":
@@ -147,21 +150,24 @@ class Page:
             if name in BLOCKS:
                 self._flush()
             return
+        if name in RAW:
+            return  # its body is skipped
         top = stack[-1]
         classes, ruled_out = described(attributes)
         inside = top[3] or ((name == "article" or name == "main") and not top[2])
         dropped = top[2] or name in DROPPED or (name == "header" and not top[3]) or (ruled_out and name not in ("html", "body", "main"))
         block = name in BLOCKS
-        if not block and (dropped == top[2]):
-            if name not in RAW:
-                return  # an inline element changes nothing
+        if not block and dropped == top[2] and not (dropped and any(f[0] == name for f in stack)):
+            return  # an inline element changes nothing; in a dropped one, its own end tag must not end that
         if block:
             self._flush()
         path = top[1] if len(stack) > self.depth or not block else f"{top[1]}/{name}{classes}"
         removed = top[4] or (path in self.low and (name in WRAPPERS or not inside) and name not in ("html", "body", "article", "main"))
         if block and self.watch:
             top[5].append(name + classes)
-        stack.append([name, path, dropped, inside and not dropped, removed, []])
+        stack.append([name, path, dropped, inside and not dropped, removed, [], self.mark])
+        if not block:
+            self.mark = len(self.text)
 
     def _end(self, name: str) -> None:
         if name in BLOCKS:
@@ -180,24 +186,25 @@ class Page:
                 return
 
     def _pop(self) -> None:
-        name, path, _, _, _, children = self.stack[-1]
+        name, path, _, _, _, children, mark = self.stack[-1]
         if name in BLOCKS:
             self._flush()
             if self.watch:
                 runs = [c for c, before in zip(children, [None, *children]) if c != before]
                 self.watch(path, runs, None)
+        else:
+            del self.text[self.mark :]
+            self.mark = mark
         self.stack.pop()
-        if name in RAW:
-            self.text.clear()
 
     def _flush(self) -> None:
-        if self.text:
-            raw = "".join(self.text)
-            self.text.clear()
+        if len(self.text) > self.mark:
+            raw = "".join(self.text[self.mark :])
+            del self.text[self.mark :]
             text = " ".join(html.unescape(raw).split())
             if text:
-                _, path, dropped, inside, removed, _ = self.stack[-1]
-                if self.watch:
+                name, path, dropped, inside, removed, _, _ = self.stack[-1]
+                if self.watch and (name in BLOCKS or not dropped):
                     self.watch(path, None, text)
                 if not dropped:
                     self.blocks.append((text, inside, removed))

@@ -45,6 +45,20 @@ def test_odd_markup():
     assert read("<p>" + "<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+def test_text_around_dropped_inline_elements_stays():
+    read = lambda x: ss.Page(f"<article>{x}</article>").main_text()
+    raw = ["<script>x()</script>", "<style>p{}</style>", '<iframe src="a">no <b>frames</b></iframe>', "<textarea>t</textarea>", "<svg><title>t</title><path/></svg>"]
+    inline = ["<noscript>x</noscript>", "<button>x</button>", "<object>x</object>", '<span class="share">x <span>y</span> z</span>']
+    blocks = [f"<{t}>x<div>y<p>z</p></div><hr>v</{t}>" for t in ("noscript", "button", "object")]
+    for x in raw + inline + blocks:
+        assert read(f"<p>Before {x} after</p><p>next</p>") == "Before after\nnext", x
+        assert read(f"<h2>Before {x} after</h2>") == "Before after", x
+        assert read(f"Before {x} after") == "Before after", x
+    assert read('<div>Before <span class="share"><div>x</div> y</span> after</div>') == "Before after"
+    assert read('<p>Before <span class="ad">x<p>next') == "Before\nnext" and read("<p>Before <button>x</p>after") == "Before\nafter"
+    assert ss.Page("<p>Before <script>lost").main_text() == "Before"
+
+
 def neutral(k, article=True):
     """A page whose notice has no telling tag or class, only its recurrence."""
     inside = f"<p>{prose(k, 30, 900)}</p><p>{prose(k + 5000, 30, 900)}</p>"
