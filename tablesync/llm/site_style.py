@@ -75,30 +75,37 @@ CLOSES = {
     "tbody": (_set("thead tbody tfoot"), _set("table")), "thead": (_set("thead tbody tfoot"), _set("table")), "tfoot": (_set("thead tbody tfoot"), _set("table")),
 }
 WRAPPERS = _set("div section ul ol dl table figure details center dir header hgroup address")
+#: Elements on which a word in an id decides in an article as well; on others there it must hold an article of its own (a reader's).
+ID_DECIDES = _set("div ul ol")
 #: Elements whose blocks do not end a paragraph around them.
 SCOPES = _set("noscript template svg math object applet button select")
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
-_NAMED = re.compile(r"""\b(class|id|role|style)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 
 
-def described(attributes: str) -> tuple[str, bool]:
-    """The part of a node's path that its classes make, and whether its attributes rule it out."""
+def _hinted(value: str) -> bool:
+    return any(w.lower() in HINTS for w in _WORD.findall(value))
+
+
+def described(attributes: str) -> tuple[str, bool, bool]:
+    """The part of a node's path that its classes make, whether its attributes rule it out, and whether its id would."""
     if not attributes.strip():
-        return "", False
-    classes, out = "", False
-    for name, *values, hidden in _NAMED.findall(attributes):
-        value = "".join(values)
+        return "", False, False
+    classes, out, by_id = "", False, False
+    for name, *values in _ATTRIBUTE.findall(attributes):
         name = name.lower()
-        if hidden or (name == "style" and _HIDDEN.search(value)):
-            out = True
-        elif name == "class":
-            classes = "." + ".".join(sorted(value.split()))
-        if name in ("class", "id", "role") and any(w.lower() in HINTS for w in _WORD.findall(value)):
+        if name in ("class", "role", "id"):
+            value = "".join(values)
+            if name == "class":
+                classes = "." + ".".join(sorted(value.split()))
+            if _hinted(value):
+                out, by_id = out or name != "id", by_id or name == "id"
+        elif name == "hidden" or (name == "style" and _HIDDEN.search("".join(values))):
             out = True
-    return re.sub(r"[\s/\d]+", "", classes), out
+    return re.sub(r"[\s/\d]+", "", classes), out, by_id
 
 
 class Page:
@@ -110,8 +117,8 @@ class Page:
     def __init__(self, source: str, low: frozenset[str] = frozenset(), depth: int = 48, watch=None):
         self.blocks: list[tuple[str, bool, bool]] = []  # text, in an article, removed as unimportant
         self.low, self.depth, self.watch = low, depth, watch
-        # tag, path, dropped, in an article, removed as unimportant, names of the children, `mark` before it
-        self.stack = [["#", "", False, False, False, [], 0]]
+        # tag, path, dropped, in an article, removed as unimportant, names of the children, `mark` before it, below an id with a hint
+        self.stack = [["#", "", False, False, False, [], 0, False]]
         self.text: list[str] = []
         self.mark = 0  # where the text of the innermost dropped inline element begins; what is before waits for its end
         at = 0
@@ -153,7 +160,10 @@ class Page:
         if name in RAW:
             return  # its body is skipped
         top = stack[-1]
-        classes, ruled_out = described(attributes)
+        classes, ruled_out, by_id = described(attributes)
+        # In an article ids are made from headings too: there, one decides only on lists and plain boxes.
+        hinted = by_id and top[3] and (name not in ID_DECIDES or "section" in classes.split("."))
+        ruled_out = ruled_out or (by_id and not hinted) or (top[7] and name == "article")
         inside = top[3] or ((name == "article" or name == "main") and not top[2])
         dropped = top[2] or name in DROPPED or (name == "header" and not top[3]) or (ruled_out and name not in ("html", "body", "main"))
         block = name in BLOCKS
@@ -165,7 +175,7 @@ class Page:
         removed = top[4] or (path in self.low and (name in WRAPPERS or not inside) and name not in ("html", "body", "article", "main"))
         if block and self.watch:
             top[5].append(name + classes)
-        stack.append([name, path, dropped, inside and not dropped, removed, [], self.mark])
+        stack.append([name, path, dropped, inside and not dropped, removed, [], self.mark, top[7] or hinted])
         if not block:
             self.mark = len(self.text)
 
@@ -186,7 +196,7 @@ class Page:
                 return
 
     def _pop(self) -> None:
-        name, path, _, _, _, children, mark = self.stack[-1]
+        name, path, _, _, _, children, mark, _ = self.stack[-1]
         if name in BLOCKS:
             self._flush()
             if self.watch:
@@ -203,7 +213,7 @@ class Page:
             del self.text[self.mark :]
             text = " ".join(html.unescape(raw).split())
             if text:
-                name, path, dropped, inside, removed, _, _ = self.stack[-1]
+                name, path, dropped, inside, removed, *_ = self.stack[-1]
                 if self.watch and (name in BLOCKS or not dropped):
                     self.watch(path, None, text)
                 if not dropped:

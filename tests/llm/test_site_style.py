@@ -59,6 +59,19 @@ def test_text_around_dropped_inline_elements_stays():
     assert ss.Page("<p>Before <script>lost").main_text() == "Before"
 
 
+def test_words_in_attributes_that_say_nothing():
+    read = lambda x: ss.Page(f"<article><p>First</p>{x}</article>").main_text()
+    for attribute in ('title="The hidden cost of debt"', 'aria-hidden="false"', 'data-id="related"', "data-class=menu", 'href="/hidden-gems"', 'data-style="display:none"', 'title="class=menu"'):
+        assert read(f"<p {attribute}>Text</p>") == read(f"<section {attribute}>Text</section>") == "First\nText", attribute
+    for x in ('<h2 id="related-work">Text</h2>', '<section id="search">Text</section>', '<section id="advertising"><h3>Text</h3></section>',
+              '<h3 id="notice-periods">Text</h3>', '<p id="reply">Text</p>', '<h2><span id="Comments">Text</span></h2>', '<div class="section" id="search">Text</div>'):
+        assert read(x) == "First\nText", x
+    for x in ("<p hidden>x</p>", '<p HIDDEN="">x</p>', '<p style="color:red; display: none">x</p>', '<p class="notice">x</p>', '<section role="search">x</section>',
+              '<div id="comments">x</div>', '<section id="comments"><article><p>x</p></article></section>'):
+        assert read(x) == "First", x
+    assert ss.Page('<p>First</p><section id="comments">x</section>').main_text() == "First"
+
+
 def neutral(k, article=True):
     """A page whose notice has no telling tag or class, only its recurrence."""
     inside = f"<p>{prose(k, 30, 900)}</p><p>{prose(k + 5000, 30, 900)}</p>"
