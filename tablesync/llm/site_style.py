@@ -9,8 +9,10 @@ whose importance is low are removed from each page; so are branches whose tag, r
 they are no content. In an article a branch is judged only if others there are important, since copies of one article
 say nothing; text blocks directly in an article are its text and stay however often they recur.
 
-Statistics are sums over (host, path, feature), added up per Arrow batch before they are shuffled, so a
-host with a third of all pages is no larger a group than its style tree.
+Pages of a host with the same text blocks (outside dropped elements) are copies and count as one, so a
+page copied often does not look like boilerplate. Statistics are sums over (host, path, feature) of those
+distinct pages, added up before they are shuffled, so a host with a third of all pages is no larger a group
+than its style tree.
 
 Blocks end at block-level tags; `<br>` is white space. In a block character references are decoded and
 white space becomes one space; blocks are joined by a line feed.
@@ -18,14 +20,14 @@ white space becomes one space; blocks are joined by a line feed.
 Edge cases: null and empty pages have an empty text. A null or unusual url belongs to no host, and the
 page is judged by itself. If everything outside articles were removed as unimportant, it stays (a host of
 identical pages). Unclosed and stray tags are read as browsers do, roughly; text after an unclosed comment
-is lost, as in a browser. Repeated rows give repeated rows (and count twice). An empty table gives an empty
+is lost, as in a browser. Repeated rows give repeated rows (and count once). An empty table gives an empty
 table; columns other than the three named are never read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
-import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -237,40 +239,60 @@ def _crc(text: str) -> int:
     return zlib.crc32(data) << 31 ^ zlib.crc32(data[::-1])
 
 
-SUMS = "host string, path string, kind int, feature bigint, pages bigint, n bigint, n_log_n double"
+def _digest(rows: list[tuple]) -> int:
+    return int.from_bytes(hashlib.blake2b(repr(rows).encode(), digest_size=8).digest(), "big", signed=True)
+
+
 PRESENT, STYLE, CONTENT = 0, 1, 2
+PAGE = "host string, same bigint, whole bigint, features array<struct<path:string,kind:int,feature:bigint,n:bigint>>"
 
 
-def tree_sums(pages: DataFrame, p: StyleTree) -> DataFrame:
-    """Per host, path and feature: the pages that have it, its occurrences n, and the sum of n * ln(n) by page."""
+def page_features(pages: DataFrame, p: StyleTree) -> DataFrame:
+    """Per page of a host: a digest of its text blocks that are not dropped, one of all features, and the features."""
+
+    def batch(hosts, same, whole, ends, rows) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [()] * 4
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64())
+        features = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["path", "kind", "feature", "n"])
+        return pa.RecordBatch.from_arrays(
+            [hosts, pa.array(same, pa.int64()), pa.array(whole, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), features)],
+            ["host", "same", "whole", "features"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            sums: dict[tuple, list] = {}
-            for host, source in zip(part.column(0).to_pylist(), part.column(1)):
+            first, same, whole, ends, rows = 0, [], [], [0], []
+            for at, source in enumerate(part.column(1), 1):
                 seen: dict[tuple, int] = {}
 
                 def watch(path, children, text):
                     key = (path, STYLE, _crc("|".join(children))) if text is None else (path, CONTENT, _crc(text))
                     seen[key] = seen.get(key, 0) + 1
 
-                Page(source.as_py() or "", depth=p.depth, watch=watch)
+                page = Page(source.as_py() or "", depth=p.depth, watch=watch)
                 for path in {k[0] for k in seen}:
                     seen[(path, PRESENT, 0)] = 1
-                for key, n in seen.items():
-                    s = sums.setdefault((host, *key), [0, 0, 0.0])
-                    s[0] += 1
-                    s[1] += n
-                    s[2] += n * math.log(n)
-            keys, values = list(sums), list(sums.values())
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.int64()))]
-                    + [pa.array([v[i] for v in values], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))],
-                    ["host", "path", "kind", "feature", "pages", "n", "n_log_n"])
-
-    found = pages.filter("host IS NOT NULL").select("host", "html").mapInArrow(run, SUMS)
-    return found.groupBy("host", "path", "kind", "feature").agg(F.sum("pages").alias("pages"), F.sum("n").alias("n"), F.sum("n_log_n").alias("n_log_n"))
+                own = sorted((*k, n) for k, n in seen.items())
+                rows += own
+                ends.append(len(rows))
+                same.append(_digest([(t, i) for t, i, _ in page.blocks]))
+                whole.append(_digest(own))
+                if len(rows) >= 1 << 16 or at == part.num_rows:
+                    yield batch(part.column(0).slice(first, at - first), same, whole, ends, rows)
+                    first, same, whole, ends, rows = at, [], [], [0], []
+
+    return pages.filter("host IS NOT NULL").select("host", "html").mapInArrow(run, PAGE)
+
+
+def tree_sums(pages: DataFrame, p: StyleTree) -> DataFrame:
+    """Per host, path and feature: the distinct pages that have it, its occurrences n, and the sum of n * ln(n) by page.
+
+    Pages of a host with the same text blocks outside dropped elements are copies and count as one, the one
+    whose features have the smallest digest.
+    """
+    distinct = page_features(pages, p).groupBy("host", "same").agg(F.min_by("features", "whole").alias("features"))
+    found = distinct.select("host", F.inline("features"))
+    n = F.col("n")
+    return found.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).alias("pages"), F.sum(n).alias("n"), F.sum(n * F.log(n)).alias("n_log_n"))
 
 
 def importance(sums: DataFrame, p: StyleTree) -> DataFrame:
@@ -306,7 +328,7 @@ def unimportant(judged: DataFrame, p: StyleTree) -> DataFrame:
 def main_texts(pages: DataFrame, key: str, url: str, source: str, p: StyleTree = StyleTree()) -> DataFrame:
     """Per row: key, url, text, n_chars."""
     used = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(source).alias("html"), host_of(F.col(url)).alias("host"))
-    low = unimportant(settled(importance(tree_sums(used, p), p), "style-importance"), p)
+    low = unimportant(settled(importance(settled(tree_sums(used, p), "style-sums"), p), "style-importance"), p)
     rules = settled(low.groupBy("host").agg(F.collect_set("path").alias("low")), "style-rules")
     # Pages without a host would all meet at null; they look for a host that no page has.
     spread = F.coalesce("host", F.concat(F.lit("?"), F.xxhash64("key", "html").cast("string")))

@@ -100,6 +100,16 @@ def test_articles_stay_however_often_they_recur(spark):
     assert all(out[k][1] == TEXT for k in range(20)) and all(out[100 + k][1] == "All alike" for k in range(20))
 
 
+def test_copies_do_not_make_unique_pages_unimportant(spark):
+    def boxed(k, menu=0):
+        return page(f"<nav>{menu}</nav><div class=zone><span>Always the same words here</span></div><div><p>{prose(k, 30, 900)}</p></div><table><tr><td>{prose(k + 5000, 9, 900)}</table>")
+
+    rows = [(k, f"http://c.example/{k}", boxed(0, k % 7)) for k in range(200)] + [(200 + k, f"http://c.example/u{k}", boxed(1 + k)) for k in range(100)]
+    out = texts(spark, rows)
+    expected = {k: f"{prose(max(0, k - 199), 30, 900)}\n{prose(max(0, k - 199) + 5000, 9, 900)}" for k in range(300)}
+    assert {k: t for k, (_, t, _) in out.items()} == expected
+
+
 def test_importance(spark):
     pages = [(k, f"http://h.example/{k}", neutral(k)[0]) for k in range(16)]
     used = frame(spark, pages).withColumn("host", ss.host_of(F.col("url")))
