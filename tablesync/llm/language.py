@@ -7,10 +7,12 @@ suffix, a suffix's towards all. Tables and priors are sums of text posteriors by
 taken out again, so one large host is a sum like any other.
 
 A row is kept if its text has enough letters, its best language is confident, and (if `wanted` is given)
-is one of the wanted.
+is one of the wanted. Rows that declare a language that is not modelled (too few rows, or beyond the
+`most_languages` largest) have no likelihood to be judged by: they keep the declared language, with no
+confidence, are kept if they have enough letters, and add nothing to the priors of the others.
 
 Edge cases: null and empty texts have no letters, get their language from the other evidence, and are not
-kept. A null declared language, host or suffix is no evidence. Without any modelled language the language
+kept. A null declared language, host or suffix is no evidence, nor is a blank declared language that is not modelled. Without any modelled language the language
 and its confidence are null and no row is kept. Repeated rows give repeated rows (and count twice). An empty
 table gives an empty table. In `keep_known` rows without a key all stay, and rows that share a key go
 together. Other columns are never read; those that pass through keep their names.
@@ -157,12 +159,14 @@ def identify(df: DataFrame, key: str, text: str, declared: str | Column, host: s
     believed = {r["declared"]: r["s"] for r in scores.filter(F.col("declared").isin(codes)).groupBy("declared").agg(_sums("text_share", n).alias("s")).collect()}
     confusion = np.array([believed.get(c, [0.0] * n) for c in codes]) + 5 * np.eye(n) + 0.05
     confusion = np.log(confusion / confusion.sum(axis=0))
-    overall = scores.agg(_sums("text_share", n).alias("s")).first()["s"] or [1.0] * n
+    unmodelled = F.col("declared").isNotNull() & (F.trim("declared") != "") & ~F.col("declared").isin(codes)
+    judged = scores.filter(~unmodelled)
+    overall = judged.agg(_sums("text_share", n).alias("s")).first()["s"] or [1.0] * n
     overall = np.array(overall) + 1.0
     overall = F.array(*[F.lit(float(x)) for x in overall / overall.sum()])
 
-    hosts = scores.filter("host IS NOT NULL").groupBy("host").agg(_sums("text_share", n).alias("of_host"))
-    suffixes = scores.filter("suffix IS NOT NULL").groupBy("suffix").agg(_sums("text_share", n).alias("of_suffix"))
+    hosts = judged.filter("host IS NOT NULL").groupBy("host").agg(_sums("text_share", n).alias("of_host"))
+    suffixes = judged.filter("suffix IS NOT NULL").groupBy("suffix").agg(_sums("text_share", n).alias("of_suffix"))
     # Rows without a host or suffix look for one that no row has, each by itself.
     apart = F.concat(F.lit("\0"), F.xxhash64("key", "letters", "likelihood").cast("string"))
     rows = scores.withColumns({"at_host": F.coalesce("host", apart), "at_suffix": F.coalesce("suffix", apart)})
@@ -182,8 +186,11 @@ def identify(df: DataFrame, key: str, text: str, declared: str | Column, host: s
     out = rows.withColumn("share", _softmax(logs))
     best = F.array_max("share")
     names = F.array(*[F.lit(c) for c in codes])
-    out = out.select("key", F.get(names, (F.array_position("share", best) - 1).cast("int")).alias("language"), best.alias("confidence"), "letters")
-    kept = (F.col("letters") >= p.least_letters) & (F.col("confidence") >= p.confidence)
+    likeliest = F.get(names, (F.array_position("share", best) - 1).cast("int"))
+    out = out.select(
+        "key", F.when(unmodelled, F.col("declared")).otherwise(likeliest).alias("language"),
+        F.when(unmodelled, F.lit(None)).otherwise(best).alias("confidence"), "letters")
+    kept = (F.col("letters") >= p.least_letters) & F.coalesce(F.col("confidence") >= p.confidence, F.lit(True))
     if p.wanted is not None:
         kept = kept & F.col("language").isin(list(p.wanted))
     return out.withColumn("kept", kept).withColumnRenamed("key", key)

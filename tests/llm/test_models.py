@@ -58,6 +58,30 @@ def test_languages_wanted(spark):
     assert all(out[k]["kept"] == (c == "fr") for k, _, c, _ in rows)
 
 
+def test_languages_without_a_model_keep_their_declaration(spark):
+    extra = [(9000 + k, speech("de", 900 + k, 40), "xx", "x.example.en") for k in range(3)] + [(9100, "12 34", "xx", None), (9101, speech("fr", 990, 40), " ", None)]
+    rows, df = spoken(spark, extra)
+    out = identified(df)
+    assert all((out[k]["language"], out[k]["confidence"], out[k]["kept"]) == ("xx", None, True) for k in range(9000, 9003))
+    assert (out[9100]["language"], out[9100]["kept"], out[9101]["language"]) == ("xx", False, "fr")
+    assert all(out[k]["language"] == c and out[k]["kept"] for k, _, c, _ in rows)
+    two = identified(df, lg.Fusion(most_languages=2, wanted=("fr", "de")))
+    assert all(two[k]["language"] == c and two[k]["kept"] == (c != "en") for k, _, c, _ in rows)
+    kept = {r["doc_id"] for r in lg.keep_known(df, "doc_id", "text", "lang", "source", lg.Fusion(most_languages=2)).collect()}
+    assert kept == {k for k, *_ in rows} | {9000, 9001, 9002, 9101}
+
+
+def test_many_languages(spark):
+    def coded(c, k, n=40):
+        rng = random.Random(f"{c}-{k}")
+        return " ".join(f"{chr(97 + c // 26)}{chr(97 + c % 26)}{rng.choice('aeiou')}{chr(97 + c % 26)}" for _ in range(n))
+
+    rows = [(c * 100 + k, coded(c, k), f"l{c:02}", f"s{c}") for c in range(70) for k in range(5)]
+    out = identified(documents(spark, rows))
+    assert all(out[k]["language"] == c and out[k]["kept"] for k, _, c, _ in rows)
+    assert len({r["language"] for r in out.values() if r["confidence"] is not None}) == 64
+
+
 def test_language_awkward_rows(spark):
     extra = [(k, t, None, None) for k, t in awkward()] + [(9003, speech("en", 5, 30), "zz", None)]
     rows, df = spoken(spark, extra)
