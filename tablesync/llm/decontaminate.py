@@ -131,12 +131,14 @@ class Index:
         hits: dict[int, dict[int, tuple[float, int]]] = {}
         if not len(features) or not self.classes:
             return hits
-        # Ones in the features before every second one, modulo 2**16: differences over a window are exact.
+        # Ones in the features before every second one. Doubled differences over a window must not pass the type's largest
+        # number; sums may, since they are taken modulo its size.
+        kind = np.int16 if max(c.window for c in self.classes) < 16_000 else np.int64
         bits = one_bits(features)
         if len(bits) % 2:
             bits = np.concatenate((bits, np.zeros((1, 64), dtype=np.uint8)))
-        total = np.zeros((len(bits) // 2 + 1, 64), dtype=np.int16)
-        np.cumsum(bits[0::2] + bits[1::2], axis=0, dtype=np.int16, out=total[1:])
+        total = np.zeros((len(bits) // 2 + 1, 64), dtype=kind)
+        np.cumsum(bits[0::2] + bits[1::2], axis=0, dtype=kind, out=total[1:])
         of_item = np.concatenate(([0], np.cumsum(self.table[exact & np.uint64(0xFFFFF)])))
         lengths = np.diff(feature_at)
         for c in self.classes:

@@ -82,6 +82,12 @@ def test_awkward_rows(spark):
     assert sorted(map(repr, (r["doc_id"] for r in kept.collect()))) == sorted(repr(k) for k, h in expected(rows, whole) if not h)
 
 
+def test_long_items(spark):
+    items = [(k, prose(3000 + k, n, 3000)) for k, n in enumerate((16_000, 40_000, 70_000))] + [(9, "all alike " * 20_000)]
+    rows = [(k, f"{prose(70 + k, 50, 3000)} {text} {prose(80 + k, 50, 3000)}") for k, text in items]
+    assert found(spark, rows, items) == [(k, {k: 1.0}) for k, _ in items]
+
+
 def test_empty_tables(spark):
     assert found(spark, awkward()[:4], []) == [(k, {}) for k, _ in awkward()[:4]]
     assert found(spark, [], [(1, prose(1, 30))]) == []
