@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm import byte_bpe, decontaminate, kneser_ney, language, minhash, quality_model, quality_rules, site_style, token_counts, warc
+from tablesync.llm import byte_bpe, decontaminate, kneser_ney, language, merkle, minhash, quality_model, quality_rules, sharding, site_style, token_counts, warc, whitening
 from tablesync.llm.base import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -121,3 +121,72 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_model.quality(docs, labels, "doc_id", "text", "quality", "source", "lang")
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), "vec_id")
+
+
+def merkle_sql(levels: int = 8, top_levels: int = 4, fan: int = 8) -> str:
+    """The manifest in SQL, for up to fan ** levels rows of a language and fan ** top_levels languages."""
+    # One byte of a CRC-32 is eight steps of one bit.
+    crc = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda r, b: list_reduce([xor(r, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+    part = lambda c: f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"
+    run = f"PARTITION BY tree, pos // {fan} ORDER BY pos ROWS BETWEEN"
+
+    def tree(name: str, count: int) -> list[str]:
+        """The levels above name0 (tree, pos, n, node), and the other nodes of each run."""
+        out = []
+        for i in range(count):
+            out.append(f"""{name}s{i} AS MATERIALIZED (SELECT tree, pos, n,
+              coalesce(string_agg(node, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+              coalesce(string_agg(node, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM {name}{i})""")
+            out.append(f"""{name}{i + 1} AS MATERIALIZED (SELECT tree, pos // {fan} AS pos, (n + {fan - 1}) // {fan} AS n,
+              CASE WHEN n > 1 THEN sha256(string_agg(node, '' ORDER BY pos)) ELSE min(node) END AS node FROM {name}{i} GROUP BY tree, pos // {fan}, n)""")
+        return out
+
+    def folds(name: str, source: str, at: str, of: str, count: int) -> list[str]:
+        """Rows of `source` with node and proof carried up the levels of a tree."""
+        out = []
+        for i in range(count):
+            out.append(f"""{name}{i + 1} AS (SELECT f.* EXCLUDE (folded, proof), proof || before || after AS proof,
+              CASE WHEN s.n > 1 THEN sha256(before || folded || after) ELSE folded END AS folded
+              FROM {source if i == 0 else f"{name}{i}"} f JOIN {of}s{i} s ON s.tree = f.{at}tree AND s.pos = f.{at}pos // {fan**i})""")
+        return out
+
+    steps = [
+        f"""d AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256({head} || {part("text")}) AS leaf,
+          CASE WHEN {crc} % 3 = 0 THEN sha256({head} || {part(lower)}) END AS changed FROM documents)""",
+        """p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+          count(*) OVER (PARTITION BY tree) AS n FROM d)""",
+        "a0 AS (SELECT tree, pos, n, leaf AS node FROM p)", *tree("a", levels),
+        f"""b0 AS MATERIALIZED (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, node, tree AS lang_tree FROM a{levels})""",
+        *tree("b", top_levels),
+        "f AS (SELECT p.*, '' AS proof, coalesce(changed, leaf) AS folded FROM p)", *folds("f", "f", "", "a", levels),
+        f"g AS (SELECT f.*, b0.node AS subroot, '' AS top_tree, b0.pos AS top_pos FROM f{levels} f JOIN b0 ON b0.lang_tree = f.tree)",
+        *folds("g", "g", "top_", "b", top_levels),
+    ]
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, subroot, b.node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = b.node AS verified
+FROM g{top_levels}, b{top_levels} b"""
+
+
+@query("op12_merkle", merkle_sql())
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    changed = {"text": merkle.tampered_text(F.col("text"))}
+    when = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 3 == 0
+    found = merkle.manifest(docs, "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], "lang", changed, when)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op13_sharding")
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.sharded(table(spark, sf_dir, "documents"), "doc_id", "text", shards=8)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
