@@ -57,9 +57,9 @@ class Fit:
 
 def gridded(vector: Column, g: Grid) -> Column:
     """The vector as whole numbers; null where it is to be left out."""
-    scaled = F.transform(vector.cast("array<double>"), lambda c: F.floor(c * g.scale).cast("double"))
-    fits = F.forall(scaled, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < EXACT / 2))
-    return F.when(fits, F.transform(scaled, lambda c: c.cast("long") + g.offset))
+    entries = F.transform(vector.cast("array<double>"), lambda c: c * g.scale)
+    fits = F.forall(entries, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < EXACT / 2))
+    return F.when(fits, F.transform(entries, lambda c: F.floor(c) + g.offset))
 
 
 def _matrices(column: pa.Array, length: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -119,9 +119,9 @@ def _summed(df: DataFrame, run, kind: str) -> dict[tuple[int, int], object]:
 def refined(matrix: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues, falling, and unit eigenvectors of a symmetric matrix, from float32 to the precision given.
 
-    One round sets X to X + X E, with E from R = I - X'X and S = X'AX alone. A pair of eigenvalues closer than what
-    the error of S can tell apart is not separated by E; such clusters get the eigenvectors of their block of S,
-    with the cluster's mean taken off first, so that small differences keep their digits.
+    One round sets X to X + X E, with E from R = I - X'X and S = X'AX alone. Pairs of eigenvalues closer than what
+    the error of S, or its rounding, lets E tell apart are not separated by E; such clusters get the eigenvectors
+    of their block of S, with the cluster's mean taken off first, so that small differences keep their digits.
     """
     a = matrix.astype(REFINED)
     size, eps = len(a), np.finfo(REFINED).eps
@@ -129,25 +129,24 @@ def refined(matrix: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarra
     a = a / scale
     _, start = np.linalg.eigh(a.astype(np.float32))
     x, eye = start.astype(REFINED), np.eye(size, dtype=REFINED)
-    values = np.zeros(size, dtype=REFINED)
     for _ in range(rounds):
         r, s = eye - x.T @ x, x.T @ (a @ x)
+        s = (s + s.T) / 2
         values = np.diag(s) / (1 - np.diag(r))
         off = s - np.diag(np.diag(s))
-        error = 2 * (np.sqrt((off**2).sum()) + np.sqrt((r**2).sum()))
+        if max(np.abs(r).max(), np.abs(off).max()) < 8 * size * eps:
+            break
+        # An entry of E is wrong by the rounding of S over the gap; its square must stay below the rounding.
+        error = max(2 * (np.sqrt((off**2).sum()) + np.sqrt((r**2).sum())), size * np.sqrt(eps))
         gap = values[None, :] - values[:, None]
         apart = np.abs(gap) > error
-        e = np.where(apart, (s + values[None, :] * r) / np.where(apart, gap, 1), r / 2)
-        x = x + x @ e
+        x = x + x @ np.where(apart, (s + values[None, :] * r) / np.where(apart, gap, 1), r / 2)
         order = np.argsort(values)
         x, values = x[:, order], values[order]
-        # Runs of eigenvalues that this round could not tell apart.
         cuts = [0, *(np.flatnonzero(np.diff(values) > error) + 1).tolist(), size]
         for lo, hi in zip(cuts[:-1], cuts[1:]):
             if hi - lo > 1:
                 x[:, lo:hi] = _separated(a, x[:, lo:hi], values[lo:hi].mean())
-        if np.abs(e).max() < 64 * size * eps:
-            break
     r = x.T @ x
     values = np.diag(x.T @ (a @ x)) / np.diag(r)
     x = x / np.sqrt(np.diag(r))
