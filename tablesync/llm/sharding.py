@@ -17,6 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -210,8 +211,6 @@ def sharded(df: DataFrame, key: str, text: str, shards: int | None = None, capac
     weights = pieces.groupBy("weight").agg(F.count(F.lit(1)).alias("n")).toArrow().sort_by([("weight", "descending")])
     listed = [weights.column(c).to_pylist() for c in ("weight", "n")]
     plan = balanced(*listed, shards) if shards else best_fit(*listed, full)
-    import pandas as pd
-
     planned = df.sparkSession.createDataFrame(
         pd.DataFrame({"weight": plan.weight, "first": plan.first, "last": plan.last, "shard": np.array(plan.shard, dtype=np.int32)}),
         "weight bigint, first bigint, last bigint, shard int")
