@@ -382,6 +382,33 @@ def lake_increment(spark, sf):
     return lake.read_increment(spark, home, "events", "ts", str(row["a"] + (row["z"] - row["a"]) / 2), ordered=True)
 
 
+@query("lake_increment_nothing_new", """
+    SELECT kind, CAST(n AS BIGINT) AS n FROM (
+      SELECT 'above the highest' AS kind, 0 AS n UNION ALL SELECT 'of an empty table', 0
+      UNION ALL SELECT 'loaded by the second run', 0 UNION ALL SELECT 'loaded by the third run', (SELECT count(*) FROM events WHERE ts > (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events))
+      UNION ALL SELECT 'in the target', (SELECT count(*) FROM events))""")
+def lake_increment_nothing_new(spark, sf):
+    """Increments of a table partitioned by day: with nothing new, of an empty table, and with half the rows new."""
+    events, home, target = table(spark, sf, "events"), new_lake(spark, "nothing"), new_lake(spark, "nothing-target")
+    top = events.agg(F.max("ts").cast("string").alias("t"), (F.min("ts") + (F.max("ts") - F.min("ts")) / 2).cast("string").alias("m")).first()
+    lake.create_if_missing(spark, home, "empty", events.schema, partition_by=["days(ts)"])
+    early = events.filter(F.col("ts") <= F.lit(top["m"]).cast("timestamp_ntz"))
+    lake.write(early, home, "events", "create", partition_by=["days(ts)"], watermark="ts")
+    above_all = lake.read_increment(spark, home, "events", "ts", top["t"]).count()
+    of_empty = lake.read_increment(spark, home, "empty", "ts", top["t"]).count()
+    job = Job("nothing", home, target, new_store(spark))
+    spec = [TableSpec("events", "timestamp", "ts")]
+    runner.run(spark, job, spec)
+    second = runner.run(spark, job, spec)[0]
+    lake.write(events.filter(F.col("ts") > F.lit(top["m"]).cast("timestamp_ntz")), home, "events", "append")
+    third = runner.run(spark, job, spec)[0]
+    found = [
+        ("above the highest", above_all), ("of an empty table", of_empty), ("loaded by the second run", second.rows),
+        ("loaded by the third run", third.rows), ("in the target", lake.read(spark, target, "events").count()),
+    ]
+    return local_rows(spark, found, struct(kind="string", n="bigint"))
+
+
 @query("create_then_append", "SELECT * FROM supplier")
 def create_then_append(spark, sf):
     """An empty clone of a schema, then an append matched by column name."""

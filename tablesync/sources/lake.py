@@ -316,7 +316,8 @@ def scan_segments(
             shown = _project(files, written, table.schema) if not with_file else files
         frames.append(shown)
     if not frames:
-        return local_rows(spark, [], table.schema)
+        extra = [T.StructField("_file", T.StringType())] if with_file else []
+        return local_rows(spark, [], T.StructType(table.schema.fields + partitions + extra))
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame, allowMissingColumns=with_file)

@@ -305,3 +305,28 @@ def test_increments_trims_and_upserts_prune_folders(spark, folder, data):
     assert lake.read(spark, home, "t").count() == sum(t <= middle for t in rows)
     repair.upsert(spark, home, "t", events.filter(F.col("ts") == F.lit(middle)), ["ts"], ["event_id"])
     assert lake.read(spark, home, "t").filter(F.col("ts") == F.lit(middle)).count() == 1
+
+
+def test_increment_with_nothing_new_on_a_partitioned_table(spark, folder, data):
+    home, events = Lake(folder), spark.read.parquet(f"{data}/events.parquet")
+    lake.create_if_missing(spark, home, "t", events.schema, partition_by=["days(ts)"])
+    assert lake.read_increment(spark, home, "t", "ts", "2024-01-01").count() == 0
+    assert lake.read(spark, home, "t", between=("ts", "2024-01-01", "2024-02-01")).count() == 0
+    lake.write(events, home, "t", "append", watermark="ts")
+    top = str(events.agg(F.max("ts")).first()[0])
+    found = lake.read_increment(spark, home, "t", "ts", top)
+    assert found.count() == 0 and found.schema.names == events.schema.names
+
+
+def test_runs_read_lake_increments_by_folders(spark, folder, data):
+    from tablesync.operators.bookmarks import BookmarkStore
+    from tablesync.plans.loads import Job, TableSpec, lake_delta
+
+    home, events = Lake(folder), spark.read.parquet(f"{data}/events.parquet")
+    lake.write(events, home, "t", "append", partition_by=["days(ts)"])
+    rows = sorted(r["ts"] for r in events.select("ts").collect())
+    middle = rows[len(rows) // 2]
+    delta = lake_delta(spark, Job("j", home, Lake(f"{folder}/x"), BookmarkStore(f"{folder}/b")), TableSpec("t", "timestamp", "ts"), str(middle))
+    assert delta.count() == sum(t > middle for t in rows)
+    plan = delta._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
