@@ -66,9 +66,9 @@ class TableResult:
     bytes: int = 0
 
 
-def source_rows(spark: SparkSession, job: Job, spec: TableSpec) -> DataFrame:
+def source_rows(spark: SparkSession, job: Job, spec: TableSpec, **options) -> DataFrame:
     """The source table, cast for the target engine."""
-    rows = endpoints.scan(spark, job.source, spec.table, **spec.scan_options)
+    rows = endpoints.scan(spark, job.source, spec.table, **{**spec.scan_options, **options})
     return cast_for_target(rows, job.source_engine, job.target_engine, spec.source_types)
 
 
@@ -87,6 +87,18 @@ def lake_delta(spark: SparkSession, job: Job, spec: TableSpec, low: str | None)
     return cast_for_target(rows, job.source_engine, job.target_engine, spec.source_types)
 
 
+def database_delta(spark: SparkSession, job: Job, spec: TableSpec, low: str | None) -> DataFrame:
+    """Rows of a database table above a bookmark and up to its present end.
+
+    Where the table is read in parallel, the ranges are cut evenly between those two values.
+    """
+    high, options = endpoints.highest(spark, job.source, spec.table, spec.column), {}
+    if high is not None and spec.scan_options.get("partitions", 1) > 1:
+        options = {"partition_column": spec.column, "low": low, "high": high}
+    rows = source_rows(spark, job, spec, **options)
+    return rows.limit(0) if high is None else between_marks(rows, spec.column, low, high)
+
+
 def next_bookmark(spec: TableSpec, before: Bookmark | None, value: str | None, rows: int, checkpoint=None) -> Bookmark:
     return Bookmark(
         spec.table, spec.strategy, spec.column, value, checkpoint, False, spec.manual,
@@ -140,9 +152,7 @@ def incremental_load(spark: SparkSession, job: Job, spec: TableSpec, before: Boo
     """
     started = time.monotonic()
     if isinstance(job.source, Jdbc):
-        rows = source_rows(spark, job, spec)
-        high = endpoints.highest(spark, job.source, spec.table, spec.column)
-        delta = rows.limit(0) if high is None else between_marks(rows, spec.column, before.value, high)
+        delta = database_delta(spark, job, spec, before.value)
     elif isinstance(job.source, Lake):
         delta = lake_delta(spark, job, spec, before.value)
     else:

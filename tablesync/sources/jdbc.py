@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.operators.incremental import highest_text, mark_text
+from tablesync.operators.incremental import above, highest_text, mark, mark_text
 from tablesync.sources.lake import TableNotFound
+from tablesync.sources.ranges import can_cut, conditions, cut_query, inside, quoted
 
 # Rows per round trip. A database time without a zone stays one: read as an instant, it
 # would move with the session time zone.
@@ -55,10 +56,6 @@ class Jdbc:
         return {**base, **ENGINE_OPTIONS.get(self.engine.lower(), {}), **self.options}
 
 
-def quoted(name: str) -> str:
-    return '"' + name.replace('"', '""') + '"'
-
-
 def read_query(spark: SparkSession, db: Jdbc, sql: str) -> DataFrame:
     """A query that the database runs."""
     return spark.read.format("jdbc").options(**{**FETCH, **db.settings(), "query": sql}).load()
@@ -70,22 +67,55 @@ def read_table(
     table: str,
     partition_column: str | None = None,
     partitions: int = 1,
+    tie: str | None = None,
+    low: str | None = None,
+    high: str | None = None,
 ) -> DataFrame:
-    """A whole table; with a partition column, in parallel over its value range.
+    """A whole table; with a partition column, in parallel over ranges of even row counts.
 
-    Later filters and column choices on the result are pushed into the database.
-    Take a column whose values spread evenly, such as the key: a range cannot split
-    one value over several tasks.
+    `low` and `high`, as bookmark text, limit the partition column to low < column <= high. A value that repeats is
+    cut by the column `tie`, a key, where one is given. Later filters and column choices on the result are pushed
+    into the database.
     """
     options = {**FETCH, **db.settings(), "dbtable": db.name(table)}
-    if partition_column and partitions > 1:
-        ends = value_range(spark, db, table, partition_column)
-        if ends is not None:
-            options.update(
-                partitionColumn=quoted(partition_column),
-                lowerBound=str(ends[0]), upperBound=str(ends[1]), numPartitions=str(partitions),
-            )
-    return spark.read.format("jdbc").options(**options).load()
+    plain = spark.read.format("jdbc").options(**options).load()
+    if not partition_column or (partitions < 2 and low is None and high is None):
+        return plain
+    found = even_ranges(spark, db, table, plain.schema, [partition_column, *([tie] if tie else [])], partitions, low, high)
+    if found is None:
+        rows = above(plain, partition_column, low)
+        return rows if high is None else rows.filter(F.col(partition_column) <= mark(rows, partition_column, high))
+    source = {**FETCH, **db.settings()}
+    return spark.read.options(**{k: v for k, v in source.items() if k != "url"}).jdbc(db.url, db.name(table), predicates=found)
+
+
+def even_ranges(
+    spark: SparkSession, db: Jdbc, table: str, schema: T.StructType, columns: Sequence[str], partitions: int, low: str | None, high: str | None
+) -> list[str] | None:
+    """Conditions of about `partitions` ranges with equally many rows; None for types without literals.
+
+    The database counts the rows and finds the cut points; at most a row per range comes back. NULLs of the first
+    column belong to a read without a lower end only.
+    """
+    kinds = {f.name.lower(): (f.name, f.dataType) for f in schema.fields}
+    typed = [kinds[c.lower()] for c in columns]
+    if not all(can_cut(kind) for _, kind in typed):
+        return None
+    name, kind = typed[0]
+    # The order of the database decides, not that of the text: cut points come with their places.
+    span = inside(name, kind, low, high, db.engine)
+    empty = f"SUM(CASE WHEN {quoted(name)} IS NULL THEN 1 ELSE 0 END)"
+    where = span if low is not None else f"({span} OR {quoted(name)} IS NULL)"
+    counted = read_query(spark, db, f"SELECT COUNT({quoted(name)}) AS n, {empty} AS e FROM {db.name(table)} WHERE {where}").first()
+    nulls = False if low is not None else bool(counted[1]) or None
+    sql = cut_query(db.name(table), [n for n, _ in typed], span, counted[0], partitions, db.engine)
+    cuts = []
+    if sql is not None:
+        rows = read_query(spark, db, sql)
+        texts = [mark_text(F.col(f"`{c}`"), kind).alias(f"c{i}") for i, (c, (_, kind)) in enumerate(zip(rows.columns, typed))]
+        found = sorted(rows.select(F.col(f"`{rows.columns[-1]}`").alias("place"), *texts).collect(), key=lambda r: r["place"])
+        cuts = [tuple(r[1:]) for r in found if None not in tuple(r)]
+    return conditions(typed, low, high, cuts, db.engine, nulls)
 
 
 # Column catalogs of the engines, all tables of a schema in one query. Names differ per

@@ -294,3 +294,63 @@ def test_parallel_scan_of_a_detected_table(spark, db, job, data):
     assert rows.rdd.getNumPartitions() == 3
     assert rows.exceptAll(orders).count() == 0 and rows.count() == orders.count()
     assert runner.run(spark, source, specs, raise_on_failure=True)[0].rows == orders.count()
+
+
+def spread(rows):
+    return [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+@pytest.mark.parametrize("column, low", [("o_orderkey", "300"), ("o_orderdate", "1994-01-01 00:00:00"), ("o_totalprice", None), ("price", "20000.00")])
+def test_database_ranges_are_even_for_every_type(spark, db, data, column, low):
+    orders = spark.read.parquet(f"{data}/orders.parquet").withColumn("price", F.col("o_totalprice").cast("decimal(12,2)"))
+    # Three quarters of the rows crowd at one end, where ranges of equal width would be uneven.
+    crowded = orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderkey")).otherwise(F.col("o_orderkey") * 1000))
+    jdbc.write(crowded, db, "orders", "overwrite")
+    high = endpoints.highest(spark, db, "orders", column) if low else None
+    rows = endpoints.scan(spark, db, "orders", partition_column=column, partitions=6, low=low, high=high)
+    want = crowded if low is None else crowded.filter(F.col(column) > F.lit(low).cast(crowded.schema[column].dataType))
+    assert rows.exceptAll(want).count() == 0 and rows.count() == want.count()
+    sizes = spread(rows)
+    assert len(sizes) == 6 and max(sizes) <= 1.3 * min(sizes)
+
+
+def test_a_repeated_value_is_cut_by_the_key(spark, db):
+    rows = spark.range(600).select("id", F.when(F.col("id") < 500, 7).otherwise(F.col("id")).alias("v"), F.when(F.col("id") == 3, F.lit(None)).otherwise(1).alias("n"))
+    jdbc.write(rows, db, "t", "overwrite")
+    alone = endpoints.scan(spark, db, "t", partition_column="v", partitions=4)
+    tied = endpoints.scan(spark, db, "t", partition_column="v", partitions=4, tie="id")
+    assert max(spread(alone)) >= 500 and max(spread(tied)) == 150
+    assert tied.exceptAll(rows).count() == 0 and tied.count() == 600
+    nulls = endpoints.scan(spark, db, "t", partition_column="n", partitions=4)
+    assert sorted(spread(nulls)) == [1, 599]
+
+
+def test_a_database_delta_is_read_in_even_ranges(spark, db, job):
+    jdbc.write(frame(spark, 0, 1000), db, "t", "overwrite")
+    spec = TableSpec("t", "primary_key", "id", scan_options={"partition_column": "id", "partitions": 4})
+    delta = loads.database_delta(spark, Job("d", db, job.target, job.store), spec, "799")
+    assert sorted(spread(delta)) == [50, 50, 50, 50]
+
+
+def test_detection_by_keys_and_scale_of_a_database(spark, db, job):
+    """Look-alike catalog tables: a declared key goes before names, and a NUMBER with digits is no key."""
+    columns = spark.createDataFrame(
+        [("app", "a", 1, "code", "varchar", "NO", None, None), ("app", "a", 2, "id", "integer", "NO", 32, 0),
+         ("app", "b", 1, "amount", "numeric", "YES", 10, 2), ("app", "c", 1, "serial", "numeric", "YES", 10, 0)],
+        "table_schema string, table_name string, ordinal_position int, column_name string, data_type string, is_nullable string, "
+        "numeric_precision int, numeric_scale int")
+    keys = spark.createDataFrame([("app", "a", "pk", "PRIMARY KEY")], "table_schema string, table_name string, constraint_name string, constraint_type string")
+    usage = spark.createDataFrame([("app", "a", "pk", "code")], "table_schema string, table_name string, constraint_name string, column_name string")
+    for name, df in (("columns", columns), ("table_constraints", keys), ("key_column_usage", usage)):
+        texts = ", ".join(f"{f.name.upper()} varchar(50)" for f in df.schema.fields if f.dataType.simpleString() == "string")
+        df.toDF(*[c.upper() for c in df.columns]).write.format("jdbc").options(
+            **db.settings(), dbtable=f"information_schema.{name}", createTableColumnTypes=texts).save()
+    app = Jdbc(db.url, engine="postgresql", driver=db.driver, schema="app", options={})
+    for table, df in (("a", "'x' AS code, 1 AS id"), ("b", "1.25BD AS amount"), ("c", "5BD AS serial")):
+        jdbc.write(spark.sql(f"SELECT {df}"), app, table, "overwrite")
+    source = Job("k", app, job.target, job.store)
+    specs = {s.table: s for s in runner.detect_specs(spark, source, ["a", "b", "c"], manual={"b": "amount", "c": "serial"}, connections=2)}
+    assert (specs["a"].strategy, specs["a"].column) == ("primary_key", "code")
+    assert (specs["b"].strategy, specs["b"].column) == ("hash", None)
+    assert (specs["c"].strategy, specs["c"].column) == ("primary_key", "serial")
+    assert specs["a"].source_types == {"code": "VARCHAR", "id": "INTEGER"}
