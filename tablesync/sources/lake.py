@@ -561,6 +561,62 @@ def write(
     return Commit(table, number, segment.rows, segment.low, segment.high, True, observed)
 
 
+def slice_of(df: DataFrame, column: str, highs: Sequence, labels: Sequence) -> Column:
+    """The label of the slice a row lies in: of the first one whose highest value is not below its own.
+
+    A tree of comparisons, as deep as the logarithm of the number of slices.
+    """
+    if len(labels) == 1:
+        return F.lit(labels[0])
+    half = len(labels) // 2
+    inside = F.col(column) <= F.lit(str(highs[half - 1])).cast(df.schema[column].dataType)
+    return F.when(inside, slice_of(df, column, highs[:half], labels[:half])).otherwise(slice_of(df, column, highs[half:], labels[half:]))
+
+
+def write_slices(
+    df: DataFrame, lake: Lake, table: str, column: str, highs: Sequence, compression: str = "snappy"
+) -> list[Segment]:
+    """Write rows once, in a segment per slice of `column`, and return the segments that have rows, in order.
+
+    Nothing is visible until a segment is appended to the manifest.
+    """
+    spark, before = df.sparkSession, state(df.sparkSession, lake, table)
+    rows = align(df, before.schema)
+    partitions = []
+    for spec in before.partition_spec:
+        source = parse_transform(spec)[1]
+        rows = rows.withColumn(partition_column(spec), partition_value(spec, F.col(source), before.schema[source].dataType))
+        partitions.append(partition_column(spec))
+    ids = [uuid.uuid4().hex for _ in highs]
+    rows = rows.withColumn("seg", slice_of(rows, column, highs, ids)).hint("rebalance", F.col("seg"), *[F.col(p) for p in partitions])
+    rows.write.option("compression", compression).partitionBy("seg", *partitions).mode("append").parquet(lake.data_dir(table))
+    kind = before.schema[column].dataType
+    folders = {i: f"{lake.data_dir(table)}/seg={i}" for i in ids}
+    there = [path for path in folders.values() if path_exists(spark, path)]  # a slice without rows has none
+    if not there:
+        return []
+    written = spark.read.schema(T.StructType([before.schema[column]])).option("basePath", lake.data_dir(table)).parquet(*there)
+    measured = written.groupBy(segment_of(F.col("_metadata.file_path")).alias("_seg")).agg(
+        F.count(F.lit(1)).alias("n"), mark_text(F.min(column), kind).alias("low"), mark_text(F.max(column), kind).alias("high"))
+    found = {r["_seg"]: r for r in measured.collect()}  # a row per slice
+    return [Segment(i, found[i]["n"], before.schema.json(), found[i]["low"], found[i]["high"]) for i in ids if i in found]
+
+
+def append_segment(spark: SparkSession, lake: Lake, table: str, segment: Segment, watermark: str) -> TableState:
+    """Publish a segment written before."""
+    before = state(spark, lake, table)
+    known = {f.name.lower(): f.name for f in before.schema.fields}
+    if before.segments and before.watermark_column not in (None, known[watermark.lower()]):
+        raise ValueError(f"{table} tracks {before.watermark_column}, not {watermark}")
+    return commit(spark, lake, replace(
+        before, snapshot=before.snapshot + 1, operation="append", segments=(*before.segments, segment), watermark_column=known[watermark.lower()]))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Bytes below a folder, as the file system knows them; no file is read."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -130,3 +131,31 @@ def test_size_estimate(spark):
 def test_mark_is_a_literal_of_the_column_type(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1),)], "t timestamp_ntz")
     assert df.select(mark(df, "t", "2024-01-01")).schema[0].dataType.simpleString() == "timestamp_ntz"
+
+
+def counted_rows(spark, df, column):
+    """The rows, and an accumulator of how often one was read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def look(_):
+        seen.add(1)
+        return True
+
+    return df.filter(look(F.col(column)).cast("boolean")), seen
+
+
+@pytest.mark.parametrize("size", [500, 100, 10])
+def test_bounds_of_any_number_of_batches_take_one_read(spark, size):
+    df = spark.range(5000).selectExpr("id div 3 as k", "id")
+    rows, seen = counted_rows(spark, df, "k")
+    assert len(list(plan_batches(rows, "k", size))) >= 4900 // (size + 2)
+    assert seen.value == 5000
+
+
+def test_bounds_where_some_values_repeat_far_more(spark):
+    values = [v for i in range(400) for v in [i] * (900 if i % 97 == 5 else 1 + i % 4)]
+    df = ints(spark, values)
+    for size in (7, 64, 300, 5000):
+        assert [(b.low, b.high, b.rows) for b in plan_batches(df, "k", size)] == greedy(values, size)
+    assert list(plan_batches(df.limit(0), "k", 5)) == []

@@ -354,3 +354,39 @@ def test_detection_by_keys_and_scale_of_a_database(spark, db, job):
     assert (specs["b"].strategy, specs["b"].column) == ("hash", None)
     assert (specs["c"].strategy, specs["c"].column) == ("primary_key", "serial")
     assert specs["a"].source_types == {"code": "VARCHAR", "id": "INTEGER"}
+
+
+@pytest.mark.parametrize("size", [400, 50])
+def test_batches_read_the_source_a_fixed_number_of_times(spark, folder, size, monkeypatch):
+    source, target = Lake(f"{folder}/s"), Lake(f"{folder}/t")
+    lake.write(spark.range(2000).selectExpr("id", "concat('n', id) as name"), source, "t", "create")
+    lake.write(frame(spark, 0, 100), target, "t", "create", watermark="id")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def look(_):
+        seen.add(1)
+        return True
+
+    monkeypatch.setattr(batches, "lake_delta", lambda *a: loads.lake_delta(*a).filter(look("id")))
+    job = Job("b", source, target, BookmarkStore(f"{folder}/b"))
+    done = batches.load_in_batches(spark, job, SPEC, loads.next_bookmark(SPEC, None, "99", 0), size)
+    assert done.rows == 1900 and seen.value == 2 * 1900
+    assert sorted(r.id for r in lake.read(spark, target, "t").collect()) == list(range(2000))
+    assert len(lake.state(spark, target, "t").segments) == 1 + -(-1900 // size)
+    assert job.store.get(spark, "b", ["t"])["t"].value == "1999"
+
+
+def test_batches_into_a_partitioned_new_table_and_a_database(spark, db, folder):
+    source, target = Lake(f"{folder}/s"), Lake(f"{folder}/t")
+    rows = spark.range(300).selectExpr("id", "concat('n', id % 3) as name")
+    lake.write(rows, source, "t", "create")
+    lake.create_if_missing(spark, target, "t", rows.schema, partition_by=["name"])
+    store = BookmarkStore(f"{folder}/b")
+    start = loads.next_bookmark(SPEC, None, "49", 0)
+    assert batches.load_in_batches(spark, Job("l", source, target, store), SPEC, start, 70, together=2).rows == 250
+    assert lake.read(spark, target, "t").count() == 250 and len(lake.state(spark, target, "t").segments) == 4
+    assert lake.files(spark, target, "t").filter("partition = '_p_name=n1'").count() == 4
+    jdbc.write(frame(spark, 0, 50), db, "t", "overwrite")
+    assert batches.load_in_batches(spark, Job("d", source, db, store), SPEC, start, 70).rows == 250
+    assert endpoints.scan(spark, db, "t").count() == 300 and store.get(spark, "d", ["t"])["t"].value == "299"
