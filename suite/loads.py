@@ -698,7 +698,7 @@ def new_orders(orders):
 def upsert(spark, sf):
     """Changed, repeated and new rows put in by key, twice; the second time changes nothing."""
     home, orders = new_lake(spark, "upsert"), table(spark, sf, "orders")
-    lake.write(orders, home, "orders", "create", watermark="o_orderkey")
+    lake.write(orders, home, "orders", "create", watermark="o_orderkey", partition_by=["bucket(16, o_orderkey)"])
     urgent = orders.filter("o_orderpriority = '1-URGENT'")
     delta = changed_orders(orders).unionByName(urgent).unionByName(new_orders(orders))
     for _ in range(2):
@@ -723,7 +723,7 @@ def upsert_null_keys(spark, sf):
     home = new_lake(spark, "nulls")
     rows = table(spark, sf, "orders").selectExpr(
         "if(o_orderkey % 7 = 0, NULL, o_orderkey) AS k", "if(o_custkey % 3 = 0, NULL, o_custkey) AS c", "o_totalprice AS v")
-    lake.write(rows, home, "keyed", "create")
+    lake.write(rows, home, "keyed", "create", partition_by=["bucket(8, c)"])
     delta = rows.filter("k IS NULL OR k % 2 = 0").withColumn("v", F.col("v") + 1)
     for _ in range(2):
         repair.upsert(spark, home, "keyed", delta, ["k", "c"], ["v"])

@@ -53,17 +53,19 @@ def upsert(
     """Put a delta into a lake table by key; running it again changes nothing, NULL keys included.
 
     The delta is written to the shared folder, which fixes its rows and their key ranges, and
-    deleted again. Only target parts that hold one of its keys are rewritten.
+    deleted again. Only folders of the target that hold one of its keys are rewritten: lay a table that
+    takes upserts out by `bucket(n, key)`, and the work follows the buckets that are touched. The
+    delta's own buckets leave out all other folders when the join lists its files.
     """
     before = lake.state(spark, target, table)
     path = workspace(spark, "delta")
     try:
         staged, seen = _stage(newest_per_key(lake.align(delta, before.schema), keys, order), keys, path)
         ranges = [(k, seen[f"low{i}"], seen[f"high{i}"], bool(seen[f"nulls{i}"])) for i, k in enumerate(keys)]
-        rows = lake.scan_with_files(spark, target, before, list(keys), ranges)
+        rows = lake.scan_with_files(spark, target, before, list(keys), ranges, lake.buckets_of(staged, before, keys))
         for i, key in enumerate(keys):
             rows = rows.filter(_within(rows, key, seen[f"low{i}"], seen[f"high{i}"], seen[f"nulls{i}"]))
-        return lake.rewrite_parts(
+        return lake.rewrite_folders(
             spark, target, before, by_key(rows, staged, keys, "left_semi"),
             lambda rows: by_key(rows, staged, keys, "left_anti"), staged, "upsert", **layout,
         )
@@ -98,12 +100,13 @@ def without_rows_beyond(df: DataFrame, column: str, bookmark: object) -> DataFra
 def trim(spark: SparkSession, target: Lake, table: str, column: str, bookmark: object) -> Commit:
     """Remove rows beyond the bookmark, as a partly written load leaves them.
 
-    Only parts that hold such rows are rewritten; file statistics find them.
+    Only folders that hold such rows are rewritten; file statistics find them, and segments whose
+    statistics end at or below the bookmark are not looked at.
     """
     before = lake.state(spark, target, table)
-    rows = lake.scan_with_files(spark, target, before, [column], [(column, bookmark)])
+    rows = lake.scan_with_files(spark, target, lake.reaching_beyond(before, column, bookmark), [column], [(column, bookmark)])
     touched = above(rows, column, bookmark)
-    return lake.rewrite_parts(
+    return lake.rewrite_folders(
         spark, target, before, touched,
         lambda kept: without_rows_beyond(kept, column, bookmark), None, "trim",
     )

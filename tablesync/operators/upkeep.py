@@ -104,21 +104,21 @@ def compact(
 def compact_small_files(
     spark: SparkSession, target: Lake, table: str, target_bytes: int = TARGET_BYTES, smaller_than: float = 0.75
 ) -> Commit:
-    """Join only the parts whose files are well below the target size; all others stay untouched.
+    """Join only the folders whose files are well below the target size; all others stay untouched.
 
     The usual upkeep of a big table: the work follows the new small files, not the table. As many
     tasks write as the bytes really rewritten ask for.
     """
     before = lake.state(spark, target, table)
     listed = lake.files(spark, target, table)
-    parts = listed.groupBy("segment", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b"))
-    small = parts.filter(F.col("b") / F.col("n") < target_bytes * smaller_than)
+    folders = listed.groupBy("segment", "partition").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b"))
+    small = folders.filter(F.col("b") / F.col("n") < target_bytes * smaller_than)
     found = small.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
     if (found["n"] or 0) < 2:
         return Commit(table, before.snapshot, 0, None, None, False)
     files = max(1, -(-found["b"] // target_bytes))
-    touched = listed.join(small, ["segment", "part"], "left_semi").select(F.col("path").alias("_file"))
-    return lake.rewrite_parts(
+    touched = listed.join(small, ["segment", "partition"], "left_semi").select(F.col("path").alias("_file"))
+    return lake.rewrite_folders(
         spark, target, before, touched,
         lambda rows: rows if before.partition_spec else rows.coalesce(files), None, "compact_small_files",
     )
@@ -202,33 +202,31 @@ def unreferenced_files(spark: SparkSession, target: Lake, table: str) -> DataFra
     """Files no remaining snapshot shows: of failed writes, and of expired snapshots."""
     shown = lake.manifest(spark, target, table)
     segments = shown.select("segment").distinct()
-    # A part is dead in a kept segment only when every snapshot that has the segment removed it.
+    # A folder is dead in a kept segment only when every snapshot that has the segment removed it.
     uses = shown.groupBy("segment").agg(F.count(F.lit(1)).alias("uses"))
     removed = (
-        shown.select("segment", F.explode("removed_parts").alias("part"))
-        .groupBy("segment", "part").agg(F.count(F.lit(1)).alias("times"))
-        .join(uses, "segment").filter("times = uses").select("segment", "part")
+        shown.select("segment", F.explode("removed_folders").alias("partition"))
+        .groupBy("segment", "partition").agg(F.count(F.lit(1)).alias("times"))
+        .join(uses, "segment").filter("times = uses").select("segment", "partition")
     )
-    listed = lake.all_files(spark, target, table).drop("partition")
+    listed = lake.all_files(spark, target, table)
     orphans = listed.join(segments, "segment", "left_anti")
-    dead = listed.join(removed, ["segment", "part"], "left_semi")
+    dead = listed.join(removed, ["segment", "partition"], "left_semi")
     return orphans.unionByName(dead.select(*orphans.columns))
 
 
 def remove_unreferenced(spark: SparkSession, target: Lake, table: str) -> int:
-    """Delete unreferenced files: whole segments at once, files of dead parts as they are listed.
+    """Delete unreferenced files, folder by folder: whole segments, and removed folders of the others.
 
     Run it when no write to the table is going on: a write's files are not in a
     manifest before its commit.
     """
     found = unreferenced_files(spark, target, table)
-    known = lake.manifest(spark, target, table).select("segment").distinct()
-    whole = found.join(known, "segment", "left_anti").select("segment").distinct()
-    count = found.count()
-    segments = [r["segment"] for r in whole.collect()]  # one per unfinished or expired write
-    single = found.join(known, "segment", "left_semi").select("path")
-    for row in single.toLocalIterator():
-        _delete(spark, unquote(row["path"]))
-    for segment in segments:
-        _delete(spark, f"{target.data_dir(table)}/seg={segment}")
-    return count
+    known = lake.manifest(spark, target, table).select("segment", F.lit(True).alias("known")).distinct()
+    # Of a segment that no snapshot knows the whole folder goes; at most a row per folder of the layout.
+    folders = found.join(known, "segment", "left").groupBy("segment", F.when(F.col("known"), F.col("partition")).alias("partition"))
+    gone = folders.agg(F.count(F.lit(1)).alias("n")).collect()
+    for row in gone:
+        inside = "/" + unquote(row["partition"]) if row["partition"] else ""
+        _delete(spark, f"{target.data_dir(table)}/seg={row['segment']}{inside}")
+    return sum(row["n"] for row in gone)

@@ -31,7 +31,7 @@ PARTITION_PREFIX = "_p_"
 
 MANIFEST_SCHEMA = struct(
     table_name="string", committed_at="timestamp", operation="string", segment="string",
-    rows="bigint", low="string", high="string", removed_parts="strings",
+    rows="bigint", low="string", high="string", removed_folders="strings",
     segment_schema="string", schema="string", partition_spec="strings",
     identifier_columns="strings", watermark_column="string", properties="texts", snapshot="bigint",
 )
@@ -69,8 +69,9 @@ class Lake:
 class Segment:
     """One write's folder and what later snapshots removed from it.
 
-    The unit of removal is a part: what one task of the write wrote, by its number. So a manifest
-    row lists at most as many numbers as the write had tasks, never a path.
+    The unit of removal is a folder of the table's partition layout: a bucket, a day. So a manifest row
+    lists at most as many names as the layout has folders, however many files a write made; without a
+    layout a segment goes as a whole.
     """
 
     id: str
@@ -78,7 +79,7 @@ class Segment:
     schema: str
     low: str | None = None
     high: str | None = None
-    removed_parts: tuple[str, ...] = ()
+    removed_folders: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -155,7 +156,7 @@ def state(
         raise TableNotFound(f"{table} has no snapshot for this request")
     head = found[0]
     segments = tuple(
-        Segment(r.segment, r.rows, r.segment_schema, r.low, r.high, tuple(r.removed_parts or ()))
+        Segment(r.segment, r.rows, r.segment_schema, r.low, r.high, tuple(r.removed_folders or ()))
         for r in sorted(found, key=lambda r: r.segment or "")
         if r.segment
     )
@@ -191,7 +192,7 @@ def commit(
               new.watermark_column, dict(new.properties))
     segments = new.segments or (Segment("", 0, schema_json),)
     rows = [
-        (new.table, stamp, new.operation, s.id, s.rows, s.low, s.high, list(s.removed_parts),
+        (new.table, stamp, new.operation, s.id, s.rows, s.low, s.high, list(s.removed_folders),
          s.schema, *shared, new.snapshot)
         for s in segments
     ]
@@ -263,15 +264,15 @@ def segment_of(path: Column) -> Column:
     return F.regexp_extract(path, r"/seg=([^/]+)/", 1)
 
 
-def part_of(path: Column) -> Column:
-    """The number of the task that wrote a file, as text without leading zeros."""
-    return F.regexp_extract(path, r"/part-0*(\d+)-[^/]*$", 1)
+def folder_of(path: Column) -> Column:
+    """The partition folder of a file inside its segment, empty without a layout."""
+    return F.regexp_extract(path, r"/seg=[^/]+/(.*?)/?[^/]+$", 1)
 
 
-def _in_parts(path: Column, parts: dict[str, Sequence[str]]) -> Column:
+def _in_folders(path: Column, folders: dict[str, Sequence[str]]) -> Column:
     found = F.lit(False)
-    for segment, numbers in parts.items():
-        found = found | ((segment_of(path) == segment) & part_of(path).isin(list(numbers)))
+    for segment, names in folders.items():
+        found = found | ((segment_of(path) == segment) & F.array_contains(F.lit(list(names)), folder_of(path)))
     return found
 
 
@@ -283,7 +284,7 @@ def scan_segments(
     with_file: bool = False,
     only: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Read some segments of a snapshot, or `only` some of their parts, one scan per schema version.
+    """Read some segments of a snapshot, or `only` some of their folders, one scan per schema version.
 
     What is left out is left out when the scan lists its files.
     """
@@ -302,11 +303,11 @@ def scan_segments(
             .parquet(*[f"{data_dir}/seg={s.id}" for s in group])
         )
         path = F.col("_metadata.file_path")
-        removed = {s.id: s.removed_parts for s in group if s.removed_parts}
+        removed = {s.id: s.removed_folders for s in group if s.removed_folders}
         if only is not None:
-            files = files.filter(_in_parts(path, {s.id: only[s.id] for s in group}))
+            files = files.filter(_in_folders(path, {s.id: only[s.id] for s in group}))
         elif removed:
-            files = files.filter(~_in_parts(path, removed))
+            files = files.filter(~_in_folders(path, removed))
         extra = [F.col("_metadata.file_path").alias("_file")] if with_file else []
         files = files.select(
             *[F.col(f"`{f.name}`") for f in written.fields + partitions], *extra
@@ -368,10 +369,8 @@ def read_increment(
 ) -> DataFrame:
     """Rows above a bookmark. A global sort happens only on request."""
     current = state(spark, lake, table)
-    kept = current.segments
-    if value is not None and current.watermark_column == column:
-        kept = tuple(s for s in kept if not _all_at_or_below(current, s, value))
-    rows = above(scan_segments(spark, lake, current, kept), column, value)
+    kept = current if value is None else reaching_beyond(current, column, value)
+    rows = above(scan_segments(spark, lake, current, kept.segments), column, value)
     if value is not None:
         rows = pruned(rows, current, column, value)
     rows = rows.select(*[F.col(f"`{f.name}`") for f in current.schema.fields])
@@ -401,6 +400,13 @@ def _all_at_or_below(table: TableState, segment: Segment, value: object) -> bool
         return False
 
 
+def reaching_beyond(table: TableState, column: str, value: object) -> TableState:
+    """The snapshot without the segments whose statistics say that no row lies above a value."""
+    if table.watermark_column != column:
+        return table
+    return replace(table, segments=tuple(s for s in table.segments if not _all_at_or_below(table, s, value)))
+
+
 # --------------------------------------------------------------------------
 # sinks
 
@@ -651,7 +657,7 @@ def clone_empty(df: DataFrame, lake: Lake, table: str, **options) -> bool:
     return create_if_missing(df.sparkSession, lake, table, df.schema, **options)
 
 
-def rewrite_parts(
+def rewrite_folders(
     spark: SparkSession,
     lake: Lake,
     before: TableState,
@@ -661,25 +667,27 @@ def rewrite_parts(
     operation: str,
     **layout,
 ) -> Commit:
-    """Replace the parts that hold the files in `touched` (`_file`), keeping all others as they are.
+    """Replace the folders that hold the files in `touched` (`_file`), keeping all others as they are.
 
-    The same rule at every size: a part is what one task wrote, and is rewritten whole. `keep` maps
-    the rows of the touched parts to the rows that stay; `added` rows go into the same new segment.
-    The driver sees part numbers, at most one per task of the writes that are touched.
+    `keep` maps the rows of the touched folders to the rows that stay; `added` rows go into the same new
+    segment. The driver sees folder names, as many as the layout has in the segments that are touched.
     """
-    numbers = touched.select(segment_of(F.col("_file")).alias("seg"), part_of(F.col("_file")).alias("part")).distinct()
-    found = numbers.groupBy("seg").agg(F.sort_array(F.collect_list("part")).alias("parts")).collect()
-    parts = {r["seg"]: tuple(r["parts"]) for r in found}
-    if not parts and added is None:
+    names = touched.select(segment_of(F.col("_file")).alias("seg"), folder_of(F.col("_file")).alias("folder")).distinct()
+    found = names.groupBy("seg").agg(F.sort_array(F.collect_list("folder")).alias("folders")).collect()
+    folders = {r["seg"]: tuple(r["folders"]) for r in found}
+    if not folders and added is None:
         return Commit(before.table, before.snapshot, 0, None, None, False)
-    hit = [s for s in before.segments if s.id in parts]
+    hit = [s for s in before.segments if s.id in folders]
     rows, rewritten = [], {}
     if hit:
-        counted = scan_segments(spark, lake, before, hit, with_file=True, only=parts)
-        counts = counted.groupBy(segment_of(F.col("_file")).alias("seg")).count().collect()  # a row per segment, from file footers
-        rewritten = {r["seg"]: r["count"] for r in counts}
         columns = [F.col(f"`{f.name}`") for f in before.schema.fields]
-        rows.append(keep(scan_segments(spark, lake, before, hit, only=parts).select(*columns)))
+        if before.partition_spec:
+            counted = scan_segments(spark, lake, before, hit, with_file=True, only=folders)
+            counts = counted.groupBy(segment_of(F.col("_file")).alias("seg")).count().collect()  # a row per segment, from file footers
+            rewritten = {r["seg"]: r["count"] for r in counts}
+        else:
+            rewritten = {s.id: s.rows for s in hit}
+        rows.append(keep(scan_segments(spark, lake, before, hit, only=folders).select(*columns)))
     if added is not None:
         rows.append(align(added, before.schema))
     merged = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
@@ -691,7 +699,7 @@ def rewrite_parts(
     for s in before.segments:
         left = s.rows - rewritten.get(s.id, 0)
         if left > 0:
-            kept.append(replace(s, rows=left, removed_parts=s.removed_parts + parts.get(s.id, ())))
+            kept.append(replace(s, rows=left, removed_folders=s.removed_folders + folders.get(s.id, ())))
     after = replace(
         before,
         snapshot=before.snapshot + 1,
@@ -702,12 +710,23 @@ def rewrite_parts(
     return Commit(before.table, after.snapshot, segment.rows, segment.low, segment.high, True)
 
 
+def buckets_of(rows: DataFrame, table: TableState, columns: Sequence[str]) -> dict[str, list[int]]:
+    """Per bucket column of the layout that is made of one of `columns`, the buckets in which the rows lie."""
+    specs = {partition_column(p): p for p in table.partition_spec if parse_transform(p)[0] == "bucket" and parse_transform(p)[1] in columns}
+    if not specs:
+        return {}
+    values = [partition_value(p, F.col(parse_transform(p)[1]), table.schema[parse_transform(p)[1]].dataType) for p in specs.values()]
+    found = rows.agg(*[F.sort_array(F.collect_set(F.coalesce(v, F.lit(-1)))).alias(n) for n, v in zip(specs, values)]).first()
+    return {n: found[n] for n in specs}  # at most as many as the layout has buckets
+
+
 def scan_with_files(
-    spark: SparkSession, lake: Lake, table: TableState, columns: Sequence[str], ranges: Sequence[tuple] = ()
+    spark: SparkSession, lake: Lake, table: TableState, columns: Sequence[str], ranges: Sequence[tuple] = (),
+    buckets: dict[str, list[int]] | None = None,
 ) -> DataFrame:
     """Some columns of a snapshot together with the file each row lies in (`_file`).
 
-    Each of `ranges`, the arguments of `pruned` after the table, leaves out folders.
+    Each of `ranges`, the arguments of `pruned` after the table, leaves out folders, and so do `buckets`.
     """
     frames = []
     for s_json in dict.fromkeys(s.schema for s in table.segments):
@@ -716,6 +735,8 @@ def scan_with_files(
         rows = scan_segments(spark, lake, view, group, with_file=True)
         for limits in ranges:
             rows = pruned(rows, table, *limits)
+        for name, numbers in (buckets or {}).items():
+            rows = rows.filter(F.array_contains(F.lit(numbers), F.coalesce(F.col(name), F.lit(-1))))
         by_id = {f.metadata.get("field_id"): f.name for f in view.schema.fields}
         picked = []
         for c in columns:
@@ -847,32 +868,28 @@ def describe(spark: SparkSession, lake: Lake, tables: Sequence[str]) -> DataFram
 
 
 def files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    """Live data files of the newest snapshot: path, bytes, segment, part, partition folder.
+    """Live data files of the newest snapshot: path, bytes, segment, partition folder.
 
     Paths are URLs as in `_metadata.file_path`.
     """
     current = state(spark, lake, table)
     segments = local_rows(spark, [(s.id,) for s in current.segments], struct(segment="string"))
     removed = local_rows(
-        spark, [(s.id, p) for s in current.segments for p in s.removed_parts], struct(segment="string", part="string")
+        spark, [(s.id, p) for s in current.segments for p in s.removed_folders], struct(segment="string", partition="string")
     )
     listed = all_files(spark, lake, table)
-    return listed.join(segments, "segment").join(removed, ["segment", "part"], "left_anti")
+    return listed.join(segments, "segment").join(removed, ["segment", "partition"], "left_anti")
 
 
 def all_files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     """Every data file in the table's folder, shown by a snapshot or not. Only the listing is read."""
+    path = F.col("_metadata.file_path")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(lake.data_dir(table))
         .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("length").alias("bytes"),
-            segment_of(F.col("path")).alias("segment"),
-            part_of(F.col("path")).alias("part"),
-            F.regexp_extract("path", r"/seg=[^/]+/(.*?)/?[^/]+$", 1).alias("partition"),
+            path.alias("path"), F.col("length").alias("bytes"), segment_of(path).alias("segment"), folder_of(path).alias("partition"),
         )
     )
-

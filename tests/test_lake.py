@@ -100,14 +100,14 @@ def test_upsert_is_idempotent_and_rewrites_touched_files_only(spark, folder):
 
 def test_upsert_after_evolution_and_partial_segments(spark, folder):
     home = Lake(folder)
-    lake.write(frame(spark, *range(20)).repartition(5), home, "t", "append")
+    lake.write(frame(spark, *range(20)), home, "t", "append", partition_by=["bucket(5, id)"])
     lake.add_column(spark, home, "t", "size", "int")
     delta = spark.createDataFrame([(3, "three", 3), (100, "c", 1)], "id bigint, name string, size int")
     repair.upsert(spark, home, "t", delta, ["id"], ["size"])
     got = {r[0]: tuple(r[1:]) for r in lake.read(spark, home, "t").collect()}
     assert len(got) == 21 and got[3] == ("three", 3) and got[4] == ("n4", None)
     state = lake.state(spark, home, "t")
-    removed = [p for s in state.segments for p in s.removed_parts]
+    removed = [p for s in state.segments for p in s.removed_folders]
     assert state.rows == 21 and len(removed) == 1
     live = {f.split(":")[-1] for f in lake.read(spark, home, "t").inputFiles()}
     assert lake.files(spark, home, "t").count() == len(live) - len(removed)
@@ -155,7 +155,8 @@ def test_upkeep(spark, folder):
 
 def test_removed_files_go_when_no_snapshot_shows_them(spark, folder):
     home = Lake(folder)
-    lake.write(frame(spark, *range(20)).repartition(5), home, "t", "append", committed_at=datetime(2024, 1, 1, tzinfo=timezone.utc))
+    lake.write(
+        frame(spark, *range(20)), home, "t", "append", partition_by=["bucket(5, id)"], committed_at=datetime(2024, 1, 1, tzinfo=timezone.utc))
     repair.upsert(spark, home, "t", spark.createDataFrame([(3, "x")], "id bigint, name string"), ["id"], ["name"])
     assert upkeep.unreferenced_files(spark, home, "t").count() == 0
     upkeep.expire_snapshots(spark, home, "t", datetime(2025, 1, 1, tzinfo=timezone.utc))
@@ -219,7 +220,7 @@ def test_small_files_join_and_large_ones_stay(spark, folder):
 
 def test_removed_files_are_not_opened(spark, folder):
     home = Lake(folder)
-    lake.write(frame(spark, *range(20)).repartition(5), home, "t", "append")
+    lake.write(frame(spark, *range(20)), home, "t", "append", partition_by=["bucket(5, id)"])
     repair.upsert(spark, home, "t", spark.createDataFrame([(3, "x")], "id bigint, name string"), ["id"], ["name"])
     df = lake.read(spark, home, "t")
     df.collect()
@@ -270,24 +271,54 @@ def test_many_small_parts_join_in_several_tasks(spark, folder):
     now = {r["path"] for r in lake.files(spark, home, "t").collect()}
     assert kept <= now and 3 <= len(now - kept) <= 8
     state = lake.state(spark, home, "t")
-    assert len(state.segments) == 2 and not any(s.removed_parts for s in state.segments)
+    assert len(state.segments) == 2 and not any(s.removed_folders for s in state.segments)
     assert lake.read(spark, home, "t").agg(F.count("*"), F.sum("id")).first()[:] == (460_000, sum(range(400_000)) + sum(range(1_000_000, 1_060_000)))
 
 
-def test_parts_are_rewritten_one_by_one(spark, folder):
+def test_buckets_are_rewritten_one_by_one(spark, folder):
     home = Lake(folder)
-    lake.write(frame(spark, *range(40)).repartition(4), home, "t", "append")
+    lake.write(frame(spark, *range(40)), home, "t", "append", partition_by=["bucket(8, id)"])
     before = lake.files(spark, home, "t")
-    parts = {r["part"]: r["n"] for r in before.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    inside = {r["partition"]: r["n"] for r in before.groupBy("partition").agg(F.count("*").alias("n")).collect()}
     paths = {r["path"] for r in before.collect()}
     for i in (0, 0, 7):
         repair.upsert(spark, home, "t", frame(spark, i), ["id"], ["name"])
     state = lake.state(spark, home, "t")
     assert lake.read(spark, home, "t").count() == 40 == state.rows
     first = next(s for s in state.segments if any(f"/seg={s.id}/" in p for p in paths))
-    assert 1 <= len(first.removed_parts) <= 2
+    assert 1 <= len(first.removed_folders) <= 2
     still = paths & {r["path"] for r in lake.files(spark, home, "t").collect()}
-    assert len(still) == sum(n for p, n in parts.items() if p not in first.removed_parts)
+    assert len(still) == sum(n for p, n in inside.items() if p not in first.removed_folders)
+    # What no snapshot shows any more goes by folders.
+    for number in upkeep.expire_snapshots(spark, home, "t", datetime(2999, 1, 1)):
+        assert number < state.snapshot
+    assert upkeep.remove_unreferenced(spark, home, "t") > 0
+    assert {r["path"] for r in lake.all_files(spark, home, "t").collect()} == {r["path"] for r in lake.files(spark, home, "t").collect()}
+    assert lake.read(spark, home, "t").count() == 40
+
+
+def test_folders_with_special_names_and_nulls(spark, folder):
+    home = Lake(folder)
+    df = spark.createDataFrame([(1, "a b"), (2, "x/y=z%"), (3, None), (4, "ä:1")], "id bigint, name string")
+    lake.write(df, home, "t", "append", partition_by=["name"], watermark="id")
+    repair.upsert(spark, home, "t", spark.createDataFrame([(2, "x/y=z%"), (3, "n")], df.schema), ["id"], ["name"])
+    assert rows(lake.read(spark, home, "t")) == [(1, "a b"), (2, "x/y=z%"), (3, "n"), (4, "ä:1")]
+    repair.trim(spark, home, "t", "id", "3")
+    assert rows(lake.read(spark, home, "t")) == [(1, "a b"), (2, "x/y=z%"), (3, "n")]
+    upkeep.expire_snapshots(spark, home, "t", datetime(2999, 1, 1))
+    upkeep.remove_unreferenced(spark, home, "t")
+    assert rows(lake.read(spark, home, "t")) == [(1, "a b"), (2, "x/y=z%"), (3, "n")]
+    assert lake.all_files(spark, home, "t").count() == lake.files(spark, home, "t").count()
+
+
+def test_upserts_read_only_the_buckets_of_the_delta(spark, folder):
+    home = Lake(folder)
+    lake.write(frame(spark, *range(200)), home, "t", "append", partition_by=["bucket(16, id)"])
+    current = lake.state(spark, home, "t")
+    found = lake.buckets_of(frame(spark, 3), current, ["id"])
+    assert [len(v) for v in found.values()] == [1]
+    plan = lake.scan_with_files(spark, home, current, ["id"], (), found)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "array_contains" in plan
 
 
 def test_increments_trims_and_upserts_prune_folders(spark, folder, data):
