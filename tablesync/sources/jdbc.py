@@ -233,3 +233,19 @@ def write(
         writer = writer.option("truncate", "true")
     writer.mode(mode).save()
     return {"n": 0, **seen.get}
+
+
+def delete(spark: SparkSession, db: Jdbc, table: str, conditions: Sequence[str]) -> int:
+    """Delete the rows that meet one of the conditions, in one transaction of the database; how many they were."""
+    jvm = spark._jvm
+    settings = jvm.org.apache.spark.api.python.PythonUtils.toScalaMap({str(k): str(v) for k, v in db.settings().items()})
+    options = jvm.org.apache.spark.sql.execution.datasources.jdbc.JDBCOptions(db.url, db.name(table), settings)
+    connection = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(db.url).createConnectionFactory(options).apply(-1)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        gone = sum(statement.executeUpdate(f"DELETE FROM {db.name(table)} WHERE {c}") for c in conditions)
+        connection.commit()
+        return gone
+    finally:
+        connection.close()

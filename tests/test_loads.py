@@ -390,3 +390,47 @@ def test_batches_into_a_partitioned_new_table_and_a_database(spark, db, folder):
     jdbc.write(frame(spark, 0, 50), db, "t", "overwrite")
     assert batches.load_in_batches(spark, Job("d", source, db, store), SPEC, start, 70).rows == 250
     assert endpoints.scan(spark, db, "t").count() == 300 and store.get(spark, "d", ["t"])["t"].value == "299"
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(12,2)", "date", "timestamp_ntz"])
+def test_ranges_that_differ(spark, kind):
+    value = {"bigint": "id * 1000003 - 5000", "decimal(12,2)": "cast(id * 1.25 as decimal(12,2))", "date": "date_add(date'2024-01-01', cast(id as int))",
+             "timestamp_ntz": "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id as int), 0, 0.000001)"}[kind]
+    rows = spark.range(3000).selectExpr(f"{value} as k", "id as v").unionByName(spark.createDataFrame([(None, -1)], f"k {kind}, v bigint"))
+    assert not repair.differing_ranges(rows, rows.orderBy(F.desc("v")), "k", fan=16, least_rows=10)
+    other = rows.filter("v <> 100").withColumn("v", F.when(F.col("v") == 2000, 7).otherwise(F.col("v")))
+    found = repair.differing_ranges(rows, other, "k", fan=16, least_rows=10)
+    assert len(found.spans) == 2 and not found.nulls
+    assert rows.filter(found.hold()).filter("v in (100, 2000)").count() == 2 and rows.filter(found.hold()).count() <= 20
+    found = repair.differing_ranges(rows, rows.filter("k is not null").unionByName(rows.filter("v = 5")), "k", fan=16, least_rows=10)
+    assert found.nulls and len(found.spans) == 1
+    # With differences everywhere the answer stays small and covers them all.
+    all_off = rows.withColumn("v", F.col("v") + 1)
+    found = repair.differing_ranges(rows, all_off, "k", fan=16, least_rows=1, most=8)
+    assert len(found.spans) <= 8 and rows.filter(~found.hold()).count() == 0
+    assert not repair.differing_ranges(rows.limit(0), rows.limit(0), "k")
+    assert len(repair.differing_ranges(rows, rows.limit(0), "k").spans) == 1
+
+
+def test_recovery_of_ranges_in_a_lake_and_a_database(spark, db, folder):
+    store, source = BookmarkStore(f"{folder}/b"), Lake(f"{folder}/s")
+    lake.write(frame(spark, 0, 500), source, "t", "create")
+    damaged = frame(spark, 0, 480).filter("id not between 100 and 104").withColumn("name", F.when(F.col("id") == 300, "x").otherwise(F.col("name")))
+    surplus = damaged.unionByName(frame(spark, 470, 475))
+    home = Lake(f"{folder}/t")
+    lake.write(surplus, home, "t", "create", partition_by=["bucket(4, id)"], watermark="id")
+    jdbc.write(surplus, db, "t", "overwrite")
+    for name, target in (("l", home), ("d", db)):
+        job = Job(name, source, target, store)
+        # The source's rows beyond the bookmark are for the next increment; the target's go.
+        store.put(spark, name, [loads.next_bookmark(SPEC, None, "476", 0)])
+        done = repair.recover_ranges(spark, job, SPEC, fan=8, least_rows=8)
+        assert 3 <= done.ranges <= 5 and done.rows < 80
+        got = sorted(tuple(r) for r in endpoints.scan(spark, target, "t").collect())
+        assert got == sorted(tuple(r) for r in frame(spark, 0, 477).collect())
+        assert repair.recover_ranges(spark, job, SPEC) == repair.Reloaded(0, 0)
+        assert runner.run(spark, job, [SPEC], raise_on_failure=True)[0].rows == 23
+    # A load that stopped half way leaves other rows in a database: they are loaded again.
+    jdbc.write(frame(spark, 600, 602), db, "t", "append")
+    assert repair.recover(spark, Job("d", source, db, store), SPEC) == "reloaded"
+    assert endpoints.scan(spark, db, "t").count() == 500
