@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import percent_change
 from tablesync.functions.types import lookup
-from tablesync.operators.incremental import position
+from tablesync.operators.chunks import earlier_averages, streaks
 
 # --------------------------------------------------------------------------
 # log lines
@@ -278,24 +278,13 @@ def alarms(
     """Alarm state per period: the metric breached the threshold in the last N periods.
 
     With the length of a period in `seconds`, one that has no data counts as no breach;
-    otherwise the last N rows count. Expects one row per group and period, so the
-    window's size is bounded by time.
+    otherwise the last N rows count. Expects one row per group and period. An alarm is a run of
+    breaches, counted in chunks of time, so no task holds a group's whole history.
     """
-    breach = F.col("value") >= threshold if at_least else F.col("value") > threshold
-    group = Window.partitionBy(*(by or [F.lit(1)]))
-    if seconds is None:
-        recent = group.orderBy("period").rowsBetween(-(consecutive - 1), 0)
-        placed = periods
-    else:
-        placed = periods.withColumn("_at", position(periods, "period"))
-        recent = group.orderBy("_at").rangeBetween(-(consecutive - 1) * seconds * 1_000_000, 0)
-    return (
-        placed.withColumn("breach", F.coalesce(breach, F.lit(False)))
-        .withColumn("_held", F.min("breach").over(recent))
-        .withColumn("_seen", F.count(F.lit(1)).over(recent))
-        .withColumn("alarm", F.col("_held") & (F.col("_seen") == consecutive))
-        .drop("_held", "_seen", "_at")
-    )
+    breach = F.coalesce(F.col("value") >= threshold if at_least else F.col("value") > threshold, F.lit(False))
+    step = None if seconds is None else seconds * 1_000_000
+    found = streaks(periods.withColumn("breach", breach), F.col("breach"), "period", by, step, name="_streak")
+    return found.withColumn("alarm", F.col("_streak") >= consecutive).drop("_streak")
 
 
 # Alarms of a load job. Statistic, threshold, whether reaching it is enough,
@@ -326,12 +315,8 @@ def trend(periods: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     Expects one row per group and period, as `metric_periods` makes them.
     """
-    earlier = (
-        Window.partitionBy(*(by or [F.lit(1)])).orderBy("period")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     return (
-        periods.withColumn("baseline", F.avg("value").over(earlier))
+        earlier_averages(periods, {"baseline": "value"}, "period", by)
         .withColumn("change_percent", F.coalesce(percent_change(F.col("value"), F.col("baseline")), F.lit(0.0)))
         .withColumn(
             "verdict",
@@ -344,15 +329,10 @@ def trend(periods: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def baseline_alerts(periods: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Alerts against the earlier average: time over twice, throughput under half, errors over 1 %."""
-    earlier = (
-        Window.partitionBy(*(by or [F.lit(1)])).orderBy("period")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     return (
-        periods.withColumn("slow", F.coalesce(F.col("seconds") > 2 * F.avg("seconds").over(earlier), F.lit(False)))
-        .withColumn(
-            "low_throughput",
-            F.coalesce(F.col("throughput") < 0.5 * F.avg("throughput").over(earlier), F.lit(False)),
-        )
+        earlier_averages(periods, {"_seconds": "seconds", "_throughput": "throughput"}, "period", by)
+        .withColumn("slow", F.coalesce(F.col("seconds") > 2 * F.col("_seconds"), F.lit(False)))
+        .withColumn("low_throughput", F.coalesce(F.col("throughput") < 0.5 * F.col("_throughput"), F.lit(False)))
+        .drop("_seconds", "_throughput")
         .withColumn("many_errors", F.col("error_rate") > 0.01)
     )
