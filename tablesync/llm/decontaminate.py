@@ -43,7 +43,7 @@ class Decontamination:
     blocks: int = 4
     spread: float = 1.15  # longest over shortest item of one class
     step: int = 8  # windows begin a window's length over this apart
-    block_bytes: int = 16 << 20  # of benchmark text sent to the tasks at once
+    block_bytes: int = 1 << 19  # of benchmark text sent to the tasks at once; an item's index takes 32 KB at least
 
 
 def fingerprints(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -55,38 +55,76 @@ def one_bits(features: np.ndarray) -> np.ndarray:
     return np.unpackbits(features.view(np.uint8).reshape(-1, 8), axis=1)
 
 
+class Ones:
+    """Running counts of the ones in each of 64 bits, many counters to a machine word.
+
+    Row j holds the bits j, j + lane, j + 2 * lane, ... of the features before every second one, each in a lane of its
+    own. Sums are taken modulo the word; a difference is exact while no counter of it outgrows its lane, which the
+    longest window decides.
+    """
+
+    def __init__(self, features: np.ndarray, longest: int):
+        self.lane = 8 if longest < 250 else 16 if longest < 65_000 else 32
+        self.ones = np.uint64(sum(1 << i for i in range(0, 64, self.lane)))
+        even, odd = features[0::2], features[1::2]
+        self.total = np.zeros((self.lane, len(even) + 1), dtype=np.uint64)
+        for j, row in enumerate(self.total):
+            pair = (even >> np.uint64(j)) & self.ones
+            pair[: len(odd)] += (odd >> np.uint64(j)) & self.ones
+            np.cumsum(pair, out=row[1:])
+
+    def prints(self, a: np.ndarray, z: np.ndarray) -> np.ndarray:
+        """Of the features of pairs a to before z, the 64 majority bits."""
+        # A counter above z - a, half the features, reaches the lane's top bit with this added.
+        lift = ((1 << (self.lane - 1)) - 1 - (z - a)).astype(np.uint64) * self.ones
+        out = np.zeros(len(a), dtype=np.uint64)
+        for j, row in enumerate(self.total):
+            lifted = row[z]
+            lifted -= row[a]
+            lifted += lift
+            lifted >>= np.uint64(self.lane - 1)
+            lifted &= self.ones
+            lifted <<= np.uint64(j)
+            out |= lifted
+        return out
+
+
 class LengthClass:
-    """Items of nearly one length: their fingerprints, listed by near block values."""
+    """Items of nearly one length: their fingerprints, and per block the items near each block value, as bits of words."""
 
     def __init__(self, window: int, items: list[int], prints: np.ndarray, p: Decontamination):
         self.window, self.stride = window, max(2, window // p.step)
         self.items, self.prints, self.radius = np.array(items), prints, p.radius
         bits = 64 // p.blocks
         values = np.arange(1 << bits, dtype=np.uint64)
-        self.bits, self.mask, self.lists = np.uint64(bits), np.uint64((1 << bits) - 1), []
-        for b in range(p.blocks):
-            own = (prints >> np.uint64(b * bits)) & self.mask
-            near = [np.flatnonzero(np.bitwise_count(values ^ v) <= p.radius // p.blocks) for v in own]
-            which = np.repeat(np.arange(len(items)), [len(n) for n in near])
-            at = np.concatenate(near)
-            order = np.argsort(at, kind="stable")
-            counts = np.bincount(at, minlength=1 << bits).astype(np.int32)
-            self.lists.append((counts, np.cumsum(counts) - counts, which[order]))
+        self.bits, self.mask = np.uint64(bits), np.uint64((1 << bits) - 1)
+        self.near_items = np.zeros((-(-len(items) // 64), p.blocks, 1 << bits), dtype=np.uint64)
+        for k, whole in enumerate(prints):
+            for b in range(p.blocks):
+                own = (whole >> np.uint64(b * bits)) & self.mask
+                near = np.bitwise_count(values ^ own) <= p.radius // p.blocks
+                self.near_items[k // 64, b, near] |= np.uint64(1 << (k % 64))
 
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) of all pairs within the radius, each once."""
-        found = []
-        for b, (counts, first, which) in enumerate(self.lists):
-            value = (prints >> (np.uint64(b) * self.bits)) & self.mask
-            n = counts[value]
-            some = np.flatnonzero(n)
-            n = n[some]
-            rows = np.repeat(some, n)
-            at = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[value[some]], n)
-            items = which[at]
-            good = np.bitwise_count(prints[rows] ^ self.prints[items]) <= self.radius
-            found.append(rows[good] * len(self.items) + items[good])
-        pairs = np.unique(np.concatenate(found))
+        values = [((prints >> (np.uint64(b) * self.bits)) & self.mask).astype(np.intp) for b in range(self.near_items.shape[1])]
+        found = [np.zeros(0, dtype=np.int64)]
+        for w, tables in enumerate(self.near_items):
+            items = tables[0][values[0]]
+            for table, value in zip(tables[1:], values[1:]):
+                items |= table[value]
+            rows = np.flatnonzero(items)
+            items, own = items[rows], prints[rows]
+            # The lowest item of each window's set, then the next ones of those that have more.
+            while len(rows):
+                lowest = items & (~items + np.uint64(1))
+                k = np.bitwise_count(lowest - np.uint64(1)).astype(np.int64) + 64 * w
+                good = np.flatnonzero(np.bitwise_count(own ^ self.prints[k]) <= self.radius)
+                found.append(rows[good] * len(self.items) + k[good])
+                items ^= lowest
+                more = np.flatnonzero(items)
+                rows, items, own = rows[more], items[more], own[more]
+        pairs = np.sort(np.concatenate(found))
         return pairs // len(self.items), self.items[pairs % len(self.items)]
 
 
@@ -131,14 +169,7 @@ class Index:
         hits: dict[int, dict[int, tuple[float, int]]] = {}
         if not len(features) or not self.classes:
             return hits
-        # Ones in the features before every second one. Doubled differences over a window must not pass the type's largest
-        # number; sums may, since they are taken modulo its size.
-        kind = np.int16 if max(c.window for c in self.classes) < 16_000 else np.int64
-        bits = one_bits(features)
-        if len(bits) % 2:
-            bits = np.concatenate((bits, np.zeros((1, 64), dtype=np.uint8)))
-        total = np.zeros((len(bits) // 2 + 1, 64), dtype=kind)
-        np.cumsum(bits[0::2] + bits[1::2], axis=0, dtype=kind, out=total[1:])
+        ones = Ones(features, max(c.window for c in self.classes))
         of_item = np.concatenate(([0], np.cumsum(self.table[exact & np.uint64(0xFFFFF)])))
         lengths = np.diff(feature_at)
         for c in self.classes:
@@ -151,7 +182,7 @@ class Index:
                 t, f = text[i : i + (1 << 16)], first[i : i + (1 << 16)]
                 a = (feature_at[t] + f + 1) // 2
                 z = np.maximum((feature_at[t] + np.minimum(f + c.window, lengths[t])) // 2, a)
-                rows, items = c.near(fingerprints(total[z] - total[a], 2 * (z - a)))
+                rows, items = c.near(ones.prints(a, z))
                 if len(rows):
                     self._verify(t[rows], f[rows], items, c, exact, exact_at, of_item, hits)
         return hits

@@ -4,8 +4,11 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from tablesync.llm import decontaminate as dc
+from tablesync.llm import shingles as packed
 from tablesync.llm.queries import QUERIES
 from tests.llm.helpers import awkward, documents, prose
 
@@ -112,3 +115,58 @@ def test_query(spark, data):
     items = [tuple(r) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
     out = {r["doc_id"]: (r["kept"], r["item_ids"]) for r in QUERIES["op10_decontaminate"](spark, data).collect()}
     assert out == {k: (not h, sorted(h)) for k, h in expected(rows, items)}
+
+
+@pytest.mark.parametrize("longest", [40, 300, 70_000])
+def test_counters_in_lanes_equal_plain_counts(longest):
+    rng = np.random.default_rng(longest)
+    features = rng.integers(0, 2**63, 2 * longest + 1001, dtype=np.uint64)
+    features[::3] |= np.uint64(0xFFFF0000FFFF0000)
+    ones = dc.Ones(features, longest)
+    a = rng.integers(0, len(features) // 2 - longest // 2, 200)
+    z = a + rng.integers(0, longest // 2 + 1, 200)
+    plain = [
+        dc.fingerprints(dc.one_bits(features[2 * i : 2 * j]).sum(axis=0, dtype=np.int64)[None], np.array([2 * (j - i)]))[0]
+        for i, j in zip(a, z)]
+    assert ones.prints(a, z).tolist() == plain
+
+
+def test_many_items_of_one_length_are_each_found_by_their_blocks():
+    rng = np.random.default_rng(7)
+    p = dc.Decontamination()
+    prints = rng.integers(0, 2**63, 150, dtype=np.uint64)
+    group = dc.LengthClass(30, list(range(150)), prints, p)
+    windows = prints[rng.integers(0, 150, 500)]
+    for _ in range(19):
+        windows = windows ^ (np.uint64(1) << rng.integers(0, 64, 500, dtype=np.uint64))
+    want = {(i, k) for i, w in enumerate(windows) for k in np.flatnonzero(np.bitwise_count(w ^ prints) <= p.radius).tolist()}
+    assert set(zip(*(x.tolist() for x in group.near(windows)))) == want
+
+
+KINDS = {
+    "end cut off": lambda w, rng: w[: len(w) - len(w) // 8],
+    "start cut off": lambda w, rng: w[len(w) // 8 :],
+    "a word changed": lambda w, rng: [*w[: (i := rng.randrange(len(w)))], "other", *w[i + 1 :]],
+    "a word inserted": lambda w, rng: [*w[: (i := rng.randrange(len(w)))], "more", *w[i:]],
+    "a word left out": lambda w, rng: [*w[: (i := rng.randrange(len(w)))], *w[i + 1 :]],
+    "two words changed at the start": lambda w, rng: ["other", "words", *w[2:]],
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_recall_by_kind_of_change(kind):
+    """Items with a window of exact similarity 0.75 or more, between other words at any place."""
+    rng = random.Random(kind)
+    items = [(i, prose(1000 + i, rng.randrange(16, 60), 400)) for i in range(120)]
+    index = dc.Index(items, dc.Decontamination())
+    texts, wanted = [], []
+    for item, text in items:
+        for _ in range(2):
+            words = KINDS[kind](text.split(), rng)
+            texts.append(" ".join([prose(rng.randrange(10**6), rng.randrange(200), 400), *words, prose(rng.randrange(10**6), rng.randrange(200), 400)]))
+            if brute(texts[-1], text) >= 0.75:
+                wanted.append((len(texts) - 1, item))
+    found = set()
+    for first, _, data, offsets in packed.text_chunks(pa.array(texts)):
+        found |= {(first + t, index.ids[i]) for t, hit in index.search(data, offsets).items() for i in hit}
+    assert len(wanted) >= 60 and len(found & set(wanted)) >= 0.99 * len(wanted), (len(found & set(wanted)), len(wanted))
