@@ -658,6 +658,32 @@ def file_health(spark, sf):
     return health.join(rows, "month").select("month", "too_many_files", "rows")
 
 
+@query(
+    "file_alerts",
+    """
+    WITH t AS (SELECT event_type, CAST(ceil(count(*) / 100.0) AS BIGINT) AS files FROM events GROUP BY 1),
+    m AS (SELECT CAST(avg(files) AS BIGINT) AS usual FROM t)
+    SELECT event_type, files, files > usual AS too_many_files, TRUE AS small_under_a_gigabyte, FALSE AS small_under_a_byte,
+      TRUE AS large_over_a_byte, FALSE AS large_over_a_gigabyte, (SELECT count(*) FROM t) > 1 AS too_many_partitions FROM t, m
+    """,
+)
+def file_alerts(spark, sf):
+    """Every alert both ways: files of 100 rows, partitions with more files than is usual, and limits below and above the sizes."""
+    home, events = new_lake(spark, "alerts"), table(spark, sf, "events")
+    lake.write(events, home, "events", "create", partition_by=["event_type"], max_records_per_file=100)
+    files = lake.files(spark, home, "events")
+    per_type = F.ceil(F.col("count") / 100)
+    usual = int(events.groupBy("event_type").count().agg(F.round(F.avg(per_type)).alias("m")).first()["m"])
+    low = upkeep.file_health(files, small=1, large=1, most_files=usual)
+    high = upkeep.file_health(files, small=1 << 30, large=1 << 30).select(
+        "partition", F.col("files_too_small").alias("small_under_a_gigabyte"), F.col("files_too_large").alias("large_over_a_gigabyte"))
+    too_many = upkeep.table_health(files, most_partitions=1).first()["too_many_partitions"]
+    return low.join(high, "partition").select(
+        F.substring_index("partition", "=", -1).alias("event_type"), "files", "too_many_files", "small_under_a_gigabyte",
+        F.col("files_too_small").alias("small_under_a_byte"), F.col("files_too_large").alias("large_over_a_byte"), "large_over_a_gigabyte",
+        F.lit(too_many).alias("too_many_partitions"))
+
+
 # --------------------------------------------------------------------------
 # repair
 

@@ -9,11 +9,12 @@ from tablesync.operators import draw, fingerprint, profile, upkeep
 from tablesync.functions import amounts
 
 
-def _profile_sql(t: str, strategy: str, column: str) -> str:
+def _profile_sql(t: str, strategy: str, column: str, ends: bool = False) -> str:
     usable = f"count({column})" if strategy == "timestamp" else f"count(DISTINCT {column})"
+    values = f" CAST(min({column}) AS VARCHAR) AS low, CAST(max({column}) AS VARCHAR) AS high," if ends else ""
     return (
         f"SELECT '{column}' AS \"column\", '{strategy}' AS strategy, count(*) AS total, {usable} AS usable,"
-        f" {usable} * 100 >= count(*) * 95 AS is_valid FROM {t}"
+        f"{values} {usable} * 100 >= count(*) * 95 AS is_valid FROM {t}"
     )
 
 
@@ -29,6 +30,16 @@ def profile_key(spark, sf):
     return both.drop("low", "high")
 
 
+MANY_KEYS = {"lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], "orders": ["o_orderkey", "o_custkey"]}
+
+
+@query("profile_many_keys", " UNION ALL ".join(_profile_sql(t, "primary_key", c, ends=True) for t, keys in MANY_KEYS.items() for c in keys))
+def profile_many_keys(spark, sf):
+    """Every key column of two tables, all distinct counts of a table by one shuffle of its distinct values."""
+    found = [profile.profile_columns(table(spark, sf, t), keys=keys) for t, keys in MANY_KEYS.items()]
+    return found[0].unionByName(found[1])
+
+
 @query("profile_ts", _profile_sql("events", "timestamp", "ts") + " UNION ALL " + _profile_sql("lineitem", "timestamp", "l_shipdate"))
 def profile_ts(spark, sf):
     events = profile.profile_columns(table(spark, sf, "events"), timestamps=["ts"])

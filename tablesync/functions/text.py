@@ -66,14 +66,15 @@ def format_iso(instant: Column) -> Column:
 def redact(text: Column) -> Column:
     """Hide the values of password settings, and user names and passwords in URLs.
 
-    A value ends at a blank, a semicolon or an ampersand unless it is quoted, and URL credentials lie
-    between `://` and `@` without blanks or slashes, so that the text around them stays.
+    A value ends at a blank, a semicolon or an ampersand unless it is quoted. URL credentials begin after `://`
+    with a name and a colon and end at the last `@` before a blank or a quote, so a password may hold slashes
+    and further `@`; a colon with a port and a slash begins none.
     """
     value = r"""("[^"]*"|'[^']*'|[^\s;&"']+)"""
     hidden = text
     for name in ("password", "pwd"):
         hidden = F.regexp_replace(hidden, rf"(?i)\b{name}={value}", f"{name}=***")
-    return F.regexp_replace(hidden, r"://[^\s/:@]+:[^\s/@]+@", "://***:***@")
+    return F.regexp_replace(hidden, r"""://[^\s/:@"']+:(?!\d+/)[^\s"']+@""", "://***:***@")
 
 
 def ratio(part: Column, whole: Column, factor: float = 1.0) -> Column:

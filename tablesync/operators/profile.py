@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.structs import local_rows, struct
 from tablesync.operators.fingerprint import row_hash
 
 # Fixed value: share of usable values a tracking column needs, in percent.
@@ -28,8 +29,14 @@ def profile_columns(
 
     A timestamp column is valid when at least 95 % of its values are not NULL, a key
     when at least 95 % are distinct. `approximate` counts distinct keys with a
-    sketch, which needs no shuffle of the key values.
+    sketch, which needs no shuffle of the key values. Several exact keys are counted by
+    `distinct_counts`, beside the pass for everything else.
     """
+    if len(keys) > 1 and not approximate:
+        rest = profile_columns(df, timestamps, keys, True)
+        exact = distinct_counts(df, keys).select("column", F.col("distinct").alias("_exact"), F.lit("primary_key").alias("strategy"))
+        found = rest.join(exact, ["column", "strategy"], "left").withColumn("usable", F.coalesce("_exact", "usable")).drop("_exact")
+        return found.withColumn("is_valid", F.col("usable") * 100 >= F.col("total") * MINIMUM_SHARE).select(*rest.columns)
     counted = (lambda c: F.approx_count_distinct(c, relative_error)) if approximate else F.count_distinct
     measures = [F.count(F.lit(1)).alias("total")]
     for i, c in enumerate([*timestamps, *keys]):
@@ -57,6 +64,27 @@ def profile_columns(
     )
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, distinct): exact numbers of distinct values of many columns, NULL not among them, by one shuffle.
+
+    Each task turns its rows into pairs (column, value) and keeps every pair once before it sends them, so what is
+    shuffled are the distinct values of each task, never rows of several columns or a hot value many times.
+    """
+    def value(c: str):
+        kind, v = df.schema[c].dataType, F.col(f"`{c}`")
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            v = v + F.lit(0.0)  # -0.0 is 0.0
+        if isinstance(kind, T.BinaryType):
+            return F.hex(v)
+        return F.to_json(F.struct(v)) if isinstance(kind, (T.StructType, T.ArrayType)) else v.cast("string")
+
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), value(c).alias("v")) for i, c in enumerate(columns)])).alias("p"))
+    counts = pairs.select("p.i", "p.v").distinct().groupBy("i").agg(F.count("v").alias("distinct"))
+    # A table without rows has no pair of any column, and each of them no value.
+    names = local_rows(df.sparkSession, list(enumerate(columns)), struct(i="int", column="string"))
+    return names.join(counts, "i", "left").select("column", F.coalesce("distinct", F.lit(0)).alias("distinct"))
+
+
 def size_estimate(df: DataFrame, fraction: float = 0.01) -> DataFrame:
     """Bytes of a table: average JSON length of a sample × row count, 0 for no rows.
 

@@ -16,21 +16,23 @@ from tablesync.operators.chunks import earlier_averages, streaks
 
 
 def parse_lines(df: DataFrame, line: str = "line") -> DataFrame:
-    """Split `message | k=v | k=v` into `message` and a map `fields`; a repeated key keeps its last value."""
+    """Split `message | k=v | k=v` into `message` and a map `fields`; a repeated key keeps its last value.
+
+    The pairs are sorted by key and place, and one stays if the next has another key: no step looks at all pairs
+    for each pair, so lines may have any number of fields.
+    """
     parts = F.split(F.col(line), r"\s\|\s")
     pairs = F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: p.contains("="))
-    key = lambda p: F.trim(F.substring_index(p, "=", 1))
-    keys = F.transform("_pairs", key)
-    last = F.filter(
-        "_pairs",
-        lambda p, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), key(p)),
-    )
-    entry = lambda p: F.struct(key(p), F.regexp_replace(p, "^[^=]*=", ""))
+    entry = lambda p, i: F.struct(
+        F.trim(F.substring_index(p, "=", 1)).alias("key"), i.alias("place"), F.regexp_replace(p, "^[^=]*=", "").alias("value"))
+    last = F.filter("_sorted", lambda e, i: ~e["key"].eqNullSafe(F.get("_sorted", i + 1)["key"]))
+    in_line = F.array_sort(F.transform("_last", lambda e: F.struct(e["place"], e["key"], e["value"])))
     return (
         df.withColumn("message", F.trim(F.get(parts, F.lit(0))))
-        .withColumn("_pairs", pairs)
-        .withColumn("fields", F.map_from_entries(F.transform(last, entry)))
-        .drop("_pairs")
+        .withColumn("_sorted", F.array_sort(F.transform(pairs, entry)))
+        .withColumn("_last", last)
+        .withColumn("fields", F.map_from_entries(F.transform(in_line, lambda e: F.struct(e["key"], e["value"]))))
+        .drop("_sorted", "_last")
     )
 
 

@@ -23,31 +23,35 @@ MAX_FILES_PER_PARTITION = 10_000
 MAX_PARTITIONS = 1_000
 
 
-def file_health(files: DataFrame) -> DataFrame:
-    """Per partition: files, bytes, average size, small and large files, and alerts."""
+def file_health(
+    files: DataFrame, small: int = SMALL_FILE, large: int = LARGE_FILE, most_files: int = MAX_FILES_PER_PARTITION
+) -> DataFrame:
+    """Per partition: files, bytes, average size, small and large files, and alerts on each of these limits."""
     return (
         files.groupBy("partition")
         .agg(
             F.count(F.lit(1)).alias("files"),
             F.sum("bytes").alias("bytes"),
-            F.count_if(F.col("bytes") < SMALL_FILE).alias("small_files"),
-            F.count_if(F.col("bytes") > LARGE_FILE).alias("large_files"),
+            F.count_if(F.col("bytes") < small).alias("small_files"),
+            F.count_if(F.col("bytes") > large).alias("large_files"),
         )
         .withColumn("average_bytes", F.floor(F.col("bytes") / F.col("files")))
-        .withColumn("too_many_files", F.col("files") > MAX_FILES_PER_PARTITION)
+        .withColumn("too_many_files", F.col("files") > most_files)
+        .withColumn("files_too_small", F.col("average_bytes") < small)
+        .withColumn("files_too_large", F.col("large_files") > 0)
     )
 
 
-def table_health(files: DataFrame) -> DataFrame:
+def table_health(files: DataFrame, most_partitions: int = MAX_PARTITIONS, **limits: int) -> DataFrame:
     """The whole table as one row, with an alert for too many partitions."""
-    return file_health(files).agg(
+    return file_health(files, **limits).agg(
         F.count(F.lit(1)).alias("partitions"),
         F.sum("files").alias("files"),
         F.sum("bytes").alias("bytes"),
         F.sum("small_files").alias("small_files"),
         F.sum("large_files").alias("large_files"),
         F.max("too_many_files").alias("too_many_files"),
-        (F.count(F.lit(1)) > MAX_PARTITIONS).alias("too_many_partitions"),
+        (F.count(F.lit(1)) > most_partitions).alias("too_many_partitions"),
     )
 
 

@@ -188,3 +188,33 @@ def test_exports(spark, folder):
     assert spark.read.text(f"{folder}/json").first()[0] == '{"id":1,"s":"it\'s","x":null,"b":true,"t":"2024-06-01T12:00:00"}'
     exports.to_sql(df, "t", f"{folder}/sql")
     assert spark.read.text(f"{folder}/sql").count() == 2
+
+
+def test_lines_with_very_many_fields(spark):
+    import time
+
+    line = "start" + "".join(f" | k{i % 9000}={i}" for i in range(10_000)) + " | k1=last=1 | no pair"
+    df = spark.createDataFrame([(line,), ("only",), (None,), (" | =x | a=",)], "line string")
+    started = time.monotonic()
+    got = [(r["message"], r["fields"]) for r in runlog.parse_lines(df).collect()]
+    assert time.monotonic() - started < 30
+    want = {f"k{i % 9000}": str(i) for i in range(10_000)} | {"k1": "last=1"}
+    assert got[0] == ("start", want)
+    assert runlog.parse_lines(df).select(F.map_keys("fields").alias("k")).first()["k"][-1] == "k1"  # in the order of the line
+    assert got[1] == ("only", {}) and got[3] == ("", {"": "x", "a": ""})
+
+
+def test_passwords_with_slashes_and_signs(spark):
+    found = column(spark, ["://u:p/w@h/d", "a://u:p@w@h b@c", "x://h:8080/p@q", "'y://u:p' z@h", "s://u@h:1/2"], "string", text.redact)
+    assert found == ["://***:***@h/d", "a://***:***@h b@c", "x://h:8080/p@q", "'y://u:p' z@h", "s://u@h:1/2"]
+
+
+def test_distinct_counts_of_many_columns(spark):
+    from tablesync.operators.profile import distinct_counts, profile_columns
+
+    df = spark.sql("select id % 7 as a, if(id % 3 = 0, null, id) as b, cast(id % 2 as double) * -0.0 as c, array(id % 4) as d, 'x' as e from range(100)")
+    got = {r["column"]: r["distinct"] for r in distinct_counts(df, df.columns).collect()}
+    assert got == {"a": 7, "b": 66, "c": 1, "d": 4, "e": 1}
+    assert {r["column"]: r["distinct"] for r in distinct_counts(df.limit(0), ["a", "b"]).collect()} == {"a": 0, "b": 0}
+    plan = profile_columns(df, keys=["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
