@@ -27,10 +27,10 @@ class Brute:
             self.context[v] += n
         self.d2 = kn.discounts([sum(n == k for n in self.pairs.values()) for k in (1, 2, 3, 4)])
         self.d1 = kn.discounts([sum(n == k for n in self.before.values()) for k in (1, 2, 3, 4)])
+        self.rest = sum(self.d1[min(n, 3)] for n in self.before.values()) / max(1, len(self.pairs))
 
     def single(self, w):
-        rest = sum(self.d1[min(n, 3)] for n in self.before.values()) / len(self.pairs)
-        return max(self.before[w] - self.d1[min(self.before[w], 3)], 0) / len(self.pairs) + rest / (self.size + 1)
+        return max(self.before[w] - self.d1[min(self.before[w], 3)], 0) / len(self.pairs) + self.rest / (self.size + 1)
 
     def p(self, v, w):
         if v not in self.context:
