@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from suite.base import query, table
 from tablesync.operators import draw, fingerprint, profile, upkeep
 from tablesync.functions import amounts
+from tablesync.session import workspace
 
 
 def _profile_sql(t: str, strategy: str, column: str, ends: bool = False) -> str:
@@ -40,6 +41,28 @@ def profile_many_keys(spark, sf):
     return found[0].unionByName(found[1])
 
 
+INCREMENTAL = [("primary_key", "l_orderkey"), ("primary_key", "l_partkey"), ("timestamp", "l_shipdate")]
+
+
+@query("profile_incremental", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{strategy}' AS strategy, count(*) AS total, count(DISTINCT {c}) AS exact, CAST(min({c}) AS VARCHAR) AS low,"
+    f" CAST(max({c}) AS VARCHAR) AS high, TRUE AS as_of_the_whole, TRUE AS is_close FROM lineitem" for strategy, c in INCREMENTAL))
+def profile_incremental(spark, sf):
+    """Profiles of four loads of lineitem, stored and merged: the profile of the whole table, its sketches included."""
+    lines, path = table(spark, sf, "lineitem"), workspace(spark, "profiles")
+    of = lambda df: profile.sketched_profile(df, [c for s, c in INCREMENTAL if s == "timestamp"], [c for s, c in INCREMENTAL if s != "timestamp"])
+    for i in range(4):
+        of(lines.filter(F.pmod("l_orderkey", F.lit(4)) == i)).write.mode("append").parquet(path)
+    merged = profile.merged_profiles(spark.read.parquet(path))
+    whole = of(lines).select("column", F.hll_sketch_estimate("sketch").alias("estimate"))
+    exact = profile.distinct_counts(lines, [c for _, c in INCREMENTAL]).withColumnRenamed("distinct", "exact")
+    found = merged.withColumn("merged", F.hll_sketch_estimate("sketch")).join(whole, "column").join(exact, "column")
+    near = lambda a, b, share: F.abs(F.col(a) - F.col(b)) <= share * F.col(b)
+    return found.select(
+        "column", "strategy", "total", "exact", "low", "high", near("merged", "estimate", 0.02).alias("as_of_the_whole"),
+        near("merged", "exact", 0.05).alias("is_close"))
+
+
 @query("profile_ts", _profile_sql("events", "timestamp", "ts") + " UNION ALL " + _profile_sql("lineitem", "timestamp", "l_shipdate"))
 def profile_ts(spark, sf):
     events = profile.profile_columns(table(spark, sf, "events"), timestamps=["ts"])

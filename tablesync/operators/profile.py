@@ -10,10 +10,14 @@ from pyspark.sql import types as T
 
 from tablesync.functions.structs import local_rows, struct
 from tablesync.operators.fingerprint import row_hash
+from tablesync.operators.incremental import has_position, position
 
 # Fixed value: share of usable values a tracking column needs, in percent.
 MINIMUM_SHARE = 95
 
+# Registers of a distinct-value sketch, as a power of two: a standard error of about 0.8 %.
+SKETCH_BITS = 14
+
 # A window over one group of ids never sees more rows than this.
 IDS_PER_GROUP = 1_000_000
 
@@ -85,6 +89,50 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return names.join(counts, "i", "left").select("column", F.coalesce("distinct", F.lit(0)).alias("distinct"))
 
 
+def sketched_profile(df: DataFrame, timestamps: Sequence[str] = (), keys: Sequence[str] = ()) -> DataFrame:
+    """A profile that can be added to others: per column total, values, ends and a sketch of the distinct values.
+
+    One pass over one load; `merged_profiles` makes the profile of a table from those of its loads, so a profile of a
+    growing table reads what is new. Ends are kept as text and, where a type has an order in whole numbers, as those.
+    """
+    columns = [*timestamps, *keys]
+    measures = [F.count(F.lit(1)).alias("total")]
+    for i, c in enumerate(columns):
+        kind = df.schema[c].dataType
+        place = position(df, c) if has_position(kind) else F.lit(None).cast("bigint")
+        # Sketches take numbers, text and bytes; a value's text stands for the rest.
+        value = F.col(f"`{c}`") if isinstance(kind, (T.IntegerType, T.LongType, T.StringType, T.BinaryType)) else F.col(f"`{c}`").cast("string")
+        measures += [
+            F.count(c).alias(f"n{i}"), F.min(c).cast("string").alias(f"a{i}"), F.max(c).cast("string").alias(f"z{i}"),
+            F.min(place).alias(f"p{i}"), F.max(place).alias(f"q{i}"), F.hll_sketch_agg(value, F.lit(SKETCH_BITS)).alias(f"s{i}"),
+        ]
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"), F.lit("timestamp" if i < len(timestamps) else "primary_key").alias("strategy"), F.col("total"),
+            F.col(f"n{i}").alias("filled"), F.col(f"a{i}").alias("low"), F.col(f"z{i}").alias("high"),
+            F.col(f"p{i}").alias("low_place"), F.col(f"q{i}").alias("high_place"), F.col(f"s{i}").alias("sketch"))
+        for i, c in enumerate(columns)
+    ]
+    return df.agg(*measures).select(F.inline(F.array(*rows)))
+
+
+def merged_profiles(stored: DataFrame) -> DataFrame:
+    """One profile per column from those of several loads, itself to be stored and merged again."""
+    by_place = lambda pick, end: F.coalesce(
+        pick(end, f"{end}_place"), {"low": F.min, "high": F.max}[end](F.when(F.col(f"{end}_place").isNull(), F.col(end))))
+    return stored.groupBy("column", "strategy").agg(
+        F.sum("total").alias("total"), F.sum("filled").alias("filled"), by_place(F.min_by, "low").alias("low"),
+        by_place(F.max_by, "high").alias("high"), F.min("low_place").alias("low_place"), F.max("high_place").alias("high_place"),
+        F.hll_union_agg("sketch", F.lit(True)).alias("sketch"))
+
+
+def judged_profile(profiles: DataFrame) -> DataFrame:
+    """The columns of `profile_columns` from mergeable profiles; distinct keys are estimates."""
+    usable = F.when(F.col("strategy") == "timestamp", F.col("filled")).otherwise(F.least(F.hll_sketch_estimate("sketch"), "filled"))
+    return profiles.withColumn("usable", usable).select(
+        "column", "strategy", "total", "usable", "low", "high", (F.col("usable") * 100 >= F.col("total") * MINIMUM_SHARE).alias("is_valid"))
+
+
 def size_estimate(df: DataFrame, fraction: float = 0.01) -> DataFrame:
     """Bytes of a table: average JSON length of a sample × row count, 0 for no rows.
 

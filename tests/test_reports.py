@@ -218,3 +218,21 @@ def test_distinct_counts_of_many_columns(spark):
     assert {r["column"]: r["distinct"] for r in distinct_counts(df.limit(0), ["a", "b"]).collect()} == {"a": 0, "b": 0}
     plan = profile_columns(df, keys=["a", "b"])._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
+
+
+def test_profiles_of_loads_merge(spark):
+    from tablesync.operators import profile
+
+    df = spark.sql("select id as k, cast(id % 7 as string) as s, if(id % 2 = 0, null, timestamp_ntz'2024-01-01' + make_dt_interval(0, cast(id as int))) as t from range(9, 2000)")
+    parts = [profile.sketched_profile(df.filter(f"k % 3 = {i}"), ["t"], ["k", "s"]) for i in range(3)] + [profile.sketched_profile(df.limit(0), ["t"], ["k", "s"])]
+    stored = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    got = {r["column"]: r for r in profile.judged_profile(profile.merged_profiles(stored)).collect()}
+    want = {r["column"]: r for r in profile.profile_columns(df, ["t"], ["k", "s"]).collect()}
+    for c, r in want.items():
+        assert (got[c]["total"], got[c]["low"], got[c]["high"], got[c]["is_valid"]) == (r["total"], r["low"], r["high"], r["is_valid"])
+        assert abs(got[c]["usable"] - r["usable"]) <= 0.03 * r["usable"]
+    # 9 comes before 10 as a number, and a second merge changes nothing.
+    assert got["k"]["low"] == "9"
+    once = profile.merged_profiles(stored)
+    twice = {r["column"]: r for r in profile.judged_profile(profile.merged_profiles(once)).collect()}
+    assert twice == got
