@@ -37,11 +37,14 @@ def profile_columns(
     `distinct_counts`, beside the pass for everything else.
     """
     if len(keys) > 1 and not approximate:
-        rest = profile_columns(df, timestamps, keys, True)
+        rest = _profile(df, timestamps, keys, F.count)
         exact = distinct_counts(df, keys).select("column", F.col("distinct").alias("_exact"), F.lit("primary_key").alias("strategy"))
         found = rest.join(exact, ["column", "strategy"], "left").withColumn("usable", F.coalesce("_exact", "usable")).drop("_exact")
         return found.withColumn("is_valid", F.col("usable") * 100 >= F.col("total") * MINIMUM_SHARE).select(*rest.columns)
-    counted = (lambda c: F.approx_count_distinct(c, relative_error)) if approximate else F.count_distinct
+    return _profile(df, timestamps, keys, (lambda c: F.approx_count_distinct(c, relative_error)) if approximate else F.count_distinct)
+
+
+def _profile(df: DataFrame, timestamps: Sequence[str], keys: Sequence[str], counted) -> DataFrame:
     measures = [F.count(F.lit(1)).alias("total")]
     for i, c in enumerate([*timestamps, *keys]):
         usable = F.count(c) if i < len(timestamps) else counted(F.col(c))
@@ -74,8 +77,13 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Each task turns its rows into pairs (column, value) and keeps every pair once before it sends them, so what is
     shuffled are the distinct values of each task, never rows of several columns or a hot value many times.
     """
+    kinds = {df.schema[c].dataType for c in columns}
+    whole = all(isinstance(k, T.IntegralType) for k in kinds)
+
     def value(c: str):
         kind, v = df.schema[c].dataType, F.col(f"`{c}`")
+        if whole:  # numbers are compared as such; columns of several types as text
+            return v.cast("bigint")
         if isinstance(kind, (T.FloatType, T.DoubleType)):
             v = v + F.lit(0.0)  # -0.0 is 0.0
         if isinstance(kind, T.BinaryType):
