@@ -14,8 +14,8 @@ confidence, are kept if they have enough letters, and add nothing to the priors
 Edge cases: null and empty texts have no letters, get their language from the other evidence, and are not
 kept. A null declared language, host or suffix is no evidence, nor is a blank declared language that is not modelled. Without any modelled language the language
 and its confidence are null and no row is kept. Repeated rows give repeated rows (and count twice). An empty
-table gives an empty table. In `keep_known` rows without a key all stay, and rows that share a key go
-together. Other columns are never read; those that pass through keep their names.
+table gives an empty table. In `keep_known` rows without a key all stay, and rows that share a key are
+judged each by its own text, declaration and host. Other columns are never read; those that pass through keep their names.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm import shingles
-from tablesync.llm.base import settled
+from tablesync.llm.base import own_name, settled
 
 
 @dataclass(frozen=True)
@@ -197,9 +197,18 @@ def identify(df: DataFrame, key: str, text: str, declared: str | Column, host: s
 
 
 def keep_known(df: DataFrame, key: str, text: str, declared: str, host: str, p: Fusion = Fusion()) -> DataFrame:
-    """The rows whose language is known, with the columns they came with."""
-    gone = identify(df, key, text, declared, host, p=p).filter("NOT kept").select(key).distinct()
-    return df.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    """The rows whose language is known, with the columns they came with.
+
+    A row is found again by its key and a hash of what it was judged by, so a row that repeats a key with
+    another text, declaration or host is judged by its own.
+    """
+    at, mark = own_name("key"), own_name("mark")
+    evidence = [F.col(f"`{c}`") for c in (text, declared, host)]
+    marked = df.withColumn(mark, F.xxhash64(*[c for e in evidence for c in (e, e.isNull())]))
+    rows = marked.withColumn(at, F.struct(F.col(f"`{key}`").alias("key"), F.col(mark).alias("mark")))
+    gone = identify(rows, at, text, declared, host, p=p).filter("NOT kept")
+    gone = gone.select(F.col(f"{at}.key").alias(at), F.col(f"{at}.mark").alias(mark)).distinct()
+    return marked.withColumn(at, F.col(f"`{key}`")).join(gone, [at, mark], "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def of_pages(pages: DataFrame, key: str, url: str, source: str, p: Fusion = Fusion()) -> DataFrame:

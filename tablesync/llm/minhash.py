@@ -17,8 +17,9 @@ let go by its signature (five standard deviations below) with one of 3e-7.
 
 Edge cases: null and empty texts, and texts without words, have no shingles and are linked with
 nothing. A row without an id is returned with no component and kept. Repeated rows are returned as
-often as they come, with one component; a row that repeats an id with another text is judged by its
-own text. An empty table gives an empty table. Other columns of the input are never read.
+often as they come, with one component. Rows that repeat an id with another text are documents of
+their own, told apart by a 64-bit hash of the text: each has its own links, and a component_id that
+two of them have in common does not say that they are linked (`labelled` does). An empty table gives an empty table. Other columns of the input are never read.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tablesync.llm import shingles
-from tablesync.llm.base import discard, settled
+from tablesync.llm.base import discard, own_name, settled
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,7 @@ class MinHash:
 
 
 def signatures(docs: DataFrame, key: str, text: str, p: MinHash) -> DataFrame:
-    """id, n_shingles, a 128-bit digest of the shingle set (d1, d2), the signature's words and the band keys."""
+    """id, mark (a hash of the text), n_shingles, a 128-bit digest of the shingle set (d1, d2), the signature's words, band keys."""
     random = np.random.default_rng(977)
     factor = random.integers(0, 2**32, p.hashes, dtype=np.uint32) | np.uint32(1)
     offset = random.integers(0, 2**32, p.hashes, dtype=np.uint32)
@@ -69,7 +70,7 @@ def signatures(docs: DataFrame, key: str, text: str, p: MinHash) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for first, last, values, at in shingles.shingle_sets(part.column(1), p.width):
+            for first, last, values, at in shingles.shingle_sets(part.column(2), p.width):
                 n, sizes = last - first, np.diff(at)
                 full = np.flatnonzero(sizes)
                 digest = np.zeros((n, 2), dtype=np.uint64)
@@ -86,15 +87,15 @@ def signatures(docs: DataFrame, key: str, text: str, p: MinHash) -> DataFrame:
                     planes[full] = np.ascontiguousarray(np.concatenate(packed, axis=1)).view(np.int64)
                 has = np.where(sizes > 0, bands, 0)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0).slice(first, n), pa.array(sizes, pa.int64()),
+                    part.column(0).slice(first, n), part.column(1).slice(first, n), pa.array(sizes, pa.int64()),
                     pa.array(digest[:, 0].view(np.int64)), pa.array(digest[:, 1].view(np.int64)),
                     *[pa.array(planes[:, i]) for i in range(planes.shape[1])],
                     pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(has))), pa.int32()), pa.array(keys[full].ravel())),
-                ], ["id", "n_shingles", "d1", "d2", *p.planes, "bands"])
+                ], ["id", "mark", "n_shingles", "d1", "d2", *p.planes, "bands"])
 
-    used = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    used = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
     words = ", ".join(f"{c} bigint" for c in p.planes)
-    return used.mapInArrow(run, f"id bigint, n_shingles bigint, d1 bigint, d2 bigint, {words}, bands array<bigint>")
+    return used.mapInArrow(run, f"id bigint, mark bigint, n_shingles bigint, d1 bigint, d2 bigint, {words}, bands array<bigint>")
 
 
 def _estimate(p: MinHash, a: str, b: str):
@@ -303,13 +304,18 @@ def _linked(x: np.ndarray, y: np.ndarray, p: MinHash) -> bool:
     return both > 0 and 100 * both >= p.percent * (len(x) + len(y) - both)
 
 
-def components(docs: DataFrame, key: str, text: str, p: MinHash = MinHash()) -> DataFrame:
-    """Per row: key, n_shingles, component_id (the smallest key reachable over links), kept (key = component_id)."""
-    rows = settled(signatures(docs, key, text, p), "minhash-signatures")
+def labelled(docs: DataFrame, key: str, text: str, p: MinHash = MinHash()) -> DataFrame:
+    """Per row: id, mark (a hash of its text), n_shingles, label (of its component) and component_id.
+
+    Two rows are in one component if they have one label; component_id is the smallest id of a label's rows.
+    Rows without shingles or without an id have no label.
+    """
+    rows = settled(signatures(docs, key, text, p).withColumn("row", F.monotonically_increasing_id()), "minhash-signatures")
     full = rows.filter("n_shingles > 0 AND id IS NOT NULL")
-    classes = full.groupBy("d1", "d2", "n_shingles").agg(F.min("id").alias("node"))
-    first = full.join(classes.withColumnRenamed("node", "id"), ["d1", "d2", "n_shingles", "id"], "left_semi")
-    nodes = settled(first.select("id", F.col("n_shingles").alias("n"), *p.planes, "bands"), "minhash-nodes")
+    # A node is a distinct shingle set; the number of one of its rows names it, whatever ids its rows have.
+    classes = full.groupBy("d1", "d2", "n_shingles").agg(F.min("row").alias("node"), F.min("id").alias("least"))
+    first = full.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
+    nodes = settled(first.select(F.col("row").alias("id"), F.col("id").alias("of"), "mark", F.col("n_shingles").alias("n"), *p.planes, "bands"), "minhash-nodes")
 
     placed = nodes.select("id", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).filter("pivot < last")
@@ -321,8 +327,10 @@ def components(docs: DataFrame, key: str, text: str, p: MinHash = MinHash()) ->
     tried = tried.withColumn("rank", most).filter(F.col("rank") <= p.tries).select("a", "b")
     x, y = nodes.select(F.col("id").alias("a"), "n", *p.planes).alias("x"), nodes.select(F.col("id").alias("b"), "n", *p.planes).alias("y")
     likely = tried.join(y, "b").join(x, "a").filter(_close(p, "x", "y") & (_estimate(p, "x", "y") >= p.cutoff)).select("a", "b")
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    texts = settled(texts.join(members.select("id").distinct(), "id", "left_semi"), "minhash-texts")
+    # One text per node, however often its row is repeated.
+    named = nodes.join(members.select("id").distinct(), "id", "left_semi").select("id", "of", "mark")
+    texts = docs.select(F.col(key).cast("long").alias("of"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    texts = settled(texts.join(named, ["of", "mark"]).select("id", "text").dropDuplicates(["id"]), "minhash-texts")
     labels = connected(settled(confirmed(likely, texts, p), "minhash-links"))
 
     # What is not in one component yet: components that may be linked form groups, and the links in each
@@ -340,19 +348,34 @@ def components(docs: DataFrame, key: str, text: str, p: MinHash = MinHash()) ->
     ids = open_members.select("id", "label").distinct().join(merged, "label", "left")
     labels = settled(ids.select("id", F.coalesce("merged", "label").alias("label")), "minhash-labels")
 
-    labelled = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("d1", "d2", "n_shingles", F.coalesce("label", "node").alias("component"))
+    known = classes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("d1", "d2", "n_shingles", F.coalesce("label", "node").alias("label"), "least")
+    known = settled(known, "minhash-classes")
+    smallest = known.groupBy("label").agg(F.min("least").alias("component_id"))
+    known = known.join(smallest, "label").select("d1", "d2", "n_shingles", "label", "component_id")
     discard(texts, members, open_members, in_groups, nodes)
-    of_full = full.select("id", "n_shingles", "d1", "d2").join(labelled, ["d1", "d2", "n_shingles"], "left").select("id", "n_shingles", "component")
-    alone = rows.filter("n_shingles = 0 OR id IS NULL").select("id", "n_shingles", F.col("id").alias("component"))
-    out = of_full.union(alone)
-    return out.select(
-        F.col("id").alias(key), "n_shingles", F.col("component").alias("component_id"),
-        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+    kept = ["id", "mark", "n_shingles", "label", "component_id"]
+    alone = rows.filter("n_shingles = 0 OR id IS NULL").select("id", "mark", "n_shingles", F.lit(None).cast("long").alias("label"), F.col("id").alias("component_id"))
+    return full.select("id", "mark", "n_shingles", "d1", "d2").join(known, ["d1", "d2", "n_shingles"], "left").select(kept).union(alone)
+
+
+def components(docs: DataFrame, key: str, text: str, p: MinHash = MinHash()) -> DataFrame:
+    """Per row: key, n_shingles, component_id (the smallest key reachable over links), kept (key = component_id)."""
+    return labelled(docs, key, text, p).select(
+        F.col("id").alias(key), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, key: str, text: str, p: MinHash = MinHash()) -> DataFrame:
-    """The rows whose document is kept, each key once (rows without a key all stay)."""
-    gone = components(docs, key, text, p).filter("NOT kept").select(key).distinct()
-    kept = docs.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    unnamed = kept.filter(F.col(key).isNull())
-    return kept.filter(F.col(key).isNotNull()).dropDuplicates([key]).union(unnamed)
+    """Of each component the row of the smallest key (then hash of the text), and all rows that are in none.
+
+    Rows that repeat key and text stay once, rows that repeat a key with other texts are judged by their own
+    text, and rows without a key all stay.
+    """
+    rows = settled(labelled(docs, key, text, p).select("id", "mark", "label", "component_id"), "minhash-rows")
+    heads = rows.filter("id = component_id")
+    several = heads.groupBy("label").agg(F.min("mark").alias("best"), F.max("mark").alias("last")).filter("best < last")
+    gone = rows.filter("id <> component_id").select("id", "mark").union(heads.join(several, "label").filter("mark <> best").select("id", "mark"))
+    at, mark = own_name("id"), own_name("mark")
+    gone = gone.distinct().withColumnsRenamed({"id": at, "mark": mark})
+    named = docs.filter(F.col(f"`{key}`").isNotNull()).withColumns({at: F.col(f"`{key}`").cast("long"), mark: F.xxhash64(F.col(f"`{text}`"))})
+    kept = named.join(gone, [at, mark], "left_anti").dropDuplicates([at, mark])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.filter(F.col(f"`{key}`").isNull()))

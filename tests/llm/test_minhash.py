@@ -85,6 +85,26 @@ def test_awkward_rows(spark):
     assert kept.filter("doc_id IS NULL").count() == 2
 
 
+def test_repeated_ids_with_other_texts(spark):
+    """Rows of one id are judged each by its own text, in labels and in what stays."""
+    a, b = prose(1, 120, 2000), prose(2, 120, 2000)
+    rows = [(5, a), (5, b), (3, a + " more"), (9, b + " end"), (7, "few words"), (7, prose(3, 90, 2000)), (5, b), (8, ""), (8, "few words")]
+    out = {}
+    for r in minhash.components(documents(spark, rows), "doc_id", "text").collect():
+        out.setdefault(r["doc_id"], set()).add((r["component_id"], r["kept"]))
+    assert out == {5: {(3, False), (5, True)}, 3: {(3, True)}, 9: {(5, False)}, 7: {(7, True)}, 8: {(8, True), (7, False)}}
+    kept = minhash.one_of_each(documents(spark, rows), "doc_id", "text").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, b), (3, a + " more"), (7, "few words"), rows[5], (8, "")])
+
+
+def test_linked_texts_of_one_id(spark):
+    """Of linked texts under one id one stays; a row repeated very often is one node and one text."""
+    a = prose(4, 120, 2000)
+    rows = [(2, a), (2, a + " more"), (2, prose(5, 80, 2000))] + [(2, a)] * 400 + [(6, a + " other")] * 400
+    kept = [r["text"] for r in minhash.one_of_each(documents(spark, rows), "doc_id", "text").collect()]
+    assert len(kept) == 2 and rows[2][1] in kept and set(kept) < {a, a + " more", rows[2][1]}
+
+
 def test_empty_table(spark):
     assert minhash.components(documents(spark, []), "doc_id", "text").collect() == []
 

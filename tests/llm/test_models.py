@@ -82,6 +82,14 @@ def test_many_languages(spark):
     assert len({r["language"] for r in out.values() if r["confidence"] is not None}) == 64
 
 
+def test_language_of_repeated_ids(spark):
+    """A row goes by its own text, not because another row has its id."""
+    extra = [(k, "12 34", "en", None) for k in (20_000, 20_011)] + [(20_000, "", None, None)]
+    rows, df = spoken(spark, extra)
+    kept = lg.keep_known(df, "doc_id", "text", "lang", "source").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted((k, t) for k, t, *_ in rows)
+
+
 def test_language_awkward_rows(spark):
     extra = [(k, t, None, None) for k, t in awkward()] + [(9003, speech("en", 5, 30), "zz", None)]
     rows, df = spoken(spark, extra)

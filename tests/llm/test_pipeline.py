@@ -5,6 +5,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tablesync.llm import language, quality_rules
 from tablesync.llm.base import settled
@@ -54,6 +56,19 @@ def test_empty_documents(spark, data):
         assert docs.count() == 0
 
 
+def test_repeated_ids(spark, data):
+    """Rows that share an id and differ in text pass the filters each by itself."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    good = settled(corpus_pipeline.good(spark, docs, data), "t")
+    known = settled(corpus_pipeline.known_language(spark, good, data), "t")
+    whole = corpus_pipeline.distinct(spark, known, data).count()
+    paired = good.withColumn("doc_id", F.expr("doc_id div 2")).unionByName(docs.limit(1).withColumns({"doc_id": F.lit(0).cast("long"), "text": F.lit("1 2 3")}))
+    left = settled(corpus_pipeline.known_language(spark, paired, data), "t")
+    out = corpus_pipeline.distinct(spark, left, data).collect()
+    assert len(out) == whole
+    assert "1 2 3" not in {r["text"] for r in out}
+
+
 def test_entry_without_the_subpackage(tmp_path):
     """The entry imports, with the other queries only, where the subpackage and the pipeline are missing."""
     shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
