@@ -15,12 +15,14 @@ from pyspark.sql import types as T
 
 from tablesync.functions.structs import local_rows, struct
 from tablesync.functions.text import format_iso, parse_iso
+from tablesync.session import remove
 
 # Fixed values.
 STRATEGIES = ["timestamp", "primary_key", "hash", "full_load"]
 COLUMN_STRATEGIES = ["timestamp", "primary_key"]
 MAX_TEXT = 10_000
 TIME_FIELDS = ["last_update_timestamp", "created_timestamp", "updated_timestamp"]
+BUCKETS = 64  # folders of a bookmark store's write, by hash of job and table
 CONTROL_CHARACTERS = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
 
 BOOKMARK_SCHEMA = struct(
@@ -188,24 +190,33 @@ def from_json(text: Column) -> Column:
 # store
 
 
+def bucket_of(job: Column, table: Column) -> Column:
+    """The folder of a table's bookmarks."""
+    return F.pmod(F.xxhash64(job, table), F.lit(BUCKETS)).cast("int")
+
+
 @dataclass(frozen=True)
 class BookmarkStore:
     """Bookmarks as an append-only parquet folder; the newest valid row counts.
 
-    Every write gets a folder of its own, so tables that finish at the same time
-    never share a commit.
+    Rows lie in `gen=<n>/put=<write>/bucket=<hash of job and table>`. Every write gets a folder of its own, so
+    tables that finish at the same time never share a commit, and who asks for a few tables lists their buckets
+    only. `fold` starts a new generation with the newest rows, one or few files per bucket.
     """
 
     path: str
 
     def rows(self, spark: SparkSession) -> DataFrame:
+        return self._stored(spark).select(*BOOKMARK_SCHEMA.names)
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        layout = T.StructType([*BOOKMARK_SCHEMA.fields, *struct(gen="bigint", put="string", bucket="int").fields])
         try:
-            rows = spark.read.schema(BOOKMARK_SCHEMA).parquet(self.path)
-            return rows.select(*BOOKMARK_SCHEMA.names)
+            return spark.read.schema(layout).parquet(self.path)
         except AnalysisException as error:
             if not (error.getCondition() or "").startswith("PATH_NOT_FOUND"):
                 raise
-            return local_rows(spark, [], BOOKMARK_SCHEMA)
+            return local_rows(spark, [], layout)
 
     def current(self, spark: SparkSession, job: str) -> DataFrame:
         """Newest row per table of a job. A corrupt row counts as no bookmark: full load."""
@@ -214,7 +225,10 @@ class BookmarkStore:
 
     def get(self, spark: SparkSession, job: str, tables: Sequence[str]) -> dict[str, Bookmark]:
         """Bookmarks of the asked tables, read in one job."""
-        of_job = self.rows(spark).filter((F.col("job_name") == job) & F.col("table_name").isin(list(tables)))
+        # Buckets are literals once the plan is made, so the folders of other tables are not listed.
+        buckets = [bucket_of(F.lit(job), F.lit(t)) for t in tables] or [F.lit(None)]
+        stored = self._stored(spark).filter(F.col("bucket").isin(buckets))
+        of_job = stored.filter((F.col("job_name") == job) & F.col("table_name").isin(list(tables))).select(*BOOKMARK_SCHEMA.names)
         # The verdict is read as a column: as a filter, the optimizer would take the long
         # expression apart for every row-group test.
         wanted = check(latest(of_job))
@@ -237,33 +251,50 @@ class BookmarkStore:
              b.created or now, now, "1.0", None, b.manual, b.manual_type, b.rows, number + i)
             for i, b in enumerate(bookmarks)
         ]
-        self._write(local_rows(spark, rows, BOOKMARK_SCHEMA).coalesce(1))
+        self._write(local_rows(spark, rows, BOOKMARK_SCHEMA), len(rows) > 1)
 
     def append(self, rows: DataFrame) -> None:
         """Append many bookmark rows held in a DataFrame."""
         self._write(rows.select(*[F.col(f.name).cast(f.dataType) for f in BOOKMARK_SCHEMA.fields]))
 
-    def _write(self, rows: DataFrame) -> str:
-        folder = f"{self.path}/put={time.time_ns()}-{uuid.uuid4().hex[:8]}"
-        rows.write.mode("errorifexists").parquet(folder)
-        return folder
+    def _write(self, rows: DataFrame, spread: bool = True, generation: int | None = None) -> None:
+        """One write in a folder of its own; a bucket goes to one task, or several if it is large."""
+        if generation is None:
+            generation = max(self._generations(rows.sparkSession), default=0)
+        rows = rows.withColumn("bucket", bucket_of(F.col("job_name"), F.col("table_name")))
+        if spread:
+            rows = rows.hint("rebalance", "bucket")
+        folder = f"{self.path}/gen={generation}/put={time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        rows.write.mode("errorifexists").partitionBy("bucket").parquet(folder)
+
+    def _generations(self, spark: SparkSession) -> list[int]:
+        """Generations in the store: one, or two after a fold that was broken off."""
+        place = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(place):
+            return []
+        names = [f.getPath().getName() for f in files.listStatus(place)]
+        return sorted(int(n[4:]) for n in names if n.startswith("gen="))
+
+    def writes(self, spark: SparkSession) -> int:
+        """Number of writes whose rows are in the store."""
+        return self._stored(spark).agg(F.count_distinct("put")).first()[0]
 
     def fold(self, spark: SparkSession) -> int:
-        """Keep only the newest row per job and table; returns the number of folders dropped.
+        """Keep only the newest row per job and table; returns the number of writes that went.
 
-        Run it when no load is going on. The newest rows are written before anything goes.
+        Run it when no load is going on. The newest rows are written as the next generation before the
+        earlier ones go, each as one folder; a fold that breaks off in between leaves rows twice, which
+        changes no bookmark, and the next one ends it.
         """
-        old = [
-            r["folder"]
-            for r in spark.read.schema(BOOKMARK_SCHEMA).parquet(self.path)
-            .select(F.regexp_extract("_metadata.file_path", "^(.*/put=[^/]+)/", 1).alias("folder"))
-            .distinct().collect()  # one row per earlier write
-        ]
-        self._write(latest(self.rows(spark)).coalesce(1))
-        for folder in old:
-            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-        return len(old)
+        old = self._generations(spark)
+        if not old:
+            return 0
+        gone = self.writes(spark)
+        self._write(latest(self.rows(spark)), generation=old[-1] + 1)
+        for number in old:
+            remove(spark, f"{self.path}/gen={number}")
+        return gone
 
     def reset(self, spark: SparkSession, job: str, tables: Sequence[str]) -> None:
         """Make the next run of these tables a full load."""

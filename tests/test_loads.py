@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.operators import repair
-from tablesync.operators.bookmarks import Bookmark, BookmarkStore, check, latest
+from tablesync.operators.bookmarks import Bookmark, BookmarkStore, bucket_of, check, latest
 from tablesync.operators.fingerprint import change_split, checkpoint_text, table_fingerprint
 from tablesync.plans import loads, runner
 from tablesync.plans.loads import Job, TableSpec
@@ -186,6 +186,41 @@ def test_latest_and_checks(spark, folder):
     assert check(store.rows(spark)).filter("not is_valid").count() == 0
 
 
+def test_store_folds_into_buckets(spark, folder):
+    store = BookmarkStore(f"{folder}/b")
+    assert store.fold(spark) == 0
+    for n in range(3):
+        store.put(spark, "j", [Bookmark(f"t{i}", "timestamp", "ts", str(n)) for i in range(40)])
+    store.put(spark, "k", [Bookmark("t1", "hash")])
+    before = store.get(spark, "j", ["t1", "t39"])
+    assert store.writes(spark) == 4 and store.fold(spark) == 4 and store.writes(spark) == 1
+    assert store.rows(spark).count() == 41 and store.get(spark, "j", ["t1", "t39"]) == before
+    store.put(spark, "j", [Bookmark("t1", "timestamp", "ts", "9")])
+    assert store.get(spark, "j", ["t1"])["t1"].value == "9" and store.get(spark, "k", ["t1"])["t1"].strategy == "hash"
+    # A fold that broke off before the earlier generation went.
+    store.append(store.rows(spark))
+    store._write(latest(store.rows(spark)), generation=2)
+    assert store._generations(spark) == [1, 2] and store.get(spark, "j", ["t1"])["t1"].value == "9"
+    store.fold(spark)
+    assert store._generations(spark) == [3] and store.rows(spark).count() == 41
+
+
+def test_bookmarks_of_few_tables_read_their_buckets(spark, folder):
+    store = BookmarkStore(f"{folder}/b")
+    store.put(spark, "j", [Bookmark(f"t{i}", "timestamp", "ts", "1") for i in range(200)])
+    stored = store._stored(spark).filter(F.col("bucket").isin([bucket_of(F.lit("j"), F.lit("t7"))]))
+    files = stored.select("_metadata.file_path").distinct().count()
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert files == 1 and "PartitionFilters: [isnotnull(bucket" in plan
+
+
+def test_run_folds_its_store(spark, job):
+    for start in (0, 5):
+        lake.write(frame(spark, start, start + 5), job.source, "t", "append")
+        results = runner.run(spark, job, [SPEC], fold_beyond=1)
+    assert results[0].mode == "incremental" and job.store.writes(spark) == 1 and target(spark, job) == list(range(10))
+
+
 def test_validation_before_loads(spark, job):
     from tablesync.plans.checks import column_is_fit
 
