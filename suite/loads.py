@@ -125,25 +125,20 @@ def incremental_run_log(spark, sf):
     return local_rows(spark, log, struct(run="int", mode="string", rows="bigint", watermark="string"))
 
 
+KEYS = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
+    "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id",
+    "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id",
+}
+
+
 @query(
     "watermark_summary",
-    """
-    SELECT 'orders' AS table_name, CAST(max(o_orderkey) AS VARCHAR) AS watermark, count(*) AS rows FROM orders
-    UNION ALL SELECT 'lineitem', CAST(max(l_orderkey) AS VARCHAR), count(*) FROM lineitem
-    UNION ALL SELECT 'events', CAST(max(event_id) AS VARCHAR), count(*) FROM events
-    UNION ALL SELECT 'customer', CAST(max(c_custkey) AS VARCHAR), count(*) FROM customer
-    UNION ALL SELECT 'documents', CAST(max(doc_id) AS VARCHAR), count(*) FROM documents
-    """,
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, CAST(max({c}) AS VARCHAR) AS watermark, count(*) AS rows FROM {t}" for t, c in KEYS.items()),
 )
 def watermark_summary(spark, sf):
-    columns = {
-        "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
-        "customer": "c_custkey", "documents": "doc_id",
-    }
-    parts = [
-        watermark(table(spark, sf, t), c).select(F.lit(t).alias("table_name"), "watermark", "rows")
-        for t, c in columns.items()
-    ]
+    """Highest key and rows of every table."""
+    parts = [watermark(table(spark, sf, t), c).select(F.lit(t).alias("table_name"), "watermark", "rows") for t, c in KEYS.items()]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -445,7 +440,7 @@ def time_travel(spark, sf):
 @query(
     "evolve_schema",
     f"""
-    SELECT o_orderkey, o_orderstatus AS status, o_totalprice,
+    SELECT o_orderkey, o_custkey, o_orderstatus AS status, o_totalprice, o_orderdate,
            CASE WHEN o_orderkey > {MID_ORDER} THEN o_orderpriority END AS priority
     FROM orders
     """,
@@ -454,14 +449,11 @@ def evolve_schema(spark, sf):
     """A renamed and an added column; files written before are not touched."""
     home, orders = new_lake(spark, "evolve"), table(spark, sf, "orders")
     start = middle(orders, "o_orderkey")
-    base = orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    base = orders.drop("o_orderpriority")
     lake.write(base.filter(F.col("o_orderkey") <= start), home, "orders", "create")
     lake.rename_column(spark, home, "orders", "o_orderstatus", "status")
     lake.add_column(spark, home, "orders", "priority", "string")
-    later = orders.filter(F.col("o_orderkey") > start).select(
-        "o_orderkey", F.col("o_orderstatus").alias("status"), "o_totalprice",
-        F.col("o_orderpriority").alias("priority"),
-    )
+    later = orders.filter(F.col("o_orderkey") > start).withColumnsRenamed({"o_orderstatus": "status", "o_orderpriority": "priority"})
     lake.write(later, home, "orders", "append")
     return lake.read(spark, home, "orders")
 

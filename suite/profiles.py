@@ -21,14 +21,13 @@ def _profile_sql(t: str, strategy: str, column: str, ends: bool = False) -> str:
 
 @query(
     "profile_key",
-    _profile_sql("lineitem", "primary_key", "l_orderkey") + " UNION ALL " + _profile_sql("lineitem", "primary_key", "l_partkey")
-    + " UNION ALL " + _profile_sql("orders", "primary_key", "o_orderkey"),
+    _profile_sql("lineitem", "primary_key", "l_orderkey", ends=True) + " UNION ALL " + _profile_sql("lineitem", "primary_key", "l_partkey", ends=True)
+    + " UNION ALL " + _profile_sql("orders", "primary_key", "o_orderkey", ends=True),
 )
 def profile_key(spark, sf):
     """Exact distinct shares: l_orderkey repeats too often for a key, o_orderkey does not."""
     lines = profile.profile_columns(table(spark, sf, "lineitem"), keys=["l_orderkey", "l_partkey"])
-    both = lines.unionByName(profile.profile_columns(table(spark, sf, "orders"), keys=["o_orderkey"]))
-    return both.drop("low", "high")
+    return lines.unionByName(profile.profile_columns(table(spark, sf, "orders"), keys=["o_orderkey"]))
 
 
 MANY_KEYS = {"lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], "orders": ["o_orderkey", "o_custkey"]}
@@ -63,11 +62,11 @@ def profile_incremental(spark, sf):
         near("merged", "exact", 0.05).alias("is_close"))
 
 
-@query("profile_ts", _profile_sql("events", "timestamp", "ts") + " UNION ALL " + _profile_sql("lineitem", "timestamp", "l_shipdate"))
+@query("profile_ts", _profile_sql("events", "timestamp", "ts", ends=True) + " UNION ALL " + _profile_sql("lineitem", "timestamp", "l_shipdate", ends=True))
 def profile_ts(spark, sf):
     events = profile.profile_columns(table(spark, sf, "events"), timestamps=["ts"])
     lines = profile.profile_columns(table(spark, sf, "lineitem"), timestamps=["l_shipdate"])
-    return events.unionByName(lines).drop("low", "high")
+    return events.unionByName(lines)
 
 
 @query("profile_nulls", """
@@ -100,12 +99,12 @@ def profile_key_approximate(spark, sf):
 @query(
     "table_statistics",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls FROM orders"
+        f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls, CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high FROM orders"
         for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     ),
 )
 def table_statistics(spark, sf):
-    return upkeep.column_statistics(table(spark, sf, "orders")).select("column", "rows", "nulls")
+    return upkeep.column_statistics(table(spark, sf, "orders")).select("column", "rows", "nulls", "low", "high")
 
 
 FINGERPRINT = """

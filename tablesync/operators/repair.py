@@ -21,8 +21,8 @@ from tablesync.sources.ranges import literal, quoted
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the highest in `order`, ties settled by a hash of the row.
 
-    A partial aggregate instead of a window, so repeats of a hot key are dropped
-    before the shuffle.
+    An aggregate instead of a window: each task sorts its rows by key and sends the newest
+    one per key, so repeats of a hot key are dropped before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
