@@ -200,7 +200,7 @@ class BookmarkStore:
     """Bookmarks as an append-only parquet folder; the newest valid row counts.
 
     Rows lie in `gen=<n>/put=<write>/bucket=<hash of job and table>`. Every write gets a folder of its own, so
-    tables that finish at the same time never share a commit, and who asks for a few tables lists their buckets
+    tables that finish at the same time never share a commit, and who asks for a few tables reads their buckets
     only. `fold` starts a new generation with the newest rows, one or few files per bucket.
     """
 
@@ -225,7 +225,7 @@ class BookmarkStore:
 
     def get(self, spark: SparkSession, job: str, tables: Sequence[str]) -> dict[str, Bookmark]:
         """Bookmarks of the asked tables, read in one job."""
-        # Buckets are literals once the plan is made, so the folders of other tables are not listed.
+        # Buckets are literals once the plan is made, so the folders of other tables are not read.
         buckets = [bucket_of(F.lit(job), F.lit(t)) for t in tables] or [F.lit(None)]
         stored = self._stored(spark).filter(F.col("bucket").isin(buckets))
         of_job = stored.filter((F.col("job_name") == job) & F.col("table_name").isin(list(tables))).select(*BOOKMARK_SCHEMA.names)
