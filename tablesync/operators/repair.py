@@ -204,7 +204,8 @@ def differing_ranges(source: DataFrame, target: DataFrame, column: str, fan: int
     """Spans of a column in which two tables hold different rows.
 
     A tree of fingerprints: both tables are cut into `fan` cells, each with its row count and sum of row hashes, and
-    only cells that differ are cut again, until they hold `least_rows` rows at most. A level reads the spans it cuts
+    only cells that differ are cut again, until none holds over `least_rows` rows of the source, which is what
+    a repair loads again; what the target has beyond them is surplus however a cell is cut. A level reads the spans it cuts
     and no others, on both sides in one job, and the driver sees the cells that differ. Where over `most` of them do,
     the spans of the level before are the answer, so it has `most` spans at most and at worst is the whole table.
     """
@@ -248,7 +249,7 @@ def differing_ranges(source: DataFrame, target: DataFrame, column: str, fan: int
                 spans[-1] = (spans[-1][0], r["high"])
             else:
                 spans.append((r["low"], r["high"]))
-            last, largest = r["cell"], max(largest, r["a"] + r["b"])
+            last, largest = r["cell"], max(largest, r["a"])
         found = Ranges(column, kind, tuple(spans), any(r["cell"] is None for r in rows))
         if width == 1 or largest <= least_rows:
             return found
