@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.structs import local_rows, struct
 from tablesync.sources import lake
 from tablesync.sources.lake import Commit, Lake
 
@@ -108,23 +110,24 @@ def compact(
 def compact_small_files(
     spark: SparkSession, target: Lake, table: str, target_bytes: int = TARGET_BYTES, smaller_than: float = 0.75
 ) -> Commit:
-    """Join only the folders whose files are well below the target size; all others stay untouched.
+    """Join only the files well below the target size; all others stay untouched, those beside them too.
 
     The usual upkeep of a big table: the work follows the new small files, not the table. As many
-    tasks write as the bytes really rewritten ask for.
+    tasks write as the bytes really rewritten ask for. A small file without another one to join in its
+    folder of the layout stays.
     """
     before = lake.state(spark, target, table)
-    listed = lake.files(spark, target, table)
-    folders = listed.groupBy("segment", "partition").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b"))
-    small = folders.filter(F.col("b") / F.col("n") < target_bytes * smaller_than)
-    found = small.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
-    if (found["n"] or 0) < 2:
+    below = math.ceil(target_bytes * smaller_than)
+    small = lake.files(spark, target, table).filter(F.col("bytes") < below)
+    several = small.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).filter("n > 1")
+    total = several.agg(F.sum("b").alias("b")).first()["b"]
+    if total is None:
         return Commit(table, before.snapshot, 0, None, None, False)
-    files = max(1, -(-found["b"] // target_bytes))
-    touched = listed.join(small, ["segment", "partition"], "left_semi").select(F.col("path").alias("_file"))
+    files = max(1, -(-total // target_bytes))
+    touched = small.join(several, "partition", "left_semi").select(F.col("path").alias("_file"))
     return lake.rewrite_folders(
         spark, target, before, touched,
-        lambda rows: rows if before.partition_spec else rows.coalesce(files), None, "compact_small_files",
+        lambda rows: rows if before.partition_spec else rows.coalesce(files), None, "compact_small_files", below=below,
     )
 
 
@@ -206,31 +209,42 @@ def unreferenced_files(spark: SparkSession, target: Lake, table: str) -> DataFra
     """Files no remaining snapshot shows: of failed writes, and of expired snapshots."""
     shown = lake.manifest(spark, target, table)
     segments = shown.select("segment").distinct()
-    # A folder is dead in a kept segment only when every snapshot that has the segment removed it.
+    # A file is dead in a kept segment only when every snapshot that has the segment removed it.
     uses = shown.groupBy("segment").agg(F.count(F.lit(1)).alias("uses"))
+    whole = shown.select("snapshot", "segment", F.explode("removed_folders").alias("partition"), F.lit(2**63 - 1).alias("below"))
+    part = shown.select("snapshot", "segment", F.explode("removed_below").alias("partition", "size"))
     removed = (
-        shown.select("segment", F.explode("removed_folders").alias("partition"))
-        .groupBy("segment", "partition").agg(F.count(F.lit(1)).alias("times"))
-        .join(uses, "segment").filter("times = uses").select("segment", "partition")
+        whole.unionByName(part.select("snapshot", "segment", "partition", F.col("size").cast("bigint").alias("below")))
+        .groupBy("segment", "partition", "snapshot").agg(F.max("below").alias("below"))
+        .groupBy("segment", "partition").agg(F.count(F.lit(1)).alias("times"), F.min("below").alias("below"))
+        .join(uses, "segment").filter("times = uses").select("segment", "partition", "below")
     )
     listed = lake.all_files(spark, target, table)
     orphans = listed.join(segments, "segment", "left_anti")
-    dead = listed.join(removed, ["segment", "partition"], "left_semi")
+    dead = listed.join(removed, ["segment", "partition"]).filter("bytes < below")
     return orphans.unionByName(dead.select(*orphans.columns))
 
 
 def remove_unreferenced(spark: SparkSession, target: Lake, table: str) -> int:
     """Delete unreferenced files, folder by folder: whole segments, and removed folders of the others.
 
-    Run it when no write to the table is going on: a write's files are not in a
-    manifest before its commit.
+    Only in a folder that keeps some of its files the others are deleted one by one. Run it when no write to
+    the table is going on: a write's files are not in a manifest before its commit.
     """
     found = unreferenced_files(spark, target, table)
     known = lake.manifest(spark, target, table).select("segment", F.lit(True).alias("known")).distinct()
+    inside = lake.all_files(spark, target, table).groupBy("segment", "partition").agg(F.count(F.lit(1)).alias("all"))
+    counted = found.groupBy("segment", "partition").agg(F.count(F.lit(1)).alias("n")).join(inside, ["segment", "partition"]).join(known, "segment", "left")
     # Of a segment that no snapshot knows the whole folder goes; at most a row per folder of the layout.
-    folders = found.join(known, "segment", "left").groupBy("segment", F.when(F.col("known"), F.col("partition")).alias("partition"))
-    gone = folders.agg(F.count(F.lit(1)).alias("n")).collect()
+    folders = counted.groupBy("segment", F.when(F.col("known"), F.col("partition")).alias("partition"))
+    gone = folders.agg(F.sum("n").alias("n"), F.sum("all").alias("all")).collect()
+    mixed = [(r["segment"], r["partition"]) for r in gone if r["n"] < r["all"]]
+    if mixed:
+        beside = local_rows(spark, mixed, struct(segment="string", partition="string"))
+        for row in found.join(beside, ["segment", "partition"], "left_semi").select("path").toLocalIterator():
+            _delete(spark, unquote(row["path"]))
     for row in gone:
-        inside = "/" + unquote(row["partition"]) if row["partition"] else ""
-        _delete(spark, f"{target.data_dir(table)}/seg={row['segment']}{inside}")
+        if row["n"] == row["all"]:
+            inside = "/" + unquote(row["partition"]) if row["partition"] else ""
+            _delete(spark, f"{target.data_dir(table)}/seg={row['segment']}{inside}")
     return sum(row["n"] for row in gone)

@@ -31,7 +31,7 @@ PARTITION_PREFIX = "_p_"
 
 MANIFEST_SCHEMA = struct(
     table_name="string", committed_at="timestamp", operation="string", segment="string",
-    rows="bigint", low="string", high="string", removed_folders="strings",
+    rows="bigint", low="string", high="string", removed_folders="strings", removed_below="texts",
     segment_schema="string", schema="string", partition_spec="strings",
     identifier_columns="strings", watermark_column="string", properties="texts", snapshot="bigint",
 )
@@ -71,7 +71,8 @@ class Segment:
 
     The unit of removal is a folder of the table's partition layout: a bucket, a day. So a manifest row
     lists at most as many names as the layout has folders, however many files a write made; without a
-    layout a segment goes as a whole.
+    layout a segment goes as a whole. Where small files were joined beside larger ones, `removed_below`
+    holds a size per folder: its files of fewer bytes are gone, too. Files never change, so a size is exact.
     """
 
     id: str
@@ -80,6 +81,7 @@ class Segment:
     low: str | None = None
     high: str | None = None
     removed_folders: tuple[str, ...] = ()
+    removed_below: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -156,7 +158,10 @@ def state(
         raise TableNotFound(f"{table} has no snapshot for this request")
     head = found[0]
     segments = tuple(
-        Segment(r.segment, r.rows, r.segment_schema, r.low, r.high, tuple(r.removed_folders or ()))
+        Segment(
+            r.segment, r.rows, r.segment_schema, r.low, r.high, tuple(r.removed_folders or ()),
+            {folder: int(size) for folder, size in (r.removed_below or {}).items()},
+        )
         for r in sorted(found, key=lambda r: r.segment or "")
         if r.segment
     )
@@ -193,7 +198,7 @@ def commit(
     segments = new.segments or (Segment("", 0, schema_json),)
     rows = [
         (new.table, stamp, new.operation, s.id, s.rows, s.low, s.high, list(s.removed_folders),
-         s.schema, *shared, new.snapshot)
+         {folder: str(size) for folder, size in s.removed_below.items()}, s.schema, *shared, new.snapshot)
         for s in segments
     ]
     frame = local_rows(spark, rows, MANIFEST_SCHEMA).coalesce(1).drop("snapshot")
@@ -276,6 +281,17 @@ def _in_folders(path: Column, folders: dict[str, Sequence[str]]) -> Column:
     return found
 
 
+def _joined(path: Column, size: Column, segments: Sequence[Segment]) -> Column:
+    """Whether a file is one of the small ones that were joined while larger ones of its folder stayed."""
+    found = F.lit(False)
+    for s in segments:
+        if s.removed_below:
+            limits = F.create_map(*[F.lit(x) for pair in s.removed_below.items() for x in pair])
+            gone = size < F.coalesce(F.try_element_at(limits, folder_of(path)), F.lit(0))
+            found = found | ((segment_of(path) == s.id) & gone)
+    return found
+
+
 def scan_segments(
     spark: SparkSession,
     lake: Lake,
@@ -283,10 +299,11 @@ def scan_segments(
     segments: Sequence[Segment],
     with_file: bool = False,
     only: dict[str, Sequence[str]] | None = None,
+    below: int | None = None,
 ) -> DataFrame:
     """Read some segments of a snapshot, or `only` some of their folders, one scan per schema version.
 
-    What is left out is left out when the scan lists its files.
+    `below` takes only files of fewer bytes. What is left out is left out when the scan lists its files.
     """
     partitions = [
         T.StructField(partition_column(p), _partition_type(p, table.schema))
@@ -308,6 +325,11 @@ def scan_segments(
             files = files.filter(_in_folders(path, {s.id: only[s.id] for s in group}))
         elif removed:
             files = files.filter(~_in_folders(path, removed))
+        size = F.col("_metadata.file_size")
+        if any(s.removed_below for s in group):
+            files = files.filter(~_joined(path, size, group))
+        if below is not None:
+            files = files.filter(size < below)
         extra = [F.col("_metadata.file_path").alias("_file")] if with_file else []
         files = files.select(
             *[F.col(f"`{f.name}`") for f in written.fields + partitions], *extra
@@ -665,12 +687,14 @@ def rewrite_folders(
     keep,
     added: DataFrame | None,
     operation: str,
+    below: int | None = None,
     **layout,
 ) -> Commit:
     """Replace the folders that hold the files in `touched` (`_file`), keeping all others as they are.
 
     `keep` maps the rows of the touched folders to the rows that stay; `added` rows go into the same new
-    segment. The driver sees folder names, as many as the layout has in the segments that are touched.
+    segment. With `below` only their files of fewer bytes are replaced. The driver sees folder names, as many
+    as the layout has in the segments that are touched.
     """
     names = touched.select(segment_of(F.col("_file")).alias("seg"), folder_of(F.col("_file")).alias("folder")).distinct()
     found = names.groupBy("seg").agg(F.sort_array(F.collect_list("folder")).alias("folders")).collect()
@@ -681,13 +705,13 @@ def rewrite_folders(
     rows, rewritten = [], {}
     if hit:
         columns = [F.col(f"`{f.name}`") for f in before.schema.fields]
-        if before.partition_spec:
-            counted = scan_segments(spark, lake, before, hit, with_file=True, only=folders)
+        if before.partition_spec or below is not None:
+            counted = scan_segments(spark, lake, before, hit, with_file=True, only=folders, below=below)
             counts = counted.groupBy(segment_of(F.col("_file")).alias("seg")).count().collect()  # a row per segment, from file footers
             rewritten = {r["seg"]: r["count"] for r in counts}
         else:
             rewritten = {s.id: s.rows for s in hit}
-        rows.append(keep(scan_segments(spark, lake, before, hit, only=folders).select(*columns)))
+        rows.append(keep(scan_segments(spark, lake, before, hit, only=folders, below=below).select(*columns)))
     if added is not None:
         rows.append(align(added, before.schema))
     merged = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
@@ -698,8 +722,12 @@ def rewrite_folders(
     kept = []
     for s in before.segments:
         left = s.rows - rewritten.get(s.id, 0)
-        if left > 0:
-            kept.append(replace(s, rows=left, removed_folders=s.removed_folders + folders.get(s.id, ())))
+        gone = folders.get(s.id, ())
+        if left > 0 and below is None:
+            kept.append(replace(s, rows=left, removed_folders=s.removed_folders + gone))
+        elif left > 0:
+            sizes = {f: max(below, s.removed_below.get(f, 0)) for f in gone}
+            kept.append(replace(s, rows=left, removed_below={**s.removed_below, **sizes}))
     after = replace(
         before,
         snapshot=before.snapshot + 1,
@@ -877,8 +905,12 @@ def files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     removed = local_rows(
         spark, [(s.id, p) for s in current.segments for p in s.removed_folders], struct(segment="string", partition="string")
     )
-    listed = all_files(spark, lake, table)
-    return listed.join(segments, "segment").join(removed, ["segment", "partition"], "left_anti")
+    limits = local_rows(
+        spark, [(s.id, p, n) for s in current.segments for p, n in s.removed_below.items()],
+        struct(segment="string", partition="string", below="bigint"),
+    )
+    listed = all_files(spark, lake, table).join(segments, "segment").join(removed, ["segment", "partition"], "left_anti")
+    return listed.join(limits, ["segment", "partition"], "left").filter("bytes >= coalesce(below, 0)").drop("below")
 
 
 def all_files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
