@@ -23,6 +23,8 @@ SMALL_FILE = 128 * 1024 * 1024
 LARGE_FILE = 1024 * 1024 * 1024
 MAX_FILES_PER_PARTITION = 10_000
 MAX_PARTITIONS = 1_000
+# Rows that one task sorts. A file of the target size can hold far more where rows compress well.
+SORT_ROWS = 1 << 20
 
 
 def file_health(
@@ -65,15 +67,18 @@ def partition_rows(spark: SparkSession, target: Lake, table: str) -> DataFrame:
     return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def sorted_layout(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
-    """Rows in ranges of `columns`, sorted inside each.
+def sorted_layout(df: DataFrame, columns: Sequence[str], files: int, rows: int) -> DataFrame:
+    """About `rows` rows in `files` ranges of `columns`, one task each, sorted inside.
 
     A hash of the row ends the range key, so one value that holds a third of the rows
-    is still cut into several ranges.
+    is still cut into several ranges. Where a file takes more rows than a task should sort, they are sorted in
+    narrower ranges, and a file takes adjacent ones, each as a sorted run; no two of its runs overlap.
     """
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in plain])
-    return df.repartitionByRange(files, *columns, spread).sortWithinPartitions(*columns)
+    runs = max(1, -(-rows // (files * SORT_ROWS)))
+    ranged = df.repartitionByRange(files * runs, *columns, spread).sortWithinPartitions(*columns)
+    return ranged if runs == 1 else ranged.repartitionById(files, F.floor(F.spark_partition_id() / runs).cast("int"))
 
 
 def compact(
@@ -90,8 +95,8 @@ def compact(
     total = lake.files(spark, target, table).agg(F.sum("bytes").alias("b")).first()["b"] or 0
     files = max(1, -(-total // target_bytes))
     rows = lake.read(spark, target, table)
-    if sort_by:
-        rows = sorted_layout(rows, sort_by, files)
+    if sort_by and not before.partition_spec:
+        rows = sorted_layout(rows, sort_by, files, before.rows)
     elif not before.partition_spec:
         # Joining scan tasks needs no shuffle; each writes one file near the target size.
         rows = rows.coalesce(files)

@@ -249,6 +249,23 @@ def test_small_files_beside_a_large_one_join_without_it(spark, folder):
         assert lake.state(spark, home, "t").rows == total[0]
 
 
+def test_a_file_is_sorted_in_ranges_of_bounded_rows(spark, folder, monkeypatch):
+    """Rows that compress well: a file takes many, but no task sorts them all; its runs do not overlap."""
+    home = Lake(folder)
+    monkeypatch.setattr(upkeep, "SORT_ROWS", 1_000)
+    df = spark.range(10_000).select(F.pmod(F.xxhash64("id"), F.lit(5_000)).alias("id"), F.lit("x").alias("name"))
+    lake.write(df, home, "t", "append")
+    wide = upkeep.sorted_layout(lake.read(spark, home, "t"), ["id"], 2, 10_000)
+    assert ", 10)" in next(x for x in wide._jdf.queryExecution().executedPlan().toString().splitlines() if "rangepartitioning" in x)
+    upkeep.compact(spark, home, "t", sort_by=["id"])
+    assert lake.files(spark, home, "t").count() == 1
+    got = [r["id"] for r in lake.read(spark, home, "t").coalesce(1).collect()]
+    assert sorted(got) == sorted(r["id"] for r in df.collect())
+    starts = [0, *[i for i in range(1, len(got)) if got[i] < got[i - 1]], len(got)]
+    runs = sorted((got[a], got[b - 1]) for a, b in zip(starts, starts[1:]))
+    assert len(runs) <= 10 and all(low[1] <= high[0] for low, high in zip(runs, runs[1:]))
+
+
 def test_removed_files_are_not_opened(spark, folder):
     home = Lake(folder)
     lake.write(frame(spark, *range(20)), home, "t", "append", partition_by=["bucket(5, id)"])
