@@ -19,7 +19,7 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -468,6 +468,35 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+# Files that one task of a folder writes at least, where files are limited by rows.
+FILES_PER_TASK = 16
+
+
+def in_full_files(df: DataFrame, folders: Sequence[str], most: int) -> DataFrame:
+    """Rows dealt over all tasks so that each folder gets full files of `most` rows and one with the rest.
+
+    A folder's rows go to as many slices as its number of rows asks for, at most one per shuffle partition. The
+    full files of a slice are written together, and so is what remains of a folder's slices: less than a file of
+    each. The rows of a slice are numbered by their hashes, so repeated tasks deal them out alike.
+    """
+    spark = df.sparkSession
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    # Equal rows of several tasks go to different slices.
+    hashed = df.withColumn("_full_hash", F.xxhash64(*[F.col(f"`{c}`") for c in plain])).withColumn("_full_slice", F.xxhash64("_full_hash", F.spark_partition_id()))
+    names = [F.col(f"`{c}`") for c in folders]
+    counted = df.groupBy(*[c.alias(f"_full_{i}") for i, c in enumerate(names)]).agg(F.count(F.lit(1)).alias("_full_rows"))  # a row per folder
+    same = F.lit(True)
+    for i, c in enumerate(names):
+        same = same & c.eqNullSafe(F.col(f"_full_{i}"))
+    wanted = F.least(F.lit(slices).cast("bigint"), F.greatest(F.lit(1).cast("bigint"), F.floor(F.col("_full_rows") / (most * FILES_PER_TASK))))
+    rows = hashed.join(F.broadcast(counted), same, "left").withColumn("_full_slice", F.pmod("_full_slice", F.coalesce(wanted, F.lit(1).cast("bigint"))))
+    group = Window.partitionBy(*names, "_full_slice")
+    numbered = rows.withColumn("_full_place", F.row_number().over(group.orderBy("_full_hash"))).withColumn("_full_rows", F.count(F.lit(1)).over(group))
+    full = F.col("_full_place") <= F.col("_full_rows") - F.col("_full_rows") % most
+    return numbered.withColumn("_full_slice", F.when(full, F.col("_full_slice"))).repartition(slices, *names, "_full_slice").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def write_segment(
     df: DataFrame,
     lake: Lake,
@@ -481,7 +510,10 @@ def write_segment(
     rebalance: bool = False,
     measures: Sequence[Column] = (),
 ) -> tuple[Segment, dict]:
-    """Write files and learn row count, watermark range and `measures` from that same write."""
+    """Write files and learn row count, watermark range and `measures` from that same write.
+
+    With `max_records_per_file` each folder of the layout holds full files but for one; its rows are counted first.
+    """
     rows = df
     partitions = []
     for spec in partition_spec:
@@ -489,7 +521,9 @@ def write_segment(
         source = parse_transform(spec)[1]
         rows = rows.withColumn(name, partition_value(spec, F.col(source), schema[source].dataType))
         partitions.append(name)
-    if partitions:
+    if partitions and max_records_per_file:
+        rows = in_full_files(rows, partitions, max_records_per_file)
+    elif partitions:
         # Rebalance instead of repartition: the adaptive plan splits a hot partition
         # value over several tasks and joins small ones.
         rows = rows.hint("rebalance", *[F.col(p) for p in partitions])

@@ -249,6 +249,27 @@ def test_small_files_beside_a_large_one_join_without_it(spark, folder):
         assert lake.state(spark, home, "t").rows == total[0]
 
 
+def test_limited_files_are_full_however_many_tasks_write_a_folder(spark, folder):
+    """At most one file of a folder has fewer rows than the limit, and no folder waits for a single task."""
+    home, name = Lake(folder), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    kind = F.expr("CASE WHEN id % 10 = 0 THEN NULL WHEN id % 10 = 1 THEN 'a' ELSE 'b' END")
+    df = spark.range(10_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("name"), kind.alias("kind"))
+    df = df.unionByName(spark.range(95).select(F.lit(-1).alias("id"), F.lit("same").alias("name"), F.lit("c").alias("kind")))
+    known = spark.conf.get(name, None)
+    spark.conf.set(name, "20000")  # small enough to deal the rows of a folder over several tasks
+    try:
+        lake.write(df, home, "t", "append", partition_by=["kind"], max_records_per_file=30)
+    finally:
+        spark.conf.set(name, known) if known else spark.conf.unset(name)
+    read = lake.read(spark, home, "t")
+    assert read.count() == 10_095 == lake.state(spark, home, "t").rows and read.exceptAll(df).count() == 0
+    per = read.withColumn("file", F.input_file_name()).groupBy("kind", "file").agg(F.count(F.lit(1)).alias("n"))
+    found = {r["kind"]: (r["files"], r["top"]) for r in per.groupBy("kind").agg(F.count(F.lit(1)).alias("files"), F.max("n").alias("top")).collect()}
+    assert found == {None: (34, 30), "a": (34, 30), "b": (267, 30), "c": (4, 30)}
+    writers = lake.files(spark, home, "t").filter("partition = '_p_kind=b'").select(F.regexp_extract("path", r"/part-(\d+)-", 1))
+    assert writers.distinct().count() > 1
+
+
 def test_a_file_is_sorted_in_ranges_of_bounded_rows(spark, folder, monkeypatch):
     """Rows that compress well: a file takes many, but no task sorts them all; its runs do not overlap."""
     home = Lake(folder)
