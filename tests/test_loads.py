@@ -1,6 +1,9 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
+from suite import stores
 from tablesync.operators import repair
 from tablesync.operators.bookmarks import Bookmark, BookmarkStore, bucket_of, check, latest
 from tablesync.operators.fingerprint import change_split, checkpoint_text, table_fingerprint
@@ -245,6 +248,18 @@ def db(folder):
     return Jdbc(f"jdbc:derby:memory:{name};create=true", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
 
 
+def test_an_embedded_database_is_for_sessions_of_one_process():
+    def found(**conf):
+        return stores.database(SimpleNamespace(conf={k.replace("__", "."): v for k, v in conf.items()}))
+
+    for master in ("local", "local[4]", "local[*,2]"):
+        assert ":memory:" in found(spark__master=master).url
+    for conf in ({}, *({"spark__master": m} for m in ("local-cluster[3,4,10240]", "spark://host:7077", "yarn"))):
+        with pytest.raises(RuntimeError, match="spark.tablesync.jdbc.url"):
+            found(**conf)
+    assert found(spark__master="local-cluster[3,4,10240]", spark__tablesync__jdbc__url="jdbc:x:y").url == "jdbc:x:y"
+
+
 def test_database_round_trip_and_pushdown(spark, db):
     done = jdbc.write(frame(spark, 0, 100), db, "t", "overwrite", watermark="id")
     assert (done["n"], done["high"]) == (100, "99")
