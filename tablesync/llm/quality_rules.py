@@ -35,6 +35,7 @@ COMMON_WORDS = {
 }
 
 #: Character classes as regular expressions both Java and RE2 read alike; the rest is one more class.
+#: No character is in two of them.
 CLASSES = {
     "lower": "[\\p{Ll}]+", "upper": "[\\p{Lu}]+", "digit": "[\\p{Nd}]+", "space": SPACE,
     "stop": "[.,;:!?'\"()-]+", "symbol": "[#*$%&|<>@=+/_~^{}\\[\\]]+",
@@ -70,64 +71,77 @@ def repeated_lines(text: Column) -> Column:
     return let(lines, lambda found: F.size(found) - F.size(F.array_distinct(found)))
 
 
-def repeat_words(words: Column) -> Column:
-    """The words that lie in a window found twice or more in the same text."""
+def paired(left: Column, right: Column, ahead: int) -> Column:
+    """One hash per place of left: of its element and the element of right that many places ahead, if any."""
+    return F.zip_with(left, F.slice(right, F.lit(1 + ahead), F.size(left)), lambda a, b: F.xxhash64(a, b))
 
-    def windows(hashes: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size(hashes) - WINDOW),
-            lambda i: F.xxhash64(*[F.get(hashes, i + j if j else i) for j in range(WINDOW)]))
 
-    def covered(found: Column) -> Column:
-        # Sorted by hash, a repeated window stands beside its like; sorted by place again, each
-        # repeated window covers what the next one does not.
-        placed = F.sort_array(F.transform(found, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        twice = let(placed, lambda s: F.sort_array(F.transform(
-            F.filter(s, lambda x, k: (x["h"] == F.get(s, k + 1)["h"]) | ((k > 0) & (x["h"] == F.get(s, k - 1)["h"]))),
-            lambda x: x["i"])))
-        each = let(twice, lambda p: F.transform(
-            p, lambda at, k: F.least(F.lit(WINDOW), F.coalesce(F.get(p, k + 1) - at, F.lit(WINDOW)))))
-        return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+def repeat_words(windows: Column) -> Column:
+    """The words that lie in a window found twice or more in the same text, from the hashes of its windows."""
+    # Sorted by hash, a repeated window stands beside its like; sorted by place again, each
+    # repeated window covers what the next one does not.
+    placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    twice = let(placed, lambda s: F.sort_array(F.transform(
+        F.filter(s, lambda x, k: (x["h"] == F.get(s, k + 1)["h"]) | ((k > 0) & (x["h"] == F.get(s, k - 1)["h"]))),
+        lambda x: x["i"])))
+    each = let(twice, lambda p: F.transform(
+        p, lambda at, k: F.least(F.lit(WINDOW), F.coalesce(F.get(p, k + 1) - at, F.lit(WINDOW)))))
+    covered = F.aggregate(each, F.lit(0), lambda total, n: total + n)
+    return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(covered)
 
-    repeated = let(words, lambda w: F.transform(w, lambda x: F.xxhash64(x)))
-    counted = let(repeated, lambda hashes: let(
-        windows(hashes),
-        lambda found: F.when(F.size(F.array_distinct(found)) == F.size(found), F.lit(0)).otherwise(covered(found))))
-    return F.when(F.size(words) < WINDOW, F.lit(0)).otherwise(counted)
 
-
-def spaced(words: Column) -> Column:
-    """The words, lower-cased in A-Z, each between two spaces of its own."""
+def common_hashes(words: Column, listed: list[str]) -> Column:
+    """Hashes of the words, lower-cased in A-Z, with all that are listed and few others."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.concat(F.lit(" "), F.translate(F.array_join(words, "  "), upper, lower), F.lit(" "))
+    longest = max(len(w.encode()) for w in listed)
+    # Words that are equal but for A-Z are equal in lower case, so the quick filter loses none.
+    near = F.filter(words, lambda x: (F.octet_length(x) <= longest) & F.lower(x).isin(*[F.lower(F.lit(w)) for w in listed]))
+    return F.transform(near, lambda x: F.when(x.isin(listed), F.xxhash64(x)).otherwise(F.xxhash64(F.translate(x, upper, lower))))
 
 
 def measured(df: DataFrame, text: str, lang: str, rules: Rules, prefix: str = "") -> DataFrame:
-    """The rows with their base counts and histograms, in columns that begin with the prefix."""
+    """The rows with their base counts and histograms, in columns that begin with the prefix.
+
+    A text is searched once, for its words. What follows works on words, hashes, or the characters
+    that the classes before have left. Values used twice are columns, which Spark computes once.
+    """
     n = lambda c: F.col(prefix + c)
     out = df.withColumn(prefix + "text", F.coalesce(F.col(text), F.lit("")))
     out = out.withColumn(prefix + "words", words_of(n("text")))
     out = out.withColumns({
+        prefix + "n_chars": F.length(n("text")),
         prefix + "n_words": F.size(n("words")).cast("long"),
-        prefix + "word_chars": F.length(F.array_join(n("words"), "")).cast("long"),
-        prefix + "n_symbols": without(n("text"), "[#*$%&|<>]+").cast("long"),
         prefix + "n_dup_lines": repeated_lines(n("text")).cast("long"),
-        prefix + "n_repeat_words": repeat_words(n("words")).cast("long"),
-        prefix + "spaced": spaced(n("words")),
-    })
-    common = F.array(*[F.lit(None).cast("int")] * 0)
-    for code, listed in rules.common.items():
-        counts = F.array(*[((F.length(n("spaced")) - F.length(F.replace(n("spaced"), F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("int") for w in listed])
-        common = F.when(F.col(lang) == code, counts) if code == next(iter(rules.common)) else common.when(F.col(lang) == code, counts)
-    classes = F.array(*[without(n("text"), p) for p in CLASSES.values()])
-    out = out.withColumns({prefix + "classes": classes, prefix + "common": common})
+        prefix + "left": F.array_join(n("words"), ""),
+        prefix + "pairs": paired(n("words"), n("words"), 1),
+        prefix + "common": common_hashes(n("words"), sorted({w for listed in rules.common.values() for w in listed})),
+    }).drop(prefix + "text")
+    out = out.withColumn(prefix + "fours", paired(n("pairs"), n("pairs"), 2)).drop(prefix + "pairs")
+    windows = F.slice(paired(n("fours"), n("words"), 4), F.lit(1), F.greatest(F.size(n("words")) - (WINDOW - 1), F.lit(0)))
+    out = out.withColumn(prefix + "windows", windows).drop(prefix + "fours", prefix + "words")
+    out = out.withColumns({
+        prefix + "word_chars": F.length(n("left")).cast("long"),
+        prefix + "n_repeat_words": repeat_words(n("windows")).cast("long"),
+        prefix + "space": n("n_chars") - F.length(n("left")),
+    }).drop(prefix + "windows", prefix + "n_chars")
+    for name, pattern in CLASSES.items():
+        if name == "space":
+            continue
+        if name == "symbol":
+            out = out.withColumn(prefix + "n_symbols", without(n("left"), "[#*$%&|<>]+").cast("long"))
+        out = out.withColumn(prefix + "next", F.regexp_replace(n("left"), pattern, ""))
+        out = out.withColumns({prefix + name: F.length(n("left")) - F.length(n("next")), prefix + "left": n("next")})
+    common = F.lit(None).cast("array<int>")
+    for code, listed in reversed(rules.common.items()):
+        counts = F.array(*[F.size(n("common")) - F.size(F.array_remove(n("common"), F.xxhash64(F.lit(w)))) for w in listed])
+        common = F.when(F.col(lang) == code, counts).otherwise(common)
+    # The last bin of each histogram is the rest.
+    out = out.withColumns({prefix + "classes": F.array(*[n(c) for c in CLASSES], F.length(n("left"))), prefix + "common": common})
     failed = (n("n_words") < rules.least_words) | (100 * n("n_repeat_words") > rules.repeat_percent * n("n_words"))
     return out.withColumns({
         prefix + "base_failed": failed,
-        # The last bin of each histogram is the rest.
-        prefix + "classes": let(n("classes"), lambda c: F.concat(c, F.array(F.length(n("text")) - F.aggregate(c, F.lit(0), lambda a, b: a + b)))),
         prefix + "common": let(n("common"), lambda c: F.concat(c, F.array(n("n_words").cast("int") - F.aggregate(c, F.lit(0), lambda a, b: a + b)))),
-    }).drop(prefix + "text", prefix + "words", prefix + "spaced")
+    }).drop(prefix + "left", prefix + "next", *[prefix + c for c in CLASSES])
 
 
 def references(features: DataFrame, lang: str, rules: Rules, prefix: str = "") -> DataFrame:

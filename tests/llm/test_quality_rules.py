@@ -3,6 +3,7 @@
 import collections
 import math
 import re
+import unicodedata
 
 from pyspark.sql import functions as F
 
@@ -53,6 +54,39 @@ def test_distance(spark):
     assert abs(plain([5, 0, 0], [0, 1, 1]) - 1) < 1e-12
 
 
+def histograms(text, lang):
+    kinds = {"lower": lambda c: unicodedata.category(c) == "Ll", "upper": lambda c: unicodedata.category(c) == "Lu",
+             "digit": lambda c: unicodedata.category(c) == "Nd", "space": lambda c: c in " \t\n\v\f\r",
+             "stop": lambda c: c in ".,;:!?'\"()-", "symbol": lambda c: c in "#*$%&|<>@=+/_~^{}[]"}
+    classes = [sum(map(kinds[k], text)) for k in q.CLASSES]
+    lowered = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in words(text)]
+    common = [lowered.count(w) for w in q.COMMON_WORDS.get(lang, [])]
+    return classes + [len(text) - sum(classes)], common + [len(lowered) - sum(common)] if common else None
+
+
+def test_histograms(spark):
+    texts = [
+        "The THE the tHe of, a#b <i> 100% (x) [y] é É ß ǅ ʰ 中文 \U0001d44e \U0001d400 \U0001f600 ١٢ \x85 \u2028 Ⅷ ª", "für FÜR FüR Für fÜR De LA la que QUE El y Y",
+        "İn iS \u212a as A\u030a \u017fe se SE \u017fich", "", " \t\n\v\f\r ", "the", " and\u00a0the the\x00the ", "nicht NICHT nichts \x1f in \x1c zu",
+    ]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate((t, lang) for t in texts for lang in ("en", "de", "es", "fr", "xx", None))]
+    found = q.measured(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang", q.Rules()).collect()
+    assert {r["doc_id"]: (r["classes"], r["common"]) for r in found} == {i: histograms(t, lang) for i, t, lang in rows}
+
+
+def test_windows_around_their_length(spark):
+    rows = [(n, " ".join("ab"[i % k // (k - 1)] for i in range(n))) for k in (2, 3) for n in range(14)]
+    assert sorted((k, b) for k, b, _ in measured(spark, rows)) == sorted((k, brute(t)) for k, t in rows)
+
+
+def test_a_text_is_searched_once(spark):
+    """Not once per character class and common word: passes over whole texts are what costs."""
+    df = documents(spark, awkward()).select("doc_id", "text", "lang")
+    plan = q.measured(df, "text", "lang", q.Rules())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text#") == 2  # words and lines
+    assert not re.search(r"replace\((text|spaced)#|translate\(array_join", plan)
+
+
 def english(seed, n):
     listed = q.COMMON_WORDS["en"] * 2
     return " ".join(x if i % 3 else listed[i % len(listed)] for i, x in enumerate(prose(seed, n).split()))
